@@ -246,7 +246,7 @@ def cluster_vectors(df: DataFrame, measures: Sequence[str] = CLUSTER_MEASURES) -
     return stages.fit(scaled).transform(scaled).select(*measures, SCALED)
 
 
-def _fit_kmeans(vectors: DataFrame, k: int, seed: int):
+def fit_kmeans(vectors: DataFrame, k: int, seed: int = SEED):
     estimator = KMeans(featuresCol=SCALED, predictionCol="cluster", k=k, seed=seed, maxIter=MAX_ITER)
     return estimator.fit(vectors)
 
@@ -260,7 +260,7 @@ def elbow_table(vectors: DataFrame, ks: Sequence[int] = range(2, 9)) -> DataFram
     """Cost and silhouette for each k, and the second difference of the cost whose maximum is the elbow."""
     rows = []
     for k in ks:
-        model = _fit_kmeans(vectors, k, SEED)
+        model = fit_kmeans(vectors, k)
         rows.append((k, float(model.summary.trainingCost), float(silhouette(model.transform(vectors)))))
     table = vectors.sparkSession.createDataFrame(rows, "k int, wcss double, silhouette double")
     by_k = Window.orderBy("k")
@@ -281,7 +281,7 @@ def choose_k(elbow: DataFrame) -> DataFrame:
 def cluster_stability(vectors: DataFrame, k: int, runs: int = 3) -> DataFrame:
     """Silhouette over several seeds: mean, population deviation and a verdict."""
     scores = [
-        (SEED + i, float(silhouette(_fit_kmeans(vectors, k, SEED + i).transform(vectors)))) for i in range(runs)
+        (SEED + i, float(silhouette(fit_kmeans(vectors, k, SEED + i).transform(vectors)))) for i in range(runs)
     ]
     table = vectors.sparkSession.createDataFrame(scores, "seed int, silhouette double")
     spread = F.stddev_pop("silhouette")
@@ -297,7 +297,7 @@ def cluster_stability(vectors: DataFrame, k: int, runs: int = 3) -> DataFrame:
 
 def cluster_profiles(vectors: DataFrame, k: int, measures: Sequence[str] = CLUSTER_MEASURES[:5]) -> DataFrame:
     """Size, means, variability and name of each cluster; clusters are numbered by their centres."""
-    clustered = _fit_kmeans(vectors, k, SEED).transform(vectors)
+    clustered = fit_kmeans(vectors, k).transform(vectors)
     spreads = {"valence": "valence_variability", "energy": "energy_variability"}
     exact = grouped_profile(
         clustered, ["cluster"], [], count_as="member_count",

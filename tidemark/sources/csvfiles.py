@@ -22,9 +22,10 @@ def read_csv_permissive(spark: SparkSession, path: str, schema: T.StructType, he
     return reader.option("columnPruning", False).option("columnNameOfCorruptRecord", CORRUPT).csv(path)
 
 
-def corrupt_counts(df: DataFrame) -> DataFrame:
-    """Rows read and rows that were malformed, in one pass."""
-    return df.agg(F.count("*").alias("row_count"), F.count(CORRUPT).alias("corrupt_count"))
+def load_counts(df: DataFrame) -> DataFrame:
+    """Rows read, malformed rows, and NULLs of each column, in one pass over a permissive read."""
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in df.columns if c != CORRUPT]
+    return df.agg(F.count("*").alias("row_count"), F.count(CORRUPT).alias("corrupt_count"), *nulls)
 
 
 def without_corrupt_column(df: DataFrame) -> DataFrame:
