@@ -5,10 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any, NamedTuple
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from .numeric import column
+from .numeric import literal
 
 
 class Quadrants(NamedTuple):
@@ -21,57 +18,47 @@ class Quadrants(NamedTuple):
     between: Any
 
 
-def _first_match(rules: Sequence[tuple[Column, Any]], default: Any) -> Column:
-    return F.coalesce(*[F.when(test, F.lit(label)) for test, label in rules], F.lit(default))
+def first_match(rules: Sequence[tuple[str, Any]], default: Any) -> str:
+    """Label of the first test that holds."""
+    whens = " ".join(f"WHEN {test} THEN {literal(label)}" for test, label in rules)
+    return f"CASE {whens} ELSE {literal(default)} END"
 
 
-def quadrant(x: Column | str, y: Column | str, labels: Quadrants, high: float = 0.6, low: float = 0.4) -> Column:
+def quadrant(x: str, y: str, labels: Quadrants, high: float = 0.6, low: float = 0.4) -> str:
     """Corner label for (x, y). A value in the band [low, high) on either axis, or NULL, is ``between``."""
-    x, y = column(x), column(y)
-    corners = [
-        (x >= high, y >= high, labels.high_high),
-        (x >= high, y < low, labels.high_low),
-        (x < low, y >= high, labels.low_high),
-        (x < low, y < low, labels.low_low),
-    ]
-    return _first_match([(on_x & on_y, label) for on_x, on_y, label in corners], labels.between)
+    up, down = f">= {literal(float(high))}", f"< {literal(float(low))}"
+    corners = [(up, up), (up, down), (down, up), (down, down)]
+    return first_match([(f"{x} {a} AND {y} {b}", label) for (a, b), label in zip(corners, labels)], labels.between)
 
 
-def ladder(value: Column | str, steps: Sequence[tuple[float, Any]], default: Any, op: str = "<") -> Column:
+def ladder(value: str, steps: Sequence[tuple[float, Any]], default: Any, op: str = "<") -> str:
     """Label of the first step whose comparison ``value op cut`` holds."""
-    value = column(value)
-    compare = {"<": value.__lt__, ">": value.__gt__, ">=": value.__ge__, "<=": value.__le__}[op]
-    return _first_match([(compare(cut), label) for cut, label in steps], default)
+    return first_match([(f"{value} {op} {literal(float(cut))}", label) for cut, label in steps], default)
 
 
-def band(value: Column | str, bands: Sequence[tuple[int, int, Any]], default: Any) -> Column:
+def band(value: str, bands: Sequence[tuple[int, int, Any]], default: Any) -> str:
     """Label of the closed interval holding ``value``."""
-    value = column(value)
-    return _first_match([(value.between(lo, hi), label) for lo, hi, label in bands], default)
+    return first_match([(f"{value} BETWEEN {lo} AND {hi}", label) for lo, hi, label in bands], default)
 
 
-def lookup(key: Column | str, texts: Mapping[str, str], default: str) -> Column:
+def lookup(key: str, texts: Mapping[str, str], default: str) -> str:
     """Text for a label from a fixed table of literals."""
-    pairs = [F.lit(item) for pair in texts.items() for item in pair]
-    return F.coalesce(F.create_map(*pairs)[column(key)], F.lit(default))
+    pairs = ", ".join(f"{literal(k)}, {literal(v)}" for k, v in texts.items())
+    return f"coalesce(map({pairs})[{key}], {literal(default)})"
 
 
 def change_class(
-    deltas: Sequence[Column | str],
+    deltas: Sequence[str],
     small: float = 0.2,
     large: float = 0.5,
     labels: tuple[str, str, str] = ("Stable", "Major_Shift", "Minor_Shift"),
-) -> Column:
+) -> str:
     """Stable if every delta is small, major if any is large, minor otherwise."""
-    sizes = [F.abs(column(d)) for d in deltas]
-    calm = sizes[0] <= small
-    strong = sizes[0] > large
-    for size in sizes[1:]:
-        calm, strong = calm & (size <= small), strong | (size > large)
-    return _first_match([(calm, labels[0]), (strong, labels[1])], labels[2])
+    calm = " AND ".join(f"abs({d}) <= {literal(float(small))}" for d in deltas)
+    strong = " OR ".join(f"abs({d}) > {literal(float(large))}" for d in deltas)
+    return first_match([(calm, labels[0]), (strong, labels[1])], labels[2])
 
 
-def position(value: Column | str, order: Sequence[Any]) -> Column:
+def position(value: str, order: Sequence[Any]) -> str:
     """Sort key for a hand-made order; anything not listed sorts last."""
-    value = column(value)
-    return _first_match([(value == item, i) for i, item in enumerate(order, 1)], len(order) + 1)
+    return first_match([(f"{value} = {literal(item)}", i) for i, item in enumerate(order, 1)], len(order) + 1)

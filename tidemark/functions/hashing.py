@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from .numeric import column, stable_round
+from .numeric import literal
 
 # 13 hex digits are 52 bits, which a double holds exactly.
 HEX_DIGITS = 13
@@ -33,46 +30,36 @@ ATTRIBUTE_CHOICES = {
 }
 
 
-def surrogate_key(columns: Sequence[Column | str]) -> Column:
+def surrogate_key(columns: Sequence[str]) -> str:
     """MD5 over the parts joined by ``|``; a NULL part counts as empty."""
-    return F.md5(F.concat_ws("|", *[F.coalesce(column(c).cast("string"), F.lit("")) for c in columns]))
+    parts = ", ".join(f"coalesce(CAST({c} AS STRING), '')" for c in columns)
+    return f"md5(concat_ws('|', {parts}))"
 
 
-def digest(key: Column | str, salt: str) -> Column:
-    return F.sha2(F.concat_ws("|", column(key).cast("string"), F.lit(salt)), 256)
+def digest(key: str, salt: str) -> str:
+    return f"sha2(concat_ws('|', CAST({key} AS STRING), {literal(salt)}), 256)"
 
 
-def _block(digest_hex: Column, index: int) -> Column:
+def _block(digest_hex: str, index: int) -> str:
     start = 1 + HEX_DIGITS * index
-    return F.conv(F.substring(digest_hex, start, HEX_DIGITS), 16, 10).cast("long")
+    return f"CAST(conv(substring({digest_hex}, {start}, {HEX_DIGITS}), 16, 10) AS BIGINT)"
 
 
-def unit(digest_hex: Column | str, index: int = 0) -> Column:
+def unit(digest_hex: str, index: int = 0) -> str:
     """Uniform number in [0, 1) from the index-th block (0 to 3) of a SHA-256 digest."""
-    return _block(column(digest_hex), index).cast("double") / F.lit(float(16**HEX_DIGITS))
+    return f"(CAST({_block(digest_hex, index)} AS DOUBLE) / {float(16**HEX_DIGITS)!r}D)"
 
 
-def beta22(digest_hex: Column | str) -> Column:
+def beta22(a: str, b: str, c: str) -> str:
     """Beta(2, 2) number: the median of three independent uniforms has exactly that distribution."""
-    a, b, c = (unit(digest_hex, i) for i in range(3))
-    return F.greatest(F.least(a, b), F.least(F.greatest(a, b), c))
+    return f"greatest(least({a}, {b}), least(greatest({a}, {b}), {c}))"
 
 
-def scaled(digest_hex: Column | str, low: float, high: float, digits: int = 4) -> Column:
-    return stable_round(F.lit(low) + beta22(digest_hex) * F.lit(high - low), digits)
+def scale(share: str, low: float, high: float, digits: int = 4) -> str:
+    return f"round({low!r}D + {share} * {high - low!r}D, {digits})"
 
 
-def pick(digest_hex: Column | str, choices: Sequence[Any]) -> Column:
+def pick(digest_hex: str, choices: Sequence[Any]) -> str:
     """One of ``choices``, each equally likely."""
-    index = F.pmod(_block(column(digest_hex), 0), F.lit(len(choices))).cast("int")
-    return F.element_at(F.array(*[F.lit(c) for c in choices]), index + 1)
-
-
-def generated_attributes(
-    digests: Mapping[str, Column | str],
-    ranges: Mapping[str, tuple[float, float]] = ATTRIBUTE_RANGES,
-    choices: Mapping[str, Sequence[Any]] = ATTRIBUTE_CHOICES,
-) -> list[Column]:
-    """All generated attributes, each from its own digest."""
-    measures = [scaled(digests[n], lo, hi).cast("float").alias(n) for n, (lo, hi) in ranges.items()]
-    return measures + [pick(digests[n], options).cast("int").alias(n) for n, options in choices.items()]
+    options = ", ".join(literal(c) for c in choices)
+    return f"element_at(array({options}), CAST(pmod({_block(digest_hex, 0)}, {len(choices)}) AS INT) + 1)"

@@ -5,25 +5,31 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from math import prod
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vocabulary as words
 from ..functions.buckets import ladder, lookup, position
-from ..functions.numeric import abs_zscore, stable_round
+from ..functions.numeric import abs_zscore, double, stable_round
 from ..functions.timeparts import TIME_DOMAINS
 
 # A baseline with at most this many rows is sent to every executor.
 BROADCAST_ROWS = 10_000
 
 
+def _largest(columns: Sequence[str]) -> str:
+    """The greatest value, NULLs skipped: one undefined deviation does not hide the other."""
+    return f"greatest({', '.join(columns)})" if len(columns) > 1 else columns[0]
+
+
 def baseline(df: DataFrame, by: Sequence[str], measures: Sequence[str]) -> DataFrame:
     """Mean and sample standard deviation of each measure per group, and the group's size."""
-    stats: list[Column] = []
-    for m in measures:
-        value = F.col(m).cast("double")
-        stats += [F.avg(value).alias(f"typical_{m}"), F.stddev_samp(value).alias(f"{m}_std")]
-    grouped = df.groupBy(F.struct(*by).alias("_by")).agg(*stats, F.count("*").alias("typical_count"))
+    stats = [
+        text
+        for m in measures
+        for text in (f"avg({double(m)}) AS typical_{m}", f"stddev_samp({double(m)}) AS {m}_std")
+    ]
+    grouped = df.groupBy(F.struct(*by).alias("_by")).agg(*[F.expr(s) for s in [*stats, "count(*) AS typical_count"]])
     # Grouped by a struct so that a join on the plain keys shuffles it afresh; see merge_sources.
     return grouped.select("_by.*", *[c for c in grouped.columns if c != "_by"])
 
@@ -52,8 +58,8 @@ def deviations(
 ) -> DataFrame:
     """Rows with the z-score of each measure against the baseline of their group."""
     scored = with_baseline(df, by, measures, domains)
-    z = [abs_zscore(F.col(m).cast("double"), f"typical_{m}", f"{m}_std").alias(f"{m}_deviation") for m in measures]
-    return scored.select("*", *z)
+    z = [f"{abs_zscore(double(m), f'typical_{m}', f'{m}_std')} AS {m}_deviation" for m in measures]
+    return scored.selectExpr("*", *z)
 
 
 def anomaly_events(
@@ -65,9 +71,8 @@ def anomaly_events(
 ) -> DataFrame:
     """Rows further than ``limit`` deviations from their baseline, with ``anomaly_score`` = the largest z-score."""
     scored = deviations(df, by, measures, domains)
-    z = [f"{m}_deviation" for m in measures]
-    score = F.greatest(*z) if len(z) > 1 else F.col(z[0])
-    return scored.withColumn("anomaly_score", score).where(F.col("anomaly_score") > limit)
+    score = _largest([f"{m}_deviation" for m in measures])
+    return scored.selectExpr("*", f"{score} AS anomaly_score").where(f"anomaly_score > {limit}")
 
 
 def anomaly_summary(
@@ -83,16 +88,14 @@ def anomaly_summary(
     names = names or {}
     means = {f"avg_{names.get(m, m)}_deviation": f"{m}_deviation" for m in measures}
     grouped = anomaly_events(df, by, measures, limit, domains).groupBy(*by).agg(
-        F.count("*").alias("anomaly_count"), *[F.avg(z).alias(a) for a, z in means.items()]
+        F.expr("count(*) AS anomaly_count"), *[F.expr(f"avg({z}) AS {a}") for a, z in means.items()]
     )
-    # greatest() skips NULL, so one undefined mean does not hide the other.
-    worst = F.greatest(*means) if len(means) > 1 else F.col(next(iter(means)))
-    severity = ladder(worst, list(zip(severity_cuts, words.SEVERITY)), words.SEVERITY[-1], op=">")
-    table = grouped.withColumn("anomaly_severity", severity).select(
+    severity = ladder(_largest(list(means)), list(zip(severity_cuts, words.SEVERITY)), words.SEVERITY[-1], op=">")
+    table = grouped.selectExpr("*", f"{severity} AS anomaly_severity").selectExpr(
         *by,
         "anomaly_count",
-        *[stable_round(a, 3).alias(a) for a in means],
+        *[f"{stable_round(a, 3)} AS {a}" for a in means],
         "anomaly_severity",
-        lookup("anomaly_severity", words.SEVERITY_TEXT, words.SEVERITY_TEXT_DEFAULT).alias("interpretation"),
+        f"{lookup('anomaly_severity', words.SEVERITY_TEXT, words.SEVERITY_TEXT_DEFAULT)} AS interpretation",
     )
-    return table.orderBy(position("anomaly_severity", words.SEVERITY), F.desc("anomaly_count"), *by)
+    return table.orderBy(F.expr(position("anomaly_severity", words.SEVERITY)), F.desc("anomaly_count"), *by)

@@ -37,29 +37,30 @@ def normalize_columns(df: DataFrame, targets: Sequence[str], aliases: Mapping[st
 
 def cast_columns(df: DataFrame, types: Mapping[str, T.DataType]) -> DataFrame:
     """Cast the listed columns; text that is no value of the type becomes NULL."""
-    return df.select(
-        *[F.col(f"`{c}`").try_cast(types[c]).alias(c) if c in types else F.col(f"`{c}`") for c in df.columns]
-    )
+
+    def cast(name: str) -> str:
+        return f"try_cast(`{name}` AS {types[name].simpleString()}) AS `{name}`" if name in types else f"`{name}`"
+
+    return df.selectExpr(*[cast(c) for c in df.columns])
 
 
 def conform(df: DataFrame, target: T.StructType, skip: Sequence[str] = ()) -> DataFrame:
     """Exactly the target's columns, in order and typed; a column the input lacks is NULL of its type."""
     have = set(df.columns)
-    columns = []
-    for field in target.fields:
-        if field.name in skip:
-            continue
-        source = F.col(field.name).try_cast(field.dataType) if field.name in have else F.lit(None).cast(field.dataType)
-        columns.append(source.alias(field.name))
-    return df.select(*columns)
+
+    def column(field: T.StructField) -> str:
+        source = f"`{field.name}`" if field.name in have else "NULL"
+        return f"try_cast({source} AS {field.dataType.simpleString()}) AS `{field.name}`"
+
+    return df.selectExpr(*[column(f) for f in target.fields if f.name not in skip])
 
 
 def with_surrogate_key(df: DataFrame, key: str, parts: Sequence[str]) -> DataFrame:
     """Fill a missing or NULL key with the digest of its identifying columns."""
-    made = surrogate_key(parts)
+    made = surrogate_key([f"`{p}`" for p in parts])
     if key not in df.columns:
-        return df.select(made.alias(key), "*")
-    return df.withColumn(key, F.coalesce(F.col(key), made))
+        return df.selectExpr(f"{made} AS `{key}`", "*")
+    return df.withColumn(key, F.expr(f"coalesce(`{key}`, {made})"))
 
 
 def stamp(df: DataFrame, column: str = "_ingested_at") -> DataFrame:
@@ -71,6 +72,6 @@ def conform_catalog(df: DataFrame, target: T.StructType) -> DataFrame:
     names = [f.name for f in target.fields if not f.name.startswith("_")]
     named = normalize_columns(df, names, CATALOG_ALIASES)
     absent = [p for p in CATALOG_KEY_PARTS if p not in named.columns]
-    padded = named.select("*", *[F.lit(None).cast("string").alias(p) for p in absent])
+    padded = named.selectExpr("*", *[f"CAST(NULL AS STRING) AS `{p}`" for p in absent])
     keyed = with_surrogate_key(padded, "track_id", CATALOG_KEY_PARTS)
     return stamp(conform(keyed, target, skip=("_ingested_at",)))

@@ -5,19 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import (
-    ATTRIBUTE_CHOICES,
-    ATTRIBUTE_RANGES,
-    digest,
-    generated_attributes,
-    pick,
-)
-from ..functions.numeric import percent
+from ..functions.hashing import ATTRIBUTE_CHOICES, ATTRIBUTE_RANGES, beta22, digest, pick, scale, unit
+from ..functions.numeric import literal, percent
 from ..functions.timeparts import is_weekend
-from ..schemas import ATTRIBUTE_TYPES, ATTRIBUTES
+from ..schemas import ATTRIBUTE_TYPES
 
 # Plausible range of each training attribute.
 CLEAN_RANGES = {
@@ -30,15 +24,11 @@ CLEAN_RANGES = {
 }
 
 
-def _all(tests: Sequence[Column]) -> Column:
-    return reduce(Column.__and__, tests)
-
-
 # --- filters -------------------------------------------------------------------------------------
 
 
-def in_ranges(ranges: Mapping[str, tuple[float, float]]) -> Column:
-    return _all([F.col(c).between(lo, hi) for c, (lo, hi) in ranges.items()])
+def in_ranges(ranges: Mapping[str, tuple[float, float]]) -> str:
+    return " AND ".join(f"{c} BETWEEN {lo} AND {hi}" for c, (lo, hi) in ranges.items())
 
 
 def range_clean(df: DataFrame, ranges: Mapping[str, tuple[float, float]] = CLEAN_RANGES) -> DataFrame:
@@ -48,18 +38,18 @@ def range_clean(df: DataFrame, ranges: Mapping[str, tuple[float, float]] = CLEAN
 
 def range_clean_counts(df: DataFrame, ranges: Mapping[str, tuple[float, float]] = CLEAN_RANGES) -> DataFrame:
     """Rows before, after and removed, in one pass."""
-    kept = F.count_if(F.coalesce(in_ranges(ranges), F.lit(False)))
+    kept = f"count_if({in_ranges(ranges)})"
     return df.agg(
-        F.count("*").alias("rows_before"), kept.alias("rows_after"), (F.count("*") - kept).alias("rows_removed")
+        F.expr("count(*) AS rows_before"), F.expr(f"{kept} AS rows_after"), F.expr(f"count(*) - {kept} AS rows_removed")
     )
 
 
 def any_present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.where(F.coalesce(*[F.col(c) for c in columns]).isNotNull())
+    return df.where(f"coalesce({', '.join(columns)}) IS NOT NULL")
 
 
 def all_present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.where(_all([F.col(c).isNotNull() for c in columns]))
+    return df.where(" AND ".join(f"{c} IS NOT NULL" for c in columns))
 
 
 # --- keys ----------------------------------------------------------------------------------------
@@ -71,9 +61,9 @@ def one_per_key(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str] = (
     An aggregate, not a window: copies of a hot key are merged before the shuffle.
     """
     rest = [c for c in df.columns if c not in keys]
-    order = F.struct(*[F.col(c) for c in [*latest_by, *[c for c in rest if c not in latest_by]]])
-    best = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_row"))
-    return best.select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in df.columns])
+    order = [*latest_by, *[c for c in rest if c not in latest_by]]
+    best = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
+    return best.select(*[c if c in keys else f"_row.{c}" for c in df.columns])
 
 
 def new_rows(batch: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -87,29 +77,30 @@ def merge_latest(target: DataFrame, source: DataFrame, keys: Sequence[str], late
     return new_rows(target, updates, keys).unionByName(updates)
 
 
+def _stacked_keys(frames: Sequence[DataFrame], key: str) -> DataFrame:
+    return reduce(DataFrame.unionAll, [f.select(key) for f in frames])
+
+
 def missing_keys(history: DataFrame, key: str, covered: Sequence[DataFrame]) -> DataFrame:
     """Distinct keys of ``history`` found in none of the covered frames."""
-    wanted = history.select(key).where(F.col(key).isNotNull()).distinct()
-    if not covered:
-        return wanted
-    known = reduce(DataFrame.unionAll, [c.select(key) for c in covered])
-    return wanted.join(known, key, "left_anti")
+    wanted = history.select(key).where(f"{key} IS NOT NULL").distinct()
+    return new_rows(wanted, _stacked_keys(covered, key), [key]) if covered else wanted
 
 
 def key_coverage(history: DataFrame, key: str, covered: Sequence[DataFrame]) -> DataFrame:
     """How many of the history's keys are covered, as one row."""
-    known = reduce(DataFrame.unionAll, [c.select(key) for c in covered])
-    tagged = history.select(key, F.lit(1).alias("h"), F.lit(0).alias("c")).unionAll(
-        known.select(key, F.lit(0), F.lit(1))
+    seen = history.selectExpr(key, "true AS wanted").unionAll(
+        _stacked_keys(covered, key).selectExpr(key, "false AS wanted")
     )
-    per_key = tagged.where(F.col(key).isNotNull()).groupBy(key).agg(F.max("h").alias("h"), F.max("c").alias("c"))
-    total = F.count_if(F.col("h") == 1)
-    hit = F.count_if((F.col("h") == 1) & (F.col("c") == 1))
+    per_key = seen.where(f"{key} IS NOT NULL").groupBy(key).agg(
+        F.expr("bool_or(wanted) AS wanted"), F.expr("bool_or(NOT wanted) AS covered")
+    )
+    total, hit = "count_if(wanted)", "count_if(wanted AND covered)"
     return per_key.agg(
-        total.alias("total_keys"),
-        hit.alias("covered_keys"),
-        (total - hit).alias("missing_keys"),
-        percent(hit, total).alias("coverage_pct"),
+        F.expr(f"{total} AS total_keys"),
+        F.expr(f"{hit} AS covered_keys"),
+        F.expr(f"{total} - {hit} AS missing_keys"),
+        F.expr(f"{percent(hit, total)} AS coverage_pct"),
     )
 
 
@@ -118,21 +109,34 @@ def key_coverage(history: DataFrame, key: str, covered: Sequence[DataFrame]) ->
 
 def generate_attributes(keys: DataFrame, key: str = "track_id", source: str = "synthetic") -> DataFrame:
     """Repeatable attributes for each key, computed from the key alone."""
-    names = [*ATTRIBUTE_RANGES, *ATTRIBUTE_CHOICES]
-    hashed = keys.select(key, *[digest(key, n).alias(f"_h_{n}") for n in names])
-    made = generated_attributes({n: f"_h_{n}" for n in names})
-    return hashed.select(key, *made, F.lit(source).alias("source"))
+    hashed = keys.selectExpr(
+        key, *[f"{digest(key, n)} AS _h_{n}" for n in [*ATTRIBUTE_RANGES, *ATTRIBUTE_CHOICES]]
+    )
+    drawn = hashed.selectExpr(
+        key,
+        *[f"{unit(f'_h_{n}', i)} AS _u{i}_{n}" for n in ATTRIBUTE_RANGES for i in range(3)],
+        *[f"{pick(f'_h_{n}', options)} AS `{n}`" for n, options in ATTRIBUTE_CHOICES.items()],
+    )
+    measures = {n: scale(beta22(*[f"_u{i}_{n}" for i in range(3)]), *limits) for n, limits in ATTRIBUTE_RANGES.items()}
+    return drawn.selectExpr(
+        key,
+        *[f"CAST({value} AS FLOAT) AS {n}" for n, value in measures.items()],
+        *[f"`{n}`" for n in ATTRIBUTE_CHOICES],
+        f"{literal(source)} AS source",
+    )
 
 
-def deterministic_time(df: DataFrame, key: Column | str) -> DataFrame:
+def deterministic_time(df: DataFrame, key: str) -> DataFrame:
     """Hour, day of week and weekend flag drawn from the key's digest, for rows that have no time of their own."""
-    hour = pick(digest(key, "hour_of_day"), range(24)).alias("hour_of_day")
-    day = pick(digest(key, "day_of_week"), range(1, 8)).alias("day_of_week")
-    timed = df.select("*", hour, day)
-    return timed.withColumn("is_weekend", is_weekend("day_of_week").cast("int"))
+    timed = df.selectExpr(
+        "*",
+        f"{pick(digest(key, 'hour_of_day'), range(24))} AS hour_of_day",
+        f"{pick(digest(key, 'day_of_week'), range(1, 8))} AS day_of_week",
+    )
+    return timed.withColumn("is_weekend", F.expr(f"CAST({is_weekend('day_of_week')} AS INT)"))
 
 
-def training_rows(catalog: DataFrame, key: Column | str) -> DataFrame:
+def training_rows(catalog: DataFrame, key: str) -> DataFrame:
     """Catalog rows fit for training: cleaned and with time columns."""
     return deterministic_time(range_clean(catalog), key)
 
@@ -159,25 +163,23 @@ def merge_sources(
     stacked = []
     for rank, frame in enumerate(sources.values()):
         have = set(frame.columns)
-        values = [
-            (F.col(a) if a in have else F.lit(None)).cast(kind).alias(a) for a, kind in attributes.items()
-        ]
-        order = F.col(latest_by) if latest_by and latest_by in have else F.lit(None).cast("timestamp")
-        stacked.append(frame.select(F.col(key), F.lit(rank).alias("_rank"), order.alias("_order"), *values))
-    rows = reduce(DataFrame.unionByName, stacked).where(F.col(key).isNotNull())
-    row = F.struct(*attributes)
+        values = [f"CAST({f'`{a}`' if a in have else 'NULL'} AS {kind}) AS `{a}`" for a, kind in attributes.items()]
+        order = latest_by if latest_by and latest_by in have else "CAST(NULL AS TIMESTAMP)"
+        stacked.append(frame.selectExpr(key, f"{rank} AS _rank", f"{order} AS _order", *values))
+    rows = reduce(DataFrame.unionByName, stacked).where(f"{key} IS NOT NULL")
+
+    row = f"struct({', '.join(f'`{a}`' for a in attributes)})"
+    places = range(len(sources))
     best = [
-        F.max_by(F.when(F.col("_rank") == i, row), F.when(F.col("_rank") == i, F.struct("_order", row))).alias(f"_s{i}")
-        for i in range(len(sources))
+        F.expr(f"max_by({row}, struct(_order, {row})) FILTER (WHERE _rank = {i}) AS _s{i}") for i in places
     ]
-    folded = rows.groupBy(F.struct(key).alias("_key")).agg(*best)
-    merged = [F.coalesce(*[F.col(f"_s{i}.{a}") for i in range(len(sources))]).alias(a) for a in attributes]
-    origin = F.coalesce(
-        *[F.when(F.col(f"_s{i}.{probe}").isNotNull(), F.lit(n)) for i, n in enumerate(sources)], F.lit(unknown)
-    )
-    # Grouping by struct(key) hides the partitioning from the planner on purpose: the join below then
-    # shuffles this side itself, and only a join between two plain shuffles can have a hot key split by AQE.
-    return folded.select(F.col(f"_key.{key}").alias(key), *merged, origin.alias(label))
+    # Grouping by struct(key) hides the partitioning from the planner on purpose: the join to the events
+    # then shuffles this side itself, and only a join of two plain shuffles can have a hot key split by AQE.
+    folded = rows.groupBy(F.expr(f"struct({key}) AS _key")).agg(*best)
+
+    merged = [f"coalesce({', '.join(f'_s{i}.`{a}`' for i in places)}) AS `{a}`" for a in attributes]
+    origin = " ".join(f"WHEN _s{i}.`{probe}` IS NOT NULL THEN {literal(n)}" for i, n in enumerate(sources))
+    return folded.selectExpr(f"_key.{key} AS {key}", *merged, f"CASE {origin} ELSE {literal(unknown)} END AS {label}")
 
 
 def attach_attributes(
@@ -193,26 +195,26 @@ def attach_attributes(
     """Every event once, with merged attributes and their provenance. Absent sources leave typed NULLs."""
     present = {name: frame for name, frame in sources.items() if frame is not None}
     if not present:
-        blanks = [F.lit(None).cast(kind).alias(a) for a, kind in attributes.items()]
-        return events.select("*", *blanks, F.lit(unknown).alias(label))
+        blanks = [f"CAST(NULL AS {kind}) AS `{a}`" for a, kind in attributes.items()]
+        return events.selectExpr("*", *blanks, f"{literal(unknown)} AS {label}")
     merged = merge_sources(present, key, attributes, probe, latest_by, label, unknown)
     joined = events.join(merged, key, "left")
-    return joined.withColumn(label, F.coalesce(F.col(label), F.lit(unknown)))
+    return joined.withColumn(label, F.expr(f"coalesce({label}, {literal(unknown)})"))
 
 
 def coverage_stats(df: DataFrame, source: str = "feature_source", target: str = "valence") -> DataFrame:
-    """Per source: rows, share of all rows, rows with the target present and their share of all rows."""
+    """Per source: rows, share of all rows, rows with the target present and their share of all rows.
+
+    The total is a scalar subquery over the per-source counts, which reuses their shuffle.
+    """
     per_source = df.groupBy(source).agg(
         F.count("*").alias("record_count"), F.count(target).alias("target_count")
     )
-    total = per_source.select("record_count").agg(F.sum("record_count")).scalar()
-    return per_source.select(
+    total = per_source.agg(F.sum("record_count")).scalar()
+    return per_source.withColumn("_total", total).selectExpr(
         source,
         "record_count",
-        percent("record_count", total).alias("percentage"),
+        f"{percent('record_count', '_total')} AS percentage",
         "target_count",
-        percent("target_count", total).alias("target_percentage"),
+        f"{percent('target_count', '_total')} AS target_percentage",
     )
-
-
-assert set(ATTRIBUTES) == {*ATTRIBUTE_RANGES, *ATTRIBUTE_CHOICES}

@@ -13,13 +13,13 @@ from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationE
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vocabulary as words
 from ..functions.buckets import ladder, lookup, quadrant
 from ..functions.hashing import digest, unit
-from ..functions.numeric import min_max_scale, stable_round
+from ..functions.numeric import double, literal, min_max_scale, stable_round
 from ..schemas import schema
 from .metrics import (
     baseline_classification,
@@ -42,9 +42,9 @@ def prepare_stages(features: Sequence[str], output: str = SCALED) -> list[Estima
 
 def _forest(kind: type, target: str) -> Estimator:
     # Size and depth of the forests.
-    return kind(
-        featuresCol=SCALED, labelCol=target, numTrees=30, maxDepth=8, minInstancesPerNode=10, seed=SEED
-    )
+    forest = kind(featuresCol=SCALED, labelCol=target, numTrees=30, maxDepth=8, minInstancesPerNode=10, seed=SEED)
+    # More tree nodes per pass over the rows: fewer passes.
+    return forest.setMaxMemoryInMB(1024)
 
 
 @dataclass(frozen=True)
@@ -107,23 +107,23 @@ class ModelRun:
 
 def with_mood_label(df: DataFrame) -> DataFrame:
     """Integer class from valence and energy; both stay out of the classifier's features."""
-    return df.withColumn("mood_label", quadrant("valence", "energy", words.MOOD_CODE))
+    return df.withColumn("mood_label", F.expr(quadrant("valence", "energy", words.MOOD_CODE)))
 
 
-def model_frame(df: DataFrame, spec: ModelSpec, extra: Sequence[Column | str] = ()) -> DataFrame:
+def model_frame(df: DataFrame, spec: ModelSpec, extra: Sequence[str] = ()) -> DataFrame:
     """Only the columns the model needs, without rows that lack one."""
     if spec.classifier and spec.target not in df.columns:
         df = with_mood_label(df)
     if "is_weekend_int" in spec.features and "is_weekend_int" not in df.columns:
-        weekend = F.coalesce(F.col("is_weekend").cast("int"), F.lit(0)) if "is_weekend" in df.columns else F.lit(0)
-        df = df.withColumn("is_weekend_int", weekend)
+        weekend = "coalesce(CAST(is_weekend AS INT), 0)" if "is_weekend" in df.columns else "0"
+        df = df.withColumn("is_weekend_int", F.expr(weekend))
     needed = list(dict.fromkeys([*spec.features, spec.target, *[c for c in spec.output if c != spec.predicted_as]]))
-    return df.select(*needed, *extra).na.drop(subset=[*spec.features, spec.target])
+    return df.selectExpr(*needed, *extra).na.drop(subset=[*spec.features, spec.target])
 
 
-def fold_of(key: Column | str, folds: int = FOLDS) -> Column:
+def fold_of(key: str, folds: int = FOLDS) -> str:
     """Fold number from the key's digest: the same rows are together on any partitioning."""
-    return F.floor(unit(digest(key, "fold")) * folds).cast("int")
+    return f"CAST(floor({unit(digest(key, 'fold'))} * {folds}) AS INT)"
 
 
 def evaluator(spec: ModelSpec):
@@ -135,10 +135,15 @@ def evaluator(spec: ModelSpec):
 
 
 def cross_validate(
-    spec: ModelSpec, train: DataFrame, key: Column | str, folds: int = FOLDS
+    spec: ModelSpec, train: DataFrame, key: str, folds: int = FOLDS, partitions: int | None = None
 ) -> tuple[float, PipelineModel]:
-    """Mean metric over the folds, and the model fitted on all training rows."""
-    rows = model_frame(train, spec, [fold_of(key, folds).alias("_fold")])
+    """Mean metric over the folds, and the model fitted on all training rows.
+
+    ``partitions`` spreads the rows anew; use it when the input has fewer splits than the cluster has cores.
+    """
+    rows = model_frame(train, spec, [f"{fold_of(key, folds)} AS _fold"])
+    if partitions:
+        rows = rows.repartition(partitions)
     pipeline = Pipeline(stages=[*prepare_stages(spec.features), spec.estimator(spec.target)])
     search = CrossValidator(
         estimator=pipeline,
@@ -147,17 +152,20 @@ def cross_validate(
         numFolds=folds,
         seed=SEED,
         foldCol="_fold",
+        parallelism=folds,
     )
     rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fitted = search.fit(rows)
     finally:
         rows.unpersist()
-    return fitted.avgMetrics[0], fitted.bestModel
+    return float(fitted.avgMetrics[0]), fitted.bestModel
 
 
-def train_and_score(spec: ModelSpec, train: DataFrame, test: DataFrame, key: Column | str) -> ModelRun:
-    metric, model = cross_validate(spec, train, key)
+def train_and_score(
+    spec: ModelSpec, train: DataFrame, test: DataFrame, key: str, partitions: int | None = None
+) -> ModelRun:
+    metric, model = cross_validate(spec, train, key, partitions=partitions)
     frame = model_frame(test, spec)
     return ModelRun(spec, model, model.transform(frame), metric, model_frame(train, spec), frame)
 
@@ -175,21 +183,25 @@ def run_metrics(run: ModelRun) -> DataFrame:
         cv_name, base_names = "cv_rmse", ("rmse", "r2")
 
     def unfold(df: DataFrame, names: Iterable[str], prefix: str) -> DataFrame:
-        cells = [F.struct(F.lit(f"{prefix}{n}").alias("metric"), F.col(n).cast("double").alias("value")) for n in names]
-        return df.select(F.inline(F.array(*cells)))
+        cells = [f"named_struct('metric', '{prefix}{n}', 'value', {double(n)})" for n in names]
+        return df.selectExpr(f"inline(array({', '.join(cells)}))")
+
+    def size(df: DataFrame, name: str) -> DataFrame:
+        return unfold(df.agg(F.count("*").alias(name)), [name], "")
 
-    size = F.count("*").cast("double")
     parts = [
         unfold(test, test.columns, "test_"),
         run.scored.sparkSession.createDataFrame([(cv_name, float(run.cv_metric))], "metric string, value double"),
         unfold(base, base_names, "baseline_"),
-        run.train.agg(size.alias("value")).select(F.lit("train_size").alias("metric"), "value"),
-        run.test.agg(size.alias("value")).select(F.lit("test_size").alias("metric"), "value"),
+        size(run.train, "train_size"),
+        size(run.test, "test_size"),
     ]
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
-    return rows.select(F.lit(spec.name).alias("model_name"), F.lit(spec.kind).alias("model_type"), "metric", "value")
+    return rows.selectExpr(
+        f"{literal(spec.name)} AS model_name", f"{literal(spec.kind)} AS model_type", "metric", "value"
+    )
 
 
 def model_metrics(runs: Sequence[ModelRun]) -> DataFrame:
@@ -237,10 +249,10 @@ MAX_ITER = 20
 
 def cluster_vectors(df: DataFrame, measures: Sequence[str] = CLUSTER_MEASURES) -> DataFrame:
     """The measures of complete rows, and their scaled vector."""
-    complete = df.select(*[F.col(m).cast("double").alias(m) for m in measures]).na.drop()
+    complete = df.selectExpr(*[f"{double(m)} AS {m}" for m in measures]).na.drop()
     inputs = [f"{m}_normalized" if m in CLUSTER_SCALES else m for m in measures]
-    scaled = complete.select(
-        "*", *[min_max_scale(m, *CLUSTER_SCALES[m]).alias(f"{m}_normalized") for m in measures if m in CLUSTER_SCALES]
+    scaled = complete.selectExpr(
+        "*", *[f"{min_max_scale(m, *CLUSTER_SCALES[m])} AS {m}_normalized" for m in measures if m in CLUSTER_SCALES]
     )
     stages = Pipeline(stages=prepare_stages(inputs))
     return stages.fit(scaled).transform(scaled).select(*measures, SCALED)
@@ -284,14 +296,14 @@ def cluster_stability(vectors: DataFrame, k: int, runs: int = 3) -> DataFrame:
         (SEED + i, float(silhouette(fit_kmeans(vectors, k, SEED + i).transform(vectors)))) for i in range(runs)
     ]
     table = vectors.sparkSession.createDataFrame(scores, "seed int, silhouette double")
-    spread = F.stddev_pop("silhouette")
-    verdict = ladder(spread, list(zip((0.05, 0.10), words.STABILITY)), words.STABILITY[-1])
-    return table.agg(
-        F.lit(k).alias("k"),
-        F.avg("silhouette").alias("mean_silhouette"),
-        spread.alias("std_silhouette"),
-        (spread < 0.10).alias("is_stable"),
-        verdict.alias("stability"),
+    spread = table.agg(F.avg("silhouette").alias("mean_silhouette"), F.stddev_pop("silhouette").alias("std_silhouette"))
+    verdict = ladder("std_silhouette", list(zip((0.05, 0.10), words.STABILITY)), words.STABILITY[-1])
+    return spread.selectExpr(
+        f"{k} AS k",
+        "mean_silhouette",
+        "std_silhouette",
+        "std_silhouette < 0.10 AS is_stable",
+        f"{verdict} AS stability",
     )
 
 
@@ -301,20 +313,20 @@ def cluster_profiles(vectors: DataFrame, k: int, measures: Sequence[str] = CLUST
     spreads = {"valence": "valence_variability", "energy": "energy_variability"}
     exact = grouped_profile(
         clustered, ["cluster"], [], count_as="member_count",
-        extra=[F.avg(m).alias(f"avg_{m}") for m in measures]
-        + [F.stddev_samp(m).alias(name) for m, name in spreads.items()],
+        extra=[f"avg({m}) AS avg_{m}" for m in measures]
+        + [f"stddev_samp({m}) AS {name}" for m, name in spreads.items()],
     )
     # Numbering k rows, one per cluster.
     order = Window.orderBy("avg_valence", "avg_energy", "cluster")
-    named = exact.withColumn("mood_state_name", quadrant("avg_valence", "avg_energy", words.CLUSTER_NAME))
+    named = exact.withColumn("mood_state_name", F.expr(quadrant("avg_valence", "avg_energy", words.CLUSTER_NAME)))
     numbered = named.withColumn("cluster", F.row_number().over(order) - 1)
     rounded = [f"avg_{m}" for m in measures] + list(spreads.values())
-    return numbered.select(
+    return numbered.selectExpr(
         "cluster",
         "member_count",
-        *[stable_round(c, 3).alias(c) for c in rounded],
+        *[f"{stable_round(c, 3)} AS {c}" for c in rounded],
         "mood_state_name",
-        lookup("mood_state_name", words.CLUSTER_TEXT, words.CLUSTER_TEXT_DEFAULT).alias("cluster_description"),
+        f"{lookup('mood_state_name', words.CLUSTER_TEXT, words.CLUSTER_TEXT_DEFAULT)} AS cluster_description",
     ).orderBy("cluster")
 
 

@@ -7,50 +7,39 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def _ratio(part: Column, whole: Column) -> Column:
-    """0 where the denominator is 0."""
-    return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
-
-
-def regression_metrics(df: DataFrame, label: str, prediction: Column | str = "prediction") -> DataFrame:
-    """RMSE, MAE and R² in one pass; R² is NULL for a constant label."""
-    actual = F.col(label).cast("double")
-    guess = (F.col(prediction) if isinstance(prediction, str) else prediction).cast("double")
-    error = actual - guess
-    mse = F.avg(error * error)
-    return df.agg(
-        F.sqrt(mse).alias("rmse"),
-        F.avg(F.abs(error)).alias("mae"),
-        (F.lit(1.0) - F.try_divide(mse, F.var_pop(actual))).alias("r2"),
+from ..functions.buckets import first_match
+from ..functions.numeric import double, ratio
+
+
+def regression_metrics(df: DataFrame, label: str, prediction: str | Column = "prediction") -> DataFrame:
+    """RMSE, MAE and R² in one pass; R² is NULL for a constant label. A Column prediction may be a scalar subquery."""
+    guess = F.expr(prediction) if isinstance(prediction, str) else prediction
+    pairs = df.select(F.expr(double(label)).alias("actual"), guess.cast("double").alias("guess"))
+    errors = pairs.selectExpr("actual", "actual - guess AS error")
+    return errors.agg(
+        F.expr("sqrt(avg(error * error)) AS rmse"),
+        F.expr("avg(abs(error)) AS mae"),
+        F.expr("1D - try_divide(avg(error * error), var_pop(actual)) AS r2"),
     )
 
 
 def baseline_regression(test: DataFrame, label: str, train: DataFrame | None = None) -> DataFrame:
     """Scores of always predicting the mean label: of the test rows, or of the training rows if given."""
-    source = test if train is None else train
-    mean = source.agg(F.avg(F.col(label).cast("double"))).scalar()
+    mean = (test if train is None else train).agg(F.expr(f"avg({double(label)})")).scalar()
     return regression_metrics(test, label, mean).withColumn("method", F.lit("mean_predictor"))
 
 
 def confusion_matrix(df: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
     """Rows per (actual, predicted) class."""
-    pairs = df.groupBy(F.col(label).cast("int").alias("actual"), F.col(prediction).cast("int").alias("predicted"))
-    return pairs.agg(F.count("*").alias("count")).orderBy("actual", "predicted")
+    classes = df.selectExpr(f"CAST({label} AS INT) AS actual", f"CAST({prediction} AS INT) AS predicted")
+    return classes.groupBy("actual", "predicted").agg(F.count("*").alias("count")).orderBy("actual", "predicted")
 
 
 def _class_totals(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """Per class: rows that are it, rows predicted as it, and rows that are both."""
-    cells = confusion_matrix(df, label, prediction)
-    hit = F.when(F.col("actual") == F.col("predicted"), F.col("count")).otherwise(F.lit(0).cast("long"))
-    none = F.lit(0).cast("long")
-    as_actual = F.struct(
-        F.col("actual").alias("class"), F.col("count").alias("support"), none.alias("guessed"), hit.alias("hits")
-    )
-    as_predicted = F.struct(
-        F.col("predicted").alias("class"), none.alias("support"), F.col("count").alias("guessed"), none.alias("hits")
-    )
-    sides = cells.select(F.inline(F.array(as_actual, as_predicted)))
+    as_actual = "named_struct('class', actual, 'support', count, 'guessed', 0L, 'hits', if(actual = predicted, count, 0L))"
+    as_predicted = "named_struct('class', predicted, 'support', 0L, 'guessed', count, 'hits', 0L)"
+    sides = confusion_matrix(df, label, prediction).selectExpr(f"inline(array({as_actual}, {as_predicted}))")
     return sides.groupBy("class").agg(*[F.sum(c).alias(c) for c in ("support", "guessed", "hits")])
 
 
@@ -58,39 +47,40 @@ def per_class_metrics(
     df: DataFrame, label: str, prediction: str = "prediction", names: Mapping[int, str] | None = None
 ) -> DataFrame:
     """Precision, recall, F1 and support per class. Classes only ever predicted are listed too, with support 0."""
-    totals = _class_totals(df, label, prediction)
-    precision, recall = _ratio(F.col("hits"), F.col("guessed")), _ratio(F.col("hits"), F.col("support"))
-    scored = totals.select("class", precision.alias("precision"), recall.alias("recall"), "support")
-    f1 = _ratio(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall"))
-    fallback = F.concat(F.lit("Class_"), F.col("class").cast("string"))
-    pairs = [F.lit(x) for item in (names or {}).items() for x in item]
-    name = F.coalesce(F.create_map(*pairs)[F.col("class")], fallback) if pairs else fallback
-    return scored.select("class", name.alias("class_name"), "precision", "recall", f1.alias("f1"), "support").orderBy(
-        "class"
+    scored = _class_totals(df, label, prediction).selectExpr(
+        "class", f"{ratio('hits', 'guessed')} AS precision", f"{ratio('hits', 'support')} AS recall", "support"
     )
+    known = first_match([(f"class = {code}", name) for code, name in (names or {}).items()], None) if names else "NULL"
+    return scored.selectExpr(
+        "class",
+        f"coalesce({known}, concat('Class_', class)) AS class_name",
+        "precision",
+        "recall",
+        f"{ratio('2 * precision * recall', 'precision + recall')} AS f1",
+        "support",
+    ).orderBy("class")
 
 
 def classification_metrics(df: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
     """Accuracy and support-weighted F1."""
-    totals = _class_totals(df, label, prediction)
-    f1 = _ratio(2 * F.col("hits"), F.col("guessed") + F.col("support"))
-    return totals.agg(
-        _ratio(F.sum("hits"), F.sum("support")).alias("accuracy"),
-        _ratio(F.sum(f1 * F.col("support")), F.sum("support")).alias("f1"),
+    f1 = ratio("2 * hits", "guessed + support")
+    return _class_totals(df, label, prediction).agg(
+        F.expr(f"{ratio('sum(hits)', 'sum(support)')} AS accuracy"),
+        F.expr(f"{ratio(f'sum({f1} * support)', 'sum(support)')} AS f1"),
     )
 
 
 def baseline_classification(test: DataFrame, label: str) -> DataFrame:
     """Scores of always predicting the most frequent class (the lowest of several equally frequent ones)."""
-    counts = test.groupBy(F.col(label).cast("int").alias("class")).agg(F.count("*").alias("n"))
+    counts = test.selectExpr(f"CAST({label} AS INT) AS class").groupBy("class").agg(F.count("*").alias("n"))
     most = counts.agg(
-        F.max("n").alias("top"),
-        F.sum("n").alias("total"),
-        F.min_by("class", F.struct(-F.col("n"), F.col("class"))).alias("majority_class"),
+        F.expr(f"{ratio('max(n)', 'sum(n)')} AS accuracy"),
+        F.expr("min_by(class, struct(-n, class)) AS majority_class"),
     )
-    accuracy = _ratio(F.col("top"), F.col("total"))
     # Only the majority class scores: precision = accuracy, recall = 1, weighted by its share.
-    f1 = accuracy * 2 * accuracy / (accuracy + 1)
-    return most.select(
-        accuracy.alias("accuracy"), f1.alias("f1"), "majority_class", F.lit("majority_class").alias("method")
+    return most.selectExpr(
+        "accuracy",
+        "accuracy * 2 * accuracy / (accuracy + 1) AS f1",
+        "majority_class",
+        "'majority_class' AS method",
     )

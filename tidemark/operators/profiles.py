@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vocabulary as words
 from ..functions.buckets import ladder, position
-from ..functions.numeric import percent, stable_round
+from ..functions.numeric import double, literal, percent, ratio, stable_round
 from ..functions.timeparts import DAY_PARTS, TIME_KEYS
 
 DIGITS = 3
@@ -23,31 +23,27 @@ CORRELATION_MEASURES = (
 )
 
 
-def _as_double(measure: str) -> Column:
-    return F.col(measure).cast("double")
-
-
 def grouped_profile(
     df: DataFrame,
     keys: Sequence[str],
     means: Sequence[str],
     spreads: Mapping[str, str] | None = None,
     count_as: str = "play_count",
-    extra: Sequence[Column] = (),
+    extra: Sequence[str] = (),
     digits: Mapping[str, int] = DIGITS_BY_MEASURE,
 ) -> DataFrame:
     """Per group: row count, rounded means ``avg_<measure>``, and sample standard deviations under the given names."""
-    spreads = spreads or {}
 
-    def rounded(value: Column, measure: str) -> Column:
-        return stable_round(value, digits.get(measure, DIGITS))
+    def rounded(function: str, measure: str, name: str) -> str:
+        return f"{stable_round(f'{function}({double(measure)})', digits.get(measure, DIGITS))} AS {name}"
 
-    return df.groupBy(*keys).agg(
-        F.count("*").alias(count_as),
-        *[rounded(F.avg(_as_double(m)), m).alias(f"avg_{m}") for m in means],
-        *[rounded(F.stddev_samp(_as_double(m)), m).alias(name) for m, name in spreads.items()],
+    statistics = [
+        f"count(*) AS {count_as}",
+        *[rounded("avg", m, f"avg_{m}") for m in means],
+        *[rounded("stddev_samp", m, name) for m, name in (spreads or {}).items()],
         *extra,
-    )
+    ]
+    return df.groupBy(*keys).agg(*[F.expr(e) for e in statistics])
 
 
 def patterns_by_time(df: DataFrame, keys: Sequence[str] = TIME_KEYS) -> DataFrame:
@@ -56,8 +52,8 @@ def patterns_by_time(df: DataFrame, keys: Sequence[str] = TIME_KEYS) -> DataFram
 
 
 def daily_trends(df: DataFrame, ts: str = "played_at", weekend: str = "is_weekend") -> DataFrame:
-    dated = df.withColumn("date", F.col(ts).cast("date"))
-    weekend_rows = F.count_if(F.col(weekend)).alias("weekend_plays")
+    dated = df.withColumn("date", F.to_date(ts))
+    weekend_rows = f"count_if({weekend}) AS weekend_plays"
     means = ("valence", "energy", "tempo")
     return grouped_profile(dated, ["date"], means, count_as="total_plays", extra=[weekend_rows]).orderBy("date")
 
@@ -66,7 +62,7 @@ def hourly_profile(df: DataFrame, hour: str = "hour_of_day") -> DataFrame:
     means = ("valence", "energy", "danceability", "acousticness")
     spreads = {"valence": "valence_stddev", "energy": "energy_stddev"}
     # A NULL hour has no place in an hourly profile.
-    timed = df.where(F.col(hour).isNotNull())
+    timed = df.where(f"{hour} IS NOT NULL")
     return grouped_profile(timed, [hour], means, spreads, count_as="sample_size").orderBy(hour)
 
 
@@ -74,10 +70,9 @@ def period_compare(df: DataFrame, flag: str = "is_weekend", labels: tuple[str, s
     """Weekend against weekday. The ``*_variance`` columns hold standard deviations; the name is historical."""
     means = ("valence", "energy", "danceability", "tempo", "acousticness")
     spreads = {"valence": "valence_variance", "energy": "energy_variance"}
-    period = F.when(F.col(flag), F.lit(labels[0])).otherwise(F.lit(labels[1]))
-    named = df.withColumn("period", period)
+    named = df.withColumn("period", F.expr(f"if({flag}, {literal(labels[0])}, {literal(labels[1])})"))
     profile = grouped_profile(named, ["period"], means, spreads, count_as="total_plays")
-    return profile.orderBy(position("period", labels))
+    return profile.orderBy(F.expr(position("period", labels)))
 
 
 def part_of_day_profile(df: DataFrame, part: str = "part_of_day") -> DataFrame:
@@ -85,27 +80,32 @@ def part_of_day_profile(df: DataFrame, part: str = "part_of_day") -> DataFrame:
     means = ("valence", "energy", "danceability", "acousticness", "instrumentalness", "tempo")
     spreads = {"valence": "valence_consistency", "energy": "energy_consistency"}
     profile = grouped_profile(df, [part], means, spreads, count_as="total_plays")
-    return profile.orderBy(position(part, [name for _, _, name in DAY_PARTS]))
+    return profile.orderBy(F.expr(position(part, [name for _, _, name in DAY_PARTS])))
+
+
+def _unfold(df: DataFrame, rows: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """One aggregate over the whole table whose structs become rows."""
+    table = df.agg(F.expr(f"array({', '.join(rows)}) AS _rows"), *[F.expr(k) for k in keep])
+    return table.selectExpr(*[k.split(" AS ")[-1] for k in keep], "inline(_rows)")
 
 
 def feature_profile(df: DataFrame, measures: Sequence[str] = DISTRIBUTION_MEASURES) -> DataFrame:
     """Mean, spread, min and max of every measure from one aggregate; a statistic that is NULL reads 0."""
-    statistics = {"mean": F.avg, "std_dev": F.stddev_samp, "min": F.min, "max": F.max}
+    functions = {"mean": "avg", "std_dev": "stddev_samp", "min": "min", "max": "max"}
 
-    def value(function, measure: str, name: str) -> Column:
-        return stable_round(F.coalesce(function(_as_double(measure)), F.lit(0.0)), DIGITS).alias(name)
+    def row(measure: str) -> str:
+        values = [
+            f"'{name}', {stable_round(f'coalesce({f}({double(measure)}), 0D)', DIGITS)}" for name, f in functions.items()
+        ]
+        return f"named_struct('feature_name', '{measure}', {', '.join(values)})"
 
-    rows = [
-        F.struct(F.lit(m).alias("feature_name"), *[value(f, m, n) for n, f in statistics.items()]) for m in measures
-    ]
-    return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+    return _unfold(df, [row(m) for m in measures])
 
 
-def correlation(x: str, y: str) -> Column:
+def correlation(x: str, y: str) -> str:
     """Pearson correlation over rows that have both values; 0 where it is undefined (no rows, constant column)."""
-    x, y = _as_double(x), _as_double(y)
-    scale = F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x))
-    return F.coalesce(F.try_divide(F.regr_sxy(y, x), scale), F.lit(0.0))
+    pair = f"({double(y)}, {double(x)})"
+    return ratio(f"regr_sxy{pair}", f"(sqrt(regr_sxx{pair}) * sqrt(regr_syy{pair}))")
 
 
 def pairwise_corr(
@@ -115,17 +115,15 @@ def pairwise_corr(
     labels: tuple[str, str, str] = words.STRENGTH,
 ) -> DataFrame:
     """Correlation of every pair (upper triangle) from one aggregate, with its strength."""
-    pairs = list(combinations(measures, 2))
     rows = [
-        F.struct(F.lit(a).alias("feature_1"), F.lit(b).alias("feature_2"), correlation(a, b).alias("r"))
-        for a, b in pairs
+        f"named_struct('feature_1', '{a}', 'feature_2', '{b}', 'r', {correlation(a, b)})"
+        for a, b in combinations(measures, 2)
     ]
-    table = df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
-    strength = ladder(F.abs("r"), list(zip(cuts, labels)), labels[-1], op=">")
-    rounded = table.select(
-        "feature_1", "feature_2", stable_round("r", DIGITS).alias("correlation"), strength.alias("strength")
+    strength = ladder("abs(r)", list(zip(cuts, labels)), labels[-1], op=">")
+    table = _unfold(df, rows).selectExpr(
+        "feature_1", "feature_2", f"{stable_round('r', DIGITS)} AS correlation", f"{strength} AS strength"
     )
-    return rounded.orderBy(F.desc("correlation"), "feature_1", "feature_2")
+    return table.orderBy(F.desc("correlation"), "feature_1", "feature_2")
 
 
 def category_counts(df: DataFrame, *keys: str, count_as: str = "record_count") -> DataFrame:
@@ -140,7 +138,9 @@ def share_of_total(df: DataFrame, *keys: str, count_as: str = "record_count") ->
     """
     counts = category_counts(df, *keys, count_as=count_as)
     total = counts.agg(F.sum(count_as)).scalar()
-    shared = counts.select(*keys, count_as, percent(count_as, total).alias("percentage"))
+    shared = counts.withColumn("_total", total).selectExpr(
+        *keys, count_as, f"{percent(count_as, '_total')} AS percentage"
+    )
     return shared.orderBy(F.desc(count_as), *keys)
 
 
@@ -155,11 +155,9 @@ def distinct_count(df: DataFrame, *keys: str, approximate: bool = False, relativ
 def null_profile(df: DataFrame, top: int | None = 5) -> DataFrame:
     """Columns with NULLs, most first, from one aggregate."""
     rows = [
-        F.struct(F.lit(c).alias("column_name"), F.count_if(F.col(c).isNull()).alias("null_count")) for c in df.columns
+        f"named_struct('column_name', {literal(c)}, 'null_count', count_if(`{c}` IS NULL))" for c in df.columns
     ]
-    table = df.agg(F.count("*").alias("row_count"), F.array(*rows).alias("rows")).select("row_count", F.inline("rows"))
-    found = table.where(F.col("null_count") > 0).select(
-        "column_name", "null_count", percent("null_count", "row_count").alias("null_percentage")
-    )
-    ordered = found.orderBy(F.desc("null_count"), "column_name")
+    found = _unfold(df, rows, keep=["count(*) AS row_count"]).where("null_count > 0")
+    shares = found.selectExpr("column_name", "null_count", f"{percent('null_count', 'row_count')} AS null_percentage")
+    ordered = shares.orderBy(F.desc("null_count"), "column_name")
     return ordered if top is None else ordered.limit(top)

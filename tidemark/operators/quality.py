@@ -6,16 +6,16 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.numeric import percent
+from ..functions.numeric import double, literal, percent
 from ..schemas import schema
 
 
 @dataclass(frozen=True)
 class Check:
-    """``observed`` is an aggregate, or a plain value known without reading rows; it passes by ``verdict``."""
+    """What is looked at, and the threshold the observation is held against (``kind``: at_most, at_least or near)."""
 
     name: str
     column: str | None
@@ -50,12 +50,6 @@ def mean_near(column: str, expected: float, tolerance: float = 0.3) -> Check:
     return Check("distribution", column, tolerance, "near", low=expected)
 
 
-def _is_missing(df: DataFrame, column: str) -> Column:
-    value = F.col(column)
-    numeric = dict(df.dtypes)[column] in ("float", "double")
-    return (value.isNull() | F.isnan(value)) if numeric else value.isNull()
-
-
 def missing_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return sorted(set(columns) - set(df.columns))
 
@@ -64,42 +58,34 @@ def extra_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return sorted(set(df.columns) - set(columns))
 
 
-def _observed(df: DataFrame, check: Check) -> Column:
+def _observed(df: DataFrame, check: Check) -> str:
+    """The aggregate a check looks at."""
     if check.name == "nulls":
-        return percent(F.count_if(_is_missing(df, check.column)), F.count("*"), digits=4)
+        fractional = dict(df.dtypes)[check.column] in ("float", "double")
+        absent = f"`{check.column}` IS NULL" + (f" OR isnan(`{check.column}`)" if fractional else "")
+        return percent(f"count_if({absent})", "count(*)", digits=4)
     if check.name == "range":
-        value = F.col(check.column)
-        return F.count_if((value < check.low) | (value > check.high))
+        return f"count_if(`{check.column}` < {check.low} OR `{check.column}` > {check.high})"
     if check.name == "row_count":
-        return F.count("*")
+        return "count(*)"
     if check.name == "distribution":
-        return F.coalesce(F.avg(F.col(check.column).cast("double")), F.lit(0.0))
-    return F.lit(float(len(missing_columns(df, check.keys))))
-
-
-def _passed(check: Check, observed: Column) -> Column:
-    if check.kind == "at_most":
-        return observed <= check.threshold
-    if check.kind == "at_least":
-        return observed >= check.threshold
-    return F.abs(observed - F.lit(check.low)) <= check.threshold
-
-
-def _cell(layer: str, table: str, check: Check, observed: Column) -> Column:
-    observed = observed.cast("double")
-    return F.struct(
-        F.lit(layer).alias("layer"),
-        F.lit(table).alias("table"),
-        F.lit(check.name).alias("check"),
-        F.lit(check.column).cast("string").alias("column"),
-        observed.alias("observed"),
-        F.lit(check.threshold).alias("threshold"),
-        F.coalesce(_passed(check, observed), F.lit(False)).alias("passed"),
-    )
+        return f"coalesce(avg({double(f'`{check.column}`')}), 0D)"
+    if check.name == "duplicates":
+        return "coalesce(sum(n - 1), 0)"
+    return str(len(missing_columns(df, check.keys)))
 
 
-def _failed(layer: str, table: str, check: Check) -> Column:
-    return _cell(layer, table, check, F.lit(None).cast("double"))
+_VERDICTS = {"at_most": "{o} <= {t}", "at_least": "{o} >= {t}", "near": "abs({o} - {e}) <= {t}"}
+
+
+def _row(layer: str, table: str, check: Check, observed: str) -> str:
+    observed, limit = double(observed), literal(float(check.threshold))
+    verdict = _VERDICTS[check.kind].format(o=observed, t=limit, e=literal(float(check.low)))
+    return (
+        f"named_struct('layer', {literal(layer)}, 'table', {literal(table)}, 'check', {literal(check.name)}, "
+        f"'column', CAST({literal(check.column)} AS STRING), 'observed', {observed}, 'threshold', {limit}, "
+        f"'passed', coalesce({verdict}, false))"
+    )
 
 
 def _runnable(df: DataFrame, check: Check) -> bool:
@@ -109,25 +95,18 @@ def _runnable(df: DataFrame, check: Check) -> bool:
 
 def run_checks(df: DataFrame, checks: Sequence[Check], table: str, layer: str = "table") -> DataFrame:
     """One row per check. A check on a column that does not exist fails with a NULL observation."""
-    shared = [c for c in checks if c.name != "duplicates"]
-    cells = [
-        _cell(layer, table, c, _observed(df, c)) if _runnable(df, c) else _failed(layer, table, c) for c in shared
-    ]
+    by_key = [c for c in checks if c.name == "duplicates" and _runnable(df, c)]
+    shared = [c for c in checks if c not in by_key]
     parts = []
-    if cells:
+    if shared:
+        rows = [_row(layer, table, c, _observed(df, c) if _runnable(df, c) else "NULL") for c in shared]
         # count(*) keeps this an aggregate even if every check is already decided.
-        table_row = df.agg(F.count("*").alias("_n"), F.array(*cells).alias("rows"))
-        parts.append(table_row.select(F.inline("rows")))
-    for check in checks:
-        if check.name != "duplicates":
-            continue
-        if _runnable(df, check):
-            per_key = df.groupBy(*check.keys).agg(F.count("*").alias("n"))
-            extra = F.coalesce(F.sum(F.col("n") - 1), F.lit(0))
-            row = per_key.agg(_cell(layer, table, check, extra).alias("row"))
-        else:
-            row = df.limit(0).agg(F.count("*").alias("_n")).select(_failed(layer, table, check).alias("row"))
-        parts.append(row.select("row.*"))
+        whole = df.agg(F.expr(f"array({', '.join(rows)}) AS _rows"), F.expr("count(*) AS _n"))
+        parts.append(whole.selectExpr("inline(_rows)"))
+    for check in by_key:
+        per_key = df.groupBy(*check.keys).agg(F.expr("count(*) AS n"))
+        row = _row(layer, table, check, _observed(df, check))
+        parts.append(per_key.agg(F.expr(f"array({row}) AS _rows")).selectExpr("inline(_rows)"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -147,13 +126,13 @@ def run_suite(
 
 def report(results: DataFrame) -> DataFrame:
     """Totals per layer and overall (layer ``all``)."""
-    both = results.select(F.explode(F.array("layer", F.lit("all"))).alias("layer"), "passed")
-    passed = F.count_if("passed")
+    both = results.selectExpr("explode(array(layer, 'all')) AS layer", "passed")
+    passed = "count_if(passed)"
     return both.groupBy("layer").agg(
-        F.count("*").alias("total_checks"),
-        passed.alias("passed_checks"),
-        (F.count("*") - passed).alias("failed_checks"),
-        percent(passed, F.count("*")).alias("pass_rate"),
+        F.expr("count(*) AS total_checks"),
+        F.expr(f"{passed} AS passed_checks"),
+        F.expr(f"count(*) - {passed} AS failed_checks"),
+        F.expr(f"{percent(passed, 'count(*)')} AS pass_rate"),
     )
 
 

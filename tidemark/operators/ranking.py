@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vocabulary as words
-from ..functions.buckets import Quadrants, ladder, lookup, quadrant
-from ..functions.numeric import column, stable_round
+from ..functions.buckets import Quadrants, first_match, ladder, lookup, quadrant
+from ..functions.numeric import double, literal, stable_round
 
 # Rankings compare means at this many digits: finer digits are summation noise, not order.
 RANK_DIGITS = 6
@@ -48,9 +48,9 @@ def top_by_bucket(
     labels: Quadrants = words.MOOD,
 ) -> DataFrame:
     """Most played entities in each bucket of the first two measures."""
-    bucket = quadrant(measures[0], measures[1], labels).alias("mood_category")
+    bucket = f"{quadrant(measures[0], measures[1], labels)} AS mood_category"
     keys = [*entity, "mood_category", *measures]
-    plays = df.select(*entity, bucket, *measures).groupBy(*keys).agg(F.count("*").alias("play_count"))
+    plays = df.selectExpr(*entity, bucket, *measures).groupBy(*keys).agg(F.count("*").alias("play_count"))
     order = [F.desc("play_count"), *[F.asc(c) for c in [*entity, *measures]]]
     ranked = top_n_per_group(plays, "mood_category", order, n, rank_as="rank_in_category")
     return ranked.orderBy("mood_category", "rank_in_category")
@@ -66,21 +66,26 @@ def recommend_top(
     scenario: str = words.TARGET_SCENARIO,
 ) -> DataFrame:
     """Entities with high-valence plays, best mean first, with a reason taken from their other means."""
-    means = {m: f"avg_{m}" for m in ("valence", "energy", "danceability")}
-    played = df.where(F.col("valence") >= at_least).groupBy(*entity)
+    measures = ("valence", "energy", "danceability")
+    played = df.where(f"valence >= {at_least}").groupBy(*entity)
     profile = played.agg(
-        *[F.avg(F.col(m).cast("double")).alias(a) for m, a in means.items()], F.count("*").alias("play_count")
+        *[F.expr(f"avg({double(m)}) AS avg_{m}") for m in measures], F.expr("count(*) AS play_count")
     )
-    often = profile.where(F.col("play_count") >= min_plays)
-    best = top_k(often, [stable_round("avg_valence", RANK_DIGITS).desc(), *[F.asc(e) for e in entity]], k)
-    dance = ladder("avg_danceability", [(reason_cut, words.REASON_DANCE)], words.REASON_DEFAULT, op=">=")
-    reason = F.when(F.col("avg_energy") >= reason_cut, F.lit(words.REASON_ENERGY)).otherwise(dance)
-    return best.select(
+    often = profile.where(f"play_count >= {min_plays}")
+    best = top_k(often, [F.expr(stable_round("avg_valence", RANK_DIGITS)).desc(), *[F.asc(e) for e in entity]], k)
+    reason = first_match(
+        [
+            (f"avg_energy >= {reason_cut}", words.REASON_ENERGY),
+            (f"avg_danceability >= {reason_cut}", words.REASON_DANCE),
+        ],
+        words.REASON_DEFAULT,
+    )
+    return best.selectExpr(
         *entity,
-        *[stable_round(a, 3).alias(a) for a in means.values()],
+        *[f"{stable_round(f'avg_{m}', 3)} AS avg_{m}" for m in measures],
         "play_count",
-        reason.alias("recommendation_reason"),
-        F.lit(scenario).alias("target_scenario"),
+        f"{reason} AS recommendation_reason",
+        f"{literal(scenario)} AS target_scenario",
     )
 
 
@@ -93,16 +98,16 @@ def best_hours(
 ) -> DataFrame:
     """Hourly mean prediction, its state, and what that state is good for."""
     hourly = predictions.groupBy(hour).agg(
-        F.avg(F.col(predicted).cast("double")).alias("p"), F.avg(F.col(energy).cast("double")).alias("e")
+        F.expr(f"avg({double(predicted)}) AS p"), F.expr(f"avg({double(energy)}) AS e")
     )
-    state = hourly.withColumn("mood_state", quadrant("p", "e", labels))
-    return state.select(
+    state = hourly.selectExpr("*", f"{quadrant('p', 'e', labels)} AS mood_state")
+    return state.selectExpr(
         hour,
         "mood_state",
-        stable_round("p", 3).alias("predicted_valence"),
-        stable_round("e", 3).alias("avg_energy"),
-        lookup("mood_state", words.STATE_ACTIVITY, words.STATE_ACTIVITY_DEFAULT).alias("recommended_activity"),
-        lookup("mood_state", words.STATE_TIP, words.STATE_TIP_DEFAULT).alias("wellbeing_tip"),
+        f"{stable_round('p', 3)} AS predicted_valence",
+        f"{stable_round('e', 3)} AS avg_energy",
+        f"{lookup('mood_state', words.STATE_ACTIVITY, words.STATE_ACTIVITY_DEFAULT)} AS recommended_activity",
+        f"{lookup('mood_state', words.STATE_TIP, words.STATE_TIP_DEFAULT)} AS wellbeing_tip",
     ).orderBy(hour)
 
 
@@ -114,26 +119,26 @@ def intervention_hours(
 ) -> DataFrame:
     """Hours whose mean valence is low, with their low plays, priority and suggestion."""
     hourly = df.groupBy(hour).agg(
-        F.avg(F.col("valence").cast("double")).alias("v"),
-        F.avg(F.col("energy").cast("double")).alias("e"),
-        F.count_if(F.col("valence") < low_value).alias("low_mood_count"),
-        F.count("*").alias("total_plays"),
+        F.expr(f"avg({double('valence')}) AS v"),
+        F.expr(f"avg({double('energy')}) AS e"),
+        F.expr(f"count_if(valence < {low_value}) AS low_mood_count"),
+        F.expr("count(*) AS total_plays"),
     )
     priority = ladder("v", list(zip(cuts, words.PRIORITY)), words.PRIORITY[-1])
-    flagged = hourly.withColumn("intervention_needed", priority).where(
-        F.col("intervention_needed") != words.PRIORITY[-1]
+    flagged = hourly.selectExpr("*", f"{priority} AS intervention_needed").where(
+        f"intervention_needed <> {literal(words.PRIORITY[-1])}"
     )
     playlist = ladder("v", [(cuts[1], words.SUPPORT_PLAYLIST)], words.SUPPORT_PLAYLIST_DEFAULT)
     suggestion = lookup("intervention_needed", words.INTERVENTION_TEXT, words.INTERVENTION_TEXT_DEFAULT)
-    return flagged.select(
+    return flagged.selectExpr(
         hour,
-        stable_round("v", 3).alias("avg_valence"),
-        stable_round("e", 3).alias("avg_energy"),
+        f"{stable_round('v', 3)} AS avg_valence",
+        f"{stable_round('e', 3)} AS avg_energy",
         "low_mood_count",
         "total_plays",
         "intervention_needed",
-        suggestion.alias("suggested_intervention"),
-        playlist.alias("mood_support_playlist"),
+        f"{suggestion} AS suggested_intervention",
+        f"{playlist} AS mood_support_playlist",
     ).orderBy("avg_valence", hour)
 
 
@@ -187,34 +192,27 @@ def rule_playlists(
     Rules are evaluated as conditional aggregates per entity, so rows are neither read once per rule nor
     multiplied by the rules they match; only the small per-entity result is unfolded by rule.
     """
-    tests = [F.coalesce(F.expr(f"({r.where})"), F.lit(False)) for r in rules]
-    matched = df.where(F.array_contains(F.array(*tests), True)) if len(tests) > 1 else df.where(tests[0])
-    per_rule = []
-    for i, (rule, test) in enumerate(zip(rules, tests)):
-        value = F.when(test, F.col(rule.measure).cast("double"))
-        per_rule += [F.count_if(test).alias(f"n{i}"), F.avg(value).alias(f"m{i}")]
+    matched = df.where(" OR ".join(f"({r.where})" for r in rules))
+    per_rule = [
+        F.expr(text)
+        for i, r in enumerate(rules)
+        for text in (
+            f"count_if({r.where}) AS n{i}",
+            f"avg({double(r.measure)}) FILTER (WHERE {r.where}) AS m{i}",
+        )
+    ]
+    rows = [
+        f"named_struct('playlist_name', {literal(r.name)}, 'playlist_purpose', {literal(r.purpose)}, "
+        f"'play_count', n{i}, '_mean', m{i})"
+        for i, r in enumerate(rules)
+    ]
     folded = matched.groupBy(*entity).agg(*per_rule)
-    unfolded = folded.select(
-        *entity,
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(r.name).alias("playlist_name"),
-                        F.lit(r.purpose).alias("playlist_purpose"),
-                        F.col(f"n{i}").alias("play_count"),
-                        F.col(f"m{i}").alias("_mean"),
-                    )
-                    for i, r in enumerate(rules)
-                ]
-            )
-        ),
-    ).where(F.col("play_count") > 0)
-    order = [stable_round("_mean", RANK_DIGITS).desc(), *[F.asc(e) for e in entity]]
+    unfolded = folded.selectExpr(*entity, f"inline(array({', '.join(rows)}))").where("play_count > 0")
+    order = [F.expr(stable_round("_mean", RANK_DIGITS)).desc(), *[F.asc(e) for e in entity]]
     ranked = top_n_per_group(unfolded, "playlist_name", order, n)
     return ranked.select("playlist_name", "playlist_purpose", *entity, "play_count")
 
 
 def at_least_plays(df: DataFrame, keys: Sequence[str], minimum: int, count_as: str = "play_count") -> DataFrame:
     """Groups with enough rows (HAVING)."""
-    return df.groupBy(*keys).agg(F.count("*").alias(count_as)).where(column(count_as) >= minimum)
+    return df.groupBy(*keys).agg(F.count("*").alias(count_as)).where(f"{count_as} >= {minimum}")

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vocabulary as words
-from ..functions.buckets import Quadrants, lookup, quadrant
-from ..functions.numeric import stable_round
+from ..functions.buckets import Quadrants, first_match, lookup, quadrant
+from ..functions.numeric import double, stable_round
 
 
 def behavior_segment(
@@ -22,25 +22,24 @@ def behavior_segment(
     """Overall means and variability, the archetype they place the listener in, and advice."""
     means = ("valence", "energy", "danceability", "acousticness")
     spreads = {"valence": "mood_variability", "energy": "energy_variability"}
-    statistics = [F.avg(F.col(m).cast("double")).alias(f"overall_{m}") for m in means]
-    statistics += [F.stddev_samp(F.col(m).cast("double")).alias(name) for m, name in spreads.items()]
-    profile = df.groupBy(*by).agg(*statistics, F.count("*").alias("total_listens"))
-    advice = F.coalesce(
-        F.when(F.col("mood_variability") > variable_above, F.lit(words.WELLBEING_VARIABLE)),
-        F.when(F.col("overall_valence") < low_below, F.lit(words.WELLBEING_LOW)),
-        F.lit(words.WELLBEING_DEFAULT),
-    )
-    archetype = profile.withColumn(
-        "listening_archetype", quadrant("overall_valence", "overall_energy", labels)
+    statistics = [f"avg({double(m)}) AS overall_{m}" for m in means]
+    statistics += [f"stddev_samp({double(m)}) AS {name}" for m, name in spreads.items()]
+    profile = df.groupBy(*by).agg(*[F.expr(s) for s in [*statistics, "count(*) AS total_listens"]])
+    advice = first_match(
+        [
+            (f"mood_variability > {variable_above}", words.WELLBEING_VARIABLE),
+            (f"overall_valence < {low_below}", words.WELLBEING_LOW),
+        ],
+        words.WELLBEING_DEFAULT,
     )
+    archetype = quadrant("overall_valence", "overall_energy", labels)
     rounded = [f"overall_{m}" for m in means] + list(spreads.values())
-    return archetype.select(
+    description = lookup("listening_archetype", words.ARCHETYPE_TEXT, words.ARCHETYPE_TEXT_DEFAULT)
+    return profile.selectExpr("*", f"{archetype} AS listening_archetype").selectExpr(
         *by,
-        *[stable_round(c, 3).alias(c) for c in rounded],
+        *[f"{stable_round(c, 3)} AS {c}" for c in rounded],
         "total_listens",
         "listening_archetype",
-        lookup("listening_archetype", words.ARCHETYPE_TEXT, words.ARCHETYPE_TEXT_DEFAULT).alias(
-            "archetype_description"
-        ),
-        advice.alias("wellbeing_recommendation"),
+        f"{description} AS archetype_description",
+        f"{advice} AS wellbeing_recommendation",
     )

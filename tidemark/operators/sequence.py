@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vocabulary as words
-from ..functions.buckets import Quadrants, change_class, lookup, quadrant
-from ..functions.numeric import stable_round
+from ..functions.buckets import Quadrants, change_class, first_match, lookup, quadrant
+from ..functions.numeric import double, literal, stable_round
 from ..session import materialize
 
 
@@ -42,11 +42,9 @@ def with_previous(
 
     joined = lagged.join(F.broadcast(border), "_slice", "left")
     before = joined.withColumn("_before", F.coalesce("_before", "_border"))
-    same = F.col("_before").isNotNull()
-    for column in by:
-        same = same & F.col(f"_before.{column}").eqNullSafe(F.col(column))
-    previous = [F.when(same, F.col(f"_before.{c}")).alias(f"{prefix}{c}") for c in values]
-    return before.select(*df.columns, *previous)
+    same = " AND ".join(["_before IS NOT NULL", *[f"_before.`{c}` <=> `{c}`" for c in by]])
+    previous = [f"if({same}, _before.`{c}`, NULL) AS `{prefix}{c}`" for c in values]
+    return before.selectExpr(*[f"`{c}`" for c in df.columns], *previous)
 
 
 def lag_deltas(
@@ -59,8 +57,8 @@ def lag_deltas(
     """Change of each measure against the previous row; rows without a previous value are dropped."""
     needed = list(dict.fromkeys([*by, *order, *keep, *measures]))
     paired = with_previous(df.select(*needed), measures, order, by)
-    changes = [(F.col(m) - F.col(f"prev_{m}")).alias(f"{m}_change") for m in measures]
-    return paired.where(F.col(f"prev_{measures[0]}").isNotNull()).select("*", *changes)
+    changes = [f"{m} - prev_{m} AS {m}_change" for m in measures]
+    return paired.where(f"prev_{measures[0]} IS NOT NULL").selectExpr("*", *changes)
 
 
 def shift_patterns(
@@ -71,35 +69,27 @@ def shift_patterns(
     labels: tuple[str, str, str] = words.SHIFT,
 ) -> DataFrame:
     """Per hour: how often and how far the measures move from one row to the next."""
-    doubles = df.select(hour, *order, *[F.col(m).cast("double").alias(m) for m in measures])
+    doubles = df.selectExpr(hour, *order, *[f"{double(m)} AS {m}" for m in measures])
     deltas = lag_deltas(doubles, measures, order, keep=[hour])
     changes = [f"{m}_change" for m in measures]
-    classed = deltas.withColumn("shift_magnitude", change_class(changes, labels=labels))
+    classed = deltas.selectExpr("*", f"{change_class(changes, labels=labels)} AS shift_magnitude")
     patterns = classed.groupBy(hour, "shift_magnitude").agg(
-        F.count("*").alias("shift_count"), *[stable_round(F.avg(c), 3).alias(f"avg_{c}") for c in changes]
+        F.expr("count(*) AS shift_count"), *[F.expr(f"{stable_round(f'avg({c})', 3)} AS avg_{c}") for c in changes]
     )
     return patterns.orderBy(hour, F.desc("shift_count"), "shift_magnitude")
 
 
-def _with_state(df: DataFrame, labels: Quadrants, state: str) -> DataFrame:
-    return df.withColumn(state, quadrant("valence", "energy", labels))
-
-
 def state_counts(df: DataFrame, labels: Quadrants = words.SEQUENCE_STATE) -> DataFrame:
     """How often each state occurs, with its kind and meaning."""
-    state = F.col("mood_category")
-    kind = F.coalesce(
-        *[F.when(state.contains(part), F.lit(text)) for part, text in words.SEQUENCE_TYPE.items()],
-        F.lit(words.SEQUENCE_TYPE_DEFAULT),
-    )
-    counts = _with_state(df, labels, "mood_category").groupBy("mood_category").agg(
-        F.count("*").alias("occurrence_count")
-    )
-    return counts.select(
+    kinds = [(f"contains(mood_category, {literal(part)})", text) for part, text in words.SEQUENCE_TYPE.items()]
+    stated = df.selectExpr(f"{quadrant('valence', 'energy', labels)} AS mood_category")
+    counts = stated.groupBy("mood_category").agg(F.expr("count(*) AS occurrence_count"))
+    insight = lookup("mood_category", words.SEQUENCE_INSIGHT, words.SEQUENCE_INSIGHT_DEFAULT)
+    return counts.selectExpr(
         "mood_category",
         "occurrence_count",
-        kind.alias("pattern_type"),
-        lookup("mood_category", words.SEQUENCE_INSIGHT, words.SEQUENCE_INSIGHT_DEFAULT).alias("behavioral_insight"),
+        f"{first_match(kinds, words.SEQUENCE_TYPE_DEFAULT)} AS pattern_type",
+        f"{insight} AS behavioral_insight",
     ).orderBy(F.desc("occurrence_count"), "mood_category")
 
 
@@ -111,12 +101,13 @@ def state_transitions(
     labels: Quadrants = words.SEQUENCE_STATE,
 ) -> DataFrame:
     """Moves from one state to the next: how often, and the mean hours between the two plays."""
-    stated = _with_state(df, labels, "state").select(*dict.fromkeys([*by, ts, *tie]), "state")
-    paired = with_previous(stated, ["state", ts], [ts, *tie], by).where(F.col("prev_state").isNotNull())
-    seconds = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col(f"prev_{ts}").cast("timestamp"))
+    needed = dict.fromkeys([*by, ts, *tie])
+    stated = df.selectExpr(*needed, f"{quadrant('valence', 'energy', labels)} AS state")
+    paired = with_previous(stated, ["state", ts], [ts, *tie], by).where("prev_state IS NOT NULL")
+    gap = f"timestampdiff(MICROSECOND, prev_{ts}, {ts})"
     moves = paired.groupBy(F.col("prev_state").alias("from_mood"), F.col("state").alias("to_mood")).agg(
-        F.count("*").alias("transition_count"),
-        stable_round(F.avg(seconds) / F.lit(3.6e9), 3).alias("avg_time_between_hours"),
+        F.expr("count(*) AS transition_count"),
+        F.expr(f"{stable_round(f'(avg({gap}) / 3.6E9D)', 3)} AS avg_time_between_hours"),
     )
-    label = F.concat("from_mood", F.lit(" → "), "to_mood").alias("pattern")
-    return moves.select("*", label).orderBy(F.desc("transition_count"), "from_mood", "to_mood")
+    ordered = moves.selectExpr("*", "concat(from_mood, ' → ', to_mood) AS pattern")
+    return ordered.orderBy(F.desc("transition_count"), "from_mood", "to_mood")

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.timeparts import time_dimensions
 from ..operators.enrich import attach_attributes, generate_attributes, missing_keys
 from ..sources.tables import read_table
 
-PROVIDED_SEGMENTS = ("BUILDING", "MACHINERY")
+PROVIDED = "c_mktsegment IN ('BUILDING', 'MACHINERY')"
 SMALL_PART = 25
 
 
@@ -17,88 +16,80 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
-def hundredths(value: Column, modulus: int = 100) -> Column:
-    return (value % modulus) / F.lit(100.0)
+def hundredths(value: str, modulus: int = 100) -> str:
+    return f"(({value}) % {modulus}) / 100D"
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as play history: the user stands for the track."""
-    user = F.col("user_id")
-    return table(spark, sf_dir, "events").select(
-        user.cast("string").alias("track_id"),
-        F.col("ts").alias("played_at"),
-        F.concat(F.lit("Track "), user).alias("track_name"),
-        F.concat(F.lit("Artist "), user % 40).alias("artist_name"),
-        F.concat(F.lit("Album "), user % 90).alias("album_name"),
-        (F.col("event_id") * 10).alias("duration_ms"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "CAST(user_id AS STRING) AS track_id",
+        "ts AS played_at",
+        "concat('Track ', user_id) AS track_name",
+        "concat('Artist ', user_id % 40) AS artist_name",
+        "concat('Album ', user_id % 90) AS album_name",
+        "event_id * 10 AS duration_ms",
         "event_id",
     )
 
 
 def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with measures of their own and time columns."""
-    user, number, value = F.col("user_id"), F.col("event_id"), F.col("value")
-    k = F.get_json_object("props", "$.k").cast("int")
-    measured = table(spark, sf_dir, "events").select(
+    measured = table(spark, sf_dir, "events").selectExpr(
         "event_id",
         "user_id",
-        user.cast("string").alias("track_id"),
-        F.col("ts").alias("played_at"),
-        F.concat(F.lit("Track "), user).alias("track_name"),
-        F.concat(F.lit("Artist "), user % 40).alias("artist_name"),
-        F.col("event_type").alias("label"),
-        (k / F.lit(100.0)).alias("valence"),
-        (F.least(value, F.lit(100.0)) / F.lit(100.0)).alias("energy"),
-        (value / F.lit(100.0)).alias("raw_energy"),
-        hundredths(number).alias("danceability"),
-        hundredths(number * 7).alias("acousticness"),
-        hundredths(number * 13).alias("instrumentalness"),
-        hundredths(number * 31, 50).alias("speechiness"),
-        (-((number * 17) % 60)).cast("double").alias("loudness"),
-        (F.lit(60.0) + F.least(value, F.lit(120.0))).alias("tempo"),
+        "CAST(user_id AS STRING) AS track_id",
+        "ts AS played_at",
+        "concat('Track ', user_id) AS track_name",
+        "concat('Artist ', user_id % 40) AS artist_name",
+        "event_type AS label",
+        "CAST(get_json_object(props, '$.k') AS INT) / 100D AS valence",
+        "least(value, 100D) / 100D AS energy",
+        "value / 100D AS raw_energy",
+        f"{hundredths('event_id')} AS danceability",
+        f"{hundredths('event_id * 7')} AS acousticness",
+        f"{hundredths('event_id * 13')} AS instrumentalness",
+        f"{hundredths('event_id * 31', 50)} AS speechiness",
+        "CAST(-((event_id * 17) % 60) AS DOUBLE) AS loudness",
+        "60D + least(value, 120D) AS tempo",
     )
     return time_dimensions(measured)
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as the training catalog; valence and energy depend on other measures."""
-    dance, energy = F.col("l_discount") * 10.0, F.col("l_quantity") / F.lit(50.0)
-    mix = dance * 0.4 + energy * 0.4 + hundredths(F.col("l_suppkey")) * 0.2
-    return table(spark, sf_dir, "lineitem").select(
-        F.concat_ws(
-            "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyyMMdd")
-        ).alias("track_id"),
-        dance.alias("danceability"),
-        energy.alias("energy"),
-        mix.alias("valence"),
-        (F.col("l_tax") * 12.5).alias("acousticness"),
-        hundredths(F.col("l_partkey")).alias("instrumentalness"),
-        (F.col("l_extendedprice") / F.lit(300.0)).alias("tempo"),
+    """Line items as the training catalog; valence depends on other measures."""
+    dance, energy = "l_discount * 10D", "l_quantity / 50D"
+    key = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, date_format(l_shipdate, 'yyyyMMdd'))"
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        f"{key} AS track_id",
+        f"{dance} AS danceability",
+        f"{energy} AS energy",
+        f"({dance}) * 0.4D + ({energy}) * 0.4D + ({hundredths('l_suppkey')}) * 0.2D AS valence",
+        "l_tax * 12.5D AS acousticness",
+        f"{hundredths('l_partkey')} AS instrumentalness",
+        "l_extendedprice / 300D AS tempo",
     )
 
 
 def provided(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First-choice attributes: customers of two segments."""
-    key = F.col("c_custkey")
-    customer = table(spark, sf_dir, "customer").where(F.col("c_mktsegment").isin(*PROVIDED_SEGMENTS))
-    return customer.select(
-        key.cast("string").alias("track_id"),
-        hundredths(key * 37).cast("float").alias("danceability"),
-        hundredths(key * 53).cast("float").alias("energy"),
-        hundredths(key * 71).cast("float").alias("valence"),
-        (F.lit(60.0) + F.col("c_nationkey") * 4).cast("float").alias("tempo"),
-        F.lit(4).alias("time_signature"),
+    return table(spark, sf_dir, "customer").where(PROVIDED).selectExpr(
+        "CAST(c_custkey AS STRING) AS track_id",
+        f"CAST({hundredths('c_custkey * 37')} AS FLOAT) AS danceability",
+        f"CAST({hundredths('c_custkey * 53')} AS FLOAT) AS energy",
+        f"CAST({hundredths('c_custkey * 71')} AS FLOAT) AS valence",
+        "CAST(60D + c_nationkey * 4 AS FLOAT) AS tempo",
+        "4 AS time_signature",
     )
 
 
 def catalog_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last-choice attributes: parts."""
-    key = F.col("p_partkey")
-    return table(spark, sf_dir, "part").select(
-        key.cast("string").alias("track_id"),
-        hundredths(key * 3).cast("float").alias("danceability"),
-        (F.col("p_size") / F.lit(64.0)).cast("float").alias("acousticness"),
-        hundredths(key * 19).cast("float").alias("instrumentalness"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "CAST(p_partkey AS STRING) AS track_id",
+        f"CAST({hundredths('p_partkey * 3')} AS FLOAT) AS danceability",
+        "CAST(p_size / 64D AS FLOAT) AS acousticness",
+        f"CAST({hundredths('p_partkey * 19')} AS FLOAT) AS instrumentalness",
     )
 
 
@@ -113,12 +104,12 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Three sources of one attribute for the customers in ``orders``, each covering some of the keys."""
-    customer = table(spark, sf_dir, "customer").where(F.col("c_mktsegment").isin(*PROVIDED_SEGMENTS))
-    part = table(spark, sf_dir, "part").where(F.col("p_size") <= SMALL_PART)
     return {
-        "customer": customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_acctbal").alias("score")),
-        "supplier": table(spark, sf_dir, "supplier").select(
-            F.col("s_suppkey").alias("o_custkey"), F.col("s_acctbal").alias("score")
-        ),
-        "part": part.select(F.col("p_partkey").alias("o_custkey"), F.col("p_retailprice").alias("score")),
+        "customer": table(spark, sf_dir, "customer")
+        .where(PROVIDED)
+        .selectExpr("c_custkey AS o_custkey", "c_acctbal AS score"),
+        "supplier": table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS o_custkey", "s_acctbal AS score"),
+        "part": table(spark, sf_dir, "part")
+        .where(f"p_size <= {SMALL_PART}")
+        .selectExpr("p_partkey AS o_custkey", "p_retailprice AS score"),
     }

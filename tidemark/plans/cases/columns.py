@@ -154,10 +154,10 @@ def time_dims(spark, sf):
     ),
 )
 def quadrant_bucket(spark, sf):
-    return plays(spark, sf).select(
+    return plays(spark, sf).selectExpr(
         "event_id",
-        quadrant("valence", "energy", words.MOOD).alias("mood"),
-        quadrant("valence", "energy", words.MOOD_CODE).alias("mood_label"),
+        f"{quadrant('valence', 'energy', words.MOOD)} AS mood",
+        f"{quadrant('valence', 'energy', words.MOOD_CODE)} AS mood_label",
     )
 
 
@@ -172,11 +172,11 @@ def quadrant_bucket(spark, sf):
     ),
 )
 def threshold_ladder(spark, sf):
-    return plays(spark, sf).select(
-        "event_id",
-        ladder("valence", [(0.3, "High Priority"), (0.4, "Medium Priority")], "Low Priority").alias("priority"),
-        ladder("raw_energy", [(3.0, "High"), (2.5, "Medium")], "Low", op=">").alias("severity"),
-        band("hour_of_day", DAY_PARTS, OTHER_PART).alias("part"),
+    priority = ladder("valence", [(0.3, "High Priority"), (0.4, "Medium Priority")], "Low Priority")
+    severity = ladder("raw_energy", [(3.0, "High"), (2.5, "Medium")], "Low", op=">")
+    part = band("hour_of_day", DAY_PARTS, OTHER_PART)
+    return plays(spark, sf).selectExpr(
+        "event_id", f"{priority} AS priority", f"{severity} AS severity", f"{part} AS part"
     )
 
 
@@ -188,9 +188,9 @@ def threshold_ladder(spark, sf):
     ),
 )
 def label_lookup(spark, sf):
-    state = plays(spark, sf).select("event_id", quadrant("valence", "energy", words.MOOD_STATE).alias("state"))
+    state = plays(spark, sf).selectExpr("event_id", f"{quadrant('valence', 'energy', words.MOOD_STATE)} AS state")
     text = lookup("state", words.STATE_ACTIVITY, words.STATE_ACTIVITY_DEFAULT)
-    return state.select("event_id", text.alias("activity"))
+    return state.selectExpr("event_id", f"{text} AS activity")
 
 
 @query(
@@ -202,8 +202,8 @@ def label_lookup(spark, sf):
 )
 def minmax_scale(spark, sf):
     bounds = {"tempo": (60.0, 180.0), "loudness": (-60.0, 0.0)}
-    scaled = [stable_round(min_max_scale(m, lo, hi), 6).alias(f"{m}_normalized") for m, (lo, hi) in bounds.items()]
-    return plays(spark, sf).select("event_id", *scaled)
+    scaled = [f"{stable_round(min_max_scale(m, lo, hi), 6)} AS {m}_normalized" for m, (lo, hi) in bounds.items()]
+    return plays(spark, sf).selectExpr("event_id", *scaled)
 
 
 _ATTRIBUTES = [*ATTRIBUTE_RANGES, *ATTRIBUTE_CHOICES]
@@ -262,8 +262,8 @@ def range_clean(spark, sf):
 )
 def training_scan(spark, sf):
     rows = enrich.training_rows(catalog(spark, sf), "track_id")
-    rounded = [stable_round(c, 6).alias(c) for c in ("valence", "tempo")]
-    return rows.select("track_id", *rounded, "hour_of_day", "day_of_week", "is_weekend")
+    rounded = [f"{stable_round(c, 6)} AS {c}" for c in ("valence", "tempo")]
+    return rows.selectExpr("track_id", *rounded, "hour_of_day", "day_of_week", "is_weekend")
 
 
 @query(

@@ -7,6 +7,7 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from ...functions import vocabulary as words
+from ...functions.buckets import position
 from ...functions.numeric import stable_round
 from ...operators import anomaly, profiles, ranking, segment, sequence
 from ...operators.profiles import CORRELATION_MEASURES, DISTRIBUTION_MEASURES
@@ -175,10 +176,9 @@ def part_of_day_profile(spark, sf):
     ),
 )
 def custom_sort(spark, sf):
-    from ...functions.buckets import position
-
     counts = profiles.category_counts(plays(spark, sf), "part_of_day", count_as="n")
-    return counts.withColumn("place", position("part_of_day", ("morning", "afternoon", "evening"))).orderBy("place")
+    place = position("part_of_day", ("morning", "afternoon", "evening"))
+    return counts.selectExpr("*", f"{place} AS place").orderBy("place")
 
 
 _LAGGED = """SELECT event_id, valence - lag(valence) OVER o AS valence_change, energy - lag(energy) OVER o AS energy_change,
@@ -195,9 +195,8 @@ _LAGGED = """SELECT event_id, valence - lag(valence) OVER o AS valence_change, e
 def lag_delta(spark, sf):
     rows = plays(spark, sf).select("event_id", "played_at", "valence", "energy")
     deltas = sequence.lag_deltas(rows, ["valence", "energy"], ["played_at", "event_id"])
-    return deltas.select(
-        "event_id", *[stable_round(f"{m}_change", 6).alias(f"{m}_change") for m in ("valence", "energy")]
-    )
+    changes = [f"{stable_round(f'{m}_change', 6)} AS {m}_change" for m in ("valence", "energy")]
+    return deltas.selectExpr("event_id", *changes)
 
 
 @query(
@@ -246,8 +245,8 @@ def recommend_top(spark, sf):
     ),
 )
 def best_hours(spark, sf):
-    predicted = (F.col("valence") * 0.5 + F.col("danceability") * 0.5).alias("predicted_valence")
-    return ranking.best_hours(plays(spark, sf).select("hour_of_day", "energy", predicted))
+    predicted = "valence * 0.5D + danceability * 0.5D AS predicted_valence"
+    return ranking.best_hours(plays(spark, sf).selectExpr("hour_of_day", "energy", predicted))
 
 
 _RULE_SQL = " UNION ALL ".join(
@@ -321,8 +320,8 @@ _MEASURES = ("valence", "raw_energy")
 )
 def baseline_join(spark, sf):
     joined = anomaly.with_baseline(plays(spark, sf), ["hour_of_day"], _MEASURES)
-    typical = [stable_round(f"typical_{m}", 6).alias(f"typical_{m}") for m in _MEASURES]
-    return joined.select("event_id", "hour_of_day", *typical, "typical_count")
+    typical = [f"{stable_round(f'typical_{m}', 6)} AS typical_{m}" for m in _MEASURES]
+    return joined.selectExpr("event_id", "hour_of_day", *typical, "typical_count")
 
 
 @query(
@@ -337,7 +336,7 @@ def baseline_join(spark, sf):
 def zscore_anomaly_events(spark, sf):
     found = anomaly.anomaly_events(plays(spark, sf), measures=_MEASURES)
     z = ("valence_deviation", "raw_energy_deviation", "anomaly_score")
-    return found.select("event_id", "hour_of_day", *[stable_round(c, 6).alias(c) for c in z])
+    return found.selectExpr("event_id", "hour_of_day", *[f"{stable_round(c, 6)} AS {c}" for c in z])
 
 
 @query(
@@ -350,7 +349,7 @@ def zscore_anomaly_events(spark, sf):
 )
 def zscore_by_entity(spark, sf):
     found = anomaly.anomaly_events(plays(spark, sf), by=["track_id"], measures=["raw_energy"], limit=2.5)
-    return found.select("event_id", "track_id", stable_round("anomaly_score", 6).alias("anomaly_score"))
+    return found.selectExpr("event_id", "track_id", f"{stable_round('anomaly_score', 6)} AS anomaly_score")
 
 
 @query(

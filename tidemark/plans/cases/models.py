@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ...functions import vocabulary as words
+from ...functions.buckets import quadrant
 from ...functions.numeric import round_columns
 from ...operators import learn, metrics
 from ...operators.enrich import training_rows
@@ -37,8 +38,7 @@ _GUESS = "valence * 0.5e0 + danceability * 0.5e0"
     ),
 )
 def regression_metrics(spark, sf):
-    guess = F.col("valence") * 0.5 + F.col("danceability") * 0.5
-    scores = metrics.regression_metrics(plays(spark, sf), "energy", guess)
+    scores = metrics.regression_metrics(plays(spark, sf), "energy", "valence * 0.5D + danceability * 0.5D")
     return _rounded(scores, "rmse", "mae", "r2")
 
 
@@ -64,11 +64,9 @@ _TOTALS = """totals AS (
 
 
 def _labelled(spark: SparkSession, sf: str) -> DataFrame:
-    from ...functions.buckets import quadrant
-
-    return plays(spark, sf).select(
-        quadrant("valence", "energy", words.MOOD_CODE).alias("mood_label"),
-        quadrant("valence", "danceability", words.MOOD_CODE).cast("double").alias("prediction"),
+    return plays(spark, sf).selectExpr(
+        f"{quadrant('valence', 'energy', words.MOOD_CODE)} AS mood_label",
+        f"CAST({quadrant('valence', 'danceability', words.MOOD_CODE)} AS DOUBLE) AS prediction",
     )
 
 
@@ -144,7 +142,9 @@ def baseline_classification(spark, sf):
 def fit(spark: SparkSession, sf: str, spec: learn.ModelSpec) -> learn.ModelRun:
     """Train on the catalog, score the plays."""
     train = training_rows(catalog(spark, sf), "track_id")
-    return learn.train_and_score(spec, train, plays(spark, sf), key="track_id")
+    # The test files are single row groups, that is, single splits.
+    cores = spark.sparkContext.defaultParallelism
+    return learn.train_and_score(spec, train, plays(spark, sf), key="track_id", partitions=cores)
 
 
 @query("predict_regression")
@@ -170,7 +170,10 @@ def model_metrics(spark, sf):
 @query("cv_metrics")
 def cv_metrics(spark, sf):
     train = training_rows(catalog(spark, sf), "track_id")
-    scores = [(s.name, learn.cross_validate(s, train, "track_id")[0], learn.FOLDS) for s in learn.MODELS]
+    cores = spark.sparkContext.defaultParallelism
+    scores = [
+        (s.name, learn.cross_validate(s, train, "track_id", partitions=cores)[0], learn.FOLDS) for s in learn.MODELS
+    ]
     return spark.createDataFrame(scores, "model_name string, cv_metric double, folds int")
 
 

@@ -123,7 +123,7 @@ def _generated(source: str, key: str) -> str:
         a, b, c = (f"u_{n}_{i}" for i in range(3))
         median = f"greatest(least({a}, {b}), least(greatest({a}, {b}), {c}))"
         width = repr(high - low)
-        measures.append(f"CAST({rnd(f'{low}e0 + {median} * {width}e0', 4)} AS FLOAT) AS {n}")
+        measures.append(f"CAST(round({low}e0 + {median} * {width}e0, 4) AS FLOAT) AS {n}")
     picks = [
         f"CAST(list_extract([{', '.join(map(str, options))}], CAST({hex_block(f'h_{n}')} % {len(options)} AS INT) + 1) "
         f"AS INT) AS \"{n}\""

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
 from ...functions.numeric import round_columns
 from ...operators import anomaly, learn, profiles, ranking
+from ...operators.segment import behavior_segment
 from ..bindings import plays
 from ..sqlviews import run_sql
 from .gold import _recommend_sql
@@ -33,8 +32,8 @@ def _silver(spark, sf):
     ),
 )
 def sql_hourly_avg(spark, sf):
-    predicted = (F.col("valence") * 0.5 + F.col("danceability") * 0.5).alias("predicted_valence")
-    predictions = plays(spark, sf).select("hour_of_day", "energy", predicted)
+    predicted = "valence * 0.5D + danceability * 0.5D AS predicted_valence"
+    predictions = plays(spark, sf).selectExpr("hour_of_day", "energy", predicted)
     return _run(spark, "hourly_avg", {"mood_predictions": predictions}, {"avg_mood": 6, "avg_energy": 6})
 
 
@@ -242,11 +241,6 @@ def sql_plays_by_hour(spark, sf):
     return _run(spark, "plays_by_hour", {"listening_patterns_by_time": profiles.patterns_by_time(plays(spark, sf))})
 
 
-@query(
-    "sql_segments",
-    None,
-)
+@query("sql_segments")
 def sql_segments(spark, sf):
-    from ...operators.segment import behavior_segment
-
     return _run(spark, "segments", {"behavioral_segments": behavior_segment(plays(spark, sf))})
