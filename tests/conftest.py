@@ -7,7 +7,14 @@ def make_session():
     spark = session(
         "tidemark-tests",
         master="local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"},
+        **{
+            "spark.sql.shuffle.partitions": "8",
+            "spark.driver.memory": "8g",
+            "spark.ui.showConsoleProgress": "false",
+            # Plans are read by tests: do not shorten them.
+            "spark.sql.maxMetadataStringLength": "10000",
+            "spark.sql.debug.maxToStringFields": "1000",
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark

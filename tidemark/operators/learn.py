@@ -247,34 +247,52 @@ CLUSTER_SCALES = {"tempo": (60.0, 180.0), "loudness": (-60.0, 0.0)}
 MAX_ITER = 20
 
 
-def cluster_vectors(df: DataFrame, measures: Sequence[str] = CLUSTER_MEASURES) -> DataFrame:
-    """The measures of complete rows, and their scaled vector."""
+@dataclass(frozen=True)
+class ClusterInput:
+    """``rows``: every complete row with its scaled vector. ``points``: each different row once, weighted by its count.
+
+    Fitting on the points costs passes over the different rows only (one per track, where a track's
+    measures are fixed) and has the same objective as fitting on all rows.
+    """
+
+    rows: DataFrame
+    points: DataFrame
+
+
+def cluster_input(df: DataFrame, measures: Sequence[str] = CLUSTER_MEASURES) -> ClusterInput:
     complete = df.selectExpr(*[f"{double(m)} AS {m}" for m in measures]).na.drop()
     inputs = [f"{m}_normalized" if m in CLUSTER_SCALES else m for m in measures]
-    scaled = complete.selectExpr(
+    normalized = complete.selectExpr(
         "*", *[f"{min_max_scale(m, *CLUSTER_SCALES[m])} AS {m}_normalized" for m in measures if m in CLUSTER_SCALES]
     )
-    stages = Pipeline(stages=prepare_stages(inputs))
-    return stages.fit(scaled).transform(scaled).select(*measures, SCALED)
+    scaler = Pipeline(stages=prepare_stages(inputs)).fit(normalized)
+    different = normalized.groupBy(*normalized.columns).agg(F.expr("CAST(count(*) AS DOUBLE) AS weight"))
+    return ClusterInput(
+        scaler.transform(normalized).select(*measures, SCALED), scaler.transform(different).select(SCALED, "weight")
+    )
 
 
-def fit_kmeans(vectors: DataFrame, k: int, seed: int = SEED):
+def fit_kmeans(points: DataFrame, k: int, seed: int = SEED):
     estimator = KMeans(featuresCol=SCALED, predictionCol="cluster", k=k, seed=seed, maxIter=MAX_ITER)
-    return estimator.fit(vectors)
+    if "weight" in points.columns:
+        estimator = estimator.setWeightCol("weight")
+    return estimator.fit(points)
 
 
 def silhouette(clustered: DataFrame) -> float:
     judge = ClusteringEvaluator(featuresCol=SCALED, predictionCol="cluster", metricName="silhouette")
+    if "weight" in clustered.columns:
+        judge = judge.setWeightCol("weight")
     return judge.evaluate(clustered)
 
 
-def elbow_table(vectors: DataFrame, ks: Sequence[int] = range(2, 9)) -> DataFrame:
+def elbow_table(points: DataFrame, ks: Sequence[int] = range(2, 9)) -> DataFrame:
     """Cost and silhouette for each k, and the second difference of the cost whose maximum is the elbow."""
     rows = []
     for k in ks:
-        model = fit_kmeans(vectors, k)
-        rows.append((k, float(model.summary.trainingCost), float(silhouette(model.transform(vectors)))))
-    table = vectors.sparkSession.createDataFrame(rows, "k int, wcss double, silhouette double")
+        model = fit_kmeans(points, k)
+        rows.append((k, float(model.summary.trainingCost), float(silhouette(model.transform(points)))))
+    table = points.sparkSession.createDataFrame(rows, "k int, wcss double, silhouette double")
     by_k = Window.orderBy("k")
     bend = F.lag("wcss").over(by_k) - 2 * F.col("wcss") + F.lead("wcss").over(by_k)
     return table.withColumn("second_diff", bend)
@@ -290,12 +308,12 @@ def choose_k(elbow: DataFrame) -> DataFrame:
     )
 
 
-def cluster_stability(vectors: DataFrame, k: int, runs: int = 3) -> DataFrame:
+def cluster_stability(points: DataFrame, k: int, runs: int = 3) -> DataFrame:
     """Silhouette over several seeds: mean, population deviation and a verdict."""
     scores = [
-        (SEED + i, float(silhouette(fit_kmeans(vectors, k, SEED + i).transform(vectors)))) for i in range(runs)
+        (SEED + i, float(silhouette(fit_kmeans(points, k, SEED + i).transform(points)))) for i in range(runs)
     ]
-    table = vectors.sparkSession.createDataFrame(scores, "seed int, silhouette double")
+    table = points.sparkSession.createDataFrame(scores, "seed int, silhouette double")
     spread = table.agg(F.avg("silhouette").alias("mean_silhouette"), F.stddev_pop("silhouette").alias("std_silhouette"))
     verdict = ladder("std_silhouette", list(zip((0.05, 0.10), words.STABILITY)), words.STABILITY[-1])
     return spread.selectExpr(
@@ -307,9 +325,9 @@ def cluster_stability(vectors: DataFrame, k: int, runs: int = 3) -> DataFrame:
     )
 
 
-def cluster_profiles(vectors: DataFrame, k: int, measures: Sequence[str] = CLUSTER_MEASURES[:5]) -> DataFrame:
+def cluster_profiles(data: ClusterInput, k: int, measures: Sequence[str] = CLUSTER_MEASURES[:5]) -> DataFrame:
     """Size, means, variability and name of each cluster; clusters are numbered by their centres."""
-    clustered = fit_kmeans(vectors, k).transform(vectors)
+    clustered = fit_kmeans(data.points, k).transform(data.rows)
     spreads = {"valence": "valence_variability", "energy": "energy_variability"}
     exact = grouped_profile(
         clustered, ["cluster"], [], count_as="member_count",
@@ -340,11 +358,12 @@ class ClusterStudy:
 
 def cluster_study(df: DataFrame, ks: Sequence[int] = range(2, 9), runs: int = 3) -> ClusterStudy:
     """Choose k by silhouette, check its stability, and profile the final clusters."""
-    vectors = cluster_vectors(df).persist(StorageLevel.MEMORY_AND_DISK)
+    data = cluster_input(df)
+    points = data.points.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        elbow = elbow_table(vectors, ks)
+        elbow = elbow_table(points, ks)
         k = choose_k(elbow).first()["optimal_k_silhouette"]
-        stability = cluster_stability(vectors, k, runs)
-        return ClusterStudy(cluster_profiles(vectors, k), elbow, stability, k)
+        stability = cluster_stability(points, k, runs)
+        return ClusterStudy(cluster_profiles(data, k), elbow, stability, k)
     finally:
-        vectors.unpersist()
+        points.unpersist()

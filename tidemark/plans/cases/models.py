@@ -184,20 +184,20 @@ def feature_importance(spark, sf):
 
 @query("elbow_table")
 def elbow_table(spark, sf):
-    vectors = learn.cluster_vectors(plays(spark, sf)).persist()
+    points = learn.cluster_input(plays(spark, sf)).points.persist()
     try:
-        return learn.elbow_table(vectors)
+        return learn.elbow_table(points)
     finally:
-        vectors.unpersist()
+        points.unpersist()
 
 
 @query("cluster_stability")
 def cluster_stability(spark, sf):
-    vectors = learn.cluster_vectors(plays(spark, sf)).persist()
+    points = learn.cluster_input(plays(spark, sf)).points.persist()
     try:
-        return learn.cluster_stability(vectors, k=5)
+        return learn.cluster_stability(points, k=5)
     finally:
-        vectors.unpersist()
+        points.unpersist()
 
 
 @query("cluster_profiles")
@@ -205,8 +205,8 @@ def cluster_profiles(spark, sf):
     return learn.cluster_study(plays(spark, sf)).profiles
 
 
-@query("cluster_vectors_profile")
-def cluster_vectors_profile(spark, sf):
+@query("cluster_embeddings")
+def cluster_embeddings(spark, sf):
     """K-means over the embeddings: rows and label mix of each cluster."""
     from pyspark.ml.functions import array_to_vector
 
