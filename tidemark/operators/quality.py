@@ -71,7 +71,7 @@ def _observed(df: DataFrame, check: Check) -> str:
     if check.name == "distribution":
         return f"coalesce(avg({double(f'`{check.column}`')}), 0D)"
     if check.name == "duplicates":
-        return "coalesce(sum(n - 1), 0)"
+        return "coalesce(sum(_copies - 1), 0)"
     return str(len(missing_columns(df, check.keys)))
 
 
@@ -104,7 +104,7 @@ def run_checks(df: DataFrame, checks: Sequence[Check], table: str, layer: str =
         whole = df.agg(F.expr(f"array({', '.join(rows)}) AS _rows"), F.expr("count(*) AS _n"))
         parts.append(whole.selectExpr("inline(_rows)"))
     for check in by_key:
-        per_key = df.groupBy(*check.keys).agg(F.expr("count(*) AS n"))
+        per_key = df.groupBy(*check.keys).agg(F.expr("count(*) AS _copies"))
         row = _row(layer, table, check, _observed(df, check))
         parts.append(per_key.agg(F.expr(f"array({row}) AS _rows")).selectExpr("inline(_rows)"))
     return reduce(DataFrame.unionByName, parts)
