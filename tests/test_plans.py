@@ -68,8 +68,8 @@ def test_date_filter_prunes_partitions(spark):
 
 def test_one_aggregate_replaces_a_loop_of_jobs(spark):
     plays = bindings.plays(spark, SF)
-    for frame in (profiles.feature_profile(plays), profiles.pairwise_corr(plays).select("feature_1")):
-        assert plan(frame).split("Initial Plan")[0].count("FileScan") == 1
+    for frame in (profiles.feature_profile(plays), profiles.pairwise_corr(plays)):
+        assert plan(frame).count("FileScan") == 1
     assert plan(ranking.rule_playlists(plays)).count("FileScan") == 1
 
 

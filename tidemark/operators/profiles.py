@@ -114,16 +114,29 @@ def pairwise_corr(
     cuts: tuple[float, float] = (0.7, 0.4),
     labels: tuple[str, str, str] = words.STRENGTH,
 ) -> DataFrame:
-    """Correlation of every pair (upper triangle) from one aggregate, with its strength."""
-    rows = [
-        f"named_struct('feature_1', '{a}', 'feature_2', '{b}', 'r', {correlation(a, b)})"
-        for a, b in combinations(measures, 2)
-    ]
+    """Correlation of every pair (upper triangle) from one scan, with its strength.
+
+    Each row becomes one small row per pair, which partial aggregation folds again inside the same task. A
+    single wide aggregate would hold some 250 values, too many for generated code.
+    """
+    pairs = list(combinations(measures, 2))
+
+    def unfold(first: Sequence[str], second: Sequence[str]) -> str:
+        rows = [
+            f"named_struct('feature_1', '{a}', 'feature_2', '{b}', 'x', {x}, 'y', {y})"
+            for (a, b), x, y in zip(pairs, first, second)
+        ]
+        return f"inline(array({', '.join(rows)}))"
+
+    values = df.selectExpr(unfold([double(a) for a, _ in pairs], [double(b) for _, b in pairs]))
+    # One empty row per pair, so that no pair is missing when the table has no rows.
+    empty = [double("NULL")] * len(pairs)
+    seeds = df.sparkSession.sql(f"SELECT {unfold(empty, empty)}")
+    table = values.unionAll(seeds).groupBy("feature_1", "feature_2").agg(F.expr(f"{correlation('x', 'y')} AS r"))
     strength = ladder("abs(r)", list(zip(cuts, labels)), labels[-1], op=">")
-    table = _unfold(df, rows).selectExpr(
+    return table.selectExpr(
         "feature_1", "feature_2", f"{stable_round('r', DIGITS)} AS correlation", f"{strength} AS strength"
-    )
-    return table.orderBy(F.desc("correlation"), "feature_1", "feature_2")
+    ).orderBy(F.desc("correlation"), "feature_1", "feature_2")
 
 
 def category_counts(df: DataFrame, *keys: str, count_as: str = "record_count") -> DataFrame:

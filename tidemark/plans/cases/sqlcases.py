@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from ...functions.numeric import round_columns
-from ...operators import anomaly, learn, profiles, ranking
+from ...operators import anomaly, learn, profiles, ranking, sequence
 from ...operators.segment import behavior_segment
 from ..bindings import plays
 from ..sqlviews import run_sql
-from .gold import _recommend_sql
+from .gold import _recommend_sql, _segment_sql, _transitions_sql
 from .models import fit
-from .registry import over_plays, query, rnd
+from .registry import ORACLES, over_plays, query, rnd
 
 SILVER = "listening_with_features"
 
@@ -241,6 +241,63 @@ def sql_plays_by_hour(spark, sf):
     return _run(spark, "plays_by_hour", {"listening_patterns_by_time": profiles.patterns_by_time(plays(spark, sf))})
 
 
-@query("sql_segments")
+@query(
+    "sql_segments",
+    over_plays(
+        f"""SELECT listening_archetype AS segment_name, archetype_description AS interpretation,
+            wellbeing_recommendation AS recommendation, overall_valence AS avg_valence, overall_energy AS avg_energy,
+            overall_danceability AS avg_danceability FROM ({_segment_sql('plays', '')})"""
+    ),
+)
 def sql_segments(spark, sf):
     return _run(spark, "segments", {"behavioral_segments": behavior_segment(plays(spark, sf))})
+
+
+@query(
+    "sql_busiest_hours",
+    over_plays(
+        f"""SELECT hour_of_day, day_of_week, count(*) AS play_count, {rnd('avg(valence)')} AS avg_valence
+            FROM plays GROUP BY 1, 2"""
+    ),
+)
+def sql_busiest_hours(spark, sf):
+    return _run(spark, "busiest_hours", {"listening_patterns_by_time": profiles.patterns_by_time(plays(spark, sf))})
+
+
+@query(
+    "sql_transitions",
+    over_plays(f"SELECT from_mood, to_mood, transition_count, avg_time_between_hours FROM ({_transitions_sql('')})"),
+)
+def sql_transitions(spark, sf):
+    moves = sequence.state_transitions(plays(spark, sf), tie=("event_id",))
+    return _run(spark, "transitions", {"state_transitions": moves})
+
+
+@query(
+    "sql_weekend_bars",
+    over_plays(
+        f"""SELECT CASE WHEN is_weekend THEN 'Weekend' ELSE 'Weekday' END AS period, {rnd('avg(valence)')} AS avg_valence,
+            {rnd('avg(energy)')} AS avg_energy, {rnd('avg(danceability)')} AS avg_danceability FROM plays GROUP BY 1"""
+    ),
+)
+def sql_weekend_bars(spark, sf):
+    return _run(spark, "weekend_bars", {"weekend_vs_weekday": profiles.period_compare(plays(spark, sf))})
+
+
+@query(
+    "sql_heatmap",
+    over_plays(
+        " UNION ALL ".join(
+            f"SELECT '{a}' AS feature_1, '{b}' AS feature_2, {rnd(f'corr({a}, {b})')} AS correlation FROM plays"
+            for i, a in enumerate(profiles.CORRELATION_MEASURES)
+            for b in profiles.CORRELATION_MEASURES[i + 1 :]
+        )
+    ),
+)
+def sql_heatmap(spark, sf):
+    return _run(spark, "heatmap", {"feature_correlations": profiles.pairwise_corr(plays(spark, sf))})
+
+
+@query("sql_distributions", ORACLES["feature_profile"])
+def sql_distributions(spark, sf):
+    return _run(spark, "distributions", {"audio_feature_distributions": profiles.feature_profile(plays(spark, sf))})

@@ -59,22 +59,13 @@ def ingest_events(lake: Lake, payload_rows: DataFrame) -> str:
     return sinks.append_new(stamp(payloads.parse_events(payload_rows)), lake.bronze(HISTORY))
 
 
-def ingest_tracks(lake: Lake, tracks: DataFrame, features: DataFrame, version: str) -> str:
-    """Merge track payloads into the newest version of the track table; returns the new version's path."""
+def ingest_tracks(
+    lake: Lake, tracks: DataFrame, features: DataFrame, version: str, previous: str | None = None
+) -> str:
+    """Merge track payloads into the ``previous`` version of the track table; returns the new version's path."""
     rows = stamp(payloads.parse_entities(tracks, features))
-    target = f"{lake.bronze(TRACKS)}/{version}"
-    return sinks.upsert_table(rows, latest_version(tracks.sparkSession, lake.bronze(TRACKS)), target)
-
-
-def latest_version(spark: SparkSession, base: str) -> str | None:
-    """Newest version folder under ``base`` (versions sort by name), or None."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(base)
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(path):
-        return None
-    names = sorted(s.getPath().getName() for s in files.listStatus(path) if s.isDirectory())
-    return f"{base}/{names[-1]}" if names else None
+    current = f"{lake.bronze(TRACKS)}/{previous}" if previous else None
+    return sinks.upsert_table(rows, current, f"{lake.bronze(TRACKS)}/{version}")
 
 
 def ingest_catalog(spark: SparkSession, lake: Lake, csv_path: str) -> str:

@@ -15,7 +15,11 @@ SETTINGS = {
     # A hot key is split even when that costs a later aggregate its co-partitioning.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Checkpointed slices are removed once nothing refers to them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
+    # Recording the Python call site of every expression costs more than planning the query.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -31,7 +35,7 @@ def session(app: str = "tidemark", master: str | None = None, **conf: str) -> Sp
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``, or a temp folder in local mode only."""
     context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if configured:
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(configured)

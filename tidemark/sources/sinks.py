@@ -54,15 +54,15 @@ def append_new(
     """Append the rows whose key is not stored yet, partitioned by date. Running it again adds nothing.
 
     Only the stored dates between the batch's first and last are read. Copies inside the batch are
-    reduced to one.
+    reduced to one first, before their shuffle; the anti-join then finds the batch already partitioned by key.
     """
-    batch = df.withColumn(partition, F.to_date(ts))
+    batch = one_per_key(df.withColumn(partition, F.to_date(ts)), keys)
     existing = read_optional(df.sparkSession, path)
     if existing is not None:
-        span = batch.agg(F.min(partition).alias("first"), F.max(partition).alias("last")).first()
+        span = df.agg(F.to_date(F.min(ts)).alias("first"), F.to_date(F.max(ts)).alias("last")).first()
         stored = existing.where(F.col(partition).between(span["first"], span["last"]))
         batch = new_rows(batch, stored, keys)
-    return write_table(one_per_key(batch, keys), path, mode="append", partition_by=[partition])
+    return write_table(batch, path, mode="append", partition_by=[partition])
 
 
 def upsert_table(
