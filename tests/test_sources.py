@@ -124,6 +124,15 @@ def test_dynamic_overwrite_replaces_only_given_partitions(spark):
     assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(3, "y"), (4, "x")]
 
 
+def test_tables_can_be_put_in_the_catalog(spark):
+    path = sinks.write_table(spark.range(3), scratch_path(spark, "cat"))
+    sinks.create_tables(spark, {"tidemark_catalog_test": path})
+    try:
+        assert spark.sql("SELECT count(*) FROM tidemark_catalog_test").first()[0] == 3
+    finally:
+        spark.sql("DROP TABLE tidemark_catalog_test")
+
+
 def test_jdbc_options_bound_the_connections():
     made = sinks.jdbc_options("jdbc:x", "t", driver="d")
     assert (made["numPartitions"], made["batchsize"], made["driver"], made["dbtable"]) == ("16", "10000", "d", "t")

@@ -59,7 +59,7 @@ def scale(share: str, low: float, high: float, digits: int = 4) -> str:
     return f"round({low!r}D + {share} * {high - low!r}D, {digits})"
 
 
-def pick(digest_hex: str, choices: Sequence[Any]) -> str:
-    """One of ``choices``, each equally likely."""
+def pick(digest_hex: str, choices: Sequence[Any], index: int = 0) -> str:
+    """One of ``choices``, each equally likely, from the index-th block of a digest."""
     options = ", ".join(literal(c) for c in choices)
-    return f"element_at(array({options}), CAST(pmod({_block(digest_hex, 0)}, {len(choices)}) AS INT) + 1)"
+    return f"element_at(array({options}), CAST(pmod({_block(digest_hex, index)}, {len(choices)}) AS INT) + 1)"

@@ -128,10 +128,11 @@ def generate_attributes(keys: DataFrame, key: str = "track_id", source: str = "s
 
 def deterministic_time(df: DataFrame, key: str) -> DataFrame:
     """Hour, day of week and weekend flag drawn from the key's digest, for rows that have no time of their own."""
-    timed = df.selectExpr(
-        "*",
-        f"{pick(digest(key, 'hour_of_day'), range(24))} AS hour_of_day",
-        f"{pick(digest(key, 'day_of_week'), range(1, 8))} AS day_of_week",
+    hashed = df.selectExpr("*", f"{digest(key, 'time')} AS _h")
+    timed = hashed.selectExpr(
+        *[f"`{c}`" for c in df.columns],
+        f"{pick('_h', range(24), 0)} AS hour_of_day",
+        f"{pick('_h', range(1, 8), 1)} AS day_of_week",
     )
     return timed.withColumn("is_weekend", F.expr(f"CAST({is_weekend('day_of_week')} AS INT)"))
 

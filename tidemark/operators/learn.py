@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Pipeline, PipelineModel
@@ -98,7 +99,6 @@ class ModelRun:
     scored: DataFrame
     cv_metric: float
     train: DataFrame
-    test: DataFrame
 
     @property
     def predictions(self) -> DataFrame:
@@ -166,20 +166,24 @@ def train_and_score(
     spec: ModelSpec, train: DataFrame, test: DataFrame, key: str, partitions: int | None = None
 ) -> ModelRun:
     metric, model = cross_validate(spec, train, key, partitions=partitions)
-    frame = model_frame(test, spec)
-    return ModelRun(spec, model, model.transform(frame), metric, model_frame(train, spec), frame)
+    return ModelRun(spec, model, model.transform(model_frame(test, spec)), metric, model_frame(train, spec))
 
 
-def run_metrics(run: ModelRun) -> DataFrame:
-    """Long metrics rows of one model: test, cross-validation, baseline and sizes."""
+def run_metrics(run: ModelRun, stored: DataFrame | None = None) -> DataFrame:
+    """Long metrics rows of one model: test, cross-validation, baseline and sizes.
+
+    Pass the ``stored`` predictions if they have been written: reading them back is cheaper than scoring
+    the test rows again.
+    """
     spec = run.spec
+    scored = run.scored if stored is None else stored.withColumnRenamed(spec.predicted_as, "prediction")
     if spec.classifier:
-        test = classification_metrics(run.scored, spec.target)
-        base = baseline_classification(run.test, spec.target).select("accuracy", "f1")
+        test = classification_metrics(scored, spec.target)
+        base = baseline_classification(scored, spec.target)
         cv_name, base_names = "cv_accuracy", ("accuracy", "f1")
     else:
-        test = regression_metrics(run.scored, spec.target)
-        base = baseline_regression(run.test, spec.target).select("rmse", "r2")
+        test = regression_metrics(scored, spec.target)
+        base = baseline_regression(scored, spec.target)
         cv_name, base_names = "cv_rmse", ("rmse", "r2")
 
     def unfold(df: DataFrame, names: Iterable[str], prefix: str) -> DataFrame:
@@ -194,7 +198,7 @@ def run_metrics(run: ModelRun) -> DataFrame:
         run.scored.sparkSession.createDataFrame([(cv_name, float(run.cv_metric))], "metric string, value double"),
         unfold(base, base_names, "baseline_"),
         size(run.train, "train_size"),
-        size(run.test, "test_size"),
+        size(scored, "test_size"),
     ]
     rows = parts[0]
     for part in parts[1:]:
@@ -204,11 +208,10 @@ def run_metrics(run: ModelRun) -> DataFrame:
     )
 
 
-def model_metrics(runs: Sequence[ModelRun]) -> DataFrame:
+def model_metrics(runs: Sequence[ModelRun], stored: Sequence[DataFrame | None] | None = None) -> DataFrame:
     """Metrics of all models in one long table with a fixed schema."""
-    rows = run_metrics(runs[0])
-    for run in runs[1:]:
-        rows = rows.unionByName(run_metrics(run))
+    parts = [run_metrics(run, frame) for run, frame in zip(runs, stored or [None] * len(runs))]
+    rows = reduce(DataFrame.unionByName, parts)
     assert rows.columns == schema("model_metrics").names
     return rows
 

@@ -159,7 +159,8 @@ def build_predictions(spark: SparkSession, lake: Lake) -> list[str]:
     silver = read_table(spark, lake.silver)
     runs = {name: learn.train_and_score(spec, train, silver, "track_id") for name, spec in PREDICTIONS.items()}
     written = [sinks.write_gold(run.predictions, lake.gold, "predictive", name) for name, run in runs.items()]
-    metrics = learn.wide_metrics(learn.model_metrics(list(runs.values())))
+    stored = [read_table(spark, path) for path in written]
+    metrics = learn.wide_metrics(learn.model_metrics(list(runs.values()), stored))
     return [*written, sinks.write_gold(metrics, lake.gold, "predictive", "model_performance_metrics")]
 
 

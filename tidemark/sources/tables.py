@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -37,7 +36,3 @@ def distinct_keys(df: DataFrame, *keys: str, limit: int | None = None) -> DataFr
     """Distinct keys; ``limit`` takes the smallest ones, so that it is repeatable."""
     found = df.select(*keys).distinct()
     return found if limit is None else found.orderBy(*keys).limit(limit)
-
-
-def weekend_as_int(df: DataFrame, source: str = "is_weekend", target: str = "is_weekend_int") -> DataFrame:
-    return df.withColumn(target, F.coalesce(F.col(source).cast("int"), F.lit(0)))
