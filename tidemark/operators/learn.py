@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from ..functions import vocabulary as words
 from ..functions.buckets import ladder, lookup, quadrant
-from ..functions.hashing import digest, unit
 from ..functions.numeric import double, literal, min_max_scale, stable_round
 from ..schemas import schema
 from .metrics import (
@@ -122,8 +121,8 @@ def model_frame(df: DataFrame, spec: ModelSpec, extra: Sequence[str] = ()) -> Da
 
 
 def fold_of(key: str, folds: int = FOLDS) -> str:
-    """Fold number from the key's digest: the same rows are together on any partitioning."""
-    return f"CAST(floor({unit(digest(key, 'fold'))} * {folds}) AS INT)"
+    """Fold number from the key's hash: the same rows are together on any partitioning."""
+    return f"CAST(pmod(xxhash64({key}, 'fold'), {folds}) AS INT)"
 
 
 def evaluator(spec: ModelSpec):
