@@ -47,14 +47,20 @@ def test_latest_row_of_a_source_is_taken_whole(spark):
         [("a", 9.0, 1.0, dt.datetime(2024, 1, 1)), ("a", 2.0, None, dt.datetime(2024, 1, 2))],
         "k string, x double, y double, at timestamp",
     )
-    out = enrich.attach_attributes(events, {"s": source}, "k", {"x": "double", "y": "double"}, "x", latest_by="at")
+    attributes = {"x": "double", "y": "double"}
+    out = enrich.attach_attributes(events, {"s": source}, "k", attributes, "x", latest_by="at")
     assert rows(out, "x", "y") == [(2.0, None)]
+    # Any orderable type will do, and a source without the column has no order of its own.
+    by_version = source.selectExpr("k", "x", "y", "day(at) AS at")
+    both = {"s": by_version, "t": spark.createDataFrame([("a", 5.0)], "k string, y double")}
+    assert rows(enrich.attach_attributes(events, both, "k", attributes, "x", latest_by="at"), "x", "y") == [(2.0, 5.0)]
 
 
 def test_one_per_key_and_merge(spark):
     data = [("a", 1, "x"), ("a", 2, "y"), ("a", 2, "z"), ("b", None, None), (None, 3, "n")]
     df = spark.createDataFrame(data, "k string, v int, t string")
     assert set(enrich.one_per_key(df, ["k"], ["v"]).collect()) == {("a", 2, "z"), ("b", None, None), (None, 3, "n")}
+    assert rows(enrich.one_per_key(df.select("k").where("k = 'a'"), ["k"])) == [("a",)]
     target = spark.createDataFrame([("a", 0, "old"), ("c", 0, "kept")], "k string, v int, t string")
     merged = enrich.merge_latest(target, df.where("k IS NOT NULL"), ["k"], ["v"])
     assert {(r.k, r.t) for r in merged.collect()} == {("a", "z"), ("b", None), ("c", "kept")}

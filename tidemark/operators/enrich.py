@@ -61,6 +61,8 @@ def one_per_key(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str] = (
     An aggregate, not a window: copies of a hot key are merged before the shuffle.
     """
     rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
     order = [*latest_by, *[c for c in rest if c not in latest_by]]
     best = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
     return best.select(*[c if c in keys else f"_row.{c}" for c in df.columns])
@@ -162,18 +164,18 @@ def merge_sources(
     by ``latest_by`` (then by the attributes) is taken whole.
     """
     stacked = []
+    ordered = latest_by is not None and any(latest_by in f.columns for f in sources.values())
     for rank, frame in enumerate(sources.values()):
         have = set(frame.columns)
         values = [f"CAST({f'`{a}`' if a in have else 'NULL'} AS {kind}) AS `{a}`" for a, kind in attributes.items()]
-        order = latest_by if latest_by and latest_by in have else "CAST(NULL AS TIMESTAMP)"
-        stacked.append(frame.selectExpr(key, f"{rank} AS _rank", f"{order} AS _order", *values))
+        order = [f"{latest_by if latest_by in have else 'NULL'} AS _order"] if ordered else []
+        stacked.append(frame.selectExpr(key, f"{rank} AS _rank", *order, *values))
     rows = reduce(DataFrame.unionByName, stacked).where(f"{key} IS NOT NULL")
 
     row = f"struct({', '.join(f'`{a}`' for a in attributes)})"
+    order = f"struct(_order, {row})" if ordered else row
     places = range(len(sources))
-    best = [
-        F.expr(f"max_by({row}, struct(_order, {row})) FILTER (WHERE _rank = {i}) AS _s{i}") for i in places
-    ]
+    best = [F.expr(f"max_by({row}, {order}) FILTER (WHERE _rank = {i}) AS _s{i}") for i in places]
     # Grouping by struct(key) hides the partitioning from the planner on purpose: the join to the events
     # then shuffles this side itself, and only a join of two plain shuffles can have a hot key split by AQE.
     folded = rows.groupBy(F.expr(f"struct({key}) AS _key")).agg(*best)
