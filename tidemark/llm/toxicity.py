@@ -29,13 +29,13 @@ from .texts import Words, byte_chunks, hash_words
 
 CATEGORIES = ("insult", "veiled", "toxic")
 BUCKETS = 1 << 20
-PREFIXES = (4, 5, 6)
+PREFIXES = (4, 6, 8)
 SAMPLE_PER_CLASS = 3000
 FEATURES = 1024
-LEAST_DOCS = 5
+LEAST_DOCS = 3
 FOLDS = 4
-PENALTY = 1.0
-STEPS = 200
+PENALTY = 0.2
+STEPS = 300
 THRESHOLD = 0.5
 INSULTS = """
 idiot idiots idiotic stupid moron moronic loser losers scum trash worthless pathetic clown dumb dumbass fool
