@@ -58,7 +58,8 @@ def _counts(texts: DataFrame) -> np.ndarray:
 def fit(docs: DataFrame, targets: DataFrame) -> np.ndarray:
     """log(target / raw) of each bucket; ``targets`` holds the doc_id of the target documents."""
     ids = targets.select("doc_id").where("doc_id IS NOT NULL").distinct()
-    target = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    # one plan at every size: the labels outgrow a broadcast, and a hash join leaves the texts unsorted
+    target = docs.select("doc_id", "text").join(ids.hint("shuffle_hash"), "doc_id", "left_semi")
     raw, wanted = _counts(docs), _counts(target)
     if not wanted.any():
         return np.zeros(BUCKETS)
