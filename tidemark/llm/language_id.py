@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .texts import string_chunks
 
 BUCKETS = 1 << 15
@@ -101,7 +102,7 @@ def fit(labelled: DataFrame, text: str = "text", language: str = "lang") -> Mode
     """Learn from every row with a text and a language."""
     rows = labelled.select(F.col(text).alias("text"), F.col(language).alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
     counts = rows.mapInArrow(_count_batches, "language string, bucket int, n bigint")
-    totals = counts.groupBy("language", "bucket").agg(F.sum("n").alias("n"))
+    totals = materialize(counts.groupBy("language", "bucket").agg(F.sum("n").alias("n")))
     number = totals.where("bucket = -1").count()
     if number > MAX_LANGUAGES:
         raise ValueError(f"{number} languages: more than {MAX_LANGUAGES}, the bound of the broadcast matrix")
