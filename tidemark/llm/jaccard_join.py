@@ -6,7 +6,8 @@ fixed slice of the hash space first, by rising document frequency over the whole
 once can link nothing), and the others after it; any total order is right for prefix filtering, this one makes
 prefixes rare. A set that has enough unique n-grams to fill its prefix links to nothing and is done; most are.
 
-The prefixes of the rest are dealt by n-gram. Rare n-grams (at most ``RARE`` sets) go to tasks that build a
+The prefixes of the rest are dealt by n-gram; two sets whose prefixes share the n-gram before have met at that
+one and are not compared again. Rare n-grams (at most ``RARE`` sets) go to tasks that build a
 trie of the prefixes below that n-gram, walk it once per different prefix, share partial overlaps along its
 paths and cut subtrees whose remaining lengths cannot reach the needed overlap. What is left is verified on
 the whole sets. Frequent n-grams, which only sets without enough rare ones still hold, are split by set size
@@ -241,24 +242,63 @@ def runs(batches, width: int):
         yield key, rows
 
 
+def whole_groups(batches):
+    """Batches of a stream sorted by its first column, cut so that no key is split."""
+    rest = None
+    for batch in batches:
+        batch = pa.Table.from_batches([batch])
+        if rest is not None:
+            batch = pa.concat_tables([rest, batch])
+        keys = batch.column(0).to_numpy()
+        if not len(keys):
+            continue
+        cut = int(np.searchsorted(keys, keys[-1], "left"))
+        rest = batch.slice(cut)
+        if cut:
+            yield batch.slice(0, cut).combine_chunks()
+    if rest is not None and rest.num_rows:
+        yield rest.combine_chunks()
+
+
 def _rare_pairs(percent: int):
     def pairs(batches):
-        left, right = [], []
-        for _, rows in runs(batches, 1):
-            if len(rows) > 1:
-                ids = [row[0] for row in rows]
-                trie = Trie([tuple(row[3]) for row in rows], [row[1] for row in rows], [row[2] for row in rows], percent)
+        for table in whole_groups(batches):
+            keys, ids, sizes, gones, before = (table.column(i).to_numpy() for i in range(5))
+            starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+            counts = np.diff(np.append(starts, len(keys)))
+            # most groups are pairs: look at their bounds before building anything
+            two = starts[counts == 2]
+            one, other = two, two + 1
+            needed = -(-percent * (sizes[one] + sizes[other]) // (100 + percent))
+            open_ = 1 + np.minimum(sizes[one] - gones[one], sizes[other] - gones[other]) - 1 >= needed
+            open_ &= (before[one] != before[other]) | (before[one] < 0)
+            chosen = np.zeros(len(keys), dtype=bool)
+            chosen[two[open_]] = True
+            chosen[starts[counts > 2]] = True
+            tails = table.column(5).chunk(0) if table.num_rows else None
+            values, edges = tails.values.to_numpy(), tails.offsets.to_numpy()
+            left, right = [], []
+            for start, count in zip(starts[chosen[starts]].tolist(), counts[chosen[starts]].tolist()):
+                rows = range(start, start + count)
+                prior = before[start : start + count]
+                if prior[0] >= 0 and (prior == prior[0]).all():
+                    continue
+                trie = Trie(
+                    [tuple(values[edges[r] : edges[r + 1]].tolist()) for r in rows],
+                    sizes[start : start + count].tolist(),
+                    gones[start : start + count].tolist(),
+                    percent,
+                )
                 for mine, theirs, *state in trie.candidates():
-                    for one in mine:
-                        for other in theirs:
-                            if one != other and (mine is not theirs or one < other) and trie.possible(one, other, *state):
-                                a, b = ids[one], ids[other]
+                    for x in mine:
+                        for y in theirs:
+                            if x == y or mine is theirs and x > y or prior[x] == prior[y] >= 0:
+                                continue
+                            if trie.possible(x, y, *state):
+                                a, b = int(ids[start + x]), int(ids[start + y])
                                 left.append(min(a, b))
                                 right.append(max(a, b))
-            if len(left) > 50_000:
-                yield _pair_batch(left, right)
-                left, right = [], []
-        yield _pair_batch(left, right)
+            yield _pair_batch(left, right)
 
     return pairs
 
@@ -271,11 +311,10 @@ def _frequent_links(percent: int):
     def links(batches):
         for (_, _, one_salt, other_salt), rows in runs(batches, 4):
             left, right = [], []
-            ids, salts = [row[0] for row in rows], [row[1] for row in rows]
-            lower = [row[2] for row in rows]
-            sets = [np.array(row[6], dtype=np.int64) for row in rows]
-            trie = Trie([tuple(row[5]) for row in rows], [row[3] for row in rows], [row[4] for row in rows], percent)
-            above = list(range(len(rows)))
+            ids, salts, lower, sizes, gones, prior, tails, sets = zip(*rows)
+            sets = [np.array(found, dtype=np.int64) for found in sets]
+            trie = Trie([tuple(tail) for tail in tails], list(sizes), list(gones), percent)
+            above = list(range(len(ids)))
 
             def root(member):
                 while above[member] != member:
@@ -292,9 +331,12 @@ def _frequent_links(percent: int):
                         for other in others:
                             if root(one) == root(other):
                                 break
-                            # a pair of one salt belongs to that salt's own block, two larger sets to the next band
+                            # a pair of one salt belongs to that salt's own block, two larger sets to the next band,
+                            # and two sets with the same n-gram before this one have met there
                             if one_salt != other_salt and salts[one] == salts[other] or not (lower[one] or lower[other]):
                                 continue
+                            if prior[one] == prior[other] >= 0:
+                                continue
                             if trie.possible(one, other, *state) and _linked(sets[one], sets[other], percent):
                                 above[root(one)] = root(other)
                                 left.append(min(ids[one], ids[other]))
@@ -321,6 +363,7 @@ def links(docs: DataFrame, firsts: DataFrame, n: int, percent: int) -> DataFrame
         "v",
         "size",
         (F.col("gone") + F.col("pos")).alias("gone"),
+        F.expr("if(pos > 0, keys[pos - 1], -1L)").alias("prior"),
         F.expr("slice(keys, pos + 2, greatest(size(keys) - pos - 1, 0))").alias("tail"),
     )
     rare = F.shiftright("key", CLASS_BITS) <= RARE
@@ -332,8 +375,11 @@ def links(docs: DataFrame, firsts: DataFrame, n: int, percent: int) -> DataFrame
     band = F.floor(F.log("size") / (math.log(100 / percent) * 1.001))
     banded = frequent.join(often, "key").withColumn("own", band)
     banded = banded.select("*", F.explode(F.array("own", F.col("own") - 1)).alias("band"))
-    blocks = banded.groupBy("key", "band").agg(F.count("*").alias("m"), F.max((F.col("own") == F.col("band")).cast("int")).alias("l"))
-    blocks = blocks.where("m > 1 AND l = 1").select("key", "band", F.ceil(F.col("m") / BLOCK_SETS).alias("salts"))
+    # sets that all come from one n-gram before have met there
+    blocks = banded.groupBy("key", "band").agg(
+        F.count("*").alias("m"), F.max(F.col("own") == F.col("band")).alias("l"), F.min("prior").alias("p"), F.max("prior").alias("q")
+    )
+    blocks = blocks.where("m > 1 AND l AND (p < 0 OR p < q)").select("key", "band", F.ceil(F.col("m") / BLOCK_SETS).alias("salts"))
     cut = banded.join(blocks, ["key", "band"]).withColumn("salt", F.pmod(F.xxhash64("v"), F.col("salts")))
     cut = materialize(cut.drop("g"))
 
@@ -355,6 +401,7 @@ def links(docs: DataFrame, firsts: DataFrame, n: int, percent: int) -> DataFrame
         (F.col("own") == F.col("band")).alias("lower"),
         "size",
         "gone",
+        "prior",
         "tail",
         "grams",
     )
