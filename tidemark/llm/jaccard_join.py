@@ -135,96 +135,95 @@ def prefixes(sets: DataFrame, percent: int) -> DataFrame:
 
 
 class Node:
-    __slots__ = ("children", "members", "room", "least")
+    """A run of n-grams with one way on (``label``), then branches; and the sets whose prefix ends here."""
 
-    def __init__(self):
+    __slots__ = ("label", "children", "members", "room", "least")
+
+    def __init__(self, label: tuple, members: list[int], room: int, least: int):
+        self.label, self.members, self.room, self.least = label, members, room, least
         self.children: dict[int, Node] = {}
-        self.members: list[int] = []
-        self.room = -1  # most n-grams that a set below still has at the root
-        self.least = 1 << 62  # size of the smallest set below
 
 
 class Trie:
-    """Sets that share an n-gram, by the rest of their prefixes: ``tails[i]``, ``sizes[i]``, ``gones[i]``."""
+    """Sets that share an n-gram, by the rest of their prefixes: ``tails[i]``, ``sizes[i]``, ``gones[i]``.
+
+    A node knows the most n-grams that a set below it has left at the root (``room``) and the smallest size
+    below it (``least``), which bound what any set below can still share.
+    """
 
     def __init__(self, tails: list[tuple], sizes: list[int], gones: list[int], percent: int):
-        self.tails, self.sizes, self.gones, self.percent = tails, sizes, gones, percent
-        self.root = Node()
-        for member in range(len(tails)):
-            self._add(member)
-
-    def _add(self, member: int) -> None:
-        size, room, node = self.sizes[member], self.sizes[member] - self.gones[member] - 1, self.root
-        for token in (None, *self.tails[member]):
-            if token is not None:
-                node = node.children.setdefault(token, Node())
-            node.room = max(node.room, room)
-            node.least = min(node.least, size)
-        node.members.append(member)
+        self.sizes, self.percent = sizes, percent
+        self.left = [size - gone for size, gone in zip(sizes, gones)]
+        self.by_tail: dict[tuple, list[int]] = {}
+        for member, tail in enumerate(tails):
+            self.by_tail.setdefault(tail, []).append(member)
+        self.root = Node((), [], 0, 1 << 62)
 
     def needed(self, one: int, other: int) -> int:
         return -(-self.percent * (one + other) // (100 + self.percent))
 
-    def leaves(self):
-        stack = [self.root]
-        while stack:
-            node = stack.pop()
-            if node.members:
-                yield node.members
-            stack.extend(node.children.values())
-
-    def near(self, tail: tuple, size: int, room: int):
-        """(members, overlap so far, depth, place in tail) of the nodes that sets with this tail may link to.
-
-        ``size`` is the smallest and ``room`` the largest of the sets that ask.
-        """
-        stack = [(self.root, 0, 0, 1)]
-        end = len(tail)
+    def add(self, tail: tuple, members: list[int]) -> None:
+        room, least = max(self.left[m] for m in members), min(self.sizes[m] for m in members)
+        node, at = self.root, 0
+        while True:
+            node.room, node.least = max(node.room, room), min(node.least, least)
+            if at == len(tail):
+                node.members = members
+                return
+            child = node.children.get(tail[at])
+            if child is None:
+                node.children[tail[at]] = Node(tail[at:], members, room, least)
+                return
+            label, same = child.label, 1
+            while same < len(label) and at + same < len(tail) and label[same] == tail[at + same]:
+                same += 1
+            if same < len(label):  # split the run where the two part
+                upper = Node(label[:same], [], child.room, child.least)
+                upper.children[label[same]] = child
+                child.label = label[same:]
+                node.children[tail[at]] = child = upper
+            node, at = child, at + same
+
+    def near(self, tail: tuple, members: list[int]):
+        """(members, misses here, misses there) of the sets in the trie that one of ``members`` may link to."""
+        size, room = min(self.sizes[m] for m in members), max(self.left[m] for m in members)
+        floor, whole, part, end = -(-size * self.percent // 100), 100 + self.percent, self.percent, len(tail)
+        stack = [(self.root, 0, 0, 0)]
         while stack:
-            node, depth, place, overlap = stack.pop()
-            bound = overlap + min(room - place, node.room - depth)
-            if bound < self.needed(size, max(node.least, -(-size * self.percent // 100))):
-                continue
-            if node.members:
-                yield node.members, overlap, depth, place
-            for token, child in node.children.items():
-                at = place
+            node, at, here, there = stack.pop()
+            need = -(-part * (size + max(node.least, floor)) // whole)
+            most_here, most_there = room - need, node.room - need
+            for token in node.label:
                 while at < end and tail[at] < token:
                     at += 1
+                    here += 1
                 if at == end:  # past the known prefix: the rest may or may not meet
-                    self._all(child, overlap, depth, at, size, room, stack_out := [])
-                    yield from stack_out
-                elif tail[at] == token:
-                    stack.append((child, depth + 1, at + 1, overlap + 1))
+                    break
+                if tail[at] == token:
+                    at += 1
                 else:
-                    stack.append((child, depth + 1, at, overlap))
-
-    def _all(self, node: Node, overlap, depth, place, size, room, out) -> None:
-        stack = [node]
-        while stack:
-            node = stack.pop()
-            if overlap + min(room - place, node.room - depth) < self.needed(size, max(node.least, -(-size * self.percent // 100))):
+                    there += 1
+                    if there > most_there:
+                        break
+            if here > most_here or there > most_there:
                 continue
             if node.members:
-                out.append((node.members, overlap, depth, place))
-            stack.extend(node.children.values())
+                yield node.members, here, there
+            stack.extend((child, at, here, there) for child in node.children.values())
 
-    def possible(self, one: int, other: int, overlap: int, depth: int, place: int) -> bool:
+    def possible(self, one: int, other: int, here: int, there: int) -> bool:
         """Exact bound for two members."""
         a, b = self.sizes[one], self.sizes[other]
-        rest = min(a - self.gones[one] - 1 - place, b - self.gones[other] - 1 - depth)
-        return overlap + rest >= self.needed(a, b) and 100 * min(a, b) >= self.percent * max(a, b)
+        return min(self.left[one] - here, self.left[other] - there) >= self.needed(a, b)
 
     def candidates(self):
-        """Pairs of members, each once; and groups of members with one tail together."""
-        seen = set()
-        for mine in self.leaves():
-            size = min(self.sizes[m] for m in mine)
-            room = max(self.sizes[m] - self.gones[m] - 1 for m in mine)
-            for theirs, overlap, depth, place in self.near(self.tails[mine[0]], size, room):
-                if (id(theirs), id(mine)) not in seen:
-                    seen.add((id(mine), id(theirs)))
-                    yield mine, theirs, overlap, depth, place
+        """Members with one tail against those with another (or the same), each once: the trie grows meanwhile."""
+        for tail, members in self.by_tail.items():
+            if len(members) > 1:
+                yield members, members, 0, 0
+            for others, here, there in self.near(tail, members):
+                yield members, others, here, there
+            self.add(tail, members)
 
 
 def runs(batches, width: int):
@@ -260,6 +259,16 @@ def whole_groups(batches):
         yield rest.combine_chunks()
 
 
+def _may_link(sizes: np.ndarray, gones: np.ndarray, prior: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of sets that share an n-gram can still link, by what lies before it; not those that met before."""
+    small, large = np.minimum.outer(sizes, sizes), np.maximum.outer(sizes, sizes)
+    needed = -(-percent * (small + large) // (100 + percent))
+    fit = (np.minimum.outer(sizes - gones, sizes - gones) >= needed) & (100 * small >= percent * large)
+    fit &= (prior[:, None] != prior[None, :]) | (prior[:, None] < 0)
+    np.fill_diagonal(fit, False)
+    return fit
+
+
 def _rare_pairs(percent: int):
     def pairs(batches):
         for table in whole_groups(batches):
@@ -279,23 +288,18 @@ def _rare_pairs(percent: int):
             values, edges = tails.values.to_numpy(), tails.offsets.to_numpy()
             left, right = [], []
             for start, count in zip(starts[chosen[starts]].tolist(), counts[chosen[starts]].tolist()):
-                rows = range(start, start + count)
-                prior = before[start : start + count]
-                if prior[0] >= 0 and (prior == prior[0]).all():
+                rows = np.arange(start, start + count)
+                fit = _may_link(sizes[rows], gones[rows], before[rows], percent)
+                rows = rows[fit.any(axis=1)]
+                if not len(rows):
                     continue
-                trie = Trie(
-                    [tuple(values[edges[r] : edges[r + 1]].tolist()) for r in rows],
-                    sizes[start : start + count].tolist(),
-                    gones[start : start + count].tolist(),
-                    percent,
-                )
+                fit = fit[np.ix_(rows - start, rows - start)]
+                trie = Trie([tuple(values[edges[r] : edges[r + 1]].tolist()) for r in rows], sizes[rows].tolist(), gones[rows].tolist(), percent)
                 for mine, theirs, *state in trie.candidates():
                     for x in mine:
                         for y in theirs:
-                            if x == y or mine is theirs and x > y or prior[x] == prior[y] >= 0:
-                                continue
-                            if trie.possible(x, y, *state):
-                                a, b = int(ids[start + x]), int(ids[start + y])
+                            if fit[x, y] and (mine is not theirs or x < y) and trie.possible(x, y, *state):
+                                a, b = int(ids[rows[x]]), int(ids[rows[y]])
                                 left.append(min(a, b))
                                 right.append(max(a, b))
             yield _pair_batch(left, right)
