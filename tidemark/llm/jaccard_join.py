@@ -37,6 +37,9 @@ RARE = 64
 BLOCK_SETS = 2000
 CLASS_BITS = 47
 OTHERS = 65535
+TAIL = 32
+TAIL_BITS = 24
+SMALL_ROWS = 200_000
 
 
 def prefix_size(size, percent):
@@ -50,8 +53,8 @@ def least_size(percent: int) -> int:
 
 
 def slice_bound(percent: int) -> int:
-    """Upper end of the hash slice whose document frequencies are counted: half as much again as a prefix."""
-    return int(min(1.0, 1.5 * (1 - percent / 100)) * (1 << 64)) - 1
+    """Upper end of the hash slice whose document frequencies are counted: a little more than a prefix needs."""
+    return int(min(1.0, 1.1 * (1 - percent / 100)) * (1 << 64)) - 1
 
 
 def _sets(data: np.ndarray, offsets: np.ndarray, n: int):
@@ -73,7 +76,7 @@ def _digest(found: np.ndarray) -> bytes:
 
 
 def describe_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, size, digest, low, rest): ``low`` is the counted slice, ``rest`` fills a prefix it is too small for."""
+    """(doc_id, size, digest, low, rest) of every row: ``low`` is the counted slice, ``rest`` fills a prefix it is too small for."""
     bound = np.uint64(slice_bound(percent))
     schema = "doc_id bigint, size bigint, digest binary, low array<bigint>, rest array<bigint>"
 
@@ -107,12 +110,9 @@ def prefixes(sets: DataFrame, percent: int) -> DataFrame:
     ``keys`` are the shared prefix n-grams as ordered numbers (frequency class above hash bits); ``gone``
     counts the unique ones before them.
     """
-    firsts = (
-        sets.where(F.col("size") >= least_size(percent))
-        .groupBy("digest")
-        .agg(F.min("doc_id").alias("owner"), F.first(F.struct("size", "low", "rest")).alias("s"))
-    )
-    firsts = materialize(firsts.select(F.monotonically_increasing_id().alias("v"), "owner", "digest", "s.*"))
+    large = sets.where(F.col("size") >= least_size(percent))
+    first = large.groupBy("digest").agg(F.min("row").alias("row"))
+    firsts = large.join(first.select("row"), "row", "left_semi").withColumnRenamed("row", "v").withColumnRenamed("doc_id", "owner")
     grams = firsts.select("v", F.explode("low").alias("t"))
     shared = grams.groupBy("t").agg(F.count("*").alias("df")).where("df > 1")
     key = f"shiftleft(least(df, {OTHERS - 1}L), {CLASS_BITS}) | shiftrightunsigned(t, {64 - CLASS_BITS})"
@@ -362,19 +362,16 @@ def _linked(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
 def links(docs: DataFrame, firsts: DataFrame, n: int, percent: int) -> DataFrame:
     """Links (a, b) between vertices that join every group; ``firsts`` is the stored result of ``prefixes``."""
     rows = firsts.select("v", "size", "gone", "keys", F.posexplode("keys").alias("pos", "key"))
-    rows = rows.select(
-        "key",
-        "v",
-        "size",
-        (F.col("gone") + F.col("pos")).alias("gone"),
-        F.expr("if(pos > 0, keys[pos - 1], -1L)").alias("prior"),
-        F.expr("slice(keys, pos + 2, greatest(size(keys) - pos - 1, 0))").alias("tail"),
-    )
-    rare = F.shiftright("key", CLASS_BITS) <= RARE
-    dealt = rows.where(rare).repartition("key").sortWithinPartitions("key")
+    is_rare = F.shiftright("key", CLASS_BITS) <= RARE
+    gone, prior = (F.col("gone") + F.col("pos")).alias("gone"), F.expr("if(pos > 0, keys[pos - 1], -1L)").alias("prior")
+    # what comes after is cut to TAIL rare n-grams of 4 bytes: what a trie does not know it takes for shared
+    rarer = F.expr(f"filter(slice(keys, pos + 2, {TAIL}), k -> shiftright(k, {CLASS_BITS}) <= {RARE})")
+    short = F.transform(rarer, lambda k: F.shiftright(k, CLASS_BITS - TAIL_BITS).cast("int")).alias("tail")
+    dealt = rows.where(is_rare).select("key", "v", "size", gone, prior, short).repartition("key").sortWithinPartitions("key")
     pairs = materialize(dealt.mapInArrow(_rare_pairs(percent), "a bigint, b bigint").distinct())
 
-    frequent = rows.where(~rare)
+    whole_tail = F.expr("slice(keys, pos + 2, greatest(size(keys) - pos - 1, 0))").alias("tail")
+    frequent = rows.where(~is_rare).select("key", "v", "size", gone, prior, whole_tail)
     often = frequent.groupBy("key").agg(F.count("*").alias("g")).where("g > 1")
     band = F.floor(F.log("size") / (math.log(100 / percent) * 1.001))
     banded = frequent.join(often, "key").withColumn("own", band)
@@ -388,7 +385,7 @@ def links(docs: DataFrame, firsts: DataFrame, n: int, percent: int) -> DataFrame
     cut = materialize(cut.drop("g"))
 
     involved = pairs.select(F.explode(F.array("a", "b")).alias("v")).unionAll(cut.select("v")).distinct()
-    whole = materialize(whole_sets(docs, firsts.join(involved, "v"), n))
+    whole = materialize(whole_sets(docs, materialize(firsts.join(involved, "v").select("v", "owner", "digest")), n))
 
     one, other = whole.select(F.col("v").alias("a"), F.col("grams").alias("x")), whole.select(F.col("v").alias("b"), F.col("grams").alias("y"))
     met = pairs.join(one, "a").join(other, "b").withColumn("i", F.size(F.array_intersect("x", "y")))
@@ -414,9 +411,14 @@ def links(docs: DataFrame, firsts: DataFrame, n: int, percent: int) -> DataFrame
     return found.unionAll(verified).distinct()
 
 
+def small_or_shuffled(stored: DataFrame) -> DataFrame:
+    """Broadcast a stored table of short rows if it is counted to be small; else its join is shuffled."""
+    return F.broadcast(stored) if stored.count() <= SMALL_ROWS else stored
+
+
 def whole_sets(docs: DataFrame, vertices: DataFrame, n: int) -> DataFrame:
     """(v, grams): the whole sets of some vertices, made again from their owners' texts."""
-    wanted = vertices.select("v", F.col("owner").alias("_owner"), "digest")
+    wanted = small_or_shuffled(vertices.select("v", F.col("owner").alias("_owner"), "digest"))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("_doc"), "text").join(wanted, F.col("_doc").eqNullSafe(F.col("_owner")))
 
     def build(batches):
@@ -451,13 +453,13 @@ def connected(edges: DataFrame) -> DataFrame:
 
 def groups(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
-    sets = materialize(describe_sets(docs, n, percent))
+    sets = materialize(describe_sets(docs, n, percent).withColumn("row", F.monotonically_increasing_id()))
     firsts = materialize(prefixes(sets, percent))
     edges = materialize(links(docs, firsts, n, percent))
-    roots = connected(edges).join(firsts.select("v", "owner", "digest"), "v")
-    smallest = roots.groupBy("root").agg(F.min("owner").alias("component"))
-    joined = roots.join(smallest, "root").select("digest", "component")
     classes = sets.where("size > 0").groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
+    roots = connected(edges).join(firsts.select("v", "digest"), "v").join(classes, "digest").select("root", "digest", "first")
+    smallest = roots.groupBy("root").agg(F.min("first").alias("component"))
+    joined = roots.join(smallest, "root").select("digest", "component")
     named = classes.join(joined, "digest", "left").where("copies > 1 OR component IS NOT NULL")
     named = materialize(named.select("digest", F.coalesce("component", "first").alias("component")))
     return sets.select("doc_id", "size", "digest").join(named, "digest", "left").select(
@@ -468,4 +470,5 @@ def groups(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """The documents whose doc_id names their group, with all their columns."""
     away = groups(docs, n, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("_away")).distinct()
+    away = small_or_shuffled(materialize(away))
     return docs.join(away, docs["doc_id"].cast("bigint") == away["_away"], "left_anti")
