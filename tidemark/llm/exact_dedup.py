@@ -66,9 +66,9 @@ def decide(docs: DataFrame, heavy: int = HEAVY, tracked: int = TRACKED) -> DataF
 
 def deduplicate(docs: DataFrame, heavy: int = HEAVY, tracked: int = TRACKED) -> DataFrame:
     """The rows that stay, with all their columns."""
-    kept = decide(docs, heavy, tracked).where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("digest").alias("_kept_digest"))
-    marked = docs.withColumn("_digest", digest(F.col("text")))
-    joined = marked.join(kept, marked["doc_id"].eqNullSafe(F.col("_kept_id")) & (F.col("_digest") == F.col("_kept_digest")))
+    kept = decide(docs, heavy, tracked).where("kept").select(F.col("doc_id").alias("__dedup_kept_id"), F.col("digest").alias("__dedup_kept_digest"))
+    marked = docs.withColumn("__dedup_digest", digest(F.col("text")))
+    joined = marked.join(kept, marked["doc_id"].eqNullSafe(F.col("__dedup_kept_id")) & (F.col("__dedup_digest") == F.col("__dedup_kept_digest")))
     # rows that repeat id and text meet in one task here anyway, as the join's keys are the same
-    once = Window.partitionBy("_kept_id", "_kept_digest").orderBy("_kept_id")
-    return joined.withColumn("_n", F.row_number().over(once)).where("_n = 1").select(*docs.columns)
+    once = Window.partitionBy("__dedup_kept_id", "__dedup_kept_digest").orderBy("__dedup_kept_id")
+    return joined.withColumn("__dedup_n", F.row_number().over(once)).where("__dedup_n = 1").select(*docs.columns)

@@ -10,7 +10,7 @@ The prefixes of the rest are dealt by n-gram; two sets whose prefixes share the
 one and are not compared again. Rare n-grams (at most ``RARE`` sets) go to tasks that build a
 trie of the prefixes below that n-gram, walk it once per different prefix, share partial overlaps along its
 paths and cut subtrees whose remaining lengths cannot reach the needed overlap. What is left is verified on
-the whole sets. Frequent n-grams, which only sets without enough rare ones still hold, are split by set size
+the whole sets: first one pair for each set, then those pairs that still lie between two groups. Frequent n-grams, which only sets without enough rare ones still hold, are split by set size
 and, above ``BLOCK_SETS``, into pairs of salted blocks; their tasks hold the whole sets, verify in place and
 return only links that join two groups. Groups are components of the links, found by label propagation with
 pointer jumping, checkpointed each round.
@@ -387,10 +387,6 @@ def links(docs: DataFrame, firsts: DataFrame, n: int, percent: int) -> DataFrame
     involved = pairs.select(F.explode(F.array("a", "b")).alias("v")).unionAll(cut.select("v")).distinct()
     whole = materialize(whole_sets(docs, materialize(firsts.join(involved, "v").select("v", "owner", "digest")), n))
 
-    one, other = whole.select(F.col("v").alias("a"), F.col("grams").alias("x")), whole.select(F.col("v").alias("b"), F.col("grams").alias("y"))
-    met = pairs.join(one, "a").join(other, "b").withColumn("i", F.size(F.array_intersect("x", "y")))
-    found = met.where(f"100 * i >= {percent} * (size(x) + size(y) - i)").select("a", "b")
-
     spread = cut.select("*", F.explode(F.expr("sequence(0L, salts - 1)")).alias("peer")).join(whole, "v")
     spread = spread.select(
         "key",
@@ -408,7 +404,20 @@ def links(docs: DataFrame, firsts: DataFrame, n: int, percent: int) -> DataFrame
     )
     place = ["key", "band", "i", "j"]
     verified = spread.repartition(*place).sortWithinPartitions(*place).mapInArrow(_frequent_links(percent), "a bigint, b bigint")
-    return found.unionAll(verified).distinct()
+    # a first pair for each set joins up most of a group; of the other pairs only those between groups are left
+    nearest = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    first = materialize(_verified(nearest, whole, percent).unionAll(verified).distinct())
+    roots = connected(first)
+    root_a, root_b = roots.select(F.col("v").alias("a"), F.col("root").alias("ra")), roots.select(F.col("v").alias("b"), F.col("root").alias("rb"))
+    between = pairs.join(root_a, "a", "left").join(root_b, "b", "left").where("coalesce(ra, a) <> coalesce(rb, b)").select("a", "b")
+    return first.unionAll(_verified(between, whole, percent))
+
+
+def _verified(pairs: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
+    """The pairs that link, by their whole sets."""
+    one, other = whole.select(F.col("v").alias("a"), F.col("grams").alias("x")), whole.select(F.col("v").alias("b"), F.col("grams").alias("y"))
+    met = pairs.join(one, "a").join(other, "b").withColumn("i", F.size(F.array_intersect("x", "y")))
+    return met.where(f"100 * i >= {percent} * (size(x) + size(y) - i)").select("a", "b")
 
 
 def small_or_shuffled(stored: DataFrame) -> DataFrame:
