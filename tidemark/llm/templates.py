@@ -107,6 +107,7 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> Tokens:
         capital = is_a["capital"][data[starts]]
         second = np.minimum(starts + 1, len(data) - 1)
         capital |= (data[starts] == 0xC3) & accented[second]
+        capital &= ~is_a["capital"][data[second]]  # words in capitals are no names
         solid = np.where(is_a["skip"][data], -1, np.arange(len(data)))
         last = np.maximum.accumulate(solid)[np.maximum(starts - 1, 0)]
         opens = (last < offsets[:-1][rows]) | (starts == offsets[:-1][rows])
