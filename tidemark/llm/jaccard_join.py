@@ -10,7 +10,9 @@ The prefixes of the rest are dealt by n-gram; two sets whose prefixes share the
 one and are not compared again. Rare n-grams (at most ``RARE`` sets) go to tasks that build a
 trie of the prefixes below that n-gram, walk it once per different prefix, share partial overlaps along its
 paths and cut subtrees whose remaining lengths cannot reach the needed overlap. What is left is verified on
-the whole sets: first one pair for each set, then those pairs that still lie between two groups. Frequent n-grams, which only sets without enough rare ones still hold, are split by set size
+the whole sets. This is done twice: at first each set gets one partner, and the links found join up most near
+copies; then the tries are walked again for all pairs that still lie between two groups, where an n-gram of one
+group only is left out. So a group of near copies is never expanded into its pairs. Frequent n-grams, which only sets without enough rare ones still hold, are split by set size
 and, above ``BLOCK_SETS``, into pairs of salted blocks; their tasks hold the whole sets, verify in place and
 return only links that join two groups. Groups are components of the links, found by label propagation with
 pointer jumping, checkpointed each round.
@@ -259,20 +261,21 @@ def whole_groups(batches):
         yield rest.combine_chunks()
 
 
-def _may_link(sizes: np.ndarray, gones: np.ndarray, prior: np.ndarray, percent: int) -> np.ndarray:
-    """Which pairs of sets that share an n-gram can still link, by what lies before it; not those that met before."""
+def _may_link(sizes: np.ndarray, gones: np.ndarray, prior: np.ndarray, roots: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of sets that share an n-gram can still link, by what lies before it; not those that met before or are of one group."""
     small, large = np.minimum.outer(sizes, sizes), np.maximum.outer(sizes, sizes)
     needed = -(-percent * (small + large) // (100 + percent))
     fit = (np.minimum.outer(sizes - gones, sizes - gones) >= needed) & (100 * small >= percent * large)
     fit &= (prior[:, None] != prior[None, :]) | (prior[:, None] < 0)
-    np.fill_diagonal(fit, False)
-    return fit
+    return fit & (roots[:, None] != roots[None, :])
 
 
-def _rare_pairs(percent: int):
+def _rare_pairs(percent: int, one_each: bool):
+    """Pairs of different roots that may link; with ``one_each`` only as many per n-gram as give every set a partner."""
+
     def pairs(batches):
         for table in whole_groups(batches):
-            keys, ids, sizes, gones, before = (table.column(i).to_numpy() for i in range(5))
+            keys, ids, sizes, gones, before, roots = (table.column(i).to_numpy() for i in range(6))
             starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
             counts = np.diff(np.append(starts, len(keys)))
             # most groups are pairs: look at their bounds before building anything
@@ -280,25 +283,29 @@ def _rare_pairs(percent: int):
             one, other = two, two + 1
             needed = -(-percent * (sizes[one] + sizes[other]) // (100 + percent))
             open_ = 1 + np.minimum(sizes[one] - gones[one], sizes[other] - gones[other]) - 1 >= needed
-            open_ &= (before[one] != before[other]) | (before[one] < 0)
+            open_ &= ((before[one] != before[other]) | (before[one] < 0)) & (roots[one] != roots[other])
             chosen = np.zeros(len(keys), dtype=bool)
             chosen[two[open_]] = True
             chosen[starts[counts > 2]] = True
-            tails = table.column(5).chunk(0) if table.num_rows else None
+            tails = table.column(6).chunk(0) if table.num_rows else None
             values, edges = tails.values.to_numpy(), tails.offsets.to_numpy()
             left, right = [], []
             for start, count in zip(starts[chosen[starts]].tolist(), counts[chosen[starts]].tolist()):
                 rows = np.arange(start, start + count)
-                fit = _may_link(sizes[rows], gones[rows], before[rows], percent)
+                fit = _may_link(sizes[rows], gones[rows], before[rows], roots[rows], percent)
                 rows = rows[fit.any(axis=1)]
                 if not len(rows):
                     continue
                 fit = fit[np.ix_(rows - start, rows - start)]
                 trie = Trie([tuple(values[edges[r] : edges[r + 1]].tolist()) for r in rows], sizes[rows].tolist(), gones[rows].tolist(), percent)
+                paired = [False] * len(rows)
                 for mine, theirs, *state in trie.candidates():
                     for x in mine:
                         for y in theirs:
+                            if one_each and paired[x] and paired[y]:
+                                continue
                             if fit[x, y] and (mine is not theirs or x < y) and trie.possible(x, y, *state):
+                                paired[x] = paired[y] = True
                                 a, b = int(ids[rows[x]]), int(ids[rows[y]])
                                 left.append(min(a, b))
                                 right.append(max(a, b))
@@ -367,8 +374,16 @@ def links(docs: DataFrame, firsts: DataFrame, n: int, percent: int) -> DataFrame
     # what comes after is cut to TAIL rare n-grams of 4 bytes: what a trie does not know it takes for shared
     rarer = F.expr(f"filter(slice(keys, pos + 2, {TAIL}), k -> shiftright(k, {CLASS_BITS}) <= {RARE})")
     short = F.transform(rarer, lambda k: F.shiftright(k, CLASS_BITS - TAIL_BITS).cast("int")).alias("tail")
-    dealt = rows.where(is_rare).select("key", "v", "size", gone, prior, short).repartition("key").sortWithinPartitions("key")
-    pairs = materialize(dealt.mapInArrow(_rare_pairs(percent), "a bigint, b bigint").distinct())
+    rare = rows.where(is_rare).select("key", "v", "size", gone, prior, short)
+
+    def pairs(rooted, one_each):
+        dealt = rooted.select("key", "v", "size", "gone", "prior", "root", "tail").repartition("key").sortWithinPartitions("key")
+        return dealt.mapInArrow(_rare_pairs(percent, one_each), "a bigint, b bigint")
+
+    # at first every set gets one partner; this covers all sets that have any
+    partners = pairs(rare.withColumn("root", F.col("v")), True)
+    ways = F.explode(F.array(F.struct(F.col("a").alias("v"), F.col("b").alias("w")), F.struct(F.col("b").alias("v"), F.col("a").alias("w"))))
+    nearest = materialize(partners.select(ways.alias("way")).groupBy("way.v").agg(F.min("way.w").alias("w")))
 
     whole_tail = F.expr("slice(keys, pos + 2, greatest(size(keys) - pos - 1, 0))").alias("tail")
     frequent = rows.where(~is_rare).select("key", "v", "size", gone, prior, whole_tail)
@@ -384,7 +399,7 @@ def links(docs: DataFrame, firsts: DataFrame, n: int, percent: int) -> DataFrame
     cut = banded.join(blocks, ["key", "band"]).withColumn("salt", F.pmod(F.xxhash64("v"), F.col("salts")))
     cut = materialize(cut.drop("g"))
 
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("v")).unionAll(cut.select("v")).distinct()
+    involved = nearest.select("v").unionAll(cut.select("v")).distinct()
     whole = materialize(whole_sets(docs, materialize(firsts.join(involved, "v").select("v", "owner", "digest")), n))
 
     spread = cut.select("*", F.explode(F.expr("sequence(0L, salts - 1)")).alias("peer")).join(whole, "v")
@@ -404,12 +419,13 @@ def links(docs: DataFrame, firsts: DataFrame, n: int, percent: int) -> DataFrame
     )
     place = ["key", "band", "i", "j"]
     verified = spread.repartition(*place).sortWithinPartitions(*place).mapInArrow(_frequent_links(percent), "a bigint, b bigint")
-    # a first pair for each set joins up most of a group; of the other pairs only those between groups are left
-    nearest = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    first = materialize(_verified(nearest, whole, percent).unionAll(verified).distinct())
-    roots = connected(first)
-    root_a, root_b = roots.select(F.col("v").alias("a"), F.col("root").alias("ra")), roots.select(F.col("v").alias("b"), F.col("root").alias("rb"))
-    between = pairs.join(root_a, "a", "left").join(root_b, "b", "left").where("coalesce(ra, a) <> coalesce(rb, b)").select("a", "b")
+    # those first pairs join up most of a group of near copies; n-grams of one group only are then done
+    near = nearest.select(F.least("v", "w").alias("a"), F.greatest("v", "w").alias("b")).distinct()
+    first = materialize(_verified(near, whole, percent).unionAll(verified).distinct())
+    roots = small_or_shuffled(materialize(connected(first).where("root <> v")))
+    told = rare.join(roots, "v", "left").withColumn("root", F.coalesce("root", "v"))
+    open_keys = told.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
+    between = pairs(told.join(small_or_shuffled(materialize(open_keys)), "key", "left_semi"), False).distinct()
     return first.unionAll(_verified(between, whole, percent))
 
 
