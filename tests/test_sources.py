@@ -124,6 +124,13 @@ def test_dynamic_overwrite_replaces_only_given_partitions(spark):
     assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(3, "y"), (4, "x")]
 
 
+def test_whole_overwrite_leaves_no_old_partition(spark):
+    path = scratch_path(spark, "whole")
+    sinks.write_table(spark.createDataFrame([(1, "x"), (2, "y")], "v int, d string"), path, partition_by=["d"], whole=True)
+    sinks.write_table(spark.createDataFrame([(3, "y")], "v int, d string"), path, partition_by=["d"], whole=True)
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(3, "y")]
+
+
 def test_tables_can_be_put_in_the_catalog(spark):
     path = sinks.write_table(spark.range(3), scratch_path(spark, "cat"))
     sinks.create_tables(spark, {"tidemark_catalog_test": path})

@@ -165,8 +165,8 @@ def distinct_count(df: DataFrame, *keys: str, approximate: bool = False, relativ
     return df.agg(F.count_distinct(target).alias("distinct_count"))
 
 
-def null_profile(df: DataFrame, top: int | None = 5) -> DataFrame:
-    """Columns with NULLs, most first, from one aggregate."""
+def null_profile(df: DataFrame, top: int | None = None) -> DataFrame:
+    """Columns with NULLs (all, or the first ``top``), most first, from one aggregate."""
     rows = [
         f"named_struct('column_name', {literal(c)}, 'null_count', count_if(`{c}` IS NULL))" for c in df.columns
     ]

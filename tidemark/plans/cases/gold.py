@@ -464,4 +464,4 @@ _NULLABLE = [
 
 @query("null_profile", over_enriched(_null_sql(_NULLABLE)))
 def null_profile(spark, sf):
-    return profiles.null_profile(enriched(spark, sf).select(*_NULLABLE))
+    return profiles.null_profile(enriched(spark, sf).select(*_NULLABLE), top=5)

@@ -107,7 +107,7 @@ def build_silver(spark: SparkSession, lake: Lake, tracks_path: str | None = None
 
 
 def write_silver(df: DataFrame, lake: Lake) -> str:
-    return sinks.write_table(df, lake.silver, partition_by=["date"])
+    return sinks.write_table(df, lake.silver, partition_by=["date"], whole=True)
 
 
 # --- gold ----------------------------------------------------------------------------------------
@@ -249,7 +249,7 @@ def run_steps(steps: Sequence[Step]) -> Outcome:
             step.run()
             outcome.rows.append((step.name, True, time.monotonic() - started, ""))
         except Exception as error:  # a step that is not critical must not stop the others
-            outcome.rows.append((step.name, False, time.monotonic() - started, str(error)[:500]))
+            outcome.rows.append((step.name, False, time.monotonic() - started, str(error)))
             if step.critical:
                 break
     return outcome

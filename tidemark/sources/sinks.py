@@ -19,16 +19,18 @@ def write_table(
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
     max_records_per_file: int | None = None,
+    whole: bool = False,
 ) -> str:
     """Write parquet. Partitioned output is rebalanced first: small partitions get few files, large ones many.
 
-    With ``partitionOverwriteMode=dynamic`` an overwrite replaces only the partitions present in ``df``.
+    An overwrite of a partitioned table replaces only the partitions present in ``df``, or the ``whole``
+    table: a full rebuild must not leave partitions that no longer have rows.
     """
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = df.write.mode(mode)
     if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "static" if whole else "dynamic")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.parquet(path)
