@@ -124,6 +124,17 @@ def test_dynamic_overwrite_replaces_only_given_partitions(spark):
     assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(3, "y"), (4, "x")]
 
 
+def test_appended_null_keys_are_not_stored_again(spark):
+    path = scratch_path(spark, "nulls")
+    rows = spark.sql(
+        "SELECT * FROM VALUES (NULL, TIMESTAMP'2024-01-01 10:00:00', 1), ('a', NULL, 2), ('b', TIMESTAMP'2024-01-02 10:00:00', 3) "
+        "AS t(track_id, played_at, v)"
+    )
+    for _ in range(2):
+        sinks.append_new(rows, path)
+    assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 2, 3]
+
+
 def test_whole_overwrite_leaves_no_old_partition(spark):
     path = scratch_path(spark, "whole")
     sinks.write_table(spark.createDataFrame([(1, "x"), (2, "y")], "v int, d string"), path, partition_by=["d"], whole=True)

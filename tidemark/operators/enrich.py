@@ -68,8 +68,11 @@ def one_per_key(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str] = (
     return best.select(*[c if c in keys else f"_row.{c}" for c in df.columns])
 
 
-def new_rows(batch: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``batch`` whose key is not in ``existing``."""
+def new_rows(batch: DataFrame, existing: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
+    """Rows of ``batch`` whose key is not in ``existing``. A NULL key is always new, or with ``null_safe`` equals a NULL."""
+    if null_safe:
+        stored = existing.select(*[F.col(k).alias(f"_stored_{k}") for k in keys])
+        return batch.join(stored, [F.col(k).eqNullSafe(F.col(f"_stored_{k}")) for k in keys], "left_anti")
     return batch.join(existing.select(*keys), list(keys), "left_anti")
 
 

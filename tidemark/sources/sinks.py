@@ -62,8 +62,8 @@ def append_new(
     existing = read_optional(df.sparkSession, path)
     if existing is not None:
         span = df.agg(F.to_date(F.min(ts)).alias("first"), F.to_date(F.max(ts)).alias("last")).first()
-        stored = existing.where(F.col(partition).between(span["first"], span["last"]))
-        batch = new_rows(batch, stored, keys)
+        in_span = F.col(partition).between(span["first"], span["last"]) | F.col(partition).isNull()
+        batch = new_rows(batch, existing.where(in_span), keys, null_safe=True)
     return write_table(batch, path, mode="append", partition_by=[partition])
 
 
