@@ -12,10 +12,14 @@ trie of the prefixes below that n-gram, walk it once per different prefix, share
 paths and cut subtrees whose remaining lengths cannot reach the needed overlap. What is left is verified on
 the whole sets. This is done twice: at first each set gets one partner, and the links found join up most near
 copies; then the tries are walked again for all pairs that still lie between two groups, where an n-gram of one
-group only is left out. So a group of near copies is never expanded into its pairs. Frequent n-grams, which only sets without enough rare ones still hold, are split by set size
-and, above ``BLOCK_SETS``, into pairs of salted blocks; their tasks hold the whole sets, verify in place and
-return only links that join two groups. Groups are components of the links, found by label propagation with
-pointer jumping, checkpointed each round.
+group only is left out. So a group of near copies is never expanded into its pairs.
+
+Frequent n-grams, which only sets without enough rare ones still hold, are split by set size and, above
+``BLOCK_SETS``, into pairs of salted blocks. Their tasks walk a trie too, hold a sketch of each set (parities,
+which bound exactly how many n-grams two sets differ in) and return a forest of sets that may link. Its pairs are
+verified with the others; where a forest then still holds several groups, its sets are walked again with their
+whole n-grams and verified in place. Groups are components of the links, found by label propagation with pointer
+jumping, checkpointed each round.
 
 Defined results: null and empty texts have 0 n-grams and stand alone; a text with fewer words than n is one
 n-gram; repeated rows are one vertex; rows with a null doc_id take part, and the smallest non-null doc_id of
@@ -318,44 +322,102 @@ def _pair_batch(left, right):
     return pa.RecordBatch.from_pydict({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
 
 
-def _frequent_links(percent: int):
-    def links(batches):
-        for (_, _, one_salt, other_salt), rows in runs(batches, 4):
-            left, right = [], []
-            ids, salts, lower, sizes, gones, prior, tails, sets = zip(*rows)
-            sets = [np.array(found, dtype=np.int64) for found in sets]
-            trie = Trie([tuple(tail) for tail in tails], list(sizes), list(gones), percent)
-            above = list(range(len(ids)))
-
-            def root(member):
-                while above[member] != member:
-                    above[member] = above[above[member]]
-                    member = above[member]
-                return member
-
-            for mine, theirs, *state in trie.candidates():
-                groups: dict[int, list[int]] = {}
-                for other in theirs:
-                    groups.setdefault(root(other), []).append(other)
-                for one in mine:
-                    for others in list(groups.values()):
-                        for other in others:
-                            if root(one) == root(other):
-                                break
-                            # a pair of one salt belongs to that salt's own block, two larger sets to the next band,
-                            # and two sets with the same n-gram before this one have met there
-                            if one_salt != other_salt and salts[one] == salts[other] or not (lower[one] or lower[other]):
-                                continue
-                            if prior[one] == prior[other] >= 0:
-                                continue
-                            if trie.possible(one, other, *state) and _linked(sets[one], sets[other], percent):
-                                above[root(one)] = root(other)
-                                left.append(min(ids[one], ids[other]))
-                                right.append(max(ids[one], ids[other]))
-                                break
-            yield _pair_batch(left, right)
+class Block:
+    """Sets that share a frequent n-gram, or those of them that may link, in one task; a union-find joins them up."""
+
+    def __init__(self, rows, percent: int, roots=None):
+        self.ids, self.salts, self.lower, self.sizes, gones, self.prior, tails = zip(*rows)
+        self.trie = Trie([tuple(tail) for tail in tails], list(self.sizes), list(gones), percent)
+        firsts: dict[int, int] = {}
+        self.above = [firsts.setdefault(root, member) for member, root in enumerate(roots or self.ids)]
+
+    def root(self, member: int) -> int:
+        above = self.above
+        while above[member] != member:
+            above[member] = above[above[member]]
+            member = above[member]
+        return member
+
+    def meet_here(self, one: int, other: int, same_salt: bool) -> bool:
+        """A pair of one salt belongs to that salt's own block, two larger sets to the next band, and two sets with
+        the same n-gram before this one have met there."""
+        if not same_salt and self.salts[one] == self.salts[other] or not (self.lower[one] or self.lower[other]):
+            return False
+        return not self.prior[one] == self.prior[other] >= 0
+
+    def joins(self, same_salt: bool, test):
+        """Pairs that pass ``test``, of two groups each, which are then one; pairs within a group are not looked at."""
+        root = self.root
+        for mine, theirs, *state in self.trie.candidates():
+            groups: dict[int, list[int]] = {}
+            for other in theirs:
+                groups.setdefault(root(other), []).append(other)
+            for one in mine:
+                for others in groups.values():
+                    for other in others:
+                        if root(one) == root(other):
+                            break
+                        if self.meet_here(one, other, same_salt) and self.trie.possible(one, other, *state) and test(one, other):
+                            self.above[root(one)] = root(other)
+                            yield one, other
+                            break
+
+
+def _likely_joins(percent: int):
+    """Per block, the joins of sets that may link by their sketches, and the smallest set of what they join up."""
+    names = ("key", "band", "i", "j", "forest", "v", "w")
+
+    def joins(batches):
+        for place, rows in runs(batches, 4):
+            block = Block([row[:7] for row in rows], percent)
+            sizes, needed = block.sizes, block.trie.needed
+            sketches = fold_alike([row[7] for row in rows])
+
+            def close(one, other):
+                room = sizes[one] + sizes[other] - 2 * needed(sizes[one], sizes[other])
+                return (sketches[one] ^ sketches[other]).bit_count() <= room
+
+            found = [(block.ids[one], block.ids[other], one) for one, other in block.joins(place[2] == place[3], close)]
+            made = [(*place, block.ids[block.root(at)], one, other) for one, other, at in found]
+            yield pa.RecordBatch.from_arrays([pa.array(column, pa.int64()) for column in (zip(*made) if made else [[]] * 7)], names)
+
+    return joins
+
+
+def _exact_joins(percent: int):
+    """Links that join two groups among the sets of one forest; ``root`` tells which are joined already."""
+
+    def joins(batches):
+        for (_, _, one_salt, other_salt, _), rows in runs(batches, 5):
+            block = Block([row[:7] for row in rows], percent, [row[7] for row in rows])
+            sets = [np.array(row[8], dtype=np.int64) for row in rows]
+            found = block.joins(one_salt == other_salt, lambda one, other: _linked(sets[one], sets[other], percent))
+            made = [(block.ids[one], block.ids[other]) for one, other in found]
+            yield _pair_batch([min(pair) for pair in made], [max(pair) for pair in made])
+
+    return joins
+
+
+def sketch(found: np.ndarray) -> bytes:
+    """Parities of a set's n-grams by their last hash bits, about two places for each.
+
+    Two sets differ in at least as many n-grams as their sketches do in bits, so the bound that sketches give is exact.
+    """
+    places = 1 << max(8, int(2 * len(found) - 1).bit_length())
+    counts = np.bincount((found & np.uint64(places - 1)).astype(np.int64), minlength=places)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
 
-    return links
+def fold_alike(sketches: list[bytes]) -> list[int]:
+    """Sketches as numbers, folded to the length of the shortest."""
+    shortest, folded = 8 * min(map(len, sketches)), []
+    for one in sketches:
+        number, places = int.from_bytes(one, "little"), 8 * len(one)
+        while places > shortest:
+            places //= 2
+            number = (number ^ (number >> places)) & ((1 << places) - 1)
+        folded.append(number)
+    return folded
 
 
 def _linked(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
@@ -402,7 +464,8 @@ def links(docs: DataFrame, firsts: DataFrame, n: int, percent: int) -> DataFrame
     involved = nearest.select("v").unionAll(cut.select("v")).distinct()
     whole = materialize(whole_sets(docs, materialize(firsts.join(involved, "v").select("v", "owner", "digest")), n))
 
-    spread = cut.select("*", F.explode(F.expr("sequence(0L, salts - 1)")).alias("peer")).join(whole, "v")
+    spread = cut.select("*", F.explode(F.expr("sequence(0L, salts - 1)")).alias("peer"))
+    place = ["key", "band", "i", "j"]
     spread = spread.select(
         "key",
         "band",
@@ -415,34 +478,69 @@ def links(docs: DataFrame, firsts: DataFrame, n: int, percent: int) -> DataFrame
         "gone",
         "prior",
         "tail",
-        "grams",
     )
-    place = ["key", "band", "i", "j"]
-    verified = spread.repartition(*place).sortWithinPartitions(*place).mapInArrow(_frequent_links(percent), "a bigint, b bigint")
+    sketched = spread.join(whole.select("v", "sketch"), "v").select(*spread.columns, "sketch")
+    likely = sketched.repartition(*place).sortWithinPartitions(*place).mapInArrow(
+        _likely_joins(percent), "key bigint, band bigint, i bigint, j bigint, forest bigint, v bigint, w bigint"
+    )
+    likely = materialize(likely)
+
     # those first pairs join up most of a group of near copies; n-grams of one group only are then done
-    near = nearest.select(F.least("v", "w").alias("a"), F.greatest("v", "w").alias("b")).distinct()
-    first = materialize(_verified(near, whole, percent).unionAll(verified).distinct())
+    near = nearest.select("v", "w").unionAll(likely.select("v", "w")).select(F.least("v", "w").alias("a"), F.greatest("v", "w").alias("b")).distinct()
+    first = materialize(_verified(near, whole, percent))
     roots = small_or_shuffled(materialize(connected(first).where("root <> v")))
+
+    # in a frequent block, all sets that may link are in one forest: only those of several groups are looked at again
+    members = likely.select(*place, "forest", F.explode(F.array("v", "w")).alias("v")).distinct()
+    members = members.join(roots, "v", "left").withColumn("root", F.coalesce("root", "v"))
+    forests = members.groupBy(*place, "forest").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    members = materialize(members.join(forests.drop("low", "high"), [*place, "forest"]))
+    again = small_or_shuffled(materialize(spread.join(small_or_shuffled(members), [*place, "v"])))
+    again = again.join(whole.select("v", "grams"), "v")
+    place = [*place, "forest"]
+    again = again.select(*place, "v", "salt", "lower", "size", "gone", "prior", "tail", "root", "grams")
+    exact = again.repartition(*place).sortWithinPartitions(*place).mapInArrow(_exact_joins(percent), "a bigint, b bigint")
+
     told = rare.join(roots, "v", "left").withColumn("root", F.coalesce("root", "v"))
     open_keys = told.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
     between = pairs(told.join(small_or_shuffled(materialize(open_keys)), "key", "left_semi"), False).distinct()
-    return first.unionAll(_verified(between, whole, percent))
+    return first.unionAll(_verified(between, whole, percent)).unionAll(exact)
 
 
 def _verified(pairs: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
-    """The pairs that link, by their whole sets."""
-    one, other = whole.select(F.col("v").alias("a"), F.col("grams").alias("x")), whole.select(F.col("v").alias("b"), F.col("grams").alias("y"))
-    met = pairs.join(one, "a").join(other, "b").withColumn("i", F.size(F.array_intersect("x", "y")))
+    """The pairs that link: by their sketches at first, and what is left by the whole sets."""
+    x = whole.select(F.col("v").alias("a"), F.size("grams").alias("m"), F.col("sketch").alias("p"))
+    y = whole.select(F.col("v").alias("b"), F.size("grams").alias("n"), F.col("sketch").alias("q"))
+    sketched = pairs.join(x, "a").join(y, "b").select("a", "b", "m", "n", "p", "q")
+    likely = materialize(sketched.mapInArrow(_close_pairs(percent), "a bigint, b bigint"))
+    ids = small_or_shuffled(materialize(likely.select(F.explode(F.array("a", "b")).alias("v")).distinct()))
+    sets = whole.select("v", "grams").join(ids, "v", "left_semi")
+    one, other = sets.select(F.col("v").alias("a"), F.col("grams").alias("x")), sets.select(F.col("v").alias("b"), F.col("grams").alias("y"))
+    met = likely.join(one, "a").join(other, "b").withColumn("i", F.size(F.array_intersect("x", "y")))
     return met.where(f"100 * i >= {percent} * (size(x) + size(y) - i)").select("a", "b")
 
 
+def _close_pairs(percent: int):
+    def close(batches):
+        for batch in batches:
+            left, right = [], []
+            for a, b, m, n, *both in zip(*(column.to_pylist() for column in batch.columns)):
+                p, q = fold_alike(both)
+                if (p ^ q).bit_count() <= m + n - 2 * -(-percent * (m + n) // (100 + percent)):
+                    left.append(a)
+                    right.append(b)
+            yield _pair_batch(left, right)
+
+    return close
+
+
 def small_or_shuffled(stored: DataFrame) -> DataFrame:
     """Broadcast a stored table of short rows if it is counted to be small; else its join is shuffled."""
     return F.broadcast(stored) if stored.count() <= SMALL_ROWS else stored
 
 
 def whole_sets(docs: DataFrame, vertices: DataFrame, n: int) -> DataFrame:
-    """(v, grams): the whole sets of some vertices, made again from their owners' texts."""
+    """(v, grams, sketch): the whole sets of some vertices, made again from their owners' texts."""
     wanted = small_or_shuffled(vertices.select("v", F.col("owner").alias("_owner"), "digest"))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("_doc"), "text").join(wanted, F.col("_doc").eqNullSafe(F.col("_owner")))
 
@@ -455,11 +553,12 @@ def whole_sets(docs: DataFrame, vertices: DataFrame, n: int) -> DataFrame:
                     {
                         "v": batch.column(0).slice(low, len(found)).filter(pa.array(right)),
                         "grams": pa.array([x.view(np.int64) for x, ok in zip(found, right) if ok], pa.list_(pa.int64())),
+                        "sketch": pa.array([sketch(x) for x, ok in zip(found, right) if ok], pa.binary()),
                     }
                 )
 
-    made = rows.select("v", "digest", "text").mapInArrow(build, "v bigint, grams array<bigint>")
-    return made.groupBy("v").agg(F.first("grams").alias("grams"))  # rows that repeat id and text
+    made = rows.select("v", "digest", "text").mapInArrow(build, "v bigint, grams array<bigint>, sketch binary")
+    return made.groupBy("v").agg(F.first("grams").alias("grams"), F.first("sketch").alias("sketch"))  # rows that repeat id and text
 
 
 def connected(edges: DataFrame) -> DataFrame:
