@@ -145,6 +145,24 @@ def test_decontamination_catches_other_numbers_and_names(spark):
     assert pairs(found, "doc_id", "kind") == [(1, "reparameterised"), (2, None), (3, "exact")]
 
 
+@pytest.mark.parametrize(
+    ("item", "text"),
+    [
+        ("Compute 12 + 34 + 56 + 78 + 90.", "So: compute 12 + 34 + 56 + 78 + 90. Then rest."),
+        ("Which city is the largest one in northern Spain?", "Q1 Which city is the largest one in northern Spain?"),
+        ("Which city is the largest one in northern Spain?", "Question - Which city is the largest one in northern Spain?"),
+        ("Did Anna meet Paul in Rome before Lisa and Greta met Hans in Bonn?", "did anna meet paul in rome before lisa and greta met hans in bonn?"),
+        ("Name two primes.", "1) Name two primes. 2) Add them."),
+    ],
+)
+def test_decontamination_finds_copies_that_are_no_templates(spark, item, text):
+    docs = spark.createDataFrame([(1, text), (2, "Name three primes, which city is large, compute 12 + 34")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, item), (8, None), (9, "")], "item_id bigint, text string")
+    found = templates.search(docs, items)
+    assert pairs(found, "doc_id", "kind", "coverage", "items") == [(1, "exact", 1.0, [7]), (2, None, 0.0, [])]
+    assert [r.doc_id for r in templates.remove(docs, items).collect()] == [2]
+
+
 def test_exact_dedup(docs, empty):
     found = exact_dedup.decide(docs).collect()
     assert len(found) == len(ROWS)

@@ -9,9 +9,10 @@ which catches questions asked again with other numbers and names. The benchmark
 ``SLAB_BYTES`` (a larger item is a slab of its own), one pass each, so a broadcast never exceeds its bound.
 
 A document is contaminated if a chain covers ``MIN_TOKENS`` tokens, or the whole of a shorter item, with
-consistent slots, or that many consecutive tokens unchanged. Windows need ``MIN_PLAIN`` tokens that are not
-placeholders; items of fewer than ``MIN_ITEM`` tokens are too short to tell a leak from chance and are not
-searched for.
+consistent slots. Template windows need ``MIN_PLAIN`` tokens that are not placeholders, and items of fewer than
+``MIN_ITEM`` tokens are no templates. Beside them, windows of the plain lower-cased words are matched for items of
+every length and with any words: that many unchanged tokens on one diagonal are an exact copy, whatever the
+placeholders would be. An item of one or two words thus marks every document that has them.
 
 Defined results: null and empty texts are clean; a null or empty item matches nothing; repeated items are all
 listed; an empty benchmark leaves everything clean; other columns are passed through by ``remove``.
@@ -128,74 +129,122 @@ def _member(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[place] == values
 
 
-def _windows(found: Tokens, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all windows, and which of them lie in one text and are plain enough."""
-    hashes = ngrams(found.canonical, size)
-    if not len(hashes):
-        return hashes, np.zeros(0, dtype=bool)
-    plain = np.concatenate(([0], np.cumsum(found.kind == PLAIN)))
-    enough = plain[size:] - plain[:-size] >= min(MIN_PLAIN, size)
-    return hashes, enough & (found.rows[size - 1 :] == found.rows[: len(hashes)])
+def _windows(hashes: np.ndarray, rows: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all windows, and which of them lie in one text."""
+    made = ngrams(hashes, size)
+    return made, rows[size - 1 :][: len(made)] == rows[: len(made)]
+
+
+def _plain_enough(kind: np.ndarray, size: int) -> np.ndarray:
+    plain = np.concatenate(([0], np.cumsum(kind == PLAIN)))
+    return plain[size:] - plain[:-size] >= min(MIN_PLAIN, size)
+
+
+class Table:
+    """Windows of one size, sorted by hash, with their places."""
+
+    def __init__(self, size: int, hashes: np.ndarray, at: np.ndarray):
+        self.size = size
+        self.places = at[np.argsort(hashes[at], kind="stable")]
+        self.keys = hashes[self.places]
+        self.likely = np.zeros(1 << FILTER_BITS, dtype=bool)
+        self.likely[self.keys >> np.uint64(64 - FILTER_BITS)] = True
+
+    def meet(self, hashes: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(position, place) of all pairs of a good window and one of the table with its hash."""
+        at = np.flatnonzero(good & self.likely[hashes >> np.uint64(64 - FILTER_BITS)])
+        low, high = np.searchsorted(self.keys, hashes[at], "left"), np.searchsorted(self.keys, hashes[at], "right")
+        counts = high - low
+        skipped = np.repeat(low - (np.cumsum(counts) - counts), counts)
+        return np.repeat(at, counts), self.places[skipped + np.arange(len(skipped))]
 
 
 class Index:
-    """Windows of some benchmark items, by window size."""
+    """Windows of some benchmark items, by window size: of the plain words, and of the canonical tokens."""
 
     def __init__(self, items: list[tuple[int | None, str | None]]):
         self.ids = [i for i, _ in items]
         texts = [(t or "").encode() for _, t in items]
         offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
         found = tokens(np.frombuffer(b"".join(texts), dtype=np.uint8), offsets)
-        self.raw, self.kind, self.bounds = found.raw, found.kind, found.bounds
-        lengths = np.diff(found.bounds)
-        size_of = np.where(lengths >= WINDOW, WINDOW, np.where(lengths >= MIN_ITEM, lengths, 0))
-        self.tables = []
+        self.raw, self.kind, self.rows = found.raw, found.kind, found.rows
+        self.lengths = np.diff(found.bounds)
+        size_of = np.minimum(self.lengths, WINDOW)
+        self.plain, self.tables = [], []
         for size in sorted({int(s) for s in size_of if s}):
-            hashes, good = _windows(found, size)
-            at = np.flatnonzero(good & (size_of[found.rows[: len(hashes)]] == size))
-            order = at[np.argsort(hashes[at], kind="stable")]
-            likely = np.zeros(1 << FILTER_BITS, dtype=bool)
-            likely[hashes[order] >> np.uint64(64 - FILTER_BITS)] = True
-            self.tables.append((size, hashes[order], order, likely))
+            for hashes, kept in ((found.raw, self.plain), (found.canonical, self.tables)):
+                made, good = _windows(hashes, found.rows, size)
+                good &= size_of[found.rows[: len(made)]] == size
+                if kept is self.tables:
+                    good &= _plain_enough(found.kind, size) & (size >= MIN_ITEM)
+                if good.any():
+                    kept.append(Table(size, made, np.flatnonzero(good)))
 
     def search(self, data: np.ndarray, offsets: np.ndarray) -> dict[int, list[tuple[int, str, float]]]:
         """row -> [(item, kind, coverage)] for the contaminated rows of a chunk."""
         found = tokens(data, offsets)
+        leaks = {}
+        for row, item, covered in self._copies(found):
+            leaks[row, item] = ("exact", covered / int(self.lengths[item]))
         chains = defaultdict(list)
-        for size, keys, places, likely in self.tables:
-            hashes, good = _windows(found, size)
-            at = np.flatnonzero(good & likely[hashes >> np.uint64(64 - FILTER_BITS)]) if len(keys) else []
-            if not len(at):
-                continue
-            low, high = np.searchsorted(keys, hashes[at], "left"), np.searchsorted(keys, hashes[at], "right")
-            for position, first, last in zip(at.tolist(), low.tolist(), high.tolist()):
-                for place in places[first:last].tolist():
-                    item = int(np.searchsorted(self.bounds, place, "right")) - 1
-                    chains[int(found.rows[position]), item, position - place].append((position, size))
-        leaks = defaultdict(list)
+        for table in self.tables:
+            made, good = _windows(found.canonical, found.rows, table.size)
+            if len(made):
+                positions, places = table.meet(made, good & _plain_enough(found.kind, table.size))
+                for position, place, item in zip(positions.tolist(), places.tolist(), self.rows[places].tolist()):
+                    chains[int(found.rows[position]), item, position - place].append((position, table.size))
         for (row, item, shift), windows in chains.items():
             verdict = self._verdict(found, item, shift, windows)
-            if verdict:
-                leaks[row].append((item, *verdict))
-        return leaks
+            if verdict and (row, item) not in leaks:
+                leaks[row, item] = verdict
+        by_row = defaultdict(list)
+        for (row, item), verdict in leaks.items():
+            by_row[row].append((item, *verdict))
+        return by_row
+
+    def _copies(self, found: Tokens) -> list[tuple[int, int, int]]:
+        """(row, item, tokens) of the items of which enough plain words stand unchanged on one diagonal."""
+        copies = {}
+        for table in self.plain:
+            made, good = _windows(found.raw, found.rows, table.size)
+            if not len(made):
+                continue
+            positions, places = table.meet(made, good)
+            if not len(positions):
+                continue
+            rows, items = found.rows[positions], self.rows[places]
+            covered, starts, order = _covered(rows, items, positions - places, positions, table.size)
+            rows, items = rows[order][starts], items[order][starts]
+            enough = covered >= np.minimum(MIN_TOKENS, self.lengths[items])
+            for row, item, n in zip(rows[enough].tolist(), items[enough].tolist(), covered[enough].tolist()):
+                copies[row, item] = max(n, copies.get((row, item), 0))
+        return [(*key, n) for key, n in copies.items()]
 
     def _verdict(self, found: Tokens, item: int, shift: int, windows: list[tuple[int, int]]) -> tuple[str, float] | None:
         covered = np.unique(np.concatenate([np.arange(p, p + size) for p, size in windows]))
-        length = int(self.bounds[item + 1] - self.bounds[item])
+        length = int(self.lengths[item])
         if len(covered) < min(MIN_TOKENS, length):
             return None
         theirs, ours = found.raw[covered], self.raw[covered - shift]
-        same = theirs == ours
-        if same.all():
-            return "exact", len(covered) / length
         slots = self.kind[covered - shift] != PLAIN
         pairs = set(zip(ours[slots].tolist(), theirs[slots].tolist()))
         if len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs}):
             return "reparameterised", len(covered) / length
-        # inconsistent slots: still a leak if a long enough run is unchanged
-        breaks = np.flatnonzero(~same | np.concatenate(([True], np.diff(covered) > 1)))
-        runs = np.diff(np.append(breaks, len(covered))) - (~same[breaks]).astype(int)
-        return ("exact", int(runs.max()) / length) if runs.max() >= min(MIN_TOKENS, length) else None
+        return None
+
+
+def _covered(rows, items, shifts, positions, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens that the windows of each (row, item, shift) cover together; first window of each, and the order."""
+    order = np.lexsort((positions, shifts, items, rows))
+    first = np.ones(len(order), dtype=bool)
+    first[1:] = False
+    for column in (rows, items, shifts):
+        first[1:] |= column[order][1:] != column[order][:-1]
+    step = np.full(len(order), size, dtype=np.int64)
+    step[1:] = np.minimum(np.diff(positions[order]), size)
+    step[first] = size
+    starts = np.flatnonzero(first)
+    return np.add.reduceat(step, starts), starts, order
 
 
 def build(benchmark: DataFrame) -> list:
