@@ -163,6 +163,34 @@ def test_decontamination_finds_copies_that_are_no_templates(spark, item, text):
     assert [r.doc_id for r in templates.remove(docs, items).collect()] == [2]
 
 
+@pytest.mark.parametrize(
+    ("item", "text"),
+    [
+        (
+            "How many fruits are in the old basket when it holds 3 apples and 5 pears at noon?",
+            "How many fruits are in the old basket when it holds 4 apples and 4 pears at noon?",
+        ),
+        (
+            "A class has 6 red chairs in the first room and 6 blue tables in the other room, how many are there in all?",
+            "A class has 7 red chairs in the first room and 9 blue tables in the other room, how many are there in all?",
+        ),
+        (
+            "Tell how long the fast train to Paris takes if it leaves the station with Bob at 9 and stops twice.",
+            "Tell how long the fast train to San Francisco takes if it leaves the station with Mary Ann at 7 and stops twice.",
+        ),
+        (
+            "Say how many more green marbles the boy now has than 12 of the other children in the big yard.",
+            "Say how many more green marbles the boy now has than about 15 of the other children in the big yard.",
+        ),
+    ],
+)
+def test_decontamination_finds_questions_asked_again(spark, item, text):
+    other = "How many of the first trains to Rome hold 5 chairs, and how many children are in the big yard at 9 with Bob?"
+    docs = spark.createDataFrame([(1, "Hello there. " + text), (2, other)], "doc_id bigint, text string")
+    found = templates.search(docs, spark.createDataFrame([(7, item)], "item_id bigint, text string"))
+    assert pairs(found, "doc_id", "kind") == [(1, "reparameterised"), (2, None)]
+
+
 def test_exact_dedup(docs, empty):
     found = exact_dedup.decide(docs).collect()
     assert len(found) == len(ROWS)

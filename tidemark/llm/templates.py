@@ -1,12 +1,15 @@
 """Benchmark decontamination by template windows.
 
-Texts become canonical tokens: numbers, names and units are typed placeholders, other words are lower-cased.
-Windows of ``WINDOW`` canonical tokens of the benchmark are a hash table that is broadcast; every document is
-searched whole where it is read, so nothing of the corpus is shuffled. Matched windows on one diagonal
-(document position minus item position) form a chain; a chain counts when it covers enough tokens and its
-slots are consistent, that is, each value of the item stands for one value of the document and the reverse,
-which catches questions asked again with other numbers and names. The benchmark is cut into slabs of at most
-``SLAB_BYTES`` (a larger item is a slab of its own), one pass each, so a broadcast never exceeds its bound.
+Texts become canonical tokens: numbers, runs of names, and units are typed placeholders, other words are
+lower-cased. Windows of ``WINDOW`` canonical tokens of the benchmark are a hash table that is broadcast; every
+document is searched whole where it is read, so nothing of the corpus is shuffled. Matched windows of an item whose
+diagonals (document position minus item position) differ by at most ``DRIFT`` from the next form a chain, so that a
+word put in or left out does not end it; a chain aligns each token of the document with one of the item at most. It
+counts when it covers enough tokens and its slots are consistent: a value of the item stands for one value of the
+document of its kind, except in ``TOLERATED`` slots and one more for each ``SLOTS_EACH`` slots. Different values of
+the item may become the same one. This catches questions asked again with other numbers and names. The benchmark
+is cut into slabs of at most ``SLAB_BYTES`` (a larger item is a slab of its own), one pass each, so a broadcast never
+exceeds its bound.
 
 A document is contaminated if a chain covers ``MIN_TOKENS`` tokens, or the whole of a shorter item, with
 consistent slots. Template windows need ``MIN_PLAIN`` tokens that are not placeholders, and items of fewer than
@@ -20,7 +23,7 @@ listed; an empty benchmark leaves everything clean; other columns are passed thr
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -29,12 +32,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .texts import Words, byte_chunks, hash_words, mix_int, ngrams
+from .texts import Words, byte_chunks, hash_words, mix_int, ngrams, powers
 
 WINDOW = 8
 MIN_TOKENS = 13
 MIN_ITEM = 5
 MIN_PLAIN = 4
+DRIFT = 3
+TOLERATED = 1
+SLOTS_EACH = 8
 SLAB_BYTES = 8 << 20
 FILTER_BITS = 22
 PLAIN, NUMBER, NAME, UNIT = range(4)
@@ -79,15 +85,19 @@ def _byte_classes() -> dict[str, np.ndarray]:
 
 @dataclass
 class Tokens:
-    canonical: np.ndarray
+    """Plain words of a chunk (``raw``) and its canonical tokens, with what stands in their place (``values``)."""
+
     raw: np.ndarray
-    kind: np.ndarray
     rows: np.ndarray
     bounds: np.ndarray
+    canonical: np.ndarray
+    values: np.ndarray
+    kind: np.ndarray
+    template_rows: np.ndarray
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> Tokens:
-    """Canonical tokens of a chunk of texts."""
+    """Plain and canonical tokens of a chunk of texts."""
     is_a = _byte_classes()
     data = data.copy()
     begins, ends = offsets[:-1][offsets[:-1] < offsets[1:]], offsets[1:][offsets[:-1] < offsets[1:]]
@@ -120,8 +130,16 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> Tokens:
         kind[named] = NAME
         kind[follows & _member(words.hashes, units)] = UNIT
         kind[number] = NUMBER
-    canonical = np.where(kind == PLAIN, words.hashes, PLACEHOLDERS[kind])
-    return Tokens(canonical, words.hashes, kind, rows, words.bounds)
+    # a run of names is one placeholder, whose value is the whole run
+    goes_on = np.zeros(len(starts), dtype=bool)
+    goes_on[1:] = (kind[1:] == NAME) & (kind[:-1] == NAME) & (rows[1:] == rows[:-1])
+    heads = np.flatnonzero(~goes_on)
+    place = np.arange(len(starts)) - np.repeat(heads, np.diff(np.append(heads, len(starts))))
+    scaled = words.hashes * powers(int(place.max()) + 1)[place] if len(starts) else words.hashes
+    values = np.add.reduceat(scaled, heads) if len(heads) else scaled
+    kind = kind[heads]
+    canonical = np.where(kind == PLAIN, values, PLACEHOLDERS[kind])
+    return Tokens(words.hashes, rows, words.bounds, canonical, values, kind, rows[heads])
 
 
 def _member(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -167,18 +185,23 @@ class Index:
         texts = [(t or "").encode() for _, t in items]
         offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
         found = tokens(np.frombuffer(b"".join(texts), dtype=np.uint8), offsets)
-        self.raw, self.kind, self.rows = found.raw, found.kind, found.rows
+        self.rows, self.values, self.kind, self.template_rows = found.rows, found.values, found.kind, found.template_rows
         self.lengths = np.diff(found.bounds)
-        size_of = np.minimum(self.lengths, WINDOW)
-        self.plain, self.tables = [], []
-        for size in sorted({int(s) for s in size_of if s}):
-            for hashes, kept in ((found.raw, self.plain), (found.canonical, self.tables)):
-                made, good = _windows(hashes, found.rows, size)
-                good &= size_of[found.rows[: len(made)]] == size
-                if kept is self.tables:
-                    good &= _plain_enough(found.kind, size) & (size >= MIN_ITEM)
-                if good.any():
-                    kept.append(Table(size, made, np.flatnonzero(good)))
+        self.template_lengths = np.bincount(found.template_rows, minlength=len(items))
+        self.plain = self._tables(found.raw, found.rows, self.lengths, 1)
+        self.templates = self._tables(found.canonical, found.template_rows, self.template_lengths, MIN_ITEM, found.kind)
+
+    @staticmethod
+    def _tables(hashes, rows, lengths, least: int, kind=None) -> list[Table]:
+        tables, size_of = [], np.minimum(lengths, WINDOW)
+        for size in sorted({int(s) for s in size_of if s >= least}):
+            made, good = _windows(hashes, rows, size)
+            good &= size_of[rows[: len(made)]] == size
+            if kind is not None:
+                good &= _plain_enough(kind, size)
+            if good.any():
+                tables.append(Table(size, made, np.flatnonzero(good)))
+        return tables
 
     def search(self, data: np.ndarray, offsets: np.ndarray) -> dict[int, list[tuple[int, str, float]]]:
         """row -> [(item, kind, coverage)] for the contaminated rows of a chunk."""
@@ -186,17 +209,10 @@ class Index:
         leaks = {}
         for row, item, covered in self._copies(found):
             leaks[row, item] = ("exact", covered / int(self.lengths[item]))
-        chains = defaultdict(list)
-        for table in self.tables:
-            made, good = _windows(found.canonical, found.rows, table.size)
-            if len(made):
-                positions, places = table.meet(made, good & _plain_enough(found.kind, table.size))
-                for position, place, item in zip(positions.tolist(), places.tolist(), self.rows[places].tolist()):
-                    chains[int(found.rows[position]), item, position - place].append((position, table.size))
-        for (row, item, shift), windows in chains.items():
-            verdict = self._verdict(found, item, shift, windows)
-            if verdict and (row, item) not in leaks:
-                leaks[row, item] = verdict
+        for key, hits in self._chances(found).items():
+            verdict = None if key in leaks else self._verdict(found, key[1], hits)
+            if verdict:
+                leaks[key] = verdict
         by_row = defaultdict(list)
         for (row, item), verdict in leaks.items():
             by_row[row].append((item, *verdict))
@@ -220,17 +236,73 @@ class Index:
                 copies[row, item] = max(n, copies.get((row, item), 0))
         return [(*key, n) for key, n in copies.items()]
 
-    def _verdict(self, found: Tokens, item: int, shift: int, windows: list[tuple[int, int]]) -> tuple[str, float] | None:
-        covered = np.unique(np.concatenate([np.arange(p, p + size) for p, size in windows]))
-        length = int(self.lengths[item])
-        if len(covered) < min(MIN_TOKENS, length):
-            return None
-        theirs, ours = found.raw[covered], self.raw[covered - shift]
-        slots = self.kind[covered - shift] != PLAIN
-        pairs = set(zip(ours[slots].tolist(), theirs[slots].tolist()))
-        if len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs}):
-            return "reparameterised", len(covered) / length
-        return None
+    def _chances(self, found: Tokens) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray, int]]:
+        """(row, item) -> (positions, places, size) where all matched windows together cover enough."""
+        hits = {}
+        for table in self.templates:
+            made, good = _windows(found.canonical, found.template_rows, table.size)
+            if not len(made):
+                continue
+            positions, places = table.meet(made, good & _plain_enough(found.kind, table.size))
+            if not len(positions):
+                continue
+            rows, items = found.template_rows[positions], self.template_rows[places]
+            covered, starts, order = _covered(rows, items, np.zeros_like(items), positions, table.size)
+            ends = np.append(starts[1:], len(order))
+            enough = covered >= np.minimum(MIN_TOKENS, self.template_lengths[items[order][starts]])
+            for low, high in zip(starts[enough].tolist(), ends[enough].tolist()):
+                one = order[low:high]  # an item has windows of one size only
+                hits[int(rows[one[0]]), int(items[one[0]])] = (positions[one], places[one], table.size)
+        return hits
+
+    def _verdict(self, found: Tokens, item: int, hits: tuple[np.ndarray, np.ndarray, int]) -> tuple[str, float] | None:
+        """The best chain of an item in a text, if one covers enough."""
+        positions, places, size = hits
+        length = int(self.template_lengths[item])
+        shifts = positions - places
+        order = np.lexsort((positions, shifts))
+        positions, places, shifts = positions[order], places[order], shifts[order]
+        best = None
+        for one in np.split(np.arange(len(shifts)), np.flatnonzero(np.diff(shifts) > DRIFT) + 1):
+            parts = np.split(one, np.flatnonzero(np.diff(shifts[one])) + 1)
+            # all diagonals together, and if their slots contradict each other, each one alone
+            for chain in [parts] if len(parts) == 1 else [parts, *([part] for part in parts)]:
+                theirs, ours = _aligned(positions, places, chain, size, length)
+                if len(theirs) < min(MIN_TOKENS, length) or not self._consistent(found, theirs, ours):
+                    continue
+                kind = "exact" if np.array_equal(found.values[theirs], self.values[ours]) else "reparameterised"
+                best = max(best or ("", 0.0), (kind, len(theirs) / length), key=lambda v: (v[0] == "exact", v[1]))
+                break
+        return best
+
+    def _consistent(self, found: Tokens, theirs: np.ndarray, ours: np.ndarray) -> bool:
+        slots = self.kind[ours] != PLAIN
+        told = defaultdict(Counter)
+        for kind, a, b in zip(self.kind[ours[slots]].tolist(), self.values[ours[slots]].tolist(), found.values[theirs[slots]].tolist()):
+            told[kind, a][b] += 1
+        against = sum(count.total() - max(count.values()) for count in told.values())
+        return against <= TOLERATED + int(slots.sum()) // SLOTS_EACH
+
+
+def _aligned(positions: np.ndarray, places: np.ndarray, parts: list[np.ndarray], size: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (document token, item token) of a chain's diagonals, each token once; the longest diagonals go first."""
+    whole = np.concatenate(parts)
+    first, begin = positions[whole].min(), places[whole].min()
+    theirs_free = np.ones(positions[whole].max() + size - first, dtype=bool)
+    ours_free = np.ones(places[whole].max() + size - begin, dtype=bool)
+    theirs, ours, met = [], [], 0
+    for part in sorted(parts, key=len, reverse=True):
+        p = np.unique((positions[part][:, None] + np.arange(size)).ravel())
+        q = p - (positions[part[0]] - places[part[0]])
+        free = theirs_free[p - first] & ours_free[q - begin]
+        p, q = p[free], q[free]
+        theirs_free[p - first], ours_free[q - begin] = False, False
+        theirs.append(p)
+        ours.append(q)
+        met += len(p)
+        if met == length:
+            break
+    return np.concatenate(theirs), np.concatenate(ours)
 
 
 def _covered(rows, items, shifts, positions, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
