@@ -127,6 +127,28 @@ def test_licences(docs, empty):
     assert license_scan.licences(empty).count() == 0
 
 
+GPL_HEADER = """    # This program is free software: you can redistribute it and/or modify
+    # it under the terms of the GNU General Public License as published by
+    # the Free Software Foundation, either version 3 of the License, or
+    # (at your option) any later version."""
+BSD_HEADER = """ * Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following conditions
+ * are met:"""
+
+
+def test_licences_in_wrapped_and_joined_text(spark):
+    rows = [
+        (1, "int x;\n" + GPL_HEADER + "\nint y;"),
+        (2, BSD_HEADER),
+        (3, PLAIN + " Released under the MIT License. " + PLAIN + " Licensed under CC BY 4.0. " + PLAIN),
+        (4, "Released under the MIT License. All rights reserved."),
+        (5, PLAIN + " All rights\nreserved.\n\n" + PLAIN),
+        (6, PLAIN + " this program is free to use by the public\n" + PLAIN),
+    ]
+    found = license_scan.licences(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert pairs(found, "doc_id", "licences") == [(1, "GPL"), (2, "BSD"), (3, "CC-BY,MIT"), (4, "MIT,proprietary"), (5, "proprietary")]
+
+
 def test_decontamination(spark, docs, empty, benchmark):
     found = {r.doc_id: r for r in templates.search(docs, benchmark).collect()}
     assert {d for d, r in found.items() if r.contaminated} == {4, 5, None}

@@ -1,30 +1,37 @@
 """Licence scan: a trained paragraph classifier with a calibrated unknown class, confirmed against templates.
 
-Everything is DataFrame operations. Paragraphs (lines) are lower-cased words; features are their word uni- and
-bigrams, restricted to those that occur in the licence templates, so a paragraph without any of them is
-unknown by construction and is dropped before anything is shuffled. A multinomial logistic regression is
-trained on the templates, on partial templates, and on a bounded sample of corpus paragraphs as the unknown
-class (``BACKGROUND`` of them, the first in the order of a hash; a documented bound). The confidence that a
-family needs is calibrated: the unknown class keeps a paragraph unless the family is ``MARGIN`` times as
-likely. A prediction counts only if the paragraph holds at least ``CONFIRM`` of the words of one of the
-family's templates in a window no longer than a few times the template, measured by shared bigrams.
+Everything is DataFrame operations. Paragraphs are runs of lines without an empty one, so that wrapped notices stay
+whole; they are cut into overlapping windows of lower-cased words (``WINDOWS``), and a template is looked for in the
+windows of the smallest size that is sure to hold a whole copy of it. Features are the word uni- and bigrams of a
+window, restricted to those that occur in the licence templates; windows without a cue of any template are dropped
+before anything is shuffled. A multinomial logistic regression is trained on the templates, on partial templates,
+and on a bounded sample of corpus windows as the unknown class (``BACKGROUND`` of them, the first in the order of a
+hash; a documented bound). A family counts in a window if it is ``MARGIN`` times as likely as the unknown class and
+the window holds at least ``CONFIRM`` of the bigrams of one of the family's templates; every family that passes
+counts, not the likeliest only.
 
 Defined results: null and empty texts have no licence; several licences in a text are all listed; repeated
-rows are treated alike; equal scores go to the family that sorts first; an empty table gives no rows; other
+rows are treated alike; an empty table gives no rows; other
 columns are ignored. Texts are read whole.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 UNKNOWN = "unknown"
 BACKGROUND = 2000
 MARGIN = 4.0
 CONFIRM = 0.6
+# (words, step) of the windows: a run of words - step + 1 words lies whole in one
+WINDOWS = ((20, 8), (48, 16))
 
 # Short notices of common licences, as their texts recommend them.
 TEMPLATES = {
@@ -81,6 +88,8 @@ TEMPLATES = {
 }
 # Words that every template has at least one of; only paragraphs with one of them can be confirmed.
 CUES = "licen[sc]|spdx|copyright|rights reserved|permission is hereby|redistribution and use|public domain|free software|public license"
+# the same in unwrapped text, where anything but letters and digits may stand between two words
+WRAPPED_CUES = CUES.replace(" ", "[^a-z0-9]+")
 
 
 def words(text: Column) -> Column:
@@ -94,18 +103,43 @@ def grams(found: Column) -> Column:
     return F.array_distinct(F.concat(found, pairs))
 
 
+def bigrams(found: Column) -> Column:
+    """Distinct word bigrams."""
+    pairs = F.zip_with(F.slice(found, F.lit(1), F.greatest(F.size(found) - 1, F.lit(0))), F.slice(found, F.lit(2), F.greatest(F.size(found) - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
+    return F.array_distinct(pairs)
+
+
 def templates(spark: SparkSession) -> DataFrame:
-    """(family, template, words): a fixed list."""
+    """(family, template, words, size): a fixed list, with the size of the windows that hold the template."""
     rows = [(family, number, text) for family, texts in TEMPLATES.items() for number, text in enumerate(texts)]
-    return spark.createDataFrame(rows, "family string, template int, text string").select("family", "template", words(F.col("text")).alias("words"))
+    made = spark.createDataFrame(rows, "family string, template int, text string").select("family", "template", words(F.col("text")).alias("words"))
+    size = F.lit(WINDOWS[-1][0])
+    for length, step in reversed(WINDOWS[:-1]):
+        size = F.when(F.size("words") <= length - step + 1, length).otherwise(size)
+    return made.withColumn("size", size)
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """(doc_id, row, place, words) of the paragraphs with a cue; ``row`` tells repeated ids apart."""
-    lines = docs.where(F.lower("text").rlike(CUES)).select(
-        "doc_id", F.monotonically_increasing_id().alias("row"), F.posexplode(F.split("text", "\n")).alias("place", "line")
+    """(doc_id, row, place, size, words) of the windows with a cue; ``row`` tells repeated ids apart."""
+    blocks = docs.where(F.lower("text").rlike(WRAPPED_CUES)).select(
+        "doc_id", F.monotonically_increasing_id().alias("row"), F.posexplode(F.split("text", "\n[ \t\r]*\n")).alias("place", "block")
     )
-    return lines.where(F.lower("line").rlike(CUES)).select("doc_id", "row", "place", words(F.col("line")).alias("words"))
+    found = blocks.where(F.lower("block").rlike(WRAPPED_CUES)).select("doc_id", "row", "place", words(F.col("block")).alias("all"))
+    cuts = [
+        F.expr(f"transform(sequence(1, greatest(1, size(all) - {size} + {step}), {step}), i -> struct({size} AS size, slice(all, i, {size}) AS words))")
+        for size, step in WINDOWS
+    ]
+    windows = found.select("doc_id", "row", "place", F.explode(F.concat(*cuts)).alias("w")).select("doc_id", "row", "place", "w.size", "w.words")
+    return windows.where(F.concat_ws(" ", "words").rlike(CUES))
+
+
+def confirmed(windows: DataFrame) -> DataFrame:
+    """``windows`` with ``found``: (family, match) of the families of which a window holds enough of a template."""
+    wants = templates(windows.sparkSession).select("family", "size", bigrams(F.col("words")).alias("want"))
+    wants = wants.groupBy("size").agg(F.collect_list(F.struct("family", "want")).alias("wants"))
+    have = windows.withColumn("have", bigrams(F.col("words"))).join(F.broadcast(wants), "size")
+    shares = F.expr("transform(wants, w -> struct(w.family AS family, size(array_intersect(w.want, have)) / size(w.want) AS match))")
+    return have.withColumn("found", F.filter(shares, lambda x: x["match"] >= CONFIRM)).drop("have", "wants")
 
 
 class Model:
@@ -115,13 +149,20 @@ class Model:
         self.weights, self.classes, self.intercepts = weights, classes, intercepts
 
 
+def background_windows(docs: DataFrame, limit: int) -> DataFrame:
+    """(words) of one window, at a place told by a hash, of each of the first ``limit`` texts by hash without a cue."""
+    size = WINDOWS[-1][0]
+    drawn = docs.where(f"length(text) > 0 AND NOT lower(text) RLIKE '{WRAPPED_CUES}'").select(F.xxhash64("text").alias("h"), "text")
+    cut = drawn.select("h", F.expr(f"substring(text, CAST(1 + pmod(h, greatest(length(text) - {12 * size}, 1)) AS INT), {12 * size})").alias("part"))
+    return cut.orderBy("h", "part").limit(limit).select(F.slice(words(F.col("part")), 1, size).alias("words"))
+
+
 def fit(docs: DataFrame, background: int = BACKGROUND) -> Model:
     spark = docs.sparkSession
     known = templates(spark)
     # a notice is often shortened or run on: train on halves too
     parts = known.select("family", F.explode(F.array(F.col("words"), F.expr("slice(words, 1, greatest(4, CAST(size(words) * 0.7 AS INT)))"))).alias("words"))
-    lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).where("length(line) > 0 AND NOT lower(line) RLIKE '{}'".format(CUES))
-    rest = lines.select(words(F.col("line")).alias("words"), F.xxhash64("line").alias("h")).orderBy("h").limit(background)
+    rest = background_windows(docs, background)
     vocabulary = known.select(F.explode(grams(F.col("words"))).alias("gram")).distinct().orderBy("gram")
     names = [r[0] for r in vocabulary.collect()]  # bounded by the templates
     index = {gram: number for number, gram in enumerate(names)}
@@ -139,33 +180,24 @@ def fit(docs: DataFrame, background: int = BACKGROUND) -> Model:
 
 
 def scan(docs: DataFrame, background: int = BACKGROUND) -> DataFrame:
-    """(doc_id, row, place, family, confidence) of every confirmed licence paragraph."""
-    spark = docs.sparkSession
+    """(doc_id, row, place, family, confidence, match) of every confirmed licence in a paragraph."""
+    windows = materialize(confirmed(paragraphs(docs)).withColumn("window", F.monotonically_increasing_id()))
     model = fit(docs, background)
-    found = paragraphs(docs)
     hits = (
-        found.select("doc_id", "row", "place", F.explode(grams(F.col("words"))).alias("gram"))
+        windows.where("size(found) > 0")
+        .select("doc_id", "row", "place", "window", "found", F.explode(grams(F.col("words"))).alias("gram"))
         .join(F.broadcast(model.weights), "gram")  # a row per n-gram of the templates
-        .groupBy("doc_id", "row", "place")
-        .agg(*[F.sum(F.col("weights")[number]).alias(f"s{number}") for number in range(len(model.classes))])
+        .groupBy("doc_id", "row", "place", "window")
+        .agg(F.first("found").alias("found"), *[F.sum(F.col("weights")[number]).alias(f"s{number}") for number in range(len(model.classes))])
     )
-    scores = F.array(*[F.col(f"s{number}") + F.lit(value) for number, value in enumerate(model.intercepts)])
-    names = F.array(*[F.lit(name) for name in model.classes])
-    scored = hits.select("doc_id", "row", "place", scores.alias("scores"))
-    scored = scored.withColumn("top", F.array_max("scores")).withColumn("total", F.expr("aggregate(scores, 0D, (a, x) -> a + exp(x - array_max(scores)))"))
-    scored = scored.withColumn("family", names[(F.array_position("scores", F.col("top")) - 1).cast("int")])
-    scored = scored.withColumn("confidence", 1 / F.col("total"))
-    likely = scored.where(F.col("family") != UNKNOWN).where(F.exp(F.col("top") - F.col("scores")[0]) >= MARGIN)
-    # confirmation: share of a template's bigrams that the paragraph has
-    bigrams = F.array_distinct(F.expr("zip_with(words, slice(words, 2, greatest(size(words), 1)), (a, b) -> coalesce(a, '') || ' ' || coalesce(b, ''))"))
-    mine = found.select("row", "place", bigrams.alias("have"))
-    theirs = templates(spark).select("family", bigrams.alias("want")).groupBy("family").agg(F.collect_list("want").alias("wants"))
-    joined = likely.join(mine, ["row", "place"]).join(F.broadcast(theirs), "family")
-    # the last element of zip_with pairs the last word with nothing: leave it out on both sides
-    share = F.expr(
-        "array_max(transform(wants, w -> size(array_intersect(slice(w, 1, size(w) - 1), have)) / greatest(size(w) - 1, 1)))"
+    odds = F.create_map(*[part for number, name in enumerate(model.classes) for part in (F.lit(name), F.col(f"s{number}") - F.col("s0") + F.lit(model.intercepts[number] - model.intercepts[0]))])
+    scored = hits.select("doc_id", "row", "place", F.explode("found").alias("hit"), odds.alias("odds"))
+    scored = scored.select("doc_id", "row", "place", "hit.*", F.col("odds")[F.col("hit.family")].alias("odds"))
+    return (
+        scored.where(F.col("odds") >= math.log(MARGIN))
+        .groupBy("doc_id", "row", "place", "family")
+        .agg(F.max(1 / (1 + F.exp(-F.col("odds")))).alias("confidence"), F.max("match").alias("match"))
     )
-    return joined.withColumn("match", share).where(F.col("match") >= CONFIRM).select("doc_id", "row", "place", "family", "confidence", "match")
 
 
 def licences(docs: DataFrame, background: int = BACKGROUND) -> DataFrame:
@@ -175,7 +207,7 @@ def licences(docs: DataFrame, background: int = BACKGROUND) -> DataFrame:
         .groupBy("doc_id", "row")
         .agg(
             F.array_join(F.array_sort(F.collect_set("family")), ",").alias("licences"),
-            F.count("*").alias("n_paragraphs"),
+            F.count_distinct("place").alias("n_paragraphs"),
             F.max("confidence").alias("confidence"),
         )
         .drop("row")
