@@ -149,6 +149,19 @@ def test_licences_in_wrapped_and_joined_text(spark):
     assert pairs(found, "doc_id", "licences") == [(1, "GPL"), (2, "BSD"), (3, "CC-BY,MIT"), (4, "MIT,proprietary"), (5, "proprietary")]
 
 
+def test_licences_of_others_are_unknown(spark):
+    rows = [
+        (1, "Licensed under the Acme License, Version 2.0"),
+        (2, PLAIN + "\nLicensed under the Acme License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.\n" + PLAIN),
+        (3, "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
+        (4, "This library is licensed under the GNU Lesser General Public License"),
+        (5, PLAIN + "\nLicensed under the Apache License, Version 2.0\n" + PLAIN),
+        (6, "Released under the Acme License"),
+    ]
+    found = license_scan.licences(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert pairs(found, "doc_id", "licences") == [(3, "CC-BY-NC"), (4, "LGPL"), (5, "Apache-2.0")]
+
+
 def test_decontamination(spark, docs, empty, benchmark):
     found = {r.doc_id: r for r in templates.search(docs, benchmark).collect()}
     assert {d for d, r in found.items() if r.contaminated} == {4, 5, None}

@@ -4,11 +4,15 @@ Everything is DataFrame operations. Paragraphs are runs of lines without an empt
 whole; they are cut into overlapping windows of lower-cased words (``WINDOWS``), and a template is looked for in the
 windows of the smallest size that is sure to hold a whole copy of it. Features are the word uni- and bigrams of a
 window, restricted to those that occur in the licence templates; windows without a cue of any template are dropped
-before anything is shuffled. A multinomial logistic regression is trained on the templates, on partial templates,
-and on a bounded sample of corpus windows as the unknown class (``BACKGROUND`` of them, the first in the order of a
-hash; a documented bound). A family counts in a window if it is ``MARGIN`` times as likely as the unknown class and
-the window holds at least ``CONFIRM`` of the bigrams of one of the family's templates; every family that passes
-counts, not the likeliest only.
+before anything is shuffled. A multinomial logistic regression is trained on the templates, on partial
+templates, and on the unknown class: a bounded sample of corpus windows without a cue and one of windows with a cue
+but no template (``BACKGROUND`` of each, the first in the order of a hash; a documented bound), and templates
+without their names. Some partial templates and every fourth window of the unknown class are held out; on them the
+confidence is calibrated (one temperature, by likelihood), and so is the least confidence of each
+family (a standard deviation below the lowest held-out notice of the family, as what comes so far has its words).
+A family counts in a window if its confidence against the unknown class
+reaches that, and the window holds at least ``CONFIRM`` of the bigrams of one of its templates and one of that
+template's name words (``NAMES``); every family that passes counts, not the likeliest only.
 
 Defined results: null and empty texts have no licence; several licences in a text are all listed; repeated
 rows are treated alike; an empty table gives no rows; other
@@ -17,8 +21,7 @@ columns are ignored. Texts are read whole.
 
 from __future__ import annotations
 
-import math
-
+import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,7 +31,8 @@ from ..session import materialize
 
 UNKNOWN = "unknown"
 BACKGROUND = 2000
-MARGIN = 4.0
+HELD_OUT = 4
+EMBEDDED = 64
 CONFIRM = 0.6
 # (words, step) of the windows: a run of words - step + 1 words lies whole in one
 WINDOWS = ((20, 8), (48, 16))
@@ -86,6 +90,20 @@ TEMPLATES = {
         "This is free and unencumbered software released into the public domain",
     ],
 }
+# Words or bigrams that tell a family from others with the same wording; each template has one of them.
+NAMES = {
+    "Apache-2.0": ["apache license", "apache-2.0"],
+    "BSD": ["redistribution and", "bsd-style", "bsd", "bsd-3-clause"],
+    "CC-BY": ["commons attribution", "cc by"],
+    "CC-BY-NC": ["attribution-noncommercial", "by-nc"],
+    "CC-BY-SA": ["attribution-sharealike", "by-sa"],
+    "GPL": ["gnu general", "gpl-3.0-or-later"],
+    "LGPL": ["gnu lesser", "lgpl-2.1"],
+    "MIT": ["mit", "permission is"],
+    "MPL-2.0": ["mozilla public", "mpl-2.0"],
+    "proprietary": ["rights reserved"],
+    "public-domain": ["cc0", "public domain"],
+}
 # Words that every template has at least one of; only paragraphs with one of them can be confirmed.
 CUES = "licen[sc]|spdx|copyright|rights reserved|permission is hereby|redistribution and use|public domain|free software|public license"
 # the same in unwrapped text, where anything but letters and digits may stand between two words
@@ -135,18 +153,29 @@ def paragraphs(docs: DataFrame) -> DataFrame:
 
 def confirmed(windows: DataFrame) -> DataFrame:
     """``windows`` with ``found``: (family, match) of the families of which a window holds enough of a template."""
-    wants = templates(windows.sparkSession).select("family", "size", bigrams(F.col("words")).alias("want"))
-    wants = wants.groupBy("size").agg(F.collect_list(F.struct("family", "want")).alias("wants"))
-    have = windows.withColumn("have", bigrams(F.col("words"))).join(F.broadcast(wants), "size")
-    shares = F.expr("transform(wants, w -> struct(w.family AS family, size(array_intersect(w.want, have)) / size(w.want) AS match))")
-    return have.withColumn("found", F.filter(shares, lambda x: x["match"] >= CONFIRM)).drop("have", "wants")
+    wants = named(templates(windows.sparkSession)).select("family", "size", bigrams(F.col("words")).alias("want"), "names")
+    wants = wants.groupBy("size").agg(F.collect_list(F.struct("family", "want", "names")).alias("wants"))
+    have = windows.select("*", bigrams(F.col("words")).alias("have"), grams(F.col("words")).alias("grams")).join(F.broadcast(wants), "size")
+    own = F.filter("wants", lambda w: F.arrays_overlap(w["names"], F.col("grams")))
+    shares = F.transform(own, lambda w: F.struct(w["family"], (F.size(F.array_intersect(w["want"], F.col("have"))) / F.size(w["want"])).alias("match")))
+    return have.withColumn("found", F.filter(shares, lambda x: x["match"] >= CONFIRM)).drop("have", "grams", "wants")
+
+
+def named(known: DataFrame) -> DataFrame:
+    """``known`` with ``names``: the name words that each template has itself."""
+    of = F.create_map(*[part for family, names in NAMES.items() for part in (F.lit(family), F.array(*map(F.lit, names)))])
+    return known.withColumn("names", F.array_intersect(of[F.col("family")], grams(F.col("words"))))
 
 
 class Model:
-    """Weights by n-gram, as a table of a few thousand rows (those of the templates), and the intercepts."""
+    """Weights by n-gram, as a table of a few thousand rows (those of the templates), and the intercepts.
+
+    ``temperature`` divides the log odds of a family against the unknown class; ``least`` is the confidence it needs.
+    """
 
-    def __init__(self, weights: DataFrame, classes: list[str], intercepts: list[float]):
+    def __init__(self, weights: DataFrame, classes: list[str], intercepts: list[float], temperature: float, least: dict[str, float]):
         self.weights, self.classes, self.intercepts = weights, classes, intercepts
+        self.temperature, self.least = temperature, least
 
 
 def background_windows(docs: DataFrame, limit: int) -> DataFrame:
@@ -157,32 +186,90 @@ def background_windows(docs: DataFrame, limit: int) -> DataFrame:
     return cut.orderBy("h", "part").limit(limit).select(F.slice(words(F.col("part")), 1, size).alias("words"))
 
 
-def fit(docs: DataFrame, background: int = BACKGROUND) -> Model:
+def nameless_windows(windows: DataFrame, limit: int) -> DataFrame:
+    """(words) of the first ``limit`` windows by hash that have a cue and hold no template."""
+    return windows.where("size(found) = 0").select("words", F.xxhash64("words").alias("h")).orderBy("h").limit(limit).select("words")
+
+
+def word_grams(found: list[str]) -> set[str]:
+    """``grams`` on the driver, for the bounded training rows."""
+    return {*found, *(f"{a} {b}" for a, b in zip(found, found[1:]))}
+
+
+def examples(known: list, unknown: list[list[str]]) -> tuple[list, list]:
+    """(class, words) to train on and those held out; ``known`` are the templates, ``unknown`` sampled windows."""
+    train, held = [], []
+    for family, found, size, names in known:
+        cut = max(4, int(len(found) * 0.7))
+        train += [(family, found), (family, found[:cut])]
+        # shortened at the front, but with a name: without one a window is not confirmed
+        tail = found[-cut:]
+        held += [(family, part) for part in (found, tail) if word_grams(part) & set(names)]
+        bare = {word for name in names for word in name.split()}
+        train.append((UNKNOWN, [word for word in found if word not in bare]))
+        held.append((UNKNOWN, ["acme" if word in bare else word for word in found]))
+        # notices inside other text, as windows have them
+        for number in range(min(len(unknown), EMBEDDED)):
+            around = unknown[number][: max(0, size - len(found))]
+            before = len(around) * (number % 4) // 4
+            (held if number % HELD_OUT == 0 else train).append((family, around[:before] + found + around[before:]))
+    # two notices in one window are an example of both families
+    for place, (family, found, _, _) in enumerate(known):
+        for step in range(1, len(known)):
+            other = known[(place + step) % len(known)]
+            (held if step % HELD_OUT == 0 else train).extend([(family, found + other[1]), (other[0], found + other[1])])
+    for number, found in enumerate(unknown):
+        (held if number % HELD_OUT == 0 else train).append((UNKNOWN, found))
+    return train, held
+
+
+def calibrate(odds: np.ndarray, labels: list[str], classes: list[str]) -> tuple[float, dict[str, float]]:
+    """Temperature and least confidences from the log odds (row, class) of the held-out examples."""
+    labels = np.array(labels)
+    own = {family: odds[labels == family, number] for number, family in enumerate(classes) if number}
+    other = odds[labels == UNKNOWN]
+    right = np.concatenate(list(own.values()))
+    wrong = other[:, 1:].max(axis=1)
+
+    def loss(t):
+        return np.logaddexp(0, -right / t).mean() + np.logaddexp(0, wrong / t).mean()
+
+    temperature = min(np.geomspace(0.25, 8, 41).tolist(), key=loss)
+    least = {}
+    for number, family in enumerate(classes):
+        if number:
+            # only windows that are confirmed by words come this far: no held-out notice may be lost
+            border = own[family].min() - own[family].std()
+            least[family] = float(1 / (1 + np.exp(-border / temperature)))
+    return temperature, least
+
+
+def fit(docs: DataFrame, windows: DataFrame, background: int = BACKGROUND) -> Model:
+    """``windows``: those of ``docs`` with a cue, after ``confirmed``."""
     spark = docs.sparkSession
-    known = templates(spark)
-    # a notice is often shortened or run on: train on halves too
-    parts = known.select("family", F.explode(F.array(F.col("words"), F.expr("slice(words, 1, greatest(4, CAST(size(words) * 0.7 AS INT)))"))).alias("words"))
-    rest = background_windows(docs, background)
-    vocabulary = known.select(F.explode(grams(F.col("words"))).alias("gram")).distinct().orderBy("gram")
-    names = [r[0] for r in vocabulary.collect()]  # bounded by the templates
-    index = {gram: number for number, gram in enumerate(names)}
+    known = [tuple(r) for r in named(templates(spark)).select("family", "words", "size", "names").orderBy("family", "template").collect()]
+    plain, hard = (list(r[0] for r in rows.collect()) for rows in (background_windows(docs, background), nameless_windows(windows, background)))
+    train, held = examples(known, [found for found in plain if found] + hard)  # at most twice ``background`` rows
+    index = {gram: number for number, gram in enumerate(sorted(set().union(*(word_grams(found) for _, found, _, _ in known))))}
     classes = [UNKNOWN, *sorted(TEMPLATES)]
-    rows = [(classes.index(r[0]), r[1]) for r in parts.select("family", grams(F.col("words"))).collect()]
-    rows += [(0, r[0]) for r in rest.select(grams(F.col("words"))).collect()]  # at most ``background`` rows
-    vectors = [
-        (float(label), 1.0 if label else 0.2, Vectors.sparse(len(names), {index[g]: 1.0 for g in found if g in index})) for label, found in rows
-    ]
+
+    def numbers(found):
+        return sorted(index[gram] for gram in word_grams(found) if gram in index)
+
+    vectors = [(float(classes.index(c)), 0.2 if c == UNKNOWN else 1.0, Vectors.sparse(len(index), n, [1.0] * len(n))) for c, n in ((c, numbers(w)) for c, w in train)]
     frame = spark.createDataFrame(vectors, ["label", "weight", "features"])
     fitted = LogisticRegression(family="multinomial", regParam=1e-3, maxIter=60, weightCol="weight").fit(frame)
-    matrix = fitted.coefficientMatrix.toArray()
+    matrix, intercepts = fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()
+    scores = np.array([matrix[:, numbers(found)].sum(axis=1) for _, found in held]) + intercepts
+    temperature, least = calibrate(scores - scores[:, :1], [c for c, _ in held], classes)
     table = spark.createDataFrame([(gram, matrix[:, number].tolist()) for gram, number in index.items()], "gram string, weights array<double>")
-    return Model(table, classes, fitted.interceptVector.toArray().tolist())
+    return Model(table, classes, intercepts.tolist(), temperature, least)
 
 
 def scan(docs: DataFrame, background: int = BACKGROUND) -> DataFrame:
     """(doc_id, row, place, family, confidence, match) of every confirmed licence in a paragraph."""
     windows = materialize(confirmed(paragraphs(docs)).withColumn("window", F.monotonically_increasing_id()))
-    model = fit(docs, background)
+    model = fit(docs, windows, background)
     hits = (
         windows.where("size(found) > 0")
         .select("doc_id", "row", "place", "window", "found", F.explode(grams(F.col("words"))).alias("gram"))
@@ -193,10 +280,12 @@ def scan(docs: DataFrame, background: int = BACKGROUND) -> DataFrame:
     odds = F.create_map(*[part for number, name in enumerate(model.classes) for part in (F.lit(name), F.col(f"s{number}") - F.col("s0") + F.lit(model.intercepts[number] - model.intercepts[0]))])
     scored = hits.select("doc_id", "row", "place", F.explode("found").alias("hit"), odds.alias("odds"))
     scored = scored.select("doc_id", "row", "place", "hit.*", F.col("odds")[F.col("hit.family")].alias("odds"))
+    least = F.create_map(*[part for family, value in model.least.items() for part in (F.lit(family), F.lit(value))])
+    scored = scored.withColumn("confidence", 1 / (1 + F.exp(-F.col("odds") / model.temperature)))
     return (
-        scored.where(F.col("odds") >= math.log(MARGIN))
+        scored.where(F.col("confidence") >= least[F.col("family")])
         .groupBy("doc_id", "row", "place", "family")
-        .agg(F.max(1 / (1 + F.exp(-F.col("odds")))).alias("confidence"), F.max("match").alias("match"))
+        .agg(F.max("confidence").alias("confidence"), F.max("match").alias("match"))
     )
 
 
