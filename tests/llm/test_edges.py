@@ -122,6 +122,19 @@ def test_packing(docs, empty):
     assert all(len(r.ids) <= 1024 for r in whole) and sum(len(r.ids) for r in whole) == found.agg(F.sum("length")).first()[0]
 
 
+def test_packing_takes_special_strings_for_their_ids(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = [(1, "a <|endoftext|> b"), (2, "<|endoftext|><|endoftext|>"), (3, "x <|endoftext |> y<|endoftext|>\n  z"), (4, PLAIN)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r.doc_id: r.ids for r in packing.token_pieces(docs, keep_ids=True).collect()}
+    assert found == {d: [*tokenizer.encode(t, add_special_tokens=False).ids, packing.END] for d, t in rows}
+    counts = {r.doc_id: r.n_tokens for r in tokens.count_documents(docs.where("doc_id = 1")).collect()}
+    assert counts == {1: len(brute.token_ids([rows[0][1]])[0])}
+
+
 def test_licences(docs, empty):
     assert pairs(license_scan.licences(docs), "doc_id", "licences") == [(10, "proprietary")]
     assert license_scan.licences(empty).count() == 0

@@ -1,6 +1,6 @@
 """Best-two-fit packing of documents into training sequences.
 
-A document's ids end with an end id; only documents longer than a sequence are cut, into full pieces after a
+A document's ids end with an end id (the text ``<|endoftext|>`` is one id, 50256, as for ``tokenizers``); only documents longer than a sequence are cut, into full pieces after a
 first one that may be shorter. Only lengths matter to the packing, and there are at most ``capacity`` of
 them, so the plan is made for the whole table from its length histogram: a bin is filled greedily (longest
 piece that fits), then its smallest piece gives way to two unpacked ones that fit the widened gap more
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .texts import string_chunks
-from .tokens import encoding, vocabulary_path
+from .tokens import encode_special, encoding, vocabulary_path
 
 CAPACITY = 1024
 END = 2
@@ -41,7 +41,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, end: int = END, voca
             for low, texts in string_chunks(batch.column(1)):
                 rows, pieces, starts, lengths, checks, kept = [], [], [], [], [], []
                 for row, text in enumerate(texts, low):
-                    ids = np.array(encoder.encode_ordinary(text) + [end], dtype="<u4")
+                    ids = np.array(encode_special(encoder, text) + [end], dtype="<u4")
                     first = (len(ids) - 1) % capacity + 1
                     edges = [0, *range(first, len(ids) + 1, capacity)]
                     for piece, (start, stop) in enumerate(zip(edges, edges[1:])):

@@ -28,6 +28,7 @@ from ..session import materialize, scratch_path
 from .texts import string_chunks
 
 END = 50256
+END_TEXT = "<|endoftext|>"
 BLOCK_TOKENS = 1 << 16
 SPAN_BLOCKS = 1024
 
@@ -40,13 +41,21 @@ def vocabulary_path(name: str = "byte_bpe_50k.tiktoken") -> str:
 
 @lru_cache(maxsize=4)
 def encoding(path: str):
-    """Byte-level BPE with the ranks of a vocabulary file; special strings in a text are ordinary text."""
+    """Byte-level BPE with the ranks of a vocabulary file.
+
+    ``encode_ordinary`` takes special strings in a text for ordinary text; ``encode_special`` of this module makes
+    them their ids, as ``tokenizers`` does with ``add_special_tokens=False``.
+    """
     import public_tokenizers
     import tiktoken
 
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding(os.path.basename(path), pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding(os.path.basename(path), pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={END_TEXT: END})
+
+
+def encode_special(encoder, text: str) -> list[int]:
+    return encoder.encode(text, allowed_special="all") if END_TEXT in text else encoder.encode_ordinary(text)
 
 
 def flatten_documents(docs: DataFrame, path: str, vocabulary: str | None = None, end: int = END) -> tuple[DataFrame, DataFrame]:
