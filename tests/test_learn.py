@@ -3,7 +3,7 @@
 import pytest
 
 from pyspark.sql import functions as F
-from tidemark.operators import learn
+from tidemark.operators import learn, ridge
 
 
 def planted(spark, n, salt):
@@ -115,3 +115,40 @@ def test_weighted_points_equal_all_rows(spark):
 def test_too_few_ks_take_the_middle(spark):
     elbow = spark.createDataFrame([(2, 9.0, 0.1, None), (3, 5.0, 0.2, None)], "k int, wcss double, silhouette double, second_diff double")
     assert tuple(learn.choose_k(elbow).first()) == (3, 3)
+
+
+def test_linear_model_is_the_penalised_fit(spark, data):
+    """Against the library's own solver: same penalty, same scaling, same folds."""
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    spec = learn.ENERGY_LINEAR
+    rows = learn.model_frame(data[0], spec, [f"{learn.fold_of('id')} AS _fold"])
+    vectors = VectorAssembler(inputCols=list(spec.features), outputCol="features").transform(rows).cache()
+    library = LinearRegression(featuresCol="features", labelCol="energy", regParam=0.01, solver="normal")
+    metric, model = learn.cross_validate(spec, data[0], "id")
+    whole = library.fit(vectors)
+    assert model.weights == pytest.approx(whole.coefficients.toArray().tolist(), abs=1e-9)
+    assert model.intercept == pytest.approx(whole.intercept, abs=1e-9)
+    judge = RegressionEvaluator(labelCol="energy", metricName="rmse")
+    errors = [judge.evaluate(library.fit(vectors.where(f"_fold <> {k}")).transform(vectors.where(f"_fold = {k}"))) for k in range(3)]
+    assert metric == pytest.approx(sum(errors) / 3, abs=1e-9)
+
+
+def test_linear_model_of_constants_and_single_fold(spark):
+    rows = spark.range(50).selectExpr("0 AS fold", "CAST(id AS DOUBLE) AS a", "3D AS b", "2D * id + 1D AS y", "4D AS z")
+    error, model = ridge.cross_validate(rows, ["a", "b"], "y", "fold", 0.0)
+    assert error != error and model.weights == pytest.approx((2.0, 0.0)) and model.intercept == pytest.approx(1.0)
+    _, flat = ridge.cross_validate(rows, ["a", "b"], "z", "fold", 0.1)
+    assert flat.weights == (0.0, 0.0) and flat.intercept == 4.0
+    with pytest.raises(ValueError, match="no complete rows"):
+        ridge.cross_validate(rows.limit(0), ["a"], "y", "fold", 0.1)
+
+
+def test_linear_folds_take_one_scan(spark, data, monkeypatch):
+    plans = []
+    real = ridge.grouped_moments
+    monkeypatch.setattr(ridge, "grouped_moments", lambda *a: plans.append(real(*a)) or plans[-1])
+    learn.cross_validate(learn.ENERGY_LINEAR, data[0], "id")
+    assert len(plans) == 1 and plans[0]._jdf.queryExecution().executedPlan().toString().count("InMemoryTableScan") >= 1

@@ -131,6 +131,24 @@ def test_correlation_is_pairwise_and_zero_for_constants(spark):
     assert found == {("a", "b"): (1.0, "Strong"), ("a", "c"): (0.0, "Weak"), ("b", "c"): (0.0, "Weak")}
 
 
+def test_correlation_adds_up_patterns_of_missing_values(spark):
+    import math
+
+    draw = random.Random(2)
+    data = [tuple(None if draw.random() < 0.3 else 1e6 + draw.random() * (i + 1) for i in range(4)) for _ in range(400)]
+    df = spark.createDataFrame(data, "a double, b double, c double, d double").repartition(7)
+    found = {(r.feature_1, r.feature_2): r.correlation for r in profiles.pairwise_corr(df, "abcd").collect()}
+    assert len(found) == 6
+    for (one, other), r in found.items():
+        i, j = "abcd".index(one), "abcd".index(other)
+        both = [(row[i], row[j]) for row in data if row[i] is not None and row[j] is not None]
+        mx, my = (sum(v) / len(both) for v in zip(*both))
+        xy, xx, yy = (sum((x - mx) ** p * (y - my) ** q for x, y in both) for p, q in ((1, 1), (2, 0), (0, 2)))
+        assert r == pytest.approx(xy / math.sqrt(xx * yy), abs=6e-4)
+    empty = profiles.pairwise_corr(df.limit(0), "abcd")
+    assert rows(empty, "correlation") == [(0.0,)] * 6
+
+
 def test_shares_and_nulls(spark):
     df = spark.createDataFrame([("a", 1), ("a", None), ("b", None), (None, None)], "k string, v int")
     assert [tuple(r) for r in profiles.share_of_total(df, "k").collect()] == [("a", 2, 50.0), (None, 1, 25.0), ("b", 1, 25.0)]
@@ -218,11 +236,23 @@ def test_previous_row_across_slices_and_hot_keys(spark, many_slices, by, partiti
     assert {r.id: r.prev_v for r in found.collect()} == brute_force_previous(data, by)
 
 
-def test_rows_are_spread_over_slices(spark, many_slices):
-    df = spark.range(8000).selectExpr("'hot' AS k", "0 AS ts", "id", "id AS v")
-    sliced = df.repartitionByRange("k", "ts", "id").groupBy(F.spark_partition_id()).count()
-    sizes = [r["count"] for r in sliced.collect()]
-    assert max(sizes) < 8000 / 2
+def test_rows_of_one_key_are_spread_over_time_buckets(spark, many_slices):
+    df = spark.range(8000).selectExpr("'hot' AS k", "timestamp_seconds(id * 60) AS ts", "id", "id AS v")
+    found = sequence.with_previous(df, ["v"], ["ts", "id"], ["k"]).withColumn("task", F.spark_partition_id())
+    sizes = [r["count"] for r in found.groupBy("task").count().collect()]
+    assert sum(sizes) == 8000 and max(sizes) < 8000 / 2
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "double", "bigint"])
+def test_time_buckets_never_fall(spark, kind):
+    draw = random.Random(5)
+    seconds = sorted(draw.randrange(-4_000_000, 4_000_000) for _ in range(500))
+    source = {"date": "date_add(date'1970-01-01', CAST(s / 86400 AS INT))", "double": "s / 7D", "bigint": "s"}.get(
+        kind, f"CAST(timestamp_seconds(s) AS {kind})"
+    )
+    df = spark.createDataFrame([(s,) for s in seconds], "s bigint").selectExpr("s", f"{source} AS t")
+    buckets = [r.b for r in df.selectExpr("t", f"{sequence.time_bucket(df, 't', 600)} AS b").orderBy("t").collect()]
+    assert buckets == sorted(buckets) and len(set(buckets)) > 50
 
 
 def test_previous_of_null_values_and_short_input(spark):

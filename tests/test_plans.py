@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from pyspark.sql import functions as F
-from tidemark.operators import anomaly, enrich, profiles, ranking
+from tidemark.operators import anomaly, enrich, profiles, ranking, sequence
 from tidemark.plans import bindings, cases
 from tidemark.session import scratch_path
 from tidemark.sources import sinks
@@ -37,9 +37,9 @@ def test_no_python_rows_cross_joins_or_whole_table_windows(spark):
         text = plan(query(spark, SF))
         for word in ("Python", "ArrowEval", "CartesianProduct", "BroadcastNestedLoopJoin"):
             assert word not in text, (name, word)
-        # The only window without partition keys runs over the one row per slice of with_previous.
+        # The only window without partition keys runs over the one row per time bucket of with_previous.
         for window in re.findall(r"Window \[.*", text):
-            if re.search(r"windowspecdefinition\(_slice", window):
+            if re.search(r"windowspecdefinition\(_bucket", window):
                 continue
             assert "PARTITION" in window or re.search(r"windowspecdefinition\(\w+#\d+, \w+#\d+", window), (name, window)
 
@@ -73,6 +73,13 @@ def test_one_aggregate_replaces_a_loop_of_jobs(spark):
     assert plan(ranking.rule_playlists(plays)).count("FileScan") == 1
 
 
+def test_correlations_do_not_multiply_rows(spark):
+    text = plan(profiles.pairwise_corr(bindings.plays(spark, SF)))
+    # pairs are unfolded from the summaries, above the aggregate, not from the rows below it
+    below = text[text.rindex("partial_covar_pop") :]
+    assert "Generate" not in below and "FileScan" in below
+
+
 def test_rank_limit_cuts_before_the_shuffle(spark):
     text = plan(cases.QUERIES["top_n_per_group"](spark, SF))
     assert re.search(r"WindowGroupLimit .*Partial", text)
@@ -82,6 +89,17 @@ def test_top_k_does_not_sort_everything(spark):
     assert "TakeOrderedAndProject" in plan(cases.QUERIES["top_k"](spark, SF))
 
 
+@pytest.mark.parametrize("by", [[], ["track_id"]])
+def test_previous_row_needs_one_shuffle_of_the_rows_and_no_checkpoint(spark, by):
+    plays = bindings.plays(spark, SF).select("track_id", "played_at", "event_id", "valence")
+    text = plan(sequence.with_previous(plays, ["valence"], ["played_at", "event_id"], by))
+    assert "ExistingRDD" not in text and "rangepartitioning" not in text and "Join" not in text
+    # from the lag's window down to the union there is one shuffle; the other ones belong to the last rows
+    first, rest = text.split("Union", 1)
+    assert first.count("Exchange") == 1
+    assert rest.count("Exchange") == 2 and "partial_max" in rest
+
+
 def test_share_of_total_reuses_its_shuffle(spark):
     assert "ReusedExchange" in final_plan(profiles.share_of_total(bindings.plays(spark, SF), "label"))
 

@@ -12,15 +12,17 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vocabulary as words
 from ..functions.buckets import ladder, lookup, quadrant
+from ..functions.hashing import digest, pick
 from ..functions.numeric import double, literal, min_max_scale, stable_round
 from ..schemas import schema
+from . import ridge
 from .metrics import (
     baseline_classification,
     baseline_regression,
@@ -53,10 +55,12 @@ class ModelSpec:
     kind: str
     target: str
     features: tuple[str, ...]
-    estimator: Callable[[str], Estimator]
+    estimator: Callable[[str], Estimator] | None
     output: tuple[str, ...]
     predicted_as: str
     classifier: bool = False
+    # Penalty of a linear model, which is solved from co-moments; other models are fitted by ``estimator``.
+    ridge: float | None = None
 
 
 # Inputs, targets and hyper-parameters of the three models.
@@ -74,7 +78,8 @@ ENERGY_LINEAR = ModelSpec(
     kind="LinearRegression",
     target="energy",
     features=("hour_of_day", "day_of_week", "tempo", "danceability", "acousticness"),
-    estimator=lambda target: LinearRegression(featuresCol=SCALED, labelCol=target, maxIter=100, regParam=0.01),
+    estimator=None,
+    ridge=0.01,
     output=("hour_of_day", "day_of_week", "energy", "predicted_energy", "tempo", "danceability"),
     predicted_as="predicted_energy",
 )
@@ -94,7 +99,7 @@ MODELS = (VALENCE_FOREST, ENERGY_LINEAR, MOOD_FOREST)
 @dataclass(frozen=True)
 class ModelRun:
     spec: ModelSpec
-    model: PipelineModel
+    model: PipelineModel | ridge.LinearModel
     scored: DataFrame
     cv_metric: float
     train: DataFrame
@@ -121,8 +126,8 @@ def model_frame(df: DataFrame, spec: ModelSpec, extra: Sequence[str] = ()) -> Da
 
 
 def fold_of(key: str, folds: int = FOLDS) -> str:
-    """Fold number from the key's hash: the same rows are together on any partitioning."""
-    return f"CAST(pmod(xxhash64({key}, 'fold'), {folds}) AS INT)"
+    """Fold number from the key's digest: the same rows are together on any partitioning and in any engine."""
+    return pick(digest(key, "fold"), range(folds))
 
 
 def evaluator(spec: ModelSpec):
@@ -135,12 +140,15 @@ def evaluator(spec: ModelSpec):
 
 def cross_validate(
     spec: ModelSpec, train: DataFrame, key: str, folds: int = FOLDS, partitions: int | None = None
-) -> tuple[float, PipelineModel]:
+) -> tuple[float, PipelineModel | ridge.LinearModel]:
     """Mean metric over the folds, and the model fitted on all training rows.
 
-    ``partitions`` spreads the rows anew; use it when the input has fewer splits than the cluster has cores.
+    ``partitions`` spreads the rows anew; use it when the input has fewer splits than the cluster has cores. A
+    linear model needs one aggregate over the rows, wherever they are.
     """
     rows = model_frame(train, spec, [f"{fold_of(key, folds)} AS _fold"])
+    if spec.ridge is not None:
+        return ridge.cross_validate(rows, spec.features, spec.target, "_fold", spec.ridge)
     if partitions:
         rows = rows.repartition(partitions)
     pipeline = Pipeline(stages=[*prepare_stages(spec.features), spec.estimator(spec.target)])
@@ -229,7 +237,7 @@ def wide_metrics(long: DataFrame, approach: str = "Catalog_to_User_with_CrossVal
 
 def feature_importance(run: ModelRun) -> DataFrame:
     """Importance and rank of each feature of a forest; no rows for other models."""
-    trees = [s for s in run.model.stages if hasattr(s, "featureImportances")]
+    trees = [s for s in getattr(run.model, "stages", []) if hasattr(s, "featureImportances")]
     weights = trees[0].featureImportances.toArray() if trees else []
     rows = [(f, float(w)) for f, w in zip(run.spec.features, weights)]
     ranked = sorted(rows, key=lambda r: (-r[1], r[0]))

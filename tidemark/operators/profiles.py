@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +11,7 @@ from ..functions import vocabulary as words
 from ..functions.buckets import ladder, position
 from ..functions.numeric import double, literal, percent, ratio, stable_round
 from ..functions.timeparts import DAY_PARTS, TIME_KEYS
+from .moments import pair_moments
 
 DIGITS = 3
 DIGITS_BY_MEASURE = {"tempo": 1}
@@ -102,37 +102,18 @@ def feature_profile(df: DataFrame, measures: Sequence[str] = DISTRIBUTION_MEASUR
     return _unfold(df, [row(m) for m in measures])
 
 
-def correlation(x: str, y: str) -> str:
-    """Pearson correlation over rows that have both values; 0 where it is undefined (no rows, constant column)."""
-    pair = f"({double(y)}, {double(x)})"
-    return ratio(f"regr_sxy{pair}", f"(sqrt(regr_sxx{pair}) * sqrt(regr_syy{pair}))")
-
-
 def pairwise_corr(
     df: DataFrame,
     measures: Sequence[str] = CORRELATION_MEASURES,
     cuts: tuple[float, float] = (0.7, 0.4),
     labels: tuple[str, str, str] = words.STRENGTH,
 ) -> DataFrame:
-    """Correlation of every pair (upper triangle) from one scan, with its strength.
+    """Pearson correlation of every pair (upper triangle) over the rows that have both, with its strength.
 
-    Each row becomes one small row per pair, which partial aggregation folds again inside the same task. A
-    single wide aggregate would hold some 250 values, too many for generated code.
+    From the co-moments of one scan; 0 where it is undefined (no rows, constant column).
     """
-    pairs = list(combinations(measures, 2))
-
-    def unfold(first: Sequence[str], second: Sequence[str]) -> str:
-        rows = [
-            f"named_struct('feature_1', '{a}', 'feature_2', '{b}', 'x', {x}, 'y', {y})"
-            for (a, b), x, y in zip(pairs, first, second)
-        ]
-        return f"inline(array({', '.join(rows)}))"
-
-    values = df.selectExpr(unfold([double(a) for a, _ in pairs], [double(b) for _, b in pairs]))
-    # One empty row per pair, so that no pair is missing when the table has no rows.
-    empty = [double("NULL")] * len(pairs)
-    seeds = df.sparkSession.sql(f"SELECT {unfold(empty, empty)}")
-    table = values.unionAll(seeds).groupBy("feature_1", "feature_2").agg(F.expr(f"{correlation('x', 'y')} AS r"))
+    r = ratio("xy", "(sqrt(xx) * sqrt(yy))")
+    table = pair_moments(df, measures).selectExpr("feature_1", "feature_2", f"{r} AS r")
     strength = ladder("abs(r)", list(zip(cuts, labels)), labels[-1], op=">")
     return table.selectExpr(
         "feature_1", "feature_2", f"{stable_round('r', DIGITS)} AS correlation", f"{strength} AS strength"

@@ -10,7 +10,20 @@ from pyspark.sql import functions as F
 from ..functions import vocabulary as words
 from ..functions.buckets import Quadrants, change_class, first_match, lookup, quadrant
 from ..functions.numeric import double, literal, stable_round
-from ..session import materialize
+
+
+BUCKET_SECONDS = 600
+
+
+def time_bucket(df: DataFrame, column: str, width: int) -> str:
+    """Number of the stretch of ``width`` seconds (or units of a number) that a value falls in; never falls as it rises."""
+    name, kind = f"`{column}`", df.schema[column].dataType.typeName()
+    seconds = {
+        "timestamp": f"unix_seconds({name})",
+        "timestamp_ntz": f"(unix_date(CAST({name} AS DATE)) * 86400L + hour({name}) * 3600 + minute({name}) * 60 + second({name}))",
+        "date": f"(unix_date({name}) * 86400L)",
+    }.get(kind, name)
+    return f"CAST(floor({seconds} / {width}) AS BIGINT)"
 
 
 def with_previous(
@@ -19,32 +32,32 @@ def with_previous(
     order: Sequence[str],
     by: Sequence[str] = (),
     prefix: str = "prev_",
+    width: int = BUCKET_SECONDS,
 ) -> DataFrame:
     """Append the value of each listed column in the previous row: over the whole table, or within ``by``.
 
     A plain window would sort the whole table, or all rows of the largest ``by`` group, in one task. Here
-    the rows are range-partitioned on (by, order) into even slices, whatever the keys look like; ``lag``
-    runs inside a slice, and the first row of a slice takes its value from the last row of the slice
-    before it. There is one such last row per slice, so their number is the number of shuffle partitions.
+    the rows are dealt once by (by, time bucket) and ``lag`` runs inside a bucket. The last row of every bucket, an
+    aggregate merged before its shuffle, is handed on to the next bucket that has rows: there it is one more row in
+    front of the others. Buckets depend on the rows' times alone, so a recomputed task finds the same ones and nothing
+    needs to be stored. The hand-over sorts one row a bucket (of the whole table, or of one ``by`` group).
 
-    ``order`` must be unique within ``by`` (end it with an id). Pass only the columns you need: the
-    sliced rows are written to the checkpoint folder, which also fixes which row is in which slice.
+    ``order`` starts with a time or a finite number and must be unique within ``by`` (end it with an id). A task sorts
+    the rows of one bucket of one group: choose ``width`` for the densest stretch of time.
     """
-    keys = [*by, *order]
-    carried = F.struct(*dict.fromkeys([*by, *values]))
-    sliced = materialize(df.repartitionByRange(*keys).withColumn("_slice", F.spark_partition_id()))
-
-    inside = Window.partitionBy("_slice").orderBy(*keys)
-    lagged = sliced.withColumn("_before", F.lag(carried).over(inside))
-
-    last = sliced.groupBy("_slice").agg(F.max_by(carried, F.struct(*keys)).alias("_last"))
-    border = last.select("_slice", F.lag("_last").over(Window.orderBy("_slice")).alias("_border"))
-
-    joined = lagged.join(F.broadcast(border), "_slice", "left")
-    before = joined.withColumn("_before", F.coalesce("_before", "_border"))
-    same = " AND ".join(["_before IS NOT NULL", *[f"_before.`{c}` <=> `{c}`" for c in by]])
-    previous = [f"if({same}, _before.`{c}`, NULL) AS `{prefix}{c}`" for c in values]
-    return before.selectExpr(*[f"`{c}`" for c in df.columns], *previous)
+    bucketed = df.selectExpr("*", f"{time_bucket(df, order[0], width)} AS _bucket", "1 AS _own")
+    carried = F.struct(*values)
+    last = bucketed.groupBy(*by, "_bucket").agg(F.max(F.struct(*order, carried.alias("_carried"))).alias("_last"))
+    following = Window.partitionBy(*by).orderBy("_bucket")
+    handed = last.select(*by, "_bucket", F.lag("_last._carried").over(following).alias("_carried")).where("_carried IS NOT NULL")
+    front = [f"_carried.`{c}` AS `{c}`" for c in values if c not in by]
+    missing = [
+        f"CAST(NULL AS {df.schema[c].dataType.simpleString()}) AS `{c}`" for c in df.columns if c not in values and c not in by
+    ]
+    rows = bucketed.unionByName(handed.selectExpr(*[f"`{c}`" for c in by], "_bucket", "0 AS _own", *front, *missing))
+    inside = Window.partitionBy(*by, "_bucket").orderBy("_own", *order)
+    lagged = rows.withColumn("_before", F.lag(carried).over(inside)).where("_own = 1")
+    return lagged.selectExpr(*[f"`{c}`" for c in df.columns], *[f"_before.`{c}` AS `{prefix}{c}`" for c in values])
 
 
 def lag_deltas(

@@ -225,13 +225,13 @@ def _drawn(n: int, index: int) -> str:
     return f"CAST({hex_block(digest('track_id', 'time'), index)} % {n} AS INT)"
 
 
-_TIMED = f"""SELECT *, {_drawn(24, 0)} AS hour_of_day, {_drawn(7, 1)} + 1 AS day_of_week,
+TIMED = f"""SELECT *, {_drawn(24, 0)} AS hour_of_day, {_drawn(7, 1)} + 1 AS day_of_week,
     CAST({_drawn(7, 1)} + 1 IN (1, 7) AS INT) AS is_weekend FROM catalog_rows"""
 
 
 @query(
     "deterministic_time",
-    over_catalog(f"SELECT track_id, hour_of_day, day_of_week, is_weekend FROM ({_TIMED})"),
+    over_catalog(f"SELECT track_id, hour_of_day, day_of_week, is_weekend FROM ({TIMED})"),
 )
 def deterministic_time(spark, sf):
     timed = enrich.deterministic_time(catalog(spark, sf), "track_id")
@@ -240,14 +240,14 @@ def deterministic_time(spark, sf):
 
 # --- filters -------------------------------------------------------------------------------------
 
-_CLEAN = " AND ".join(f"{c} BETWEEN {lo} AND {hi}" for c, (lo, hi) in enrich.CLEAN_RANGES.items())
+CLEAN = " AND ".join(f"{c} BETWEEN {lo} AND {hi}" for c, (lo, hi) in enrich.CLEAN_RANGES.items())
 
 
 @query(
     "range_clean",
     over_catalog(
-        f"""SELECT count(*) AS rows_before, count(*) FILTER (WHERE {_CLEAN}) AS rows_after,
-            count(*) - count(*) FILTER (WHERE {_CLEAN}) AS rows_removed FROM catalog_rows"""
+        f"""SELECT count(*) AS rows_before, count(*) FILTER (WHERE {CLEAN}) AS rows_after,
+            count(*) - count(*) FILTER (WHERE {CLEAN}) AS rows_removed FROM catalog_rows"""
     ),
 )
 def range_clean(spark, sf):
@@ -258,7 +258,7 @@ def range_clean(spark, sf):
     "training_scan",
     over_catalog(
         f"""SELECT track_id, {rnd('valence', 6)} AS valence, {rnd('tempo', 6)} AS tempo, hour_of_day, day_of_week,
-            is_weekend FROM ({_TIMED}) WHERE {_CLEAN}"""
+            is_weekend FROM ({TIMED}) WHERE {CLEAN}"""
     ),
 )
 def training_scan(spark, sf):

@@ -11,7 +11,8 @@ from ...functions.numeric import round_columns
 from ...operators import learn, metrics
 from ...operators.enrich import training_rows
 from ..bindings import catalog, plays, table
-from .registry import over_plays, quad, query, rnd
+from .columns import CLEAN, TIMED
+from .registry import CATALOG, PLAYS, digest, hex_block, over_plays, quad, query, rnd
 
 DIGITS = 6
 
@@ -152,9 +153,72 @@ def predict_regression(spark, sf):
     return fit(spark, sf, learn.VALENCE_FOREST).predictions
 
 
-@query("predict_linear")
+# --- the linear model, solved again by elimination ------------------------------------------------
+
+_INPUTS = ("hour_of_day", "day_of_week", "tempo", "danceability", "acousticness")
+_PENALTY = "0.01e0"
+
+
+def _fits() -> str:
+    """Weights and intercept of the fit without fold f (0 to 2), and of the one on all rows (f = 3)."""
+    n = len(_INPUTS)
+    columns = [f"x{i}" for i in range(n)] + ["y"]
+    means = ", ".join(f"avg({c}) AS m_{c}" for c in columns)
+    spreads = ", ".join(f"covar_pop({a}, {b}) AS c_{a}_{b}" for i, a in enumerate(columns) for b in columns[i:])
+    cells = [
+        f"c_x{min(i, j)}_x{max(i, j)} / sqrt(c_x{i}_x{i} * c_x{j}_x{j}){f' + {_PENALTY} / sqrt(c_y_y)' if i == j else ''} AS a{i}_{j}"
+        for i in range(n)
+        for j in range(n)
+    ]
+    sides = [f"c_x{i}_y / sqrt(c_x{i}_x{i} * c_y_y) AS b{i}" for i in range(n)]
+    steps = [f"e0 AS (SELECT *, {', '.join(cells + sides)} FROM sums)"]
+    for k in range(n - 1):
+        below = [
+            part
+            for i in range(k + 1, n)
+            for part in (*[f"a{i}_{j} - a{i}_{k} / a{k}_{k} * a{k}_{j} AS a{i}_{j}" for j in range(k, n)], f"b{i} - a{i}_{k} / a{k}_{k} * b{k} AS b{i}")
+        ]
+        steps.append(f"e{k + 1} AS (SELECT * REPLACE ({', '.join(below)}) FROM e{k})")
+    last = f"e{n - 1}"
+    for k in reversed(range(n)):
+        known = "".join(f" - a{k}_{j} * w{j}" for j in range(k + 1, n))
+        steps.append(f"s{k} AS (SELECT *, (b{k}{known}) / a{k}_{k} AS w{k} FROM {last})")
+        last = f"s{k}"
+    weights = [f"w{i} * sqrt(c_y_y / c_x{i}_x{i}) AS v{i}" for i in range(n)]
+    steps.append(f"v AS (SELECT *, {', '.join(weights)} FROM {last})")
+    steps.append(f"fits AS (SELECT *, m_y - ({' + '.join(f'v{i} * m_x{i}' for i in range(n))}) AS v FROM v)")
+    inputs = ", ".join(f"CAST({c} AS DOUBLE) AS x{i}" for i, c in enumerate(_INPUTS))
+    return f"""train AS (SELECT {inputs}, energy AS y, {hex_block(digest('track_id', 'fold'))} % 3 AS fold FROM ({TIMED}) WHERE {CLEAN}),
+      sums AS (SELECT f, {means}, {spreads} FROM train, (VALUES (0), (1), (2), (3)) AS t(f) WHERE fold <> f GROUP BY f),
+      {', '.join(steps)}"""
+
+
+def _guess(columns) -> str:
+    return " + ".join(["v", *[f"v{i} * {c}" for i, c in enumerate(columns)]])
+
+
+@query(
+    "predict_linear",
+    f"""WITH {PLAYS}, {CATALOG}, {_fits()}
+        SELECT hour_of_day, day_of_week, {_sql(energy='energy', predicted_energy=_guess(_INPUTS), tempo='tempo', danceability='danceability')}
+        FROM plays, fits WHERE f = 3""",
+)
 def predict_linear(spark, sf):
-    return fit(spark, sf, learn.ENERGY_LINEAR).predictions
+    predicted = fit(spark, sf, learn.ENERGY_LINEAR).predictions
+    return _rounded(predicted, "energy", "predicted_energy", "tempo", "danceability")
+
+
+@query(
+    "cv_linear",
+    f"""WITH {CATALOG}, {_fits()}, errors AS (
+          SELECT f, sqrt(avg((y - ({_guess([f'x{i}' for i in range(len(_INPUTS))])})) ** 2)) AS rmse FROM train JOIN fits ON fold = f GROUP BY f)
+        SELECT 'energy_forecast' AS model_name, {rnd('avg(rmse)', DIGITS)} AS cv_rmse, CAST(count(*) AS INT) AS folds FROM errors""",
+)
+def cv_linear(spark, sf):
+    """The mean error of the left-out folds, from the folds' co-moments alone."""
+    train = training_rows(catalog(spark, sf), "track_id")
+    metric, _ = learn.cross_validate(learn.ENERGY_LINEAR, train, "track_id")
+    return _rounded(spark.createDataFrame([("energy_forecast", metric, learn.FOLDS)], "model_name string, cv_rmse double, folds int"), "cv_rmse")
 
 
 @query("predict_class")
