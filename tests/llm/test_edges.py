@@ -257,6 +257,36 @@ def test_jaccard(docs, empty):
     assert pairs(found, "doc_id", "n_shingles", "component_id") == sorted(((ROWS[i][0], *v) for i, v in expected.items()), key=repr)
     assert jaccard_join.groups(empty, 3, 90).count() == 0
     assert jaccard_join.keep_one(docs).columns == docs.columns
+    # one document of each group: of 4, 5 and the null id the smallest id stays, texts without words all do
+    assert sorted((r.doc_id for r in jaccard_join.keep_one(docs).collect())) == [1, 2, 3, 4, 6, 7, 8, 10, 11]
+    assert jaccard_join.keep_one(empty).count() == 0
+
+
+def test_jaccard_keeps_one_of_null_and_shared_ids(spark):
+    long = [f"w{i}" for i in range(200)]
+    near = [" ".join([*long[:150], f"x{i}", *long[151:]]) for i in range(4)]
+    rows = [(None, near[0]), (None, near[1]), (None, near[1]), (7, "a clean text of its own"), (7, near[2]), (9, near[3]), (9, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    kept = [tuple(r) for r in jaccard_join.keep_one(docs).collect()]
+    assert sorted(kept, key=repr) == sorted([(7, "a clean text of its own"), (7, near[2]), (9, None), (None, "")], key=repr)
+    nameless = docs.where("doc_id IS NULL AND text <> ''")
+    assert len({r.text for r in jaccard_join.keep_one(nameless).collect()}) == 1
+    assert {r.component_id for r in jaccard_join.groups(nameless, 5, 80).collect()} == {None}
+
+
+@pytest.mark.parametrize("shape", ["ordered", "mixed", "tree"])
+def test_stars_take_few_rounds_on_long_chains(spark, shape):
+    import random
+
+    names = list(range(2001))
+    if shape != "ordered":
+        random.Random(4).shuffle(names)
+    edges = [(names[i], names[i // 2 if shape == "tree" else i - 1]) for i in range(1, 2001)] + [(5000, 5001), (5001, 5000)]
+    rounds = []
+    found = {r.v: r.root for r in jaccard_join.stars(spark.createDataFrame(edges, "a bigint, b bigint"), rounds).collect()}
+    assert found == {v: 0 for v in range(1, 2001)} | {5001: 5000}
+    assert len(rounds) <= 16 and max(rounds) <= 2001 + 2001
+    assert jaccard_join.stars(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
 @pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80), (2, 60)])

@@ -7,19 +7,25 @@ once can link nothing), and the others after it; any total order is right for pr
 prefixes rare. A set that has enough unique n-grams to fill its prefix links to nothing and is done; most are.
 
 The prefixes of the rest are dealt by n-gram; two sets whose prefixes share the n-gram before have met at that
-one and are not compared again. Rare n-grams (at most ``RARE`` sets) go to tasks that build a
-trie of the prefixes below that n-gram, walk it once per different prefix, share partial overlaps along its
-paths and cut subtrees whose remaining lengths cannot reach the needed overlap. What is left is verified on
-the whole sets. This is done twice: at first each set gets one partner, and the links found join up most near
-copies; then the tries are walked again for all pairs that still lie between two groups, where an n-gram of one
-group only is left out. So a group of near copies is never expanded into its pairs.
-
-Frequent n-grams, which only sets without enough rare ones still hold, are split by set size and, above
-``BLOCK_SETS``, into pairs of salted blocks. Their tasks walk a trie too, hold a sketch of each set (parities,
-which bound exactly how many n-grams two sets differ in) and return a forest of sets that may link. Its pairs are
-verified with the others; where a forest then still holds several groups, its sets are walked again with their
-whole n-grams and verified in place. Groups are components of the links, found by label propagation with pointer
-jumping, checkpointed each round.
+one and are not compared again. An n-gram of at most ``RARE`` sets goes to a task that builds a
+trie of the prefixes below that n-gram, walks it once per different prefix, shares partial overlaps along its
+paths and cuts subtrees whose remaining lengths cannot reach the needed overlap. More frequent n-grams, which
+only sets without enough rare ones still hold, are split by set size and into salted blocks of about ``BLOCK_SETS``
+sets. Their tasks walk a trie too and hold a sketch of each set (parities, which bound exactly how many n-grams two sets
+differ in). All that these return is verified on whole sets. ``RARE`` and ``BLOCK_SETS`` bound a task's memory; they
+decide nothing about the result.
+
+Groups are joined up as they are found, so a group of near copies is never expanded into its pairs:
+
+1. every set proposes one partner: from a rare n-gram, or from its block of its first frequent n-gram;
+2. twice, one set of every group and n-gram is compared with those of other groups;
+3. n-grams whose sets are all of one group by now are done. What is left is compared in full, pairs between two
+   groups only: the sets of an n-gram's largest group are not spread against each other, all others are.
+
+After each step the links that hold are contracted by star contraction (a smaller neighbour at a time, rounds
+in proportion to the logarithm of the longest path). Every stage is written as Parquet and read back, so neither lineage
+nor the planner's size estimates pile up. Up to step 3, rows are in proportion to sets (and groups per n-gram); in
+step 3 an n-gram of m sets outside its largest group, of g sets, takes m (m + 2 g) / ``BLOCK_SETS`` rows.
 
 Defined results: null and empty texts have 0 n-grams and stand alone; a text with fewer words than n is one
 n-gram; repeated rows are one vertex; rows with a null doc_id take part, and the smallest non-null doc_id of
@@ -36,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import scratch_path
 from .texts import Words, byte_chunks, mix, ngrams
 
 RARE = 64
@@ -45,7 +51,6 @@ CLASS_BITS = 47
 OTHERS = 65535
 TAIL = 32
 TAIL_BITS = 24
-SMALL_ROWS = 200_000
 
 
 def prefix_size(size, percent):
@@ -82,9 +87,9 @@ def _digest(found: np.ndarray) -> bytes:
 
 
 def describe_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, size, digest, low, rest) of every row: ``low`` is the counted slice, ``rest`` fills a prefix it is too small for."""
+    """(doc_id, h, size, digest, low, rest) of every row: ``h`` is a hash of its text, ``low`` is the counted slice, ``rest`` fills a prefix it is too small for."""
     bound = np.uint64(slice_bound(percent))
-    schema = "doc_id bigint, size bigint, digest binary, low array<bigint>, rest array<bigint>"
+    schema = "doc_id bigint, h bigint, size bigint, digest binary, low array<bigint>, rest array<bigint>"
 
     def describe(batches):
         for batch in batches:
@@ -100,6 +105,7 @@ def describe_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": batch.column(0).slice(first, len(sizes)),
+                        "h": batch.column(2).slice(first, len(sizes)),
                         "size": pa.array(sizes, pa.int64()),
                         "digest": pa.array(digests, pa.binary()),
                         "low": pa.array(lows, pa.list_(pa.int64())),
@@ -107,11 +113,15 @@ def describe_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     }
                 )
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(describe, schema)
+    return docs.select(F.col("doc_id").cast("bigint"), "text", text_hash()).mapInArrow(describe, schema)
+
+
+def text_hash():
+    return F.xxhash64("text").alias("h")
 
 
 def prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(v, owner, digest, size, gone, keys) of the sets whose prefix can meet another's.
+    """(v, owner, h, digest, size, gone, keys) of the sets whose prefix can meet another's.
 
     ``keys`` are the shared prefix n-grams as ordered numbers (frequency class above hash bits); ``gone``
     counts the unique ones before them.
@@ -126,14 +136,14 @@ def prefixes(sets: DataFrame, percent: int) -> DataFrame:
     need = f"(size - CAST(ceil(size * {percent} / 100) AS BIGINT) + 1)"
     others = f"transform(rest, t -> shiftleft({OTHERS}L, {CLASS_BITS}) | shiftrightunsigned(t, {64 - CLASS_BITS}))"
     return (
-        firsts.select("v", "owner", "digest", "size", "rest", F.size("low").alias("n_low"))
+        firsts.select("v", "owner", "h", "digest", "size", "rest", F.size("low").alias("n_low"))
         .join(hits, "v", "left")
         .withColumn("met", F.expr("coalesce(met, CAST(array() AS ARRAY<BIGINT>))"))
         .withColumn("gone", F.expr("CAST(n_low - size(met) AS BIGINT)"))
         .where(f"gone < {need}")
         .withColumn("keys", F.expr(f"slice(concat(met, {others}), 1, CAST({need} - gone AS INT))"))
         .where("size(keys) > 0")
-        .select("v", "owner", "digest", "size", "gone", "keys")
+        .select("v", "owner", "h", "digest", "size", "gone", "keys")
     )
 
 
@@ -369,9 +379,9 @@ def _likely_joins(percent: int):
 
     def joins(batches):
         for place, rows in runs(batches, 4):
-            block = Block([row[:7] for row in rows], percent)
+            block = Block([row[:7] for row in rows], percent, [row[7] for row in rows])
             sizes, needed = block.sizes, block.trie.needed
-            sketches = fold_alike([row[7] for row in rows])
+            sketches = fold_alike([row[8] for row in rows])
 
             def close(one, other):
                 room = sizes[one] + sizes[other] - 2 * needed(sizes[one], sizes[other])
@@ -427,9 +437,74 @@ def _linked(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
 
 # --- links and groups ----------------------------------------------------------------------------
 
+PLACE = ["key", "band", "i", "j"]
+EDGES = "a bigint, b bigint"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The rows, written and read back: computed once, without lineage, and with the size that they really have."""
+    path = scratch_path(df.sparkSession, "jaccard")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Groups:
+    """Which group each set is in so far: ``labels`` has (v, root) of the sets that are not their group's root."""
+
+    def __init__(self, labels: DataFrame):
+        self.labels = labels
+
+    @classmethod
+    def single(cls, spark) -> Groups:
+        return cls(spark.createDataFrame([], "v bigint, root bigint"))
+
+    def of(self, rows: DataFrame, v: str = "v", root: str = "root") -> DataFrame:
+        """``rows`` with the root of each set in column ``v``."""
+        named = self.labels.select(F.col("v").alias("_v"), F.col("root").alias("_root"))
+        joined = rows.join(named, F.col(v) == F.col("_v"), "left")
+        return joined.withColumn(root, F.coalesce("_root", v)).drop("_v", "_root")
+
+    def joined(self, links: DataFrame) -> Groups:
+        """The groups after joining up those that the links (a, b) connect."""
+        between = self.of(self.of(links, "a", "a"), "b", "b").where("a <> b")
+        star = stars(between)
+        moved = star.select(F.col("v").alias("_v"), F.col("root").alias("_root"))
+        known = self.labels.join(moved, F.col("root") == F.col("_v"), "left").select("v", F.coalesce("_root", "root").alias("root"))
+        return Groups(stored(known.unionAll(star)))
+
+
+def stars(edges: DataFrame, rounds: list | None = None) -> DataFrame:
+    """(v, root) of every vertex of the edges (a, b) that reaches a smaller one; ``root`` is the smallest it reaches.
+
+    Large and small stars in turn: each vertex hands its larger neighbours, then its smaller ones, to the smallest
+    vertex that it sees. Rows are at most edges and vertices together.
+    """
+    ordered = edges.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"))
+    now, before = stored(ordered.where("low < high").distinct()), None
+    while True:
+        state = now.agg(F.count("*"), F.bit_xor(F.xxhash64("low", "high"))).first()
+        if state == before or not state[0]:
+            return now.select(F.col("high").alias("v"), F.col("low").alias("root"))
+        if rounds is not None:
+            rounds.append(state[0])
+        before = state
+        least = now.groupBy(F.col("high").alias("u")).agg(F.min("low").alias("m"))
+        large = now.join(least, F.col("low") == F.col("u"), "left").select(F.coalesce("m", "low").alias("low"), "high").distinct()
+        least = large.groupBy(F.col("high").alias("u")).agg(F.min("low").alias("m"))
+        small = large.join(least, F.col("high") == F.col("u"))
+        both = small.select(F.col("m").alias("low"), F.explode(F.array("low", "high")).alias("high"))
+        now = stored(both.where("low < high").distinct())
+
+
+def one_each(candidates: DataFrame) -> DataFrame:
+    """Of candidate pairs (a, b), one for each set that has any."""
+    ways = F.explode(F.array(F.struct(F.col("a").alias("v"), F.col("b").alias("w")), F.struct(F.col("b").alias("v"), F.col("a").alias("w"))))
+    partner = candidates.select(ways.alias("way")).groupBy("way.v").agg(F.min("way.w").alias("w"))
+    return partner.select(F.least("v", "w").alias("a"), F.greatest("v", "w").alias("b")).distinct()
+
 
-def links(docs: DataFrame, firsts: DataFrame, n: int, percent: int) -> DataFrame:
-    """Links (a, b) between vertices that join every group; ``firsts`` is the stored result of ``prefixes``."""
+def join_up(docs: DataFrame, firsts: DataFrame, n: int, percent: int) -> Groups:
+    """The groups of all vertices; ``firsts`` is the stored result of ``prefixes``."""
     rows = firsts.select("v", "size", "gone", "keys", F.posexplode("keys").alias("pos", "key"))
     is_rare = F.shiftright("key", CLASS_BITS) <= RARE
     gone, prior = (F.col("gone") + F.col("pos")).alias("gone"), F.expr("if(pos > 0, keys[pos - 1], -1L)").alias("prior")
@@ -437,74 +512,97 @@ def links(docs: DataFrame, firsts: DataFrame, n: int, percent: int) -> DataFrame
     rarer = F.expr(f"filter(slice(keys, pos + 2, {TAIL}), k -> shiftright(k, {CLASS_BITS}) <= {RARE})")
     short = F.transform(rarer, lambda k: F.shiftright(k, CLASS_BITS - TAIL_BITS).cast("int")).alias("tail")
     rare = rows.where(is_rare).select("key", "v", "size", gone, prior, short)
-
-    def pairs(rooted, one_each):
-        dealt = rooted.select("key", "v", "size", "gone", "prior", "root", "tail").repartition("key").sortWithinPartitions("key")
-        return dealt.mapInArrow(_rare_pairs(percent, one_each), "a bigint, b bigint")
-
-    # at first every set gets one partner; this covers all sets that have any
-    partners = pairs(rare.withColumn("root", F.col("v")), True)
-    ways = F.explode(F.array(F.struct(F.col("a").alias("v"), F.col("b").alias("w")), F.struct(F.col("b").alias("v"), F.col("a").alias("w"))))
-    nearest = materialize(partners.select(ways.alias("way")).groupBy("way.v").agg(F.min("way.w").alias("w")))
-
     whole_tail = F.expr("slice(keys, pos + 2, greatest(size(keys) - pos - 1, 0))").alias("tail")
     frequent = rows.where(~is_rare).select("key", "v", "size", gone, prior, whole_tail)
-    often = frequent.groupBy("key").agg(F.count("*").alias("g")).where("g > 1")
-    band = F.floor(F.log("size") / (math.log(100 / percent) * 1.001))
-    banded = frequent.join(often, "key").withColumn("own", band)
-    banded = banded.select("*", F.explode(F.array("own", F.col("own") - 1)).alias("band"))
-    # sets that all come from one n-gram before have met there
-    blocks = banded.groupBy("key", "band").agg(
-        F.count("*").alias("m"), F.max(F.col("own") == F.col("band")).alias("l"), F.min("prior").alias("p"), F.max("prior").alias("q")
+
+    # sets of neighbouring sizes can link: each goes to its own band and to the one below
+    own = F.floor(F.log("size") / (math.log(100 / percent) * 1.001))
+    banded = frequent.withColumn("own", own).select("*", F.explode(F.array("own", F.col("own") - 1)).alias("band"))
+    banded = stored(banded.select("key", "band", (F.col("own") == F.col("band")).alias("lower"), "v", "size", "gone", "prior", "tail"))
+    groups = Groups.single(docs.sparkSession)
+
+    partners = stored(one_each(_rare(rare.withColumn("root", F.col("v")), percent, True)))
+    involved = partners.select(F.explode(F.array("a", "b")).alias("v")).unionAll(banded.select("v")).distinct()
+    whole = stored(whole_sets(docs, firsts.join(involved, "v").select("v", "owner", "h", "digest"), n))
+
+    # 1. one partner for each set
+    start = banded.where(F.shiftright("prior", CLASS_BITS) <= RARE)
+    near = partners.unionAll(_blocks(start.withColumn("root", F.col("v")), whole, percent).select("a", "b"))
+    groups = groups.joined(stored(_verified(one_each(near), whole, percent)))
+
+    # 2. one set for each group and n-gram
+    for chosen in (F.min, F.max):
+        told = _several(groups.of(banded), ["key", "band"])
+        member = told.groupBy("key", "band", "root", "lower").agg(chosen(F.struct("v", "size", "gone", "prior", "tail")).alias("m"))
+        likely = _blocks(member.select("key", "band", "lower", "m.*", "root"), whole, percent)
+        groups = groups.joined(stored(_verified(one_each(likely.select("a", "b")), whole, percent)))
+
+    # 3. all pairs between groups that are left
+    spread = stored(_spread(_several(groups.of(banded), ["key", "band"])))
+    likely = stored(_likely(spread, whole, percent))
+    pairs = likely.select(F.least("v", "w").alias("a"), F.greatest("v", "w").alias("b")).distinct()
+    groups = groups.joined(stored(_verified(pairs, whole, percent)))
+    # a block joins up what may link; where such a forest still holds several groups, its sets are walked again
+    members = groups.of(likely.select(*PLACE, "forest", F.explode(F.array("v", "w", "forest")).alias("v")).distinct())
+    forests = members.groupBy(*PLACE, "forest").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    # the other sets of a group in the forest were joined to it before the walk
+    met = members.join(forests.drop("low", "high"), [*PLACE, "forest"]).select(*PLACE, "forest", "root").distinct()
+    again = groups.of(spread.drop("root")).join(met, [*PLACE, "root"])
+    again = again.join(whole.select("v", "grams"), "v").select(*PLACE, "forest", *MEMBER, "root", "grams")
+    exact = again.repartition(*PLACE, "forest").sortWithinPartitions(*PLACE, "forest").mapInArrow(_exact_joins(percent), EDGES)
+    groups = groups.joined(stored(exact))
+
+    between = stored(_rare(_several(groups.of(rare), ["key"]), percent, False).distinct())
+    return groups.joined(stored(_verified(between, whole, percent)))
+
+
+MEMBER = ["v", "salt", "lower", "size", "gone", "prior", "tail"]
+
+
+def _rare(rooted: DataFrame, percent: int, partners: bool) -> DataFrame:
+    dealt = rooted.select("key", "v", "size", "gone", "prior", "root", "tail").repartition("key").sortWithinPartitions("key")
+    return dealt.mapInArrow(_rare_pairs(percent, partners), EDGES)
+
+
+def _several(rooted: DataFrame, place: list[str]) -> DataFrame:
+    """The rows of places that hold sets of several groups."""
+    groups = rooted.groupBy(*place).agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most")
+    return rooted.join(groups.drop("least", "most"), place, "left_semi")
+
+
+def _blocks(rows: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
+    """Likely pairs inside salted blocks of each n-gram and size band, every set in one block."""
+    counted = rows.groupBy("key", "band").agg(F.count("*").alias("m"), F.max("lower").alias("l")).where("m > 1 AND l")
+    blocks = counted.select("key", "band", F.ceil(F.col("m") / BLOCK_SETS).alias("salts"))
+    dealt = rows.join(blocks, ["key", "band"]).withColumn("salt", F.pmod(F.xxhash64("v"), F.col("salts")))
+    placed = dealt.select("key", "band", F.col("salt").alias("i"), F.col("salt").alias("j"), *MEMBER, "root")
+    found = _likely(placed, whole, percent)
+    return found.select(F.least("v", "w").alias("a"), F.greatest("v", "w").alias("b"))
+
+
+def _likely(placed: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
+    """(place, forest, v, w): the pairs of different groups that may link, as forests in each place."""
+    sketched = placed.join(whole.select("v", "sketch"), "v").select(*PLACE, *MEMBER, "root", "sketch")
+    return sketched.repartition(*PLACE).sortWithinPartitions(*PLACE).mapInArrow(
+        _likely_joins(percent), "key bigint, band bigint, i bigint, j bigint, forest bigint, v bigint, w bigint"
     )
-    blocks = blocks.where("m > 1 AND l AND (p < 0 OR p < q)").select("key", "band", F.ceil(F.col("m") / BLOCK_SETS).alias("salts"))
-    cut = banded.join(blocks, ["key", "band"]).withColumn("salt", F.pmod(F.xxhash64("v"), F.col("salts")))
-    cut = materialize(cut.drop("g"))
-
-    involved = nearest.select("v").unionAll(cut.select("v")).distinct()
-    whole = materialize(whole_sets(docs, materialize(firsts.join(involved, "v").select("v", "owner", "digest")), n))
-
-    spread = cut.select("*", F.explode(F.expr("sequence(0L, salts - 1)")).alias("peer"))
-    place = ["key", "band", "i", "j"]
-    spread = spread.select(
-        "key",
-        "band",
-        F.least("salt", "peer").alias("i"),
-        F.greatest("salt", "peer").alias("j"),
-        "v",
-        "salt",
-        (F.col("own") == F.col("band")).alias("lower"),
-        "size",
-        "gone",
-        "prior",
-        "tail",
+
+
+def _spread(rows: DataFrame) -> DataFrame:
+    """Sets in pairs of salted blocks. Those of a place's largest group meet the others only: their salts are negative."""
+    sizes = rows.groupBy("key", "band", "root").agg(F.count("*").alias("m"), F.max("lower").alias("l"))
+    largest = sizes.groupBy("key", "band").agg(
+        F.max_by("root", F.struct("m", "root")).alias("largest"), F.max("m").alias("g"), F.sum("m").alias("m"), F.max("l").alias("l")
     )
-    sketched = spread.join(whole.select("v", "sketch"), "v").select(*spread.columns, "sketch")
-    likely = sketched.repartition(*place).sortWithinPartitions(*place).mapInArrow(
-        _likely_joins(percent), "key bigint, band bigint, i bigint, j bigint, forest bigint, v bigint, w bigint"
+    salts = largest.where("l").select(
+        "key", "band", "largest", F.ceil(F.col("g") / BLOCK_SETS).alias("inner"), F.ceil((F.col("m") - F.col("g")) / BLOCK_SETS).alias("outer")
     )
-    likely = materialize(likely)
-
-    # those first pairs join up most of a group of near copies; n-grams of one group only are then done
-    near = nearest.select("v", "w").unionAll(likely.select("v", "w")).select(F.least("v", "w").alias("a"), F.greatest("v", "w").alias("b")).distinct()
-    first = materialize(_verified(near, whole, percent))
-    roots = small_or_shuffled(materialize(connected(first).where("root <> v")))
-
-    # in a frequent block, all sets that may link are in one forest: only those of several groups are looked at again
-    members = likely.select(*place, "forest", F.explode(F.array("v", "w")).alias("v")).distinct()
-    members = members.join(roots, "v", "left").withColumn("root", F.coalesce("root", "v"))
-    forests = members.groupBy(*place, "forest").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    members = materialize(members.join(forests.drop("low", "high"), [*place, "forest"]))
-    again = small_or_shuffled(materialize(spread.join(small_or_shuffled(members), [*place, "v"])))
-    again = again.join(whole.select("v", "grams"), "v")
-    place = [*place, "forest"]
-    again = again.select(*place, "v", "salt", "lower", "size", "gone", "prior", "tail", "root", "grams")
-    exact = again.repartition(*place).sortWithinPartitions(*place).mapInArrow(_exact_joins(percent), "a bigint, b bigint")
-
-    told = rare.join(roots, "v", "left").withColumn("root", F.coalesce("root", "v"))
-    open_keys = told.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-    between = pairs(told.join(small_or_shuffled(materialize(open_keys)), "key", "left_semi"), False).distinct()
-    return first.unionAll(_verified(between, whole, percent)).unionAll(exact)
+    dealt = rows.join(salts, ["key", "band"]).withColumn("in_largest", F.expr("root = largest"))
+    salt = F.expr("if(in_largest, -1 - pmod(xxhash64(v), inner), pmod(xxhash64(v), outer))")
+    peers = F.expr("if(in_largest, sequence(0L, outer - 1), sequence(-inner, outer - 1))")
+    met = dealt.withColumn("salt", salt).select("*", F.explode(peers).alias("peer"))
+    place = ["key", "band", F.least("salt", "peer").alias("i"), F.greatest("salt", "peer").alias("j")]
+    return met.select(*place, *MEMBER, "root")
 
 
 def _verified(pairs: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
@@ -512,10 +610,8 @@ def _verified(pairs: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
     x = whole.select(F.col("v").alias("a"), F.size("grams").alias("m"), F.col("sketch").alias("p"))
     y = whole.select(F.col("v").alias("b"), F.size("grams").alias("n"), F.col("sketch").alias("q"))
     sketched = pairs.join(x, "a").join(y, "b").select("a", "b", "m", "n", "p", "q")
-    likely = materialize(sketched.mapInArrow(_close_pairs(percent), "a bigint, b bigint"))
-    ids = small_or_shuffled(materialize(likely.select(F.explode(F.array("a", "b")).alias("v")).distinct()))
-    sets = whole.select("v", "grams").join(ids, "v", "left_semi")
-    one, other = sets.select(F.col("v").alias("a"), F.col("grams").alias("x")), sets.select(F.col("v").alias("b"), F.col("grams").alias("y"))
+    likely = stored(sketched.mapInArrow(_close_pairs(percent), EDGES))
+    one, other = whole.select(F.col("v").alias("a"), F.col("grams").alias("x")), whole.select(F.col("v").alias("b"), F.col("grams").alias("y"))
     met = likely.join(one, "a").join(other, "b").withColumn("i", F.size(F.array_intersect("x", "y")))
     return met.where(f"100 * i >= {percent} * (size(x) + size(y) - i)").select("a", "b")
 
@@ -534,15 +630,11 @@ def _close_pairs(percent: int):
     return close
 
 
-def small_or_shuffled(stored: DataFrame) -> DataFrame:
-    """Broadcast a stored table of short rows if it is counted to be small; else its join is shuffled."""
-    return F.broadcast(stored) if stored.count() <= SMALL_ROWS else stored
-
-
 def whole_sets(docs: DataFrame, vertices: DataFrame, n: int) -> DataFrame:
     """(v, grams, sketch): the whole sets of some vertices, made again from their owners' texts."""
-    wanted = small_or_shuffled(vertices.select("v", F.col("owner").alias("_owner"), "digest"))
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("_doc"), "text").join(wanted, F.col("_doc").eqNullSafe(F.col("_owner")))
+    wanted = vertices.select("v", F.col("owner").alias("_owner"), F.col("h").alias("_h"), "digest")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("_doc"), "text", text_hash())
+    rows = texts.join(wanted, F.col("_doc").eqNullSafe(F.col("_owner")) & (F.col("h") == F.col("_h")))
 
     def build(batches):
         for batch in batches:
@@ -561,38 +653,41 @@ def whole_sets(docs: DataFrame, vertices: DataFrame, n: int) -> DataFrame:
     return made.groupBy("v").agg(F.first("grams").alias("grams"), F.first("sketch").alias("sketch"))  # rows that repeat id and text
 
 
-def connected(edges: DataFrame) -> DataFrame:
-    """(v, root) of every vertex with an edge: ``root`` is the smallest vertex it reaches. ``edges`` is stored."""
-    both = materialize(edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-    labels = materialize(both.groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.first("a")).alias("root")))
-    while True:
-        across = both.join(labels, both["b"] == labels["v"]).groupBy("a").agg(F.min("root").alias("best"))
-        moved = labels.join(across, labels["v"] == across["a"]).select("v", F.col("root").alias("old"), F.least("root", "best").alias("root"))
-        jump = labels.select(F.col("v").alias("root"), F.col("root").alias("far"))
-        jumped = materialize(moved.join(jump, "root", "left").select("v", "old", F.coalesce("far", "root").alias("root")))
-        labels = jumped.select("v", "root")
-        if jumped.where("old <> root").isEmpty():
-            return labels
+def components(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Stored (row, doc_id, h, size, digest) of every row, and (digest, group) of the sets that are not alone."""
+    sets = stored(describe_sets(docs, n, percent).withColumn("row", F.monotonically_increasing_id()))
+    firsts = stored(prefixes(sets, percent))
+    labels = join_up(docs, firsts, n, percent).labels
+    members = labels.unionAll(labels.select(F.col("root").alias("v"), "root").distinct())
+    linked = members.join(firsts.select("v", "digest"), "v").select("digest", F.col("root").alias("group"))
+    copied = sets.where("size > 0").groupBy("digest").agg(F.min("row").alias("group"), F.count("*").alias("copies")).where("copies > 1")
+    alone = copied.join(linked, "digest", "left_anti").select("digest", "group")
+    return sets.select("row", "doc_id", "h", "size", "digest"), stored(linked.unionAll(alone))
 
 
 def groups(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
-    sets = materialize(describe_sets(docs, n, percent).withColumn("row", F.monotonically_increasing_id()))
-    firsts = materialize(prefixes(sets, percent))
-    edges = materialize(links(docs, firsts, n, percent))
-    classes = sets.where("size > 0").groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
-    roots = connected(edges).join(firsts.select("v", "digest"), "v").join(classes, "digest").select("root", "digest", "first")
-    smallest = roots.groupBy("root").agg(F.min("first").alias("component"))
-    joined = roots.join(smallest, "root").select("digest", "component")
-    named = classes.join(joined, "digest", "left").where("copies > 1 OR component IS NOT NULL")
-    named = materialize(named.select("digest", F.coalesce("component", "first").alias("component")))
-    return sets.select("doc_id", "size", "digest").join(named, "digest", "left").select(
-        "doc_id", F.col("size").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
+    sets, grouped = components(docs, n, percent)
+    told = sets.join(grouped, "digest", "left")
+    # merged per set before groups meet: copies do not travel
+    least = sets.groupBy("digest").agg(F.min("doc_id").alias("doc_id")).join(grouped, "digest").groupBy("group").agg(F.min("doc_id").alias("component"))
+    return told.join(least, "group", "left").select(
+        "doc_id", F.col("size").alias("n_shingles"), F.when(F.col("group").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id")
     )
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The documents whose doc_id names their group, with all their columns."""
-    away = groups(docs, n, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("_away")).distinct()
-    away = small_or_shuffled(materialize(away))
-    return docs.join(away, docs["doc_id"].cast("bigint") == away["_away"], "left_anti")
+    """One document of each group, with all its columns: the one with the smallest doc_id.
+
+    A document is a doc_id and a text, so rows that repeat both stay or go together. Where no member has an id (or
+    several have the smallest one) the smallest hash of the text decides; texts without words stay.
+    """
+    sets, grouped = components(docs, n, percent)
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
+    # one row for each document of a group
+    member = sets.groupBy("digest", "doc_id", "h").agg(F.count("*").alias("rows")).join(grouped, "digest").withColumn("rank", rank)
+    best = member.groupBy("group").agg(F.min("rank").alias("best"))
+    away = stored(member.join(best, "group").where("rank > best").select(F.col("doc_id").alias("_away"), F.col("h").alias("_h")))
+    marked = docs.withColumn("_text_hash", F.xxhash64("text"))
+    gone = docs["doc_id"].cast("bigint").eqNullSafe(away["_away"]) & (F.col("_text_hash") == away["_h"])
+    return marked.join(away, gone, "left_anti").select(*docs.columns)
