@@ -6,7 +6,8 @@ import random
 import pytest
 
 from pyspark.sql import functions as F
-from tidemark.operators import anomaly, conform, enrich, metrics, profiles, ranking, segment, sequence
+from tidemark.functions.timeparts import time_dimensions
+from tidemark.operators import anomaly, conform, enrich, metrics, profiles, ranking, rollup, segment, sequence
 from tidemark.schemas import SCHEMAS, schema
 
 
@@ -160,11 +161,10 @@ def test_shares_and_nulls(spark):
 # --- ranking -------------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("plain", [1000, 0])
-def test_top_n_breaks_ties_and_salting_changes_nothing(spark, monkeypatch, plain):
-    monkeypatch.setattr(ranking, "PLAIN_TOP_N", plain)
+@pytest.mark.parametrize("top_n", [ranking.top_n_per_group, ranking.global_ranks])
+def test_top_n_breaks_ties_alike_by_both_ways(spark, top_n):
     df = spark.range(3000).selectExpr("if(id < 2900, 'hot', 'cold') AS g", "id", "id % 7 AS v")
-    top = ranking.top_n_per_group(df, "g", [F.desc("v"), F.asc("id")], 5)
+    top = top_n(df, "g", [F.desc("v"), F.asc("id")], 5)
     expected = []
     for g, ids in (("hot", range(2900)), ("cold", range(2900, 3000))):
         order = sorted(ids, key=lambda i: (-(i % 7), i))[:5]
@@ -172,6 +172,33 @@ def test_top_n_breaks_ties_and_salting_changes_nothing(spark, monkeypatch, plain
     assert rows(top, "g", "id", "rank") == sorted(expected)
 
 
+def test_global_ranks_of_nulls_and_nothing(spark, many_slices):
+    data = [(None if i % 3 else "a", i * 37 % 101, i) for i in range(500)]
+    df = spark.createDataFrame(data, "g string, v int, id int").repartition(5)
+    found = {r.id: r["rank"] for r in ranking.global_ranks(df, "g", [F.asc("v"), F.asc("id")]).collect()}
+    expected = {}
+    for group in (None, "a"):
+        own = sorted((v, i) for g, v, i in data if g == group)
+        expected |= {i: rank for rank, (_, i) in enumerate(own, 1)}
+    assert found == expected
+    assert ranking.global_ranks(df.limit(0), "g", [F.asc("id")], 3).count() == 0
+
+
+def test_rollup_adds_up_to_the_profile_of_the_events(spark):
+    draw = random.Random(8)
+    data = [
+        (f"2024-0{draw.randrange(1, 4)}-{draw.randrange(10, 28)} {draw.randrange(24):02}:30:00", *[None if draw.random() < 0.2 else 1e5 + draw.random() for _ in range(6)])
+        for _ in range(700)
+    ]
+    events = spark.createDataFrame(data, "t string, " + ", ".join(f"{m} double" for m in rollup.MEASURES))
+    events = time_dimensions(events.withColumn("played_at", F.expr("CAST(t AS TIMESTAMP)"))).repartition(6)
+    rolled = rollup.roll_up(rollup.with_date(events))
+    for table in (profiles.patterns_by_time, profiles.hourly_profile, profiles.period_compare, profiles.part_of_day_profile):
+        assert table(rolled, profile=rollup.rolled_profile).collect() == table(events).collect()
+    assert profiles.daily_trends(rolled, ts=None, profile=rollup.rolled_profile).collect() == profiles.daily_trends(events).collect()
+    assert profiles.hourly_profile(rolled.limit(0), profile=rollup.rolled_profile).count() == 0
+
+
 def test_rules_match_one_scan_per_rule(spark):
     rng = random.Random(5)
     data = [

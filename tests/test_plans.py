@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from pyspark.sql import functions as F
-from tidemark.operators import anomaly, enrich, profiles, ranking, sequence
+from tidemark.operators import anomaly, enrich, profiles, ranking, rollup, sequence
 from tidemark.plans import bindings, cases
 from tidemark.session import scratch_path
 from tidemark.sources import sinks
@@ -26,7 +26,7 @@ def final_plan(df):
 # Fitting runs jobs while the query is built, and takes long.
 FITTED = {
     "predict_regression", "predict_linear", "predict_class", "model_metrics", "cv_metrics", "feature_importance",
-    "elbow_table", "cluster_stability", "cluster_profiles", "cluster_embeddings", "sql_pred_error", "sql_metrics",
+    "cv_linear", "elbow_table", "cluster_stability", "cluster_profiles", "cluster_embeddings", "sql_pred_error", "sql_metrics",
 }
 
 
@@ -41,7 +41,8 @@ def test_no_python_rows_cross_joins_or_whole_table_windows(spark):
         for window in re.findall(r"Window \[.*", text):
             if re.search(r"windowspecdefinition\(_bucket", window):
                 continue
-            assert "PARTITION" in window or re.search(r"windowspecdefinition\(\w+#\d+, \w+#\d+", window), (name, window)
+            # an order column is followed by ASC or DESC, a partition key by a comma
+            assert re.search(r"windowspecdefinition\(\w+#\d+L?, ", window), (name, window)
 
 
 def test_scan_reads_only_needed_columns(spark):
@@ -85,6 +86,30 @@ def test_rank_limit_cuts_before_the_shuffle(spark):
     assert re.search(r"WindowGroupLimit .*Partial", text)
 
 
+def test_ranks_of_a_hot_group_are_spread(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = spark.range(40000).selectExpr("'hot' AS g", "id", "id % 1000 AS v")
+        ranked = ranking.global_ranks(rows, "g", [F.desc("v"), F.asc("id")], 5000)
+        tasks = ranked.withColumn("task", F.spark_partition_id()).groupBy("task").agg(F.count("*").alias("n"))
+        sizes = [r.n for r in tasks.collect()]
+        ranks = ranking.global_ranks(rows, "g", [F.desc("v"), F.asc("id")])
+        full = [r["count"] for r in ranks.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) == 5000
+    # no task ranks much more than its share of the one group
+    assert sum(full) == 40000 and max(full) < 40000 / 2
+    assert re.search(r"windowspecdefinition\(g#\d+, _slice#\d+", plan(ranked))
+
+
+def test_five_gold_tables_read_one_rollup_not_the_events(spark):
+    path = scratch_path(spark, "rollup")
+    sinks.write_table(rollup.roll_up(rollup.with_date(bindings.plays(spark, SF))), path, partition_by=["date"])
+    text = plan(profiles.daily_trends(spark.read.parquet(path).where("date >= date'2024-01-25'"), ts=None, profile=rollup.rolled_profile))
+    assert text.count("FileScan") == 1 and re.search(r"PartitionFilters: \[[^\]]*date", text)
+
+
 def test_top_k_does_not_sort_everything(spark):
     assert "TakeOrderedAndProject" in plan(cases.QUERIES["top_k"](spark, SF))
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from itertools import combinations, combinations_with_replacement
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import double, literal
@@ -44,11 +44,12 @@ def pair_moments(df: DataFrame, measures: Sequence[str]) -> DataFrame:
         for i, j in combinations(places, 2)
     ]
     parts = table.selectExpr(f"inline(array({', '.join(cells)}))").where("n > 0")
-    whole = parts.groupBy("feature_1", "feature_2").agg(
-        F.expr("sum(n) AS total"), F.expr("sum(n * x) / sum(n) AS mx"), F.expr("sum(n * y) / sum(n) AS my")
-    )
-    added = parts.join(whole, ["feature_1", "feature_2"]).groupBy("feature_1", "feature_2").agg(
-        F.expr("first(total) AS n"),
+    # a few rows a pair: one for each pattern
+    pair = Window.partitionBy("feature_1", "feature_2")
+    total = F.sum("n").over(pair)
+    means = [(F.sum(F.expr(f"n * {v}")).over(pair) / total).alias(f"m{v}") for v in ("x", "y")]
+    added = parts.select("*", *means).groupBy("feature_1", "feature_2").agg(
+        F.expr("sum(n) AS n"),
         F.expr("sum(n * (xx + (x - mx) * (x - mx))) AS xx"),
         F.expr("sum(n * (yy + (y - my) * (y - my))) AS yy"),
         F.expr("sum(n * (xy + (x - mx) * (y - my))) AS xy"),

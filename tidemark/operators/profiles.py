@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +13,8 @@ from ..functions.numeric import double, literal, percent, ratio, stable_round
 from ..functions.timeparts import DAY_PARTS, TIME_KEYS
 from .moments import pair_moments
 
+Profile = Callable[..., DataFrame]
+
 DIGITS = 3
 DIGITS_BY_MEASURE = {"tempo": 1}
 DISTRIBUTION_MEASURES = (
@@ -29,10 +31,12 @@ def grouped_profile(
     means: Sequence[str],
     spreads: Mapping[str, str] | None = None,
     count_as: str = "play_count",
+    counts: Mapping[str, str] | None = None,
     extra: Sequence[str] = (),
     digits: Mapping[str, int] = DIGITS_BY_MEASURE,
 ) -> DataFrame:
-    """Per group: row count, rounded means ``avg_<measure>``, and sample standard deviations under the given names."""
+    """Per group: row count, rounded means ``avg_<measure>``, sample standard deviations and counts of conditions
+    under the given names."""
 
     def rounded(function: str, measure: str, name: str) -> str:
         return f"{stable_round(f'{function}({double(measure)})', digits.get(measure, DIGITS))} AS {name}"
@@ -41,46 +45,54 @@ def grouped_profile(
         f"count(*) AS {count_as}",
         *[rounded("avg", m, f"avg_{m}") for m in means],
         *[rounded("stddev_samp", m, name) for m, name in (spreads or {}).items()],
+        *[f"count_if({condition}) AS {name}" for name, condition in (counts or {}).items()],
         *extra,
     ]
     return df.groupBy(*keys).agg(*[F.expr(e) for e in statistics])
 
 
-def patterns_by_time(df: DataFrame, keys: Sequence[str] = TIME_KEYS) -> DataFrame:
+# The next five take events, or with ``profile=rollup.rolled_profile`` their rollup by date and hour.
+
+
+def patterns_by_time(df: DataFrame, keys: Sequence[str] = TIME_KEYS, profile: Profile = grouped_profile) -> DataFrame:
     means = ("valence", "energy", "danceability", "acousticness", "tempo")
-    return grouped_profile(df, keys, means).orderBy("hour_of_day", "day_of_week")
+    return profile(df, keys, means).orderBy("hour_of_day", "day_of_week")
 
 
-def daily_trends(df: DataFrame, ts: str = "played_at", weekend: str = "is_weekend") -> DataFrame:
-    dated = df.withColumn("date", F.to_date(ts))
-    weekend_rows = f"count_if({weekend}) AS weekend_plays"
+def daily_trends(
+    df: DataFrame, ts: str | None = "played_at", weekend: str = "is_weekend", profile: Profile = grouped_profile
+) -> DataFrame:
+    """``ts`` gives the date; None if there is a ``date`` already."""
+    dated = df.withColumn("date", F.to_date(ts)) if ts else df
     means = ("valence", "energy", "tempo")
-    return grouped_profile(dated, ["date"], means, count_as="total_plays", extra=[weekend_rows]).orderBy("date")
+    return profile(dated, ["date"], means, count_as="total_plays", counts={"weekend_plays": weekend}).orderBy("date")
 
 
-def hourly_profile(df: DataFrame, hour: str = "hour_of_day") -> DataFrame:
+def hourly_profile(df: DataFrame, hour: str = "hour_of_day", profile: Profile = grouped_profile) -> DataFrame:
     means = ("valence", "energy", "danceability", "acousticness")
     spreads = {"valence": "valence_stddev", "energy": "energy_stddev"}
     # A NULL hour has no place in an hourly profile.
     timed = df.where(f"{hour} IS NOT NULL")
-    return grouped_profile(timed, [hour], means, spreads, count_as="sample_size").orderBy(hour)
+    return profile(timed, [hour], means, spreads, count_as="sample_size").orderBy(hour)
 
 
-def period_compare(df: DataFrame, flag: str = "is_weekend", labels: tuple[str, str] = words.PERIOD) -> DataFrame:
+def period_compare(
+    df: DataFrame, flag: str = "is_weekend", labels: tuple[str, str] = words.PERIOD, profile: Profile = grouped_profile
+) -> DataFrame:
     """Weekend against weekday. The ``*_variance`` columns hold standard deviations; the name is historical."""
     means = ("valence", "energy", "danceability", "tempo", "acousticness")
     spreads = {"valence": "valence_variance", "energy": "energy_variance"}
     named = df.withColumn("period", F.expr(f"if({flag}, {literal(labels[0])}, {literal(labels[1])})"))
-    profile = grouped_profile(named, ["period"], means, spreads, count_as="total_plays")
-    return profile.orderBy(F.expr(position("period", labels)))
+    found = profile(named, ["period"], means, spreads, count_as="total_plays")
+    return found.orderBy(F.expr(position("period", labels)))
 
 
-def part_of_day_profile(df: DataFrame, part: str = "part_of_day") -> DataFrame:
+def part_of_day_profile(df: DataFrame, part: str = "part_of_day", profile: Profile = grouped_profile) -> DataFrame:
     """Per part of day. The ``*_consistency`` columns hold standard deviations; the name is historical."""
     means = ("valence", "energy", "danceability", "acousticness", "instrumentalness", "tempo")
     spreads = {"valence": "valence_consistency", "energy": "energy_consistency"}
-    profile = grouped_profile(df, [part], means, spreads, count_as="total_plays")
-    return profile.orderBy(F.expr(position(part, [name for _, _, name in DAY_PARTS])))
+    found = profile(df, [part], means, spreads, count_as="total_plays")
+    return found.orderBy(F.expr(position(part, [name for _, _, name in DAY_PARTS])))
 
 
 def _unfold(df: DataFrame, rows: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:

@@ -11,31 +11,45 @@ from pyspark.sql import functions as F
 from ..functions import vocabulary as words
 from ..functions.buckets import Quadrants, first_match, ladder, lookup, quadrant
 from ..functions.numeric import double, literal, stable_round
+from ..session import materialize
 
 # Rankings compare means at this many digits: finer digits are summation noise, not order.
 RANK_DIGITS = 6
-# Up to this N the optimizer cuts each partition to N rows per group before the shuffle by itself.
-PLAIN_TOP_N = 1000
-SALTS = 64
 
 
-def top_n_per_group(
-    df: DataFrame, group: str, order: Sequence[Column], n: int, rank_as: str = "rank", n_salts: int = SALTS
-) -> DataFrame:
+def top_n_per_group(df: DataFrame, group: str, order: Sequence[Column], n: int, rank_as: str = "rank") -> DataFrame:
     """The first ``n`` rows of every group by ``order`` (which must be total), ranked from 1.
 
-    Small N is cut inside each partition before the shuffle by the optimizer. For a larger N the groups
-    are first cut in salted parts, so that one huge group is spread over many tasks; the result is the same.
+    For reports: the optimizer cuts every group to n rows inside each task before the shuffle, and a task ranks n rows
+    of each of those. For ranks without such a bound see ``global_ranks``.
     """
     ranked_by = Window.partitionBy(group).orderBy(*order)
-    if n > PLAIN_TOP_N:
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(n_salts))
-        part = Window.partitionBy(group, "_salt").orderBy(*order)
-        cut = df.withColumn("_salt", salt).withColumn("_part_rank", F.row_number().over(part))
-        df = cut.where(F.col("_part_rank") <= n).drop("_salt", "_part_rank")
     return df.withColumn(rank_as, F.row_number().over(ranked_by)).where(F.col(rank_as) <= n)
 
 
+def global_ranks(
+    df: DataFrame, group: str, order: Sequence[Column], n: int | None = None, rank_as: str = "rank"
+) -> DataFrame:
+    """The rank of every row in its group by ``order`` (which must be total), or of the first ``n`` of each.
+
+    No task holds a group: rows are range-partitioned on (group, order) into even slices, a slice counts its rows of each
+    group, and the running sum of the counts is where the ranks of the next slice begin. Slices that begin
+    behind rank n are dropped before any row is ranked. The sliced rows are checkpointed, which fixes their slices.
+    """
+    sliced = materialize(df.repartitionByRange(F.col(group), *order).withColumn("_slice", F.spark_partition_id()))
+    counts = sliced.groupBy(F.col(group).alias("_group"), F.col("_slice").alias("_part")).agg(F.count("*").alias("_rows"))
+    earlier = Window.partitionBy("_group").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    begins = counts.select("_group", "_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_begin"))
+    if n is not None:
+        begins = begins.where(F.col("_begin") < n)
+    placed = sliced.join(begins, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_slice") == F.col("_part")))
+    inside = Window.partitionBy(group, "_slice").orderBy(*order)
+    ranked = placed.withColumn(rank_as, F.col("_begin") + F.row_number().over(inside))
+    if n is not None:
+        ranked = ranked.where(F.col(rank_as) <= n)
+    return ranked.select(*df.columns, rank_as)
+
+
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import partial
 from itertools import combinations
 
 from pyspark.sql import functions as F
@@ -9,10 +10,13 @@ from pyspark.sql import functions as F
 from ...functions import vocabulary as words
 from ...functions.buckets import position
 from ...functions.numeric import stable_round
-from ...operators import anomaly, profiles, ranking, segment, sequence
+from ...operators import anomaly, profiles, ranking, rollup, segment, sequence
 from ...operators.profiles import CORRELATION_MEASURES, DISTRIBUTION_MEASURES
+from ...session import scratch_path
+from ...sources import sinks
+from ...sources.tables import read_table
 from ..bindings import enriched, plays, table
-from .registry import mapped, over_enriched, over_plays, pct, quad, query, rnd, steps, text
+from .registry import ORACLES, mapped, over_enriched, over_plays, pct, quad, query, rnd, steps, text
 
 
 def _means(*measures: str, one_digit: tuple[str, ...] = ("tempo",)) -> str:
@@ -76,8 +80,18 @@ def top_n_per_group(spark, sf):
     ),
 )
 def top_n_salted(spark, sf):
+    """Many rows of a few hot groups (the name is from an earlier way to spread them)."""
     rows = plays(spark, sf).select("label", "event_id", "raw_energy")
-    return ranking.top_n_per_group(rows, "label", [F.desc("raw_energy"), F.asc("event_id")], 1500)
+    return ranking.global_ranks(rows, "label", [F.desc("raw_energy"), F.asc("event_id")], 1500)
+
+
+@query(
+    "global_ranks",
+    over_plays("SELECT label, event_id, row_number() OVER (PARTITION BY label ORDER BY energy, event_id) AS rank FROM plays"),
+)
+def global_ranks(spark, sf):
+    """The rank of every event."""
+    return ranking.global_ranks(plays(spark, sf).select("label", "event_id", "energy"), "label", [F.asc("energy"), F.asc("event_id")]).drop("energy")
 
 
 def _profile_sql(measure: str) -> str:
@@ -167,6 +181,51 @@ def part_of_day_profile(spark, sf):
     return profiles.part_of_day_profile(plays(spark, sf))
 
 
+# --- the same five from a rollup by date and hour --------------------------------------------------
+
+
+def _rolled(spark, sf, table):
+    return table(rollup.roll_up(rollup.with_date(plays(spark, sf))), profile=rollup.rolled_profile)
+
+
+@query("rolled_patterns", ORACLES["patterns_by_time"])
+def rolled_patterns(spark, sf):
+    return _rolled(spark, sf, profiles.patterns_by_time)
+
+
+@query("rolled_trends", ORACLES["daily_trends"])
+def rolled_trends(spark, sf):
+    return _rolled(spark, sf, partial(profiles.daily_trends, ts=None))
+
+
+@query("rolled_hours", ORACLES["hourly_profile"])
+def rolled_hours(spark, sf):
+    return _rolled(spark, sf, profiles.hourly_profile)
+
+
+@query("rolled_periods", ORACLES["period_compare"])
+def rolled_periods(spark, sf):
+    return _rolled(spark, sf, profiles.period_compare)
+
+
+@query("rolled_parts", ORACLES["part_of_day_profile"])
+def rolled_parts(spark, sf):
+    return _rolled(spark, sf, profiles.part_of_day_profile)
+
+
+@query("rollup_refresh", ORACLES["daily_trends"])
+def rollup_refresh(spark, sf):
+    """A stored rollup in which one date is out of date and one should not be there; both are refreshed."""
+    path = scratch_path(spark, "rollup")
+    dated = rollup.with_date(plays(spark, sf))
+    wrong = F.when(F.col("date") == F.lit("2024-01-20").cast("date"), 0.0).otherwise(F.col("valence"))
+    extra = dated.where("date = date'2024-01-05'").withColumn("date", F.lit("2031-05-05").cast("date"))
+    sinks.write_table(rollup.roll_up(dated.withColumn("valence", wrong).unionByName(extra)), path, partition_by=["date"])
+    dates = spark.sql("SELECT explode(array(date'2024-01-20', date'2031-05-05')) AS date")
+    sinks.write_table(rollup.refreshed(dated, dates), path, partition_by=["date"])
+    return profiles.daily_trends(read_table(spark, path), ts=None, profile=rollup.rolled_profile)
+
+
 @query(
     "custom_sort",
     over_plays(

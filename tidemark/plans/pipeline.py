@@ -5,11 +5,12 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.timeparts import time_dimensions
-from ..operators import anomaly, learn, profiles, quality, ranking, segment, sequence
+from ..operators import anomaly, learn, profiles, quality, ranking, rollup, segment, sequence
 from ..operators.conform import conform_catalog, stamp
 from ..operators.enrich import any_present, attach_attributes, coverage_stats, generate_attributes, missing_keys
 from ..operators.enrich import training_rows
@@ -36,6 +37,10 @@ class Lake:
     def gold(self) -> str:
         return f"{self.root}/gold"
 
+    @property
+    def rollup(self) -> str:
+        return f"{self.root}/silver/listening_by_hour"
+
     def gold_table(self, family: str, name: str) -> str:
         return f"{self.gold}/{family}/{name}"
 
@@ -110,22 +115,33 @@ def write_silver(df: DataFrame, lake: Lake) -> str:
     return sinks.write_table(df, lake.silver, partition_by=["date"], whole=True)
 
 
+def write_rollup(spark: SparkSession, lake: Lake) -> str:
+    """The rollup of all silver by date and hour."""
+    return sinks.write_table(rollup.roll_up(read_table(spark, lake.silver)), lake.rollup, partition_by=["date"], whole=True)
+
+
+def refresh_rollup(spark: SparkSession, lake: Lake, dates: DataFrame) -> str:
+    """Replace the rollup of the listed dates; only their silver partitions are read."""
+    fresh = rollup.refreshed(read_table(spark, lake.silver), dates)
+    return sinks.write_table(fresh, lake.rollup, partition_by=["date"])
+
+
 # --- gold ----------------------------------------------------------------------------------------
 
 Builder = Callable[[DataFrame], DataFrame]
 
-# Family and builder of each table made from silver alone.
+# Family and builder of each table made from silver alone; those in FROM_ROLLUP from its rollup by date and hour.
 FROM_SILVER: dict[str, tuple[str, Builder]] = {
-    "listening_patterns_by_time": ("descriptive", profiles.patterns_by_time),
+    "listening_patterns_by_time": ("descriptive", partial(profiles.patterns_by_time, profile=rollup.rolled_profile)),
     "top_tracks_by_mood": ("descriptive", ranking.top_by_bucket),
     "audio_feature_distributions": ("descriptive", profiles.feature_profile),
-    "temporal_trends": ("descriptive", profiles.daily_trends),
+    "temporal_trends": ("descriptive", partial(profiles.daily_trends, ts=None, profile=rollup.rolled_profile)),
     "feature_source_coverage": ("descriptive", lambda df: profiles.share_of_total(df, "feature_source")),
-    "mood_time_correlations": ("diagnostic", profiles.hourly_profile),
+    "mood_time_correlations": ("diagnostic", partial(profiles.hourly_profile, profile=rollup.rolled_profile)),
     "feature_correlations": ("diagnostic", profiles.pairwise_corr),
-    "weekend_vs_weekday": ("diagnostic", profiles.period_compare),
+    "weekend_vs_weekday": ("diagnostic", partial(profiles.period_compare, profile=rollup.rolled_profile)),
     "mood_shift_patterns": ("diagnostic", sequence.shift_patterns),
-    "part_of_day_drivers": ("diagnostic", profiles.part_of_day_profile),
+    "part_of_day_drivers": ("diagnostic", partial(profiles.part_of_day_profile, profile=rollup.rolled_profile)),
     "mood_improvement_recommendations": ("prescriptive", ranking.recommend_top),
     "personalized_playlist_suggestions": ("prescriptive", ranking.rule_playlists),
     "mood_intervention_triggers": ("prescriptive", ranking.intervention_hours),
@@ -134,6 +150,13 @@ FROM_SILVER: dict[str, tuple[str, Builder]] = {
     "state_transitions": ("cognitive", sequence.state_transitions),
     "behavioral_segments": ("cognitive", segment.behavior_segment),
 }
+FROM_ROLLUP = (
+    "listening_patterns_by_time",
+    "temporal_trends",
+    "mood_time_correlations",
+    "weekend_vs_weekday",
+    "part_of_day_drivers",
+)
 PREDICTIONS = {
     "mood_predictions": learn.VALENCE_FOREST,
     "energy_forecasts": learn.ENERGY_LINEAR,
@@ -149,8 +172,10 @@ GOLD_FAMILIES = {
 
 
 def build_from_silver(spark: SparkSession, lake: Lake, names: Iterable[str] = FROM_SILVER) -> list[str]:
-    silver = read_table(spark, lake.silver)
-    return [sinks.write_gold(build(silver), lake.gold, FROM_SILVER[n][0], n) for n in names for build in [FROM_SILVER[n][1]]]
+    def source(name: str) -> DataFrame:
+        return read_table(spark, lake.rollup if name in FROM_ROLLUP else lake.silver)
+
+    return [sinks.write_gold(build(source(n)), lake.gold, family, n) for n in names for family, build in [FROM_SILVER[n]]]
 
 
 def build_predictions(spark: SparkSession, lake: Lake) -> list[str]:
@@ -262,6 +287,7 @@ def layers(spark: SparkSession, lake: Lake, tracks_path: str | None = None) -> l
     ]
     return [
         Step("silver", lambda: write_silver(build_silver(spark, lake, tracks_path), lake), critical=True),
+        Step("silver:rollup", lambda: write_rollup(spark, lake)),
         *silver_tables,
         Step("gold:predictions", lambda: build_predictions(spark, lake)),
         Step("gold:optimal_listening_times", lambda: build_best_hours(spark, lake)),
