@@ -26,7 +26,7 @@ def final_plan(df):
 # Fitting runs jobs while the query is built, and takes long.
 FITTED = {
     "predict_regression", "predict_linear", "predict_class", "model_metrics", "cv_metrics", "feature_importance",
-    "cv_linear", "elbow_table", "cluster_stability", "cluster_profiles", "cluster_embeddings", "sql_pred_error", "sql_metrics",
+    "cv_linear", "forest_class_decided", "forest_value_decided", "importance_decided", "clusters_decided", "elbow_table", "cluster_stability", "cluster_profiles", "cluster_embeddings", "sql_pred_error", "sql_metrics",
 }
 
 

@@ -282,21 +282,18 @@ def cluster_input(df: DataFrame, measures: Sequence[str] = CLUSTER_MEASURES) ->
     )
 
 
-# Parallel seeding draws about 4 k candidates; among too few points it can end up with less than k centres.
-POINTS_PER_CENTRE = 20
-
-
-def fit_kmeans(points: DataFrame, k: int, seed: int = SEED, size: int | None = None):
-    """K-means with parallel seeding, or with random points as seeds where there are few (``size``)."""
+def fit_kmeans(points: DataFrame, k: int, seed: int = SEED):
+    """K-means with parallel seeding. Among few different points it may end up with fewer than k centres."""
     estimator = KMeans(featuresCol=SCALED, predictionCol="cluster", k=k, seed=seed, maxIter=MAX_ITER)
-    if size is not None and size < POINTS_PER_CENTRE * k:
-        estimator = estimator.setInitMode("random")
     if "weight" in points.columns:
         estimator = estimator.setWeightCol("weight")
     return estimator.fit(points)
 
 
-def silhouette(clustered: DataFrame) -> float:
+def silhouette(clustered: DataFrame, centres: int) -> float | None:
+    """Mean silhouette; undefined for a single centre."""
+    if centres < 2:
+        return None
     judge = ClusteringEvaluator(featuresCol=SCALED, predictionCol="cluster", metricName="silhouette")
     if "weight" in clustered.columns:
         judge = judge.setWeightCol("weight")
@@ -306,13 +303,16 @@ def silhouette(clustered: DataFrame) -> float:
 def elbow_table(points: DataFrame, ks: Sequence[int] = range(2, 9)) -> DataFrame:
     """Cost and silhouette for each k, and the second difference of the cost whose maximum is the elbow.
 
-    There cannot be more clusters than points; such k are left out.
+    There is a row for every k; with more clusters than points its cost and silhouette are NULL.
     """
     size = points.count()
     rows = []
-    for k in [k for k in ks if k <= size]:
-        model = fit_kmeans(points, k, size=size)
-        rows.append((k, float(model.summary.trainingCost), float(silhouette(model.transform(points)))))
+    for k in ks:
+        if k > size:
+            rows.append((k, None, None))
+            continue
+        model = fit_kmeans(points, k)
+        rows.append((k, float(model.summary.trainingCost), silhouette(model.transform(points), len(model.clusterCenters()))))
     table = points.sparkSession.createDataFrame(rows, "k int, wcss double, silhouette double")
     by_k = Window.orderBy("k")
     bend = F.lag("wcss").over(by_k) - 2 * F.col("wcss") + F.lead("wcss").over(by_k)
@@ -331,9 +331,8 @@ def choose_k(elbow: DataFrame) -> DataFrame:
 
 def cluster_stability(points: DataFrame, k: int, runs: int = 3) -> DataFrame:
     """Silhouette over several seeds: mean, population deviation and a verdict."""
-    size = points.count()
-    models = [(SEED + i, fit_kmeans(points, k, SEED + i, size)) for i in range(runs)]
-    scores = [(seed, float(silhouette(model.transform(points)))) for seed, model in models]
+    models = [(SEED + i, fit_kmeans(points, k, SEED + i)) for i in range(runs)]
+    scores = [(seed, silhouette(model.transform(points), len(model.clusterCenters()))) for seed, model in models]
     table = points.sparkSession.createDataFrame(scores, "seed int, silhouette double")
     spread = table.agg(F.avg("silhouette").alias("mean_silhouette"), F.stddev_pop("silhouette").alias("std_silhouette"))
     verdict = ladder("std_silhouette", list(zip((0.05, 0.10), words.STABILITY)), words.STABILITY[-1])
@@ -348,7 +347,7 @@ def cluster_stability(points: DataFrame, k: int, runs: int = 3) -> DataFrame:
 
 def cluster_profiles(data: ClusterInput, k: int, measures: Sequence[str] = CLUSTER_MEASURES[:5]) -> DataFrame:
     """Size, means, variability and name of each cluster; clusters are numbered by their centres."""
-    clustered = fit_kmeans(data.points, k, size=data.points.count()).transform(data.rows)
+    clustered = fit_kmeans(data.points, k).transform(data.rows)
     spreads = {"valence": "valence_variability", "energy": "energy_variability"}
     exact = grouped_profile(
         clustered, ["cluster"], [], count_as="member_count",

@@ -8,13 +8,16 @@ from pyspark.sql import types as T
 
 from ...functions import vocabulary as words
 from ...functions.buckets import quadrant
+from ...operators.enrich import CLEAN_RANGES, in_ranges
 from ...operators.profiles import hourly_profile, patterns_by_time
 from ...session import scratch_path
 from ...sources import csvfiles, payloads, sinks
+from ...sources.counting import StepCounts
 from ...sources.tables import read_table
 from ...streaming.ingest import ingest_new_files
-from ..bindings import enriched, history, plays, table
-from .registry import HISTORY, over_plays, quad, query, rnd
+from .. import pipeline
+from ..bindings import catalog, enriched, history, plays, provided, table
+from .registry import CATALOG, HISTORY, PLAYS, over_plays, quad, query, rnd
 
 # --- payloads ------------------------------------------------------------------------------------
 
@@ -116,10 +119,12 @@ def json_entity_features(spark, sf):
        CASE WHEN event_type = 'view' THEN '' ELSE 'Artist ' || (user_id % 40) END AS artists,
        CASE WHEN event_type = 'view' THEN '' ELSE 'a' || (user_id % 40) END AS artist_ids,
        'Album ' || (user_id % 90) AS album_name, 'b' || (user_id % 90) AS album_id,
-       strftime(ts, '%Y-%m-%d') AS release_date FROM events WHERE value <= 200""",
+       strftime(ts, '%Y-%m-%d') AS release_date FROM events WHERE value <= 200
+       UNION ALL SELECT NULL, NULL, NULL, false, NULL, '', '', NULL, NULL, NULL FROM events WHERE value > 200""",
 )
 def json_flatten_arrays(spark, sf):
-    wrapped = _event_payloads(spark, sf).where(F.col("payload").endswith("}}"))
+    # A payload that is cut off gives a row without values.
+    wrapped = _event_payloads(spark, sf)
     # Half of the payloads lose their wrapper: both shapes must give the same columns.
     bare = F.get_json_object("payload", "$.track")
     mixed = wrapped.select(F.when(F.col("event_type").isin("click", "view"), bare).otherwise(F.col("payload")).alias("payload"))
@@ -272,22 +277,59 @@ def csv_export_many_files(spark, sf):
 
 @query(
     "catalog_register",
-    """SELECT * FROM (VALUES ('listening_with_features', true, 25), ('mood_time_correlations', true, 8),
-       ('not_written_yet', false, 0)) t(table_name, registered, column_count)""",
+    f"""WITH {HISTORY}, {PLAYS}, real_keys AS (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS track_id FROM customer
+          WHERE c_mktsegment IN ('BUILDING', 'MACHINERY'))
+        SELECT 'listening_history_bronze' AS table_name, count(*) AS n, count(DISTINCT track_id) AS tracks,
+               count(*) FILTER (WHERE played_at >= TIMESTAMP '2024-01-25') AS late FROM history
+        UNION ALL SELECT 'tracks_features_bronze', count(*), count(DISTINCT track_id), 0 FROM real_keys
+        UNION ALL SELECT 'listening_with_features', count(*), count(DISTINCT track_id),
+               count(*) FILTER (WHERE played_at >= TIMESTAMP '2024-01-25') FROM history
+        UNION ALL SELECT 'mood_time_correlations', count(DISTINCT hour_of_day), CAST(count(*) AS BIGINT), 0 FROM plays""",
 )
 def catalog_register(spark, sf):
-    path = sinks.write_gold(hourly_profile(plays(spark, sf)), scratch_path(spark, "gold"), "diagnostic", "hourly")
-    silver = enriched(spark, sf)
-    return sinks.register_views(
-        spark,
-        {
-            "listening_with_features": silver,
-            "mood_time_correlations": path,
-            "not_written_yet": scratch_path(spark, "nothing"),
-        },
+    """Rows of bronze, silver and gold tables, read by their names after registration."""
+    lake = pipeline.Lake(scratch_path(spark, "lake"))
+    sinks.append_new(history(spark, sf), lake.bronze(pipeline.HISTORY))
+    tracks = sinks.upsert_table(provided(spark, sf), None, f"{lake.bronze(pipeline.TRACKS)}/v1")
+    sinks.write_table(enriched(spark, sf).withColumn("date", F.to_date("played_at")), lake.silver, partition_by=["date"])
+    sinks.write_gold(hourly_profile(plays(spark, sf)), lake.gold, "diagnostic", "mood_time_correlations")
+    shown = pipeline.register(spark, lake, tracks).where("registered").select("table_name")
+    assert {r.table_name for r in shown.collect()} == {
+        pipeline.HISTORY, pipeline.TRACKS, pipeline.SILVER_NAME, "mood_time_correlations"
+    }
+    counts = "count(*) AS n, count(DISTINCT track_id) AS tracks, count_if(date >= DATE'2024-01-25') AS late"
+    return spark.sql(
+        f"""SELECT 'listening_history_bronze' AS table_name, {counts} FROM listening_history_bronze
+            UNION ALL SELECT 'tracks_features_bronze', count(*), count(DISTINCT track_id), 0L FROM tracks_features_bronze
+            UNION ALL SELECT 'listening_with_features', {counts} FROM listening_with_features
+            UNION ALL SELECT 'mood_time_correlations', count(*), sum(sample_size), 0L FROM mood_time_correlations"""
     )
 
 
+@query(
+    "step_counts",
+    f"""WITH {CATALOG}, counts AS (
+          SELECT 'parse_events' AS step, count(*) AS read, count(*) FILTER (WHERE {_GOOD_EVENT}) AS kept FROM events
+          UNION ALL SELECT 'read_csv', count(*), count(*) FILTER (WHERE p_size <= 45) FROM part
+          UNION ALL SELECT 'range_clean', count(*), count(*) FILTER (WHERE valence BETWEEN 0 AND 1 AND energy BETWEEN 0 AND 1
+            AND danceability BETWEEN 0 AND 1 AND acousticness BETWEEN 0 AND 1 AND instrumentalness BETWEEN 0 AND 1
+            AND tempo BETWEEN 40 AND 250) FROM catalog_rows)
+        SELECT step, 'read' AS metric, read AS value FROM counts UNION ALL SELECT step, 'kept', kept FROM counts
+        UNION ALL SELECT step, 'rejected', read - kept FROM counts""",
+)
+def step_counts(spark, sf):
+    """What three steps read, kept and rejected, counted while their results are written."""
+    counts = StepCounts()
+    lake = pipeline.Lake(scratch_path(spark, "lake"))
+    pipeline.ingest_events(lake, _event_payloads(spark, sf), counts)
+    rows = csvfiles.read_csv_permissive(spark, _part_csv(spark, sf), _PART_CSV)
+    parts = counts.filtered(rows, "read_csv", f"{csvfiles.CORRUPT} IS NULL").drop(csvfiles.CORRUPT)
+    sinks.write_table(parts, scratch_path(spark, "parts"))
+    cleaned = counts.filtered(catalog(spark, sf), "range_clean", in_ranges(CLEAN_RANGES))
+    sinks.write_table(cleaned, scratch_path(spark, "cleaned"))
+    return counts.table(spark)
+
+
 @query(
     "gold_write",
     over_plays(

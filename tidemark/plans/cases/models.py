@@ -193,14 +193,17 @@ def _fits() -> str:
       {', '.join(steps)}"""
 
 
-def _guess(columns) -> str:
+LINEAR_FITS = _fits()
+
+
+def linear_guess(columns=_INPUTS) -> str:
     return " + ".join(["v", *[f"v{i} * {c}" for i, c in enumerate(columns)]])
 
 
 @query(
     "predict_linear",
-    f"""WITH {PLAYS}, {CATALOG}, {_fits()}
-        SELECT hour_of_day, day_of_week, {_sql(energy='energy', predicted_energy=_guess(_INPUTS), tempo='tempo', danceability='danceability')}
+    f"""WITH {PLAYS}, {CATALOG}, {LINEAR_FITS}
+        SELECT hour_of_day, day_of_week, {_sql(energy='energy', predicted_energy=linear_guess(), tempo='tempo', danceability='danceability')}
         FROM plays, fits WHERE f = 3""",
 )
 def predict_linear(spark, sf):
@@ -210,8 +213,8 @@ def predict_linear(spark, sf):
 
 @query(
     "cv_linear",
-    f"""WITH {CATALOG}, {_fits()}, errors AS (
-          SELECT f, sqrt(avg((y - ({_guess([f'x{i}' for i in range(len(_INPUTS))])})) ** 2)) AS rmse FROM train JOIN fits ON fold = f GROUP BY f)
+    f"""WITH {CATALOG}, {LINEAR_FITS}, errors AS (
+          SELECT f, sqrt(avg((y - ({linear_guess([f'x{i}' for i in range(len(_INPUTS))])})) ** 2)) AS rmse FROM train JOIN fits ON fold = f GROUP BY f)
         SELECT 'energy_forecast' AS model_name, {rnd('avg(rmse)', DIGITS)} AS cv_rmse, CAST(count(*) AS INT) AS folds FROM errors""",
 )
 def cv_linear(spark, sf):
@@ -243,7 +246,84 @@ def cv_metrics(spark, sf):
 
 @query("feature_importance")
 def feature_importance(spark, sf):
-    return learn.feature_importance(fit(spark, sf, learn.VALENCE_FOREST))
+    forests = [fit(spark, sf, spec) for spec in (learn.VALENCE_FOREST, learn.MOOD_FOREST)]
+    parts = [learn.feature_importance(run).withColumn("model_name", F.lit(run.spec.name)) for run in forests]
+    return parts[0].unionByName(parts[1])
+
+
+# --- fitted models with an exact answer -----------------------------------------------------------
+
+# Events whose danceability follows from their type; nothing else tells types apart.
+_KINDS = "(CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 WHEN 'purchase' THEN 2 WHEN 'signup' THEN 3 ELSE 4 END)"
+
+_FAR = f"if({_KINDS} > 1, 0.9e0, 0.1e0)"
+
+
+def _decided(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "events").selectExpr(
+        "event_id", f"{_KINDS} AS mood_label", f"0.1D + 0.2D * {_KINDS} AS danceability", f"0.05D + 0.2D * {_KINDS} AS valence",
+        "12 AS hour_of_day", "3 AS day_of_week", "0.5D AS energy", "100D AS tempo", "0.5D AS acousticness",
+        "0.5D AS instrumentalness", "0 AS is_weekend_int", "-5D AS loudness",
+    )
+
+
+def _fit_decided(spark: SparkSession, sf: str, spec: learn.ModelSpec, everywhere: bool = False) -> learn.ModelRun:
+    rows = _decided(spark, sf)
+    for feature in spec.features if everywhere else ():
+        rows = rows.withColumn(feature, F.col("mood_label"))
+    return learn.train_and_score(spec, rows, rows, "event_id", partitions=spark.sparkContext.defaultParallelism)
+
+
+@query(
+    "forest_class_decided",
+    f"SELECT mood_label, CAST(mood_label AS DOUBLE) AS predicted, count(*) AS n FROM (SELECT {_KINDS} AS mood_label FROM events) GROUP BY 1",
+)
+def forest_class_decided(spark, sf):
+    """A class that one feature decides is predicted for every event."""
+    found = _fit_decided(spark, sf, learn.MOOD_FOREST).predictions
+    return found.groupBy("mood_label", F.col("predicted_mood_label").alias("predicted")).agg(F.count("*").alias("n"))
+
+
+@query(
+    "forest_value_decided",
+    f"""SELECT {rnd('v', DIGITS)} AS valence, {rnd('v', DIGITS)} AS predicted, count(*) AS n
+        FROM (SELECT 0.05e0 + 0.2e0 * {_KINDS} AS v FROM events) GROUP BY ALL""",
+)
+def forest_value_decided(spark, sf):
+    """A value that every feature decides is predicted for every event, whichever features a tree may look at."""
+    found = _rounded(_fit_decided(spark, sf, learn.VALENCE_FOREST, everywhere=True).predictions, "valence", "predicted_valence")
+    return found.groupBy("valence", F.col("predicted_valence").alias("predicted")).agg(F.count("*").alias("n"))
+
+
+@query(
+    "importance_decided",
+    """SELECT * FROM (VALUES ('mood_prediction', 'danceability'), ('mood_classifier', 'danceability')) t(model_name, feature)
+       WHERE (SELECT count(DISTINCT event_type) FROM events) > 1""",
+)
+def importance_decided(spark, sf):
+    """The only feature that any tree can use."""
+    parts = []
+    for spec in (learn.VALENCE_FOREST, learn.MOOD_FOREST):
+        ranked = learn.feature_importance(_fit_decided(spark, sf, spec))
+        parts.append(ranked.where("importance > 0").select(F.lit(spec.name).alias("model_name"), "feature"))
+    return parts[0].unionByName(parts[1])
+
+
+@query(
+    "clusters_decided",
+    f"""SELECT CAST(far AS INT) AS cluster, count(*) AS member_count, {rnd('avg(valence)')} AS avg_valence,
+            {rnd('avg(danceability)')} AS avg_danceability
+        FROM (SELECT {_KINDS} > 1 AS far, {_FAR} + (event_id % 50) * 0.001e0 AS valence,
+              {_FAR} + (event_id % 40) * 0.001e0 AS danceability FROM events) GROUP BY far""",
+)
+def clusters_decided(spark, sf):
+    """Two groups far apart are the clusters, numbered by their mean valence."""
+    far = _FAR.replace("e0", "D")
+    rows = _decided(spark, sf)
+    for feature, modulus in (("valence", 50), ("danceability", 40), ("acousticness", 30)):
+        rows = rows.withColumn(feature, F.expr(f"{far.replace(_KINDS, 'mood_label')} + (event_id % {modulus}) * 0.001D"))
+    found = learn.cluster_profiles(learn.cluster_input(rows), k=2)
+    return found.select("cluster", "member_count", "avg_valence", "avg_danceability")
 
 
 @query("elbow_table")

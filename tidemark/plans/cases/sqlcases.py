@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from ...functions.numeric import round_columns
 from ...operators import anomaly, learn, profiles, ranking, sequence
 from ...operators.segment import behavior_segment
+from ...session import scratch_path
+from ...sources import sinks
+from ...sources.tables import read_table
 from ..bindings import plays
 from ..sqlviews import run_sql
 from .gold import _recommend_sql, _segment_sql, _transitions_sql
-from .models import fit
-from .registry import ORACLES, over_plays, query, rnd
+from .models import LINEAR_FITS, fit, linear_guess
+from .registry import CATALOG, ORACLES, PLAYS, over_plays, query, rnd
 
 SILVER = "listening_with_features"
 
@@ -37,15 +42,23 @@ def sql_hourly_avg(spark, sf):
     return _run(spark, "hourly_avg", {"mood_predictions": predictions}, {"avg_mood": 6, "avg_energy": 6})
 
 
-@query("sql_pred_error")
+@query(
+    "sql_pred_error",
+    f"""WITH {PLAYS}, {CATALOG}, {LINEAR_FITS},
+        guessed AS (SELECT hour_of_day, energy, {linear_guess()} AS guess FROM plays, fits WHERE f = 3)
+        SELECT hour_of_day, {rnd('guess', 6)} AS predicted_energy, {rnd('energy', 6)} AS actual_energy,
+               {rnd('abs(guess - energy)', 6)} AS prediction_error
+        FROM guessed ORDER BY abs(guess - energy), hour_of_day, energy LIMIT 10""",
+)
 def sql_pred_error(spark, sf):
     forecasts = fit(spark, sf, learn.ENERGY_LINEAR).predictions
-    return _run(spark, "pred_error", {"energy_forecasts": forecasts})
+    digits = {"predicted_energy": 6, "actual_energy": 6, "prediction_error": 6}
+    return _run(spark, "pred_error", {"energy_forecasts": forecasts}, digits)
 
 
 @query("sql_metrics")
 def sql_metrics(spark, sf):
-    long = learn.model_metrics([fit(spark, sf, learn.ENERGY_LINEAR)])
+    long = learn.model_metrics([fit(spark, sf, spec) for spec in learn.MODELS])
     return _run(spark, "metrics", {"model_performance_metrics": learn.wide_metrics(long)})
 
 
@@ -156,7 +169,10 @@ def sql_low_value(spark, sf):
     ),
 )
 def sql_trailing_7d(spark, sf):
-    return _run(spark, "trailing_7d", _silver(spark, sf), as_of="2024-01-31")
+    """On a stored table, so that the filter on ``date`` reads a week of partitions only."""
+    path = scratch_path(spark, "silver")
+    sinks.write_table(plays(spark, sf).withColumn("date", F.to_date("played_at")), path, partition_by=["date"])
+    return _run(spark, "trailing_7d", {"listening_with_features": read_table(spark, path)}, as_of="2024-01-31")
 
 
 @query(

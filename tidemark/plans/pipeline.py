@@ -16,6 +16,7 @@ from ..operators.enrich import any_present, attach_attributes, coverage_stats, g
 from ..operators.enrich import training_rows
 from ..schemas import ATTRIBUTES, schema
 from ..sources import payloads, sinks
+from ..sources.counting import StepCounts
 from ..sources.csvfiles import read_csv_strict
 from ..sources.tables import read_optional, read_table
 
@@ -53,15 +54,15 @@ HISTORY, TRACKS, CATALOG, GENERATED = (
 )
 SILVER_NAME = "listening_with_features"
 # Tables whose row count is bounded by their keys, not by the data: these may be exported as one file.
-PREDICTION_TABLES = ("mood_predictions", "energy_forecasts", "mood_classifications")
+PREDICTION_TABLES = ("mood_predictions", "energy_forecasts", "mood_classifications", "listening_anomaly_events")
 
 
 # --- bronze --------------------------------------------------------------------------------------
 
 
-def ingest_events(lake: Lake, payload_rows: DataFrame) -> str:
-    """Append the new events of a frame of JSON payloads."""
-    return sinks.append_new(stamp(payloads.parse_events(payload_rows)), lake.bronze(HISTORY))
+def ingest_events(lake: Lake, payload_rows: DataFrame, counts: StepCounts | None = None) -> str:
+    """Append the new events of a frame of JSON payloads; ``counts`` gets the payloads read, kept and rejected."""
+    return sinks.append_new(stamp(payloads.parse_events(payload_rows, counts=counts)), lake.bronze(HISTORY))
 
 
 def ingest_tracks(
@@ -146,6 +147,7 @@ FROM_SILVER: dict[str, tuple[str, Builder]] = {
     "personalized_playlist_suggestions": ("prescriptive", ranking.rule_playlists),
     "mood_intervention_triggers": ("prescriptive", ranking.intervention_hours),
     "listening_anomalies": ("cognitive", anomaly.anomaly_summary),
+    "listening_anomaly_events": ("cognitive", anomaly.anomaly_events),
     "sequential_patterns": ("cognitive", sequence.state_counts),
     "state_transitions": ("cognitive", sequence.state_transitions),
     "behavioral_segments": ("cognitive", segment.behavior_segment),
@@ -220,9 +222,14 @@ def validate(spark: SparkSession, lake: Lake) -> DataFrame:
     )
 
 
-def register(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Views for silver and every gold table that exists."""
-    return sinks.register_views(spark, {SILVER_NAME: lake.silver, **gold_paths(lake)})
+def register(spark: SparkSession, lake: Lake, tracks_path: str | None = None) -> DataFrame:
+    """Views for every bronze, silver and gold table that exists, by their names.
+
+    The track table is versioned: ``tracks_path`` is the version to show.
+    """
+    bronze = {name: lake.bronze(name) for name in (HISTORY, CATALOG, GENERATED)}
+    versions = {TRACKS: tracks_path} if tracks_path else {}
+    return sinks.register_views(spark, {**bronze, **versions, SILVER_NAME: lake.silver, **gold_paths(lake)})
 
 
 def export_gold(spark: SparkSession, lake: Lake, out: str) -> list[str]:

@@ -64,7 +64,8 @@ QUERIES = {
         ORDER BY play_count DESC, track_name, artist_name, valence LIMIT 10""",
     "trailing_7d": """
         SELECT track_name, artist_name, count(*) AS plays
-        FROM listening_with_features WHERE played_at > CAST(:as_of AS DATE) - INTERVAL 7 DAYS
+        FROM listening_with_features
+        WHERE date >= CAST(:as_of AS DATE) - INTERVAL 7 DAYS AND played_at > CAST(:as_of AS DATE) - INTERVAL 7 DAYS
         GROUP BY track_name, artist_name ORDER BY plays DESC, track_name, artist_name LIMIT 20""",
     "chill": """
         SELECT DISTINCT track_name, artist_name, energy, valence

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.enrich import one_per_key
+from .counting import StepCounts
 
 # Field names and types of the payloads.
 TRACK_TYPE = (
@@ -30,8 +31,9 @@ def _first_artist(track: Column) -> Column:
     return F.try_element_at(track["artists"], F.lit(1))["name"]
 
 
-def parse_events(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """Play events. A payload that cannot be parsed, or lacks the track id or a readable time, is dropped."""
+def parse_events(df: DataFrame, payload: str = "payload", counts: StepCounts | None = None) -> DataFrame:
+    """Play events. A payload that cannot be parsed, or lacks the track id or a readable time, is dropped; ``counts``
+    tells how many."""
     parsed = df.select(F.from_json(payload, EVENT_TYPE).alias("p"))
     track = F.col("p.track")
     rows = parsed.select(
@@ -42,7 +44,8 @@ def parse_events(df: DataFrame, payload: str = "payload") -> DataFrame:
         track["album"]["name"].alias("album_name"),
         track["duration_ms"].alias("duration_ms"),
     )
-    return rows.where(_present(F.col("track_id")) & F.col("played_at").isNotNull())
+    usable = "track_id <> '' AND played_at IS NOT NULL"
+    return rows.where(usable) if counts is None else counts.filtered(rows, "parse_events", f"coalesce({usable}, false)")
 
 
 def parse_entities(

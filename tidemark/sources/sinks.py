@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.enrich import merge_latest, new_rows, one_per_key
+from ..session import scratch_path
 from .tables import read_optional, read_table
 
 EVENT_KEY = ("track_id", "played_at")
@@ -55,13 +56,17 @@ def append_new(
 ) -> str:
     """Append the rows whose key is not stored yet, partitioned by date. Running it again adds nothing.
 
-    Only the stored dates between the batch's first and last are read. Copies inside the batch are
-    reduced to one first, before their shuffle; the anti-join then finds the batch already partitioned by key.
+    Copies inside the batch are reduced to one first, before their shuffle. Where rows are stored already, the reduced
+    batch is staged, so its source is read and parsed once; the stage tells which stored dates have to be read.
     """
+    spark = df.sparkSession
     batch = one_per_key(df.withColumn(partition, F.to_date(ts)), keys)
-    existing = read_optional(df.sparkSession, path)
+    existing = read_optional(spark, path)
     if existing is not None:
-        span = df.agg(F.to_date(F.min(ts)).alias("first"), F.to_date(F.max(ts)).alias("last")).first()
+        staged = scratch_path(spark, "batch")
+        batch.write.parquet(staged)
+        batch = spark.read.schema(batch.schema).parquet(staged)
+        span = batch.agg(F.min(partition).alias("first"), F.max(partition).alias("last")).first()
         in_span = F.col(partition).between(span["first"], span["last"]) | F.col(partition).isNull()
         batch = new_rows(batch, existing.where(in_span), keys, null_safe=True)
     return write_table(batch, path, mode="append", partition_by=[partition])
