@@ -1,5 +1,7 @@
 """The layers end to end on data derived from the test tables."""
 
+import re
+
 import pytest
 
 from pyspark.sql import functions as F
@@ -7,6 +9,7 @@ from tidemark.plans import bindings, pipeline, sqlviews
 from tidemark.schemas import schema
 from tidemark.session import scratch_path
 from tidemark.sources import sinks
+from tidemark.sources.counting import StepCounts
 from tidemark.sources.tables import read_table
 
 SF = "/root/testdata/sf0.001"
@@ -89,19 +92,25 @@ def test_gold_tables_agree_on_the_number_of_plays(spark, built):
 
 
 def test_validation_registration_and_queries(spark, built):
-    lake, _, _ = built
+    lake, tracks_path, _ = built
     failed = {(r.table, r.check) for r in pipeline.validate(spark, lake).where("NOT passed").collect()}
     # The test catalog is smaller than a real one, and its tempo column is not clean on purpose.
     assert failed == {("catalog_tracks_bronze", "row_count"), ("catalog_tracks_bronze", "range")}
-    views = pipeline.register(spark, lake)
-    assert views.where("NOT registered").count() == 0 and views.count() == 1 + len(pipeline.GOLD_FAMILIES)
+    views = pipeline.register(spark, lake, tracks_path)
+    bronze = {pipeline.HISTORY, pipeline.TRACKS, pipeline.CATALOG, pipeline.GENERATED}
+    assert views.where("NOT registered").count() == 0
+    assert {r.table_name for r in views.collect()} == {*bronze, pipeline.SILVER_NAME, *pipeline.GOLD_FAMILIES}
+    for name in bronze:
+        assert spark.table(name).count() > 0
     args = {
         "strong_pairs": {"cut": 0.3}, "trailing_7d": {"as_of": "2024-01-31"}, "point_filter": {"hour": 14},
         "reco": {"scenario": "When feeling down or low energy"},
     }
     for name in sqlviews.QUERIES:
-        if name != "anomalies":
-            assert sqlviews.run_sql(spark, name, **args.get(name, {})).columns
+        assert sqlviews.run_sql(spark, name, **args.get(name, {})).columns
+    week = sqlviews.run_sql(spark, "trailing_7d", as_of="2024-01-31")
+    scan = week._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*date[^\]]*>=", scan)
 
 
 def test_exports_read_back(spark, built):
@@ -114,6 +123,32 @@ def test_exports_read_back(spark, built):
     assert trends.count() == read_table(spark, pipeline.gold_paths(lake)["temporal_trends"]).count()
 
 
+def test_rollup_follows_silver(spark, built):
+    lake, _, _ = built
+    silver = read_table(spark, lake.silver)
+    assert read_table(spark, lake.rollup).agg(F.sum("n")).first()[0] == silver.count()
+    before = {r.date: r for r in read_table(spark, pipeline.gold_paths(lake)["temporal_trends"]).collect()}
+    copy = pipeline.Lake(scratch_path(spark, "lake"))
+    day = min(before)
+    sinks.write_table(silver.where(F.col("date") != F.lit(day)), copy.silver, partition_by=["date"])
+    sinks.write_table(read_table(spark, lake.rollup), copy.rollup, partition_by=["date"])
+    pipeline.refresh_rollup(spark, copy, spark.createDataFrame([(day,)], "date date"))
+    pipeline.build_from_silver(spark, copy, ["temporal_trends"])
+    after = {r.date: r for r in read_table(spark, pipeline.gold_paths(copy)["temporal_trends"]).collect()}
+    assert after == {d: r for d, r in before.items() if d != day}
+
+
+def test_rejected_payloads_are_counted_while_they_are_stored(spark):
+    lake, counts = pipeline.Lake(scratch_path(spark, "lake")), StepCounts()
+    good = event_payloads(spark).limit(50).cache()
+    bad = spark.createDataFrame([("{",), (None,), ('{"played_at": "x", "track": {"id": "1"}}',), ('{"track": {"id": ""}}',)], "payload string")
+    pipeline.ingest_events(lake, good.unionByName(bad), counts)
+    pipeline.ingest_events(lake, bad, counts)  # nothing is left of this one
+    found = [(r.step, r.metric, r.value) for r in counts.table(spark).collect()]
+    assert found == [("parse_events", m, v) for m, v in (("read", 54), ("kept", 50), ("rejected", 4), ("read", 4), ("kept", 0), ("rejected", 4))]
+    assert read_table(spark, lake.bronze(pipeline.HISTORY)).count() == 50
+
+
 def test_generation_can_be_switched_off(spark, built):
     lake, tracks_path, _ = built
     assert pipeline.populate_attributes(spark, lake, tracks_path, allow=False) is None
