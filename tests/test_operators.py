@@ -89,7 +89,7 @@ def test_generated_attributes_repeat_on_any_partitioning(spark):
     frame = enrich.generate_attributes(keys)
     spread = frame.selectExpr("min(tempo)", "max(tempo)", "min(loudness)", "max(loudness)").first()
     assert 60 <= spread[0] < spread[1] <= 180 and -25 <= spread[2] < spread[3] <= -3
-    declared = {f.name: f.dataType for f in schema("generated_features_bronze").fields}
+    declared = {f.name: f.dataType for f in schema("my_tracks_features_bronze_synthetic").fields}
     assert all(declared[f.name] == f.dataType for f in frame.schema.fields)
 
 
@@ -99,13 +99,13 @@ def test_generated_attributes_repeat_on_any_partitioning(spark):
 def test_column_clash_is_an_error(spark):
     df = spark.createDataFrame([(1, 2)], "Artist int, artist_name int")
     with pytest.raises(ValueError, match="artists"):
-        conform.normalize_columns(df, SCHEMAS["catalog_tracks_bronze"].names, conform.CATALOG_ALIASES)
+        conform.normalize_columns(df, SCHEMAS["kaggle_tracks_bronze"].names, conform.CATALOG_ALIASES)
 
 
 def test_catalog_conforms_and_bad_text_becomes_null(spark):
     df = spark.createDataFrame([("x", "abc", "0.5"), ("y", "7", None)], "Song_Name string, Popularity string, ENERGY string")
-    out = conform.conform_catalog(df, schema("catalog_tracks_bronze"))
-    assert out.columns == schema("catalog_tracks_bronze").names
+    out = conform.conform_catalog(df, schema("kaggle_tracks_bronze"))
+    assert out.columns == schema("kaggle_tracks_bronze").names
     assert {(r.track_name, r.popularity, r.energy) for r in out.collect()} == {("x", None, 0.5), ("y", 7, None)}
     assert all(r.track_id and r._ingested_at for r in out.collect())
 

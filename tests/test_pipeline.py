@@ -95,7 +95,7 @@ def test_validation_registration_and_queries(spark, built):
     lake, tracks_path, _ = built
     failed = {(r.table, r.check) for r in pipeline.validate(spark, lake).where("NOT passed").collect()}
     # The test catalog is smaller than a real one, and its tempo column is not clean on purpose.
-    assert failed == {("catalog_tracks_bronze", "row_count"), ("catalog_tracks_bronze", "range")}
+    assert failed == {("kaggle_tracks_bronze", "row_count"), ("kaggle_tracks_bronze", "range")}
     views = pipeline.register(spark, lake, tracks_path)
     bronze = {pipeline.HISTORY, pipeline.TRACKS, pipeline.CATALOG, pipeline.GENERATED}
     assert views.where("NOT registered").count() == 0

@@ -64,7 +64,7 @@ def one_per_key(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str] = (
     if not rest:
         return df.distinct()
     order = [*latest_by, *[c for c in rest if c not in latest_by]]
-    best = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
+    best = df.groupBy(*keys).agg(F.max(F.struct(*order)).alias("_row"))
     return best.select(*[c if c in keys else f"_row.{c}" for c in df.columns])
 
 
@@ -175,10 +175,10 @@ def merge_sources(
         stacked.append(frame.selectExpr(key, f"{rank} AS _rank", *order, *values))
     rows = reduce(DataFrame.unionByName, stacked).where(f"{key} IS NOT NULL")
 
-    row = f"struct({', '.join(f'`{a}`' for a in attributes)})"
-    order = f"struct(_order, {row})" if ordered else row
+    # the order comes first, so the greatest struct is the row to take
+    row = f"struct({', '.join([*(['_order'] if ordered else []), *[f'`{a}`' for a in attributes]])})"
     places = range(len(sources))
-    best = [F.expr(f"max_by({row}, {order}) FILTER (WHERE _rank = {i}) AS _s{i}") for i in places]
+    best = [F.expr(f"max({row}) FILTER (WHERE _rank = {i}) AS _s{i}") for i in places]
     # Grouping by struct(key) hides the partitioning from the planner on purpose: the join to the events
     # then shuffles this side itself, and only a join of two plain shuffles can have a hot key split by AQE.
     folded = rows.groupBy(F.expr(f"struct({key}) AS _key")).agg(*best)
@@ -198,7 +198,13 @@ def attach_attributes(
     label: str = "feature_source",
     unknown: str = "unknown",
 ) -> DataFrame:
-    """Every event once, with merged attributes and their provenance. Absent sources leave typed NULLs."""
+    """Every event once, with merged attributes and their provenance. Absent sources leave typed NULLs.
+
+    Events must not have columns of these names already: two columns of one name could not be told apart.
+    """
+    clash = sorted({*attributes, label} & set(events.columns))
+    if clash:
+        raise ValueError(f"events already have {clash}")
     present = {name: frame for name, frame in sources.items() if frame is not None}
     if not present:
         blanks = [f"CAST(NULL AS {kind}) AS `{a}`" for a, kind in attributes.items()]

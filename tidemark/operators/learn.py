@@ -229,7 +229,7 @@ WIDE_METRICS = (
 )
 
 
-def wide_metrics(long: DataFrame, approach: str = "Catalog_to_User_with_CrossVal") -> DataFrame:
+def wide_metrics(long: DataFrame, approach: str = "Kaggle_to_User_with_CrossVal") -> DataFrame:
     """One row per model; metrics a model does not have are NULL."""
     wide = long.groupBy("model_name", "model_type").pivot("metric", list(WIDE_METRICS)).agg(F.first("value"))
     return wide.withColumn("training_approach", F.lit(approach))

@@ -140,7 +140,7 @@ def report(results: DataFrame) -> DataFrame:
 
 # Expected floors, ranges and means of the stored tables. Days run from 1 to 7.
 BRONZE_CHECKS = {
-    "catalog_tracks_bronze": (
+    "kaggle_tracks_bronze": (
         rows_at_least(100_000),
         has_columns(
             "track_id", "track_name", "artists", "valence", "energy", "danceability", "acousticness", "tempo"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.timeparts import time_dimensions
-from ..operators.enrich import attach_attributes, generate_attributes, missing_keys
+from ..operators.enrich import any_present, attach_attributes, generate_attributes, missing_keys
 from ..sources.tables import read_table
 
 PROVIDED = "c_mktsegment IN ('BUILDING', 'MACHINERY')"
@@ -72,17 +72,24 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def provided(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First-choice attributes: customers of two segments."""
-    return table(spark, sf_dir, "customer").where(PROVIDED).selectExpr(
-        "CAST(c_custkey AS STRING) AS track_id",
-        f"CAST({hundredths('c_custkey * 37')} AS FLOAT) AS danceability",
-        f"CAST({hundredths('c_custkey * 53')} AS FLOAT) AS energy",
-        f"CAST({hundredths('c_custkey * 71')} AS FLOAT) AS valence",
-        "CAST(60D + c_nationkey * 4 AS FLOAT) AS tempo",
-        "4 AS time_signature",
+    """First-choice attributes: all customers, of which those of two segments have values."""
+    values = {
+        "danceability": f"CAST({hundredths('c_custkey * 37')} AS FLOAT)",
+        "energy": f"CAST({hundredths('c_custkey * 53')} AS FLOAT)",
+        "valence": f"CAST({hundredths('c_custkey * 71')} AS FLOAT)",
+        "tempo": "CAST(60D + c_nationkey * 4 AS FLOAT)",
+        "time_signature": "4",
+    }
+    return table(spark, sf_dir, "customer").selectExpr(
+        "CAST(c_custkey AS STRING) AS track_id", *[f"CASE WHEN {PROVIDED} THEN {v} END AS {n}" for n, v in values.items()]
     )
 
 
+def with_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers that have any of the attributes."""
+    return any_present(provided(spark, sf_dir), ["danceability", "energy", "valence"])
+
+
 def catalog_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last-choice attributes: parts."""
     return table(spark, sf_dir, "part").selectExpr(
@@ -96,9 +103,9 @@ def catalog_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The silver table: every event with merged attributes, provenance and time columns."""
     events = history(spark, sf_dir)
-    real = provided(spark, sf_dir)
+    real = with_values(spark, sf_dir)
     made = generate_attributes(missing_keys(events, "track_id", [real]))
-    sources = {"real": real, "synthetic": made, "catalog": catalog_attributes(spark, sf_dir)}
+    sources = {"real": real, "synthetic": made, "kaggle": catalog_attributes(spark, sf_dir)}
     return time_dimensions(attach_attributes(events, sources))
 
 
@@ -106,10 +113,8 @@ def order_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Three sources of one attribute for the customers in ``orders``, each covering some of the keys."""
     return {
         "customer": table(spark, sf_dir, "customer")
-        .where(PROVIDED)
-        .selectExpr("c_custkey AS o_custkey", "c_acctbal AS score"),
+        .selectExpr("c_custkey AS o_custkey", f"CASE WHEN {PROVIDED} THEN c_acctbal END AS score"),
         "supplier": table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS o_custkey", "s_acctbal AS score"),
         "part": table(spark, sf_dir, "part")
-        .where(f"p_size <= {SMALL_PART}")
-        .selectExpr("p_partkey AS o_custkey", "p_retailprice AS score"),
+        .selectExpr("p_partkey AS o_custkey", f"CASE WHEN p_size <= {SMALL_PART} THEN p_retailprice END AS score"),
     }

@@ -15,7 +15,7 @@ from ...schemas import SCHEMAS
 from ...session import materialize
 from ...sources.tables import distinct_keys as distinct_keys_of
 from ...sources.tables import optional_or_empty, read_optional
-from ..bindings import SMALL_PART, catalog, enriched, history, order_sources, plays, provided, table
+from ..bindings import SMALL_PART, catalog, enriched, history, order_sources, plays, with_values, table
 from .registry import (
     GENERATED,
     HISTORY,
@@ -84,7 +84,7 @@ def distinct_keys_limited(spark, sf):
 )
 def normalize_columns(spark, sf):
     raw = table(spark, sf, "part").toDF("Track_ID", " Song_Name ", "ARTIST", "Album", "Duration_In_MS", "Extra")
-    return conform.normalize_columns(raw, SCHEMAS["catalog_tracks_bronze"].names, conform.CATALOG_ALIASES)
+    return conform.normalize_columns(raw, SCHEMAS["kaggle_tracks_bronze"].names, conform.CATALOG_ALIASES)
 
 
 @query(
@@ -136,7 +136,7 @@ def conform_schema(spark, sf):
         (F.col("p_retailprice") / 1e4).alias("Energy"),
         F.lit("ignored").alias("unrelated"),
     )
-    return conform.conform_catalog(raw, SCHEMAS["catalog_tracks_bronze"]).drop("_ingested_at")
+    return conform.conform_catalog(raw, SCHEMAS["kaggle_tracks_bronze"]).drop("_ingested_at")
 
 
 # --- expressions ---------------------------------------------------------------------------------
@@ -218,7 +218,7 @@ _ATTRIBUTES = [*ATTRIBUTE_RANGES, *ATTRIBUTE_CHOICES]
 )
 def deterministic_features(spark, sf):
     events = history(spark, sf)
-    return enrich.generate_attributes(enrich.missing_keys(events, "track_id", [provided(spark, sf)]))
+    return enrich.generate_attributes(enrich.missing_keys(events, "track_id", [with_values(spark, sf)]))
 
 
 def _drawn(n: int, index: int) -> str:
@@ -358,7 +358,7 @@ def anti_join_new_rows(spark, sf):
 
 @query("missing_keys", f"WITH {HISTORY}, {REAL}, {MISSING} SELECT track_id FROM missing_rows")
 def missing_keys(spark, sf):
-    return enrich.missing_keys(history(spark, sf), "track_id", [provided(spark, sf)])
+    return enrich.missing_keys(history(spark, sf), "track_id", [with_values(spark, sf)])
 
 
 @query(
@@ -369,7 +369,7 @@ def missing_keys(spark, sf):
         FROM (SELECT (SELECT count(*) FROM wanted) AS w, (SELECT count(*) FROM hit) AS h)""",
 )
 def key_coverage(spark, sf):
-    return enrich.key_coverage(history(spark, sf), "track_id", [provided(spark, sf)])
+    return enrich.key_coverage(history(spark, sf), "track_id", [with_values(spark, sf)])
 
 
 @query(

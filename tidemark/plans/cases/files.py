@@ -277,11 +277,10 @@ def csv_export_many_files(spark, sf):
 
 @query(
     "catalog_register",
-    f"""WITH {HISTORY}, {PLAYS}, real_keys AS (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS track_id FROM customer
-          WHERE c_mktsegment IN ('BUILDING', 'MACHINERY'))
+    f"""WITH {HISTORY}, {PLAYS}, real_keys AS (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS track_id FROM customer)
         SELECT 'listening_history_bronze' AS table_name, count(*) AS n, count(DISTINCT track_id) AS tracks,
                count(*) FILTER (WHERE played_at >= TIMESTAMP '2024-01-25') AS late FROM history
-        UNION ALL SELECT 'tracks_features_bronze', count(*), count(DISTINCT track_id), 0 FROM real_keys
+        UNION ALL SELECT 'my_tracks_features_bronze', count(*), count(DISTINCT track_id), 0 FROM real_keys
         UNION ALL SELECT 'listening_with_features', count(*), count(DISTINCT track_id),
                count(*) FILTER (WHERE played_at >= TIMESTAMP '2024-01-25') FROM history
         UNION ALL SELECT 'mood_time_correlations', count(DISTINCT hour_of_day), CAST(count(*) AS BIGINT), 0 FROM plays""",
@@ -300,7 +299,7 @@ def catalog_register(spark, sf):
     counts = "count(*) AS n, count(DISTINCT track_id) AS tracks, count_if(date >= DATE'2024-01-25') AS late"
     return spark.sql(
         f"""SELECT 'listening_history_bronze' AS table_name, {counts} FROM listening_history_bronze
-            UNION ALL SELECT 'tracks_features_bronze', count(*), count(DISTINCT track_id), 0L FROM tracks_features_bronze
+            UNION ALL SELECT 'my_tracks_features_bronze', count(*), count(DISTINCT track_id), 0L FROM my_tracks_features_bronze
             UNION ALL SELECT 'listening_with_features', {counts} FROM listening_with_features
             UNION ALL SELECT 'mood_time_correlations', count(*), sum(sample_size), 0L FROM mood_time_correlations"""
     )

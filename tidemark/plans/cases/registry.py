@@ -157,7 +157,7 @@ enriched AS (
          coalesce(CASE WHEN r.track_id IS NOT NULL THEN 4 END, m.time_signature) AS time_signature,
          m."key", m.mode,
          CASE WHEN r.danceability IS NOT NULL THEN 'real' WHEN m.danceability IS NOT NULL THEN 'synthetic'
-              WHEN p.danceability IS NOT NULL THEN 'catalog' ELSE 'unknown' END AS feature_source,
+              WHEN p.danceability IS NOT NULL THEN 'kaggle' ELSE 'unknown' END AS feature_source,
          {time_columns('h.played_at')}
   FROM history h LEFT JOIN real_rows r USING (track_id) LEFT JOIN made_rows m USING (track_id)
        LEFT JOIN part_rows p USING (track_id))"""

@@ -46,11 +46,12 @@ class Lake:
         return f"{self.gold}/{family}/{name}"
 
 
+# Names and labels that readers of the tables filter on.
 HISTORY, TRACKS, CATALOG, GENERATED = (
     "listening_history_bronze",
-    "tracks_features_bronze",
-    "catalog_tracks_bronze",
-    "generated_features_bronze",
+    "my_tracks_features_bronze",
+    "kaggle_tracks_bronze",
+    "my_tracks_features_bronze_synthetic",
 )
 SILVER_NAME = "listening_with_features"
 # Tables whose row count is bounded by their keys, not by the data: these may be exported as one file.
@@ -106,7 +107,7 @@ def build_silver(spark: SparkSession, lake: Lake, tracks_path: str | None = None
     sources = {
         "real": tracks,
         "synthetic": read_optional(spark, lake.bronze(GENERATED)),
-        "catalog": read_optional(spark, lake.bronze(CATALOG)),
+        "kaggle": read_optional(spark, lake.bronze(CATALOG)),
     }
     events = read_table(spark, lake.bronze(HISTORY))
     return stamp(time_dimensions(attach_attributes(events, sources)), "_silver_created_at")
