@@ -251,6 +251,22 @@ def test_exact_dedup(docs, empty):
     assert exact_dedup.decide(empty).count() == 0 and exact_dedup.deduplicate(empty).count() == 0
 
 
+@pytest.mark.parametrize("bits", [1, 64, 1 << 26])
+def test_deduplicate_keeps_one_of_every_text(spark, monkeypatch, bits):
+    import random
+
+    monkeypatch.setattr(exact_dedup, "BITS", bits)  # with one bit every row is suspect
+    draw = random.Random(bits)
+    rows = [(draw.choice([None, *range(200)]), draw.choice(["Hot", "hot", f"t{draw.randrange(60)}", f"own {i}", None, ""])) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    best = {}
+    for doc, text in rows:
+        key = brute.fold(text)
+        best[key] = doc if key not in best else max((d for d in (best[key], doc) if d is not None), default=None)
+    found = exact_dedup.deduplicate(docs, heavy=1, tracked=16).collect()
+    assert sorted(((r.doc_id, brute.fold(r.text)) for r in found), key=repr) == sorted(((d, k) for k, d in best.items()), key=repr)
+
+
 def test_jaccard(docs, empty):
     found = jaccard_join.groups(docs, 3, 90)
     expected = brute.jaccard_groups(ROWS, 3, 90)

@@ -21,6 +21,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BUCKETS = 32
 TRACKED = 1024
 HEAVY = 128
+BITS = 1 << 26
 
 
 def normalised(text: Column) -> Column:
@@ -65,10 +66,43 @@ def decide(docs: DataFrame, heavy: int = HEAVY, tracked: int = TRACKED) -> DataF
 
 
 def deduplicate(docs: DataFrame, heavy: int = HEAVY, tracked: int = TRACKED) -> DataFrame:
-    """The rows that stay, with all their columns."""
-    kept = decide(docs, heavy, tracked).where("kept").select(F.col("doc_id").alias("__dedup_kept_id"), F.col("digest").alias("__dedup_kept_digest"))
+    """The rows that stay, with all their columns (none of which may be named ``__dedup_...``).
+
+    Texts stay where they are read: winners of frequent digests are broadcast, and a bitmap of ``BITS`` bits (8 MB) tells
+    which other digests may occur more than once. Only rows that it marks are shuffled, with the winners of their
+    digests. A row that repeats the winner's id and text as well is taken once.
+    """
+    rows = materialize(docs.select("doc_id", digest(F.col("text")).alias("digest")))
+    counted = rows.withColumn("h", F.xxhash64("digest")).join(F.broadcast(heavy_hashes(rows, heavy, tracked)), "h", "left_semi")
+    frequent = F.broadcast(materialize(_winners(counted.select("doc_id", "digest"))))
+    names = [F.col(c).alias(f"__dedup_{c}") for c in ("digest", "best", "twins")]
+    rest = rows.join(frequent.select("digest"), "digest", "left_anti")
+    repeated = materialize(_winners(rest)).select(*names)
+
+    number = F.pmod(F.xxhash64("__dedup_digest"), F.lit(BITS)) + 1
+    bitmap = repeated.select(number.alias("n")).groupBy(F.bitmap_bucket_number("n").alias("__dedup_bucket"))
+    bitmap = bitmap.agg(F.bitmap_construct_agg(F.bitmap_bit_position("n")).alias("__dedup_bits"))
     marked = docs.withColumn("__dedup_digest", digest(F.col("text")))
-    joined = marked.join(kept, marked["doc_id"].eqNullSafe(F.col("__dedup_kept_id")) & (F.col("__dedup_digest") == F.col("__dedup_kept_digest")))
-    # rows that repeat id and text meet in one task here anyway, as the join's keys are the same
-    once = Window.partitionBy("__dedup_kept_id", "__dedup_kept_digest").orderBy("__dedup_kept_id")
-    return joined.withColumn("__dedup_n", F.row_number().over(once)).where("__dedup_n = 1").select(*docs.columns)
+    placed = marked.withColumn("__dedup_bucket", F.bitmap_bucket_number(number)).withColumn("__dedup_bit", F.bitmap_bit_position(number))
+    # a byte of the bitmap holds eight numbers, the lowest in its lowest bit
+    byte = "CAST(conv(hex(substring(__dedup_bits, CAST(__dedup_bit DIV 8 AS INT) + 1, 1)), 16, 10) AS BIGINT)"
+    suspect = F.expr(f"coalesce(shiftright({byte}, CAST(__dedup_bit % 8 AS INT)) & 1, 0) = 1")
+    seen = placed.join(F.broadcast(bitmap), "__dedup_bucket", "left").join(frequent.select(*names), "__dedup_digest", "left")
+    suspects = seen.withColumn("__dedup_suspect", suspect & F.col("__dedup_twins").isNull())
+    columns = [*docs.columns, "__dedup_digest"]
+    once = suspects.where("NOT __dedup_suspect")
+    others = suspects.where("__dedup_suspect").select(*columns).join(repeated, "__dedup_digest", "left")
+    alike = "__dedup_twins IS NULL OR (doc_id <=> __dedup_best AND __dedup_twins {})"
+    single = [part.where(alike.format("= 1")).select(*docs.columns) for part in (once, others)]
+    twins = [part.where("doc_id <=> __dedup_best AND __dedup_twins > 1").select(*columns) for part in (once, others)]
+    # the optimizer keeps one row of each in every task before it shuffles them
+    first = Window.partitionBy("doc_id", "__dedup_digest").orderBy(F.lit(0))
+    left = twins[0].unionAll(twins[1]).withColumn("__dedup_n", F.row_number().over(first)).where("__dedup_n = 1")
+    return single[0].unionAll(single[1]).unionAll(left.select(*docs.columns))
+
+
+def _winners(rows: DataFrame) -> DataFrame:
+    """(digest, best, twins) of digests with several rows: the doc_id that stays, and how many rows have it."""
+    same = rows.groupBy("digest", "doc_id").agg(F.count("*").alias("twins"))
+    best = same.groupBy("digest").agg(F.max(F.struct("doc_id", "twins")).alias("m"), F.sum("twins").alias("size"))
+    return best.where("size > 1").select("digest", F.col("m.doc_id").alias("best"), F.col("m.twins").alias("twins"))
