@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize
 from .texts import Words, byte_chunks, ngrams
@@ -95,6 +96,16 @@ def _radix_cut(keyed: DataFrame, columns: list[str], k: int) -> list[int]:
     return cut
 
 
+TOP = -(1 << 63)
+
+
+@F.arrow_udf(T.LongType())
+def _order_bits(column: pa.Array) -> pa.Array:
+    """The 64 bits of each double, changed so that as unsigned numbers they are in the order of the doubles."""
+    bits = (column.to_numpy(zero_copy_only=False) + 0.0).view("<i8")
+    return pa.array(np.where(bits < 0, ~bits, bits ^ np.int64(TOP)), pa.int64())
+
+
 def resample(docs: DataFrame, targets: DataFrame, share: float = SHARE, seed: int = SEED) -> DataFrame:
     """Every document with its log weight, its key and whether it is among the round(share x rows) selected."""
     spark = docs.sparkSession
@@ -112,9 +123,10 @@ def resample(docs: DataFrame, targets: DataFrame, share: float = SHARE, seed: in
     k = int(round(share * kept.count()))
     if k <= 0:
         return kept.select("doc_id", "log_weight", "gumbel_key", F.lit(False).alias("selected"))
-    # order-preserving integer of a double, shifted into the non-negative range
-    ordered = F.round((F.greatest(F.least("gumbel_key", F.lit(4e6)), F.lit(-4e6)) + 4e6) * 1e12).cast("bigint")
-    rows = kept.withColumn("o", ordered).withColumn("r", F.lit((1 << 62)) - F.col("row"))
+    rows = kept.withColumn("o", _order_bits("gumbel_key")).withColumn("r", F.lit((1 << 62)) - F.col("row"))
     first, second = _radix_cut(rows.select("o", "r"), ["o", "r"], k)
-    chosen = (F.col("o") > first) | ((F.col("o") == first) & (F.col("r") >= second))
+    # the cut is an unsigned number; with the top bit turned over, signed numbers compare alike
+    value, least = F.col("o").bitwiseXOR(F.lit(TOP)), first ^ (1 << 63)
+    least -= (least >> 63) << 64
+    chosen = (value > least) | ((value == least) & (F.col("r") >= second))
     return rows.select("doc_id", "log_weight", "gumbel_key", chosen.alias("selected"))
