@@ -74,6 +74,25 @@ def test_importance(docs, empty, labels):
     assert importance.resample(docs, labels.where("false")).where("log_weight <> 0").count() == 0
 
 
+def test_importance_orders_the_bits_of_any_double(spark):
+    import numpy as np
+
+    values = [-1e300, -5e7, -4.000000001e6, -1.0, -1e-300, -0.0, 0.0, 1e-300, 1.0, 4e6, 4.000000001e6, 5e7, 1e300]
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    found = [r.o for r in frame.select("i", importance._order_bits("v").alias("o")).orderBy("i").collect()]
+    unsigned = [int(np.int64(o).view(np.uint64)) for o in found]
+    assert unsigned == sorted(unsigned) and len(set(unsigned)) == len(values) - 1  # the two zeros are equal
+
+
+def test_importance_takes_the_largest_keys_of_very_long_texts(spark):
+    target = spark.createDataFrame([(i, "good words only here") for i in range(20)], "doc_id bigint, text string")
+    long = [(100 + i, "good words only here " * (150_000 + 7_000 * i)) for i in range(4)]
+    docs = target.unionByName(spark.createDataFrame(long + [(200 + i, f"bad other noise {i}") for i in range(40)], "doc_id bigint, text string"))
+    found = importance.resample(docs, target.select("doc_id"), share=0.05).collect()
+    best = sorted(found, key=lambda r: -r.gumbel_key)[: round(0.05 * 64)]
+    assert {r.doc_id for r in found if r.selected} == {r.doc_id for r in best}
+
+
 def test_importance_draws_one_by_one_from_ties(spark):
     same = spark.range(40).select(F.lit(1).cast("bigint").alias("doc_id"), F.lit("same text").alias("text"))
     assert importance.resample(same, same.where("false"), share=0.25).where("selected").count() == 10
@@ -162,6 +181,16 @@ def test_licences_in_wrapped_and_joined_text(spark):
     assert pairs(found, "doc_id", "licences") == [(1, "GPL"), (2, "BSD"), (3, "CC-BY,MIT"), (4, "MIT,proprietary"), (5, "proprietary")]
 
 
+def test_samples_are_bounded_whatever_the_copies(spark):
+    from tidemark.llm.sampling import least_hashes
+
+    rows = spark.range(40_000).selectExpr("if(id % 3 = 0, 'hot', CAST(id AS STRING)) AS text").repartition(8)
+    found = least_hashes(rows, F.xxhash64("text"), 1000, 40_000, F.expr("text <> '7'")).collect()
+    assert 500 < len(found) < 900 and len({r.h for r in found}) == len(found)
+    assert len(least_hashes(rows, F.xxhash64("text"), 10**6, 40_000).collect()) == rows.distinct().count()
+    assert least_hashes(rows.where("false"), F.xxhash64("text"), 10, 0).count() == 0
+
+
 def test_licences_of_others_are_unknown(spark):
     rows = [
         (1, "Licensed under the Acme License, Version 2.0"),

@@ -28,9 +28,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .sampling import least_hashes
 
 UNKNOWN = "unknown"
 BACKGROUND = 2000
+DRAWN = 4
 HELD_OUT = 4
 EMBEDDED = 64
 CONFIRM = 0.6
@@ -179,16 +181,21 @@ class Model:
 
 
 def background_windows(docs: DataFrame, limit: int) -> DataFrame:
-    """(words) of one window, at a place told by a hash, of each of the first ``limit`` texts by hash without a cue."""
+    """(words) of one window, at a place told by a hash, of texts without a cue: of about DRAWN x ``limit`` texts by
+    smallest hash, at most ``limit``."""
     size = WINDOWS[-1][0]
-    drawn = docs.where(f"length(text) > 0 AND NOT lower(text) RLIKE '{WRAPPED_CUES}'").select(F.xxhash64("text").alias("h"), "text")
-    cut = drawn.select("h", F.expr(f"substring(text, CAST(1 + pmod(h, greatest(length(text) - {12 * size}, 1)) AS INT), {12 * size})").alias("part"))
-    return cut.orderBy("h", "part").limit(limit).select(F.slice(words(F.col("part")), 1, size).alias("words"))
+    h = F.xxhash64("text")
+    place = f"substring(text, CAST(1 + pmod(xxhash64(text), greatest(length(text) - {12 * size}, 1)) AS INT), {12 * size})"
+    texts = docs.select("text", F.expr(place).alias("part"))
+    plain = F.expr(f"length(text) > 0 AND NOT lower(text) RLIKE '{WRAPPED_CUES}'")
+    drawn = least_hashes(texts, h, DRAWN * limit, docs.count(), plain)
+    return drawn.orderBy("h").limit(limit).select(F.slice(words(F.col("part")), 1, size).alias("words"))
 
 
 def nameless_windows(windows: DataFrame, limit: int) -> DataFrame:
-    """(words) of the first ``limit`` windows by hash that have a cue and hold no template."""
-    return windows.where("size(found) = 0").select("words", F.xxhash64("words").alias("h")).orderBy("h").limit(limit).select("words")
+    """(words) of the first ``limit`` different windows by hash, of about twice as many, that have a cue and hold no template."""
+    bare = windows.where("size(found) = 0").select("words")
+    return least_hashes(bare, F.xxhash64("words"), 2 * limit, bare.count()).orderBy("h").limit(limit).select("words")
 
 
 def word_grams(found: list[str]) -> set[str]:
