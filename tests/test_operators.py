@@ -150,6 +150,16 @@ def test_correlation_adds_up_patterns_of_missing_values(spark):
     assert rows(empty, "correlation") == [(0.0,)] * 6
 
 
+def test_own_attributes_of_events_come_first_and_once(spark):
+    events = spark.createDataFrame([("a", 0.1, 1), ("b", None, 2), ("c", None, 3)], "track_id string, valence double, n int")
+    source = spark.createDataFrame([("a", 0.5, 0.9), ("b", 0.6, 0.8)], "track_id string, danceability double, valence double")
+    for sources, expected in (({"s": source}, [0.1, 0.8, None]), ({"s": None}, [0.1, None, None])):
+        joined = enrich.attach_attributes(events, sources)
+        assert joined.columns.count("valence") == 1
+        found = joined.orderBy("n").collect()
+        assert [None if r.valence is None else round(r.valence, 6) for r in found] == expected
+
+
 def test_shares_and_nulls(spark):
     df = spark.createDataFrame([("a", 1), ("a", None), ("b", None), (None, None)], "k string, v int")
     assert [tuple(r) for r in profiles.share_of_total(df, "k").collect()] == [("a", 2, 50.0), (None, 1, 25.0), ("b", 1, 25.0)]

@@ -130,6 +130,20 @@ def test_share_of_total_reuses_its_shuffle(spark):
     assert "ReusedExchange" in final_plan(profiles.share_of_total(bindings.plays(spark, SF), "label"))
 
 
+def test_tables_in_the_same_buckets_join_in_place(spark):
+    events, attributes = bindings.stored_in_buckets(spark, SF)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = enrich.attach_stored(events, attributes)
+        text = final_plan(joined)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in text and "Exchange" not in text
+    assert joined.count() == bindings.history(spark, SF).count()
+    with pytest.raises(ValueError, match="already have"):
+        enrich.attach_stored(events.withColumn("energy", F.lit(1)), attributes)
+
+
 def test_only_bounded_baselines_are_broadcast(spark):
     plays = bindings.plays(spark, SF)
     assert "BroadcastHashJoin" in plan(anomaly.with_baseline(plays, ["hour_of_day"], ["valence"]))

@@ -200,16 +200,32 @@ def attach_attributes(
 ) -> DataFrame:
     """Every event once, with merged attributes and their provenance. Absent sources leave typed NULLs.
 
-    Events must not have columns of these names already: two columns of one name could not be told apart.
+    An attribute that the events have themselves comes from the event first, then from the sources; ``label`` still tells
+    the source of ``probe``. The result has one column of each name.
     """
-    clash = sorted({*attributes, label} & set(events.columns))
-    if clash:
-        raise ValueError(f"events already have {clash}")
     present = {name: frame for name, frame in sources.items() if frame is not None}
     if not present:
-        blanks = [f"CAST(NULL AS {kind}) AS `{a}`" for a, kind in attributes.items()]
-        return events.selectExpr("*", *blanks, f"{literal(unknown)} AS {label}")
+        blanks = {a: f"CAST(NULL AS {kind})" for a, kind in attributes.items()} | {label: literal(unknown)}
+        return events.selectExpr("*", *[f"{v} AS `{a}`" for a, v in blanks.items() if a not in events.columns])
     merged = merge_sources(present, key, attributes, probe, latest_by, label, unknown)
+    own = [c for c in [*attributes, label] if c in events.columns]
+    joined = events.join(merged.withColumnsRenamed({c: f"_merged_{c}" for c in own}), key, "left")
+    for c in own:
+        joined = joined.withColumn(c, F.coalesce(F.col(c), F.col(f"_merged_{c}"))).drop(f"_merged_{c}")
+    return joined.withColumn(label, F.expr(f"coalesce({label}, {literal(unknown)})"))
+
+
+def attach_stored(
+    events: DataFrame, merged: DataFrame, key: str = "track_id", label: str = "feature_source", unknown: str = "unknown"
+) -> DataFrame:
+    """Every event once, with attributes that ``merge_sources`` made earlier and that are stored, one row per key.
+
+    The join names the plain key, so tables that are bucketed by it (``sinks.write_bucketed``) join without a shuffle.
+    A hot key stays in its bucket then: where one holds a large part of the events, use ``attach_attributes``.
+    """
+    clash = sorted({c for c in merged.columns if c != key} & set(events.columns))
+    if clash:
+        raise ValueError(f"events already have {clash}")
     joined = events.join(merged, key, "left")
     return joined.withColumn(label, F.expr(f"coalesce({label}, {literal(unknown)})"))
 

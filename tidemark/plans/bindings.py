@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.timeparts import time_dimensions
-from ..operators.enrich import any_present, attach_attributes, generate_attributes, missing_keys
+from ..operators.enrich import any_present, attach_attributes, generate_attributes, merge_sources, missing_keys
+from ..schemas import ATTRIBUTE_TYPES
+from ..session import scratch_path
+from ..sources import sinks
 from ..sources.tables import read_table
 
 PROVIDED = "c_mktsegment IN ('BUILDING', 'MACHINERY')"
@@ -109,6 +114,20 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return time_dimensions(attach_attributes(events, sources))
 
 
+def stored_in_buckets(spark: SparkSession, sf_dir: str, buckets: int = 8) -> tuple[DataFrame, DataFrame]:
+    """Play history and its merged attributes as two tables bucketed by track."""
+    events, real = history(spark, sf_dir), with_values(spark, sf_dir)
+    made = generate_attributes(missing_keys(events, "track_id", [real]))
+    sources = {"real": real, "synthetic": made, "kaggle": catalog_attributes(spark, sf_dir)}
+    merged = merge_sources(sources, "track_id", ATTRIBUTE_TYPES, "danceability")
+    path = scratch_path(spark, "buckets")
+    name = f"bucketed_{uuid.uuid4().hex}"
+    return tuple(
+        sinks.write_bucketed(frame, f"{name}_{part}", f"{path}/{part}", ["track_id"], buckets)
+        for part, frame in (("events", events), ("attributes", merged))
+    )
+
+
 def order_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Three sources of one attribute for the customers in ``orders``, each covering some of the keys."""
     return {

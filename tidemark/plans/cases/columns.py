@@ -15,7 +15,7 @@ from ...schemas import SCHEMAS
 from ...session import materialize
 from ...sources.tables import distinct_keys as distinct_keys_of
 from ...sources.tables import optional_or_empty, read_optional
-from ..bindings import SMALL_PART, catalog, enriched, history, order_sources, plays, with_values, table
+from ..bindings import SMALL_PART, catalog, enriched, history, order_sources, plays, stored_in_buckets, table, with_values
 from .registry import (
     GENERATED,
     HISTORY,
@@ -321,6 +321,18 @@ def source_preference(spark, sf):
     )
 
 
+@query(
+    "colocated_join",
+    over_enriched(
+        """SELECT event_id, danceability, acousticness, tempo, time_signature, feature_source FROM enriched"""
+    ),
+)
+def colocated_join(spark, sf):
+    """Events and merged attributes stored in the same buckets, joined where they lie."""
+    joined = enrich.attach_stored(*stored_in_buckets(spark, sf))
+    return joined.select("event_id", "danceability", "acousticness", "tempo", "time_signature", "feature_source")
+
+
 @query(
     "silver_anomalies",
     over_enriched(

@@ -30,17 +30,17 @@ SCHEMAS = {
         "track_id string!, played_at timestamp!, track_name string, artist_name string, "
         "album_name string, duration_ms long, _ingested_at timestamp!"
     ),
-    "tracks_features_bronze": struct(
+    "my_tracks_features_bronze": struct(
         "track_id string!, track_name string, artist_name string, album_name string, popularity int, "
         "duration_ms long, explicit boolean, danceability float, energy float, acousticness float, "
         "instrumentalness float, valence float, tempo float, time_signature int, _ingested_at timestamp!"
     ),
-    "catalog_tracks_bronze": struct(
+    "kaggle_tracks_bronze": struct(
         "track_id string!, artists string, album_name string, track_name string, popularity int, "
         "duration_ms long, explicit boolean, danceability float, energy float, valence float, "
         "acousticness float, instrumentalness float, tempo float, track_genre string, _ingested_at timestamp!"
     ),
-    "generated_features_bronze": struct(
+    "my_tracks_features_bronze_synthetic": struct(
         "track_id string!, danceability float!, energy float!, valence float!, acousticness float!, "
         "instrumentalness float!, speechiness float!, liveness float!, loudness float!, tempo float!, "
         "time_signature int!, key int!, mode int!, source string!, _generated_at timestamp!"

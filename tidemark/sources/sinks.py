@@ -38,6 +38,18 @@ def write_table(
     return path
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Store ``df`` dealt into ``buckets`` by hash of ``keys`` and sorted by them, as the session's external table ``name``.
+
+    Joins and aggregates on the keys then need no shuffle of it; two tables with the same buckets join in place. Choose
+    ``buckets`` so that one of them fits in a task's memory at full size. A bucket is one file: each task writes its own.
+    """
+    dealt = df.repartition(buckets, *keys)
+    writer = dealt.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+    writer.option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def write_catalog(df: DataFrame, path: str, max_records_per_file: int = 5_000_000) -> str:
     """Replace a catalog table and its schema. File size, not a fixed file count, bounds each file."""
     return write_table(df, path, max_records_per_file=max_records_per_file)
