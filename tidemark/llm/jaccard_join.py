@@ -36,10 +36,11 @@ from __future__ import annotations
 
 import hashlib
 import math
+import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -448,6 +449,13 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_edges(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """Edges (low, high) as ``stored``, with their number and a checksum that are taken while they are written."""
+    seen = Observation(f"edges-{uuid.uuid4().hex}")
+    watched = edges.observe(seen, F.count("*").alias("n"), F.coalesce(F.bit_xor(F.xxhash64("low", "high")), F.lit(0)).alias("sum"))
+    return stored(watched), (seen.get["n"], seen.get["sum"])
+
+
 class Groups:
     """Which group each set is in so far: ``labels`` has (v, root) of the sets that are not their group's root."""
 
@@ -466,34 +474,37 @@ class Groups:
 
     def joined(self, links: DataFrame) -> Groups:
         """The groups after joining up those that the links (a, b) connect."""
-        between = self.of(self.of(links, "a", "a"), "b", "b").where("a <> b")
-        star = stars(between)
+        star = stars(self.of(self.of(links, "a", "a"), "b", "b"))
+        if star is None:
+            return self
         moved = star.select(F.col("v").alias("_v"), F.col("root").alias("_root"))
         known = self.labels.join(moved, F.col("root") == F.col("_v"), "left").select("v", F.coalesce("_root", "root").alias("root"))
         return Groups(stored(known.unionAll(star)))
 
 
-def stars(edges: DataFrame, rounds: list | None = None) -> DataFrame:
+def stars(edges: DataFrame, rounds: list | None = None) -> DataFrame | None:
     """(v, root) of every vertex of the edges (a, b) that reaches a smaller one; ``root`` is the smallest it reaches.
+    None if no edge joins two vertices.
 
     Large and small stars in turn: each vertex hands its larger neighbours, then its smaller ones, to the smallest
     vertex that it sees. Rows are at most edges and vertices together.
     """
     ordered = edges.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"))
-    now, before = stored(ordered.where("low < high").distinct()), None
+    now, state = stored_edges(ordered.where("low < high").distinct())
+    if not state[0]:
+        return None
     while True:
-        state = now.agg(F.count("*"), F.bit_xor(F.xxhash64("low", "high"))).first()
-        if state == before or not state[0]:
-            return now.select(F.col("high").alias("v"), F.col("low").alias("root"))
         if rounds is not None:
             rounds.append(state[0])
-        before = state
         least = now.groupBy(F.col("high").alias("u")).agg(F.min("low").alias("m"))
         large = now.join(least, F.col("low") == F.col("u"), "left").select(F.coalesce("m", "low").alias("low"), "high").distinct()
         least = large.groupBy(F.col("high").alias("u")).agg(F.min("low").alias("m"))
         small = large.join(least, F.col("high") == F.col("u"))
         both = small.select(F.col("m").alias("low"), F.explode(F.array("low", "high")).alias("high"))
-        now = stored(both.where("low < high").distinct())
+        before = state
+        now, state = stored_edges(both.where("low < high").distinct())
+        if state == before:
+            return now.select(F.col("high").alias("v"), F.col("low").alias("root"))
 
 
 def one_each(candidates: DataFrame) -> DataFrame:
@@ -528,20 +539,20 @@ def join_up(docs: DataFrame, firsts: DataFrame, n: int, percent: int) -> Groups:
     # 1. one partner for each set
     start = banded.where(F.shiftright("prior", CLASS_BITS) <= RARE)
     near = partners.unionAll(_blocks(start.withColumn("root", F.col("v")), whole, percent).select("a", "b"))
-    groups = groups.joined(stored(_verified(one_each(near), whole, percent)))
+    groups = groups.joined(_verified(one_each(near), whole, percent))
 
     # 2. one set for each group and n-gram
     for chosen in (F.min, F.max):
         told = _several(groups.of(banded), ["key", "band"])
         member = told.groupBy("key", "band", "root", "lower").agg(chosen(F.struct("v", "size", "gone", "prior", "tail")).alias("m"))
         likely = _blocks(member.select("key", "band", "lower", "m.*", "root"), whole, percent)
-        groups = groups.joined(stored(_verified(one_each(likely.select("a", "b")), whole, percent)))
+        groups = groups.joined(_verified(one_each(likely.select("a", "b")), whole, percent))
 
     # 3. all pairs between groups that are left
     spread = stored(_spread(_several(groups.of(banded), ["key", "band"])))
     likely = stored(_likely(spread, whole, percent))
     pairs = likely.select(F.least("v", "w").alias("a"), F.greatest("v", "w").alias("b")).distinct()
-    groups = groups.joined(stored(_verified(pairs, whole, percent)))
+    groups = groups.joined(_verified(pairs, whole, percent))
     # a block joins up what may link; where such a forest still holds several groups, its sets are walked again
     members = groups.of(likely.select(*PLACE, "forest", F.explode(F.array("v", "w", "forest")).alias("v")).distinct())
     forests = members.groupBy(*PLACE, "forest").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
@@ -550,10 +561,10 @@ def join_up(docs: DataFrame, firsts: DataFrame, n: int, percent: int) -> Groups:
     again = groups.of(spread.drop("root")).join(met, [*PLACE, "root"])
     again = again.join(whole.select("v", "grams"), "v").select(*PLACE, "forest", *MEMBER, "root", "grams")
     exact = again.repartition(*PLACE, "forest").sortWithinPartitions(*PLACE, "forest").mapInArrow(_exact_joins(percent), EDGES)
-    groups = groups.joined(stored(exact))
+    groups = groups.joined(exact)
 
-    between = stored(_rare(_several(groups.of(rare), ["key"]), percent, False).distinct())
-    return groups.joined(stored(_verified(between, whole, percent)))
+    between = _rare(_several(groups.of(rare), ["key"]), percent, False).distinct()
+    return groups.joined(_verified(between, whole, percent))
 
 
 MEMBER = ["v", "salt", "lower", "size", "gone", "prior", "tail"]
@@ -610,7 +621,7 @@ def _verified(pairs: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
     x = whole.select(F.col("v").alias("a"), F.size("grams").alias("m"), F.col("sketch").alias("p"))
     y = whole.select(F.col("v").alias("b"), F.size("grams").alias("n"), F.col("sketch").alias("q"))
     sketched = pairs.join(x, "a").join(y, "b").select("a", "b", "m", "n", "p", "q")
-    likely = stored(sketched.mapInArrow(_close_pairs(percent), EDGES))
+    likely = sketched.mapInArrow(_close_pairs(percent), EDGES)
     one, other = whole.select(F.col("v").alias("a"), F.col("grams").alias("x")), whole.select(F.col("v").alias("b"), F.col("grams").alias("y"))
     met = likely.join(one, "a").join(other, "b").withColumn("i", F.size(F.array_intersect("x", "y")))
     return met.where(f"100 * i >= {percent} * (size(x) + size(y) - i)").select("a", "b")
