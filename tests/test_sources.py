@@ -170,3 +170,11 @@ def test_stream_takes_only_new_files_and_survives_replay(spark):
     ingest_new_files(spark, source, first.schema, target, checkpoint)
     stored = sorted((r.track_id, r.n) for r in spark.read.parquet(target).collect())
     assert stored == [("a", 1), ("b", 2), ("c", 3)]
+
+
+def test_a_large_table_is_not_exported_as_one_file(spark):
+    path = scratch_path(spark, "one-file")
+    with pytest.raises(ValueError, match="more than 10 rows"):
+        sinks.export_csv(spark.range(11), path, single_file=True, most=10)
+    sinks.export_csv(spark.range(10), path, single_file=True, most=10)
+    assert spark.read.option("header", True).csv(path).count() == 10

@@ -10,16 +10,18 @@ from ...functions.buckets import band, ladder, lookup, quadrant
 from ...functions.hashing import ATTRIBUTE_CHOICES, ATTRIBUTE_RANGES
 from ...functions.numeric import min_max_scale, stable_round
 from ...functions.timeparts import DAY_PARTS, OTHER_PART, time_dimensions
-from ...operators import anomaly, conform, enrich
+from ...operators import anomaly, conform, enrich, learn
 from ...schemas import SCHEMAS
-from ...session import materialize
+from ...session import materialize, scratch_path
+from ...sources import sinks
 from ...sources.tables import distinct_keys as distinct_keys_of
-from ...sources.tables import optional_or_empty, read_optional
+from ...sources.tables import optional_or_empty, read_optional, read_table
 from ..bindings import SMALL_PART, catalog, enriched, history, order_sources, plays, stored_in_buckets, table, with_values
 from .registry import (
     GENERATED,
     HISTORY,
     MISSING,
+    ORACLES,
     REAL,
     digest,
     hex_block,
@@ -221,6 +223,16 @@ def deterministic_features(spark, sf):
     return enrich.generate_attributes(enrich.missing_keys(events, "track_id", [with_values(spark, sf)]))
 
 
+@query("append_generated", ORACLES["deterministic_features"])
+def append_generated(spark, sf):
+    """Attributes of half the missing keys, then of all of them: each key is stored once."""
+    path = scratch_path(spark, "generated")
+    missing = enrich.missing_keys(history(spark, sf), "track_id", [with_values(spark, sf)])
+    for keys in (missing.where("CAST(track_id AS BIGINT) % 2 = 0"), missing, missing):
+        sinks.append_generated(enrich.generate_attributes(keys), path)
+    return read_table(spark, path)
+
+
 def _drawn(n: int, index: int) -> str:
     return f"CAST({hex_block(digest('track_id', 'time'), index)} % {n} AS INT)"
 
@@ -404,3 +416,36 @@ def coverage_stats(spark, sf):
 def one_per_key(spark, sf):
     rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey")
     return enrich.one_per_key(rows, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+
+
+# --- frames without rows, stamped rows, test rows --------------------------------------------------
+
+
+@query("empty_source", "SELECT CAST(user_id AS VARCHAR) AS track_id, ts AS played_at, 'Track ' || user_id AS track_name FROM events")
+def empty_source(spark, sf):
+    """An absent source behaves like a table of its schema without rows."""
+    events = history(spark, sf).select("track_id", "played_at", "track_name")
+    absent = optional_or_empty(read_optional(spark, scratch_path(spark, "nothing")), spark, events.schema)
+    return events.unionByName(absent)
+
+
+@query("stamped_rows", over_plays("SELECT event_id, true AS recent FROM plays"))
+def stamped_rows(spark, sf):
+    """Every row carries the time at which it was taken in."""
+    stamped = conform.stamp(plays(spark, sf).select("event_id"))
+    return stamped.selectExpr("event_id", "timestampdiff(SECOND, _ingested_at, current_timestamp()) BETWEEN 0 AND 3600 AS recent")
+
+
+@query(
+    "model_test_scan",
+    over_plays(
+        f"""SELECT hour_of_day, day_of_week, {rnd('energy', 6)} AS energy, {rnd('tempo', 6)} AS tempo,
+            {rnd('danceability', 6)} AS danceability, CAST(is_weekend AS INT) AS is_weekend_int, {rnd('valence', 6)} AS valence FROM plays"""
+    ),
+)
+def model_test_scan(spark, sf):
+    """Complete rows for scoring, with the weekend flag as a number."""
+    rows = learn.model_frame(plays(spark, sf), learn.VALENCE_FOREST)
+    measures = ("energy", "tempo", "danceability", "valence")
+    rounded = [f"{stable_round(c, 6)} AS {c}" for c in measures]
+    return rows.selectExpr("hour_of_day", "day_of_week", *rounded, "is_weekend_int")

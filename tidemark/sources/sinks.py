@@ -106,8 +106,13 @@ def append_generated(df: DataFrame, path: str, key: str = "track_id") -> str:
     return write_table(fresh, path, mode="append")
 
 
-def export_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
-    """CSV with a header. ``single_file`` is for tables known to be small: it writes with one task."""
+SINGLE_FILE_ROWS = 1_000_000
+
+
+def export_csv(df: DataFrame, path: str, single_file: bool = False, most: int = SINGLE_FILE_ROWS) -> str:
+    """CSV with a header. ``single_file`` writes with one task; a table of more than ``most`` rows is refused."""
+    if single_file and df.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} rows are not exported as one file")
     out = df.coalesce(1) if single_file else df
     out.write.mode("overwrite").option("header", True).csv(path)
     return path
