@@ -52,11 +52,12 @@ def jaccard_groups(rows, n, percent):
     return {i: (len(sets[i]), best.get(root(i))) for i in range(len(rows))}
 
 
-def token_ids(texts):
+def token_ids(texts, plain=True):
+    """Ids of the texts; ``plain`` takes special strings for ordinary text, as counting does, the default of the library does not."""
     import public_tokenizers
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
+    tokenizer.encode_special_tokens = plain
     return [e.ids for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
@@ -85,7 +86,7 @@ def base_spans(text):
 def pieces(rows, capacity=1024, end=2):
     """{(doc_id, piece): (start, length, crc)} by the other tokenizer library."""
     found = {}
-    for (doc, _), ids in zip(rows, token_ids([t for _, t in rows])):
+    for (doc, _), ids in zip(rows, token_ids([t for _, t in rows], plain=False)):
         ids = [*ids, end]
         first = len(ids) % capacity or capacity
         cuts = [0, *range(first, len(ids) + 1, capacity)]

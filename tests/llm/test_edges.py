@@ -395,6 +395,23 @@ def test_scan_stitches_blocks_and_spans(spark, tmp_path, monkeypatch):
     assert rows == [(name, i, n) for name, counts in sorted(expected.items()) for i, n in enumerate(counts)]
 
 
+def test_pipeline_stages_on_awkward_rows(spark, docs, empty):
+    sf = "/root/testdata/sf0.001"
+    left = {}
+    for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, sf)
+        if number < 4:
+            assert out.columns == docs.columns, name
+        left[name] = sorted(((r.doc_id) for r in out.collect()), key=repr)
+        assert stage(spark, empty, sf).count() == 0, name
+    every = sorted((d for d, _ in ROWS), key=repr)
+    # none of these texts is toxic or holds a benchmark item
+    assert left["toxicity"] == left["decontamination"] == every
+    assert left["exact_dedup"] == sorted([2, 3, 5, 6, 7, 8, 9, 10, 12], key=repr)
+    assert left["jaccard_join"] == sorted([1, 2, 3, 4, 6, 7, 8, 10, 11], key=repr)
+    assert set(left["packing"]) == set(every)
+
+
 def test_pipeline(spark, tmp_path):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
