@@ -621,7 +621,8 @@ def _verified(pairs: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
     x = whole.select(F.col("v").alias("a"), F.size("grams").alias("m"), F.col("sketch").alias("p"))
     y = whole.select(F.col("v").alias("b"), F.size("grams").alias("n"), F.col("sketch").alias("q"))
     sketched = pairs.join(x, "a").join(y, "b").select("a", "b", "m", "n", "p", "q")
-    likely = sketched.mapInArrow(_close_pairs(percent), EDGES)
+    # few by now: stored, they are broadcast to the whole sets instead of sorting those twice
+    likely = stored(sketched.mapInArrow(_close_pairs(percent), EDGES))
     one, other = whole.select(F.col("v").alias("a"), F.col("grams").alias("x")), whole.select(F.col("v").alias("b"), F.col("grams").alias("y"))
     met = likely.join(one, "a").join(other, "b").withColumn("i", F.size(F.array_intersect("x", "y")))
     return met.where(f"100 * i >= {percent} * (size(x) + size(y) - i)").select("a", "b")
