@@ -152,3 +152,21 @@ def test_linear_folds_take_one_scan(spark, data, monkeypatch):
     monkeypatch.setattr(ridge, "grouped_moments", lambda *a: plans.append(real(*a)) or plans[-1])
     learn.cross_validate(learn.ENERGY_LINEAR, data[0], "id")
     assert len(plans) == 1 and plans[0]._jdf.queryExecution().executedPlan().toString().count("InMemoryTableScan") >= 1
+
+
+def test_every_fit_of_clusters_takes_few_tasks_and_keeps_its_own_vectors(spark, monkeypatch):
+    seen = []
+    real = learn.KMeans.fit
+    monkeypatch.setattr(learn.KMeans, "fit", lambda self, rows: seen.append(rows) or real(self, rows))
+    cores = spark.sparkContext.defaultParallelism
+    spread = blobs(spark).repartition(16 * cores)
+    data = learn.cluster_input(spread)
+    points = data.points.repartition(16 * cores).persist()
+    try:
+        learn.elbow_table(points, ks=[2, 3])
+        learn.cluster_stability(points, 3, runs=2)
+        learn.cluster_profiles(learn.ClusterInput(data.rows, points), 3)
+        assert len(seen) == 5
+        assert all(rows.rdd.getNumPartitions() <= 2 * cores and not rows.storageLevel.useMemory for rows in seen)
+    finally:
+        points.unpersist()

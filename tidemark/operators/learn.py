@@ -255,6 +255,8 @@ CLUSTER_MEASURES = (
 # Bounds used to bring tempo and loudness to the scale of the other measures.
 CLUSTER_SCALES = {"tempo": (60.0, 180.0), "loudness": (-60.0, 0.0)}
 MAX_ITER = 20
+# Fewest points worth a task of their own in the many short passes over them.
+POINTS_PER_TASK = 50_000
 
 
 @dataclass(frozen=True)
@@ -282,6 +284,17 @@ def cluster_input(df: DataFrame, measures: Sequence[str] = CLUSTER_MEASURES) ->
     )
 
 
+def in_few_tasks(points: DataFrame, size: int) -> DataFrame:
+    """The same points in no more tasks than keep the cores busy.
+
+    The aggregate that finds the different rows leaves them in ``spark.sql.shuffle.partitions`` parts, and every pass
+    of every fit would start that many tasks twice. This is also a plan of its own over the stored points: the fit
+    keeps its own vectors, instead of decoding the stored rows again on each pass.
+    """
+    cores = points.sparkSession.sparkContext.defaultParallelism
+    return points.coalesce(max(2 * cores, -(-size // POINTS_PER_TASK)))
+
+
 def fit_kmeans(points: DataFrame, k: int, seed: int = SEED):
     """K-means with parallel seeding. Among few different points it may end up with fewer than k centres."""
     estimator = KMeans(featuresCol=SCALED, predictionCol="cluster", k=k, seed=seed, maxIter=MAX_ITER)
@@ -306,6 +319,7 @@ def elbow_table(points: DataFrame, ks: Sequence[int] = range(2, 9)) -> DataFrame
     There is a row for every k; with more clusters than points its cost and silhouette are NULL.
     """
     size = points.count()
+    points = in_few_tasks(points, size)
     rows = []
     for k in ks:
         if k > size:
@@ -331,6 +345,7 @@ def choose_k(elbow: DataFrame) -> DataFrame:
 
 def cluster_stability(points: DataFrame, k: int, runs: int = 3) -> DataFrame:
     """Silhouette over several seeds: mean, population deviation and a verdict."""
+    points = in_few_tasks(points, points.count())
     models = [(SEED + i, fit_kmeans(points, k, SEED + i)) for i in range(runs)]
     scores = [(seed, silhouette(model.transform(points), len(model.clusterCenters()))) for seed, model in models]
     table = points.sparkSession.createDataFrame(scores, "seed int, silhouette double")
@@ -347,7 +362,12 @@ def cluster_stability(points: DataFrame, k: int, runs: int = 3) -> DataFrame:
 
 def cluster_profiles(data: ClusterInput, k: int, measures: Sequence[str] = CLUSTER_MEASURES[:5]) -> DataFrame:
     """Size, means, variability and name of each cluster; clusters are numbered by their centres."""
-    clustered = fit_kmeans(data.points, k).transform(data.rows)
+    points = data.points.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = fit_kmeans(in_few_tasks(points, points.count()), k)
+    finally:
+        points.unpersist()
+    clustered = model.transform(data.rows)
     spreads = {"valence": "valence_variability", "energy": "energy_variability"}
     exact = grouped_profile(
         clustered, ["cluster"], [], count_as="member_count",
