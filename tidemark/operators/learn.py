@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,7 +19,7 @@ from ..functions.buckets import ladder, lookup, quadrant
 from ..functions.hashing import digest, pick
 from ..functions.numeric import double, literal, min_max_scale, stable_round
 from ..schemas import schema
-from . import ridge
+from . import forest, ridge
 from .metrics import (
     baseline_classification,
     baseline_regression,
@@ -42,11 +39,8 @@ def prepare_stages(features: Sequence[str], output: str = SCALED) -> list[Estima
     return [assembled, StandardScaler(inputCol="features", outputCol=output)]
 
 
-def _forest(kind: type, target: str) -> Estimator:
-    # Size and depth of the forests.
-    forest = kind(featuresCol=SCALED, labelCol=target, numTrees=30, maxDepth=8, minInstancesPerNode=10, seed=SEED)
-    # More tree nodes per pass over the rows: fewer passes.
-    return forest.setMaxMemoryInMB(1024)
+# Size and depth of the forests.
+FOREST = forest.Shape(trees=30, depth=8, least=10, seed=SEED)
 
 
 @dataclass(frozen=True)
@@ -55,11 +49,10 @@ class ModelSpec:
     kind: str
     target: str
     features: tuple[str, ...]
-    estimator: Callable[[str], Estimator] | None
     output: tuple[str, ...]
     predicted_as: str
     classifier: bool = False
-    # Penalty of a linear model, which is solved from co-moments; other models are fitted by ``estimator``.
+    # Penalty of a linear model, which is solved from co-moments; other models are forests.
     ridge: float | None = None
 
 
@@ -69,7 +62,6 @@ VALENCE_FOREST = ModelSpec(
     kind="RandomForestRegressor",
     target="valence",
     features=("hour_of_day", "day_of_week", "energy", "tempo", "danceability", "is_weekend_int"),
-    estimator=lambda target: _forest(RandomForestRegressor, target),
     output=("hour_of_day", "day_of_week", "valence", "predicted_valence", "energy", "tempo"),
     predicted_as="predicted_valence",
 )
@@ -78,7 +70,6 @@ ENERGY_LINEAR = ModelSpec(
     kind="LinearRegression",
     target="energy",
     features=("hour_of_day", "day_of_week", "tempo", "danceability", "acousticness"),
-    estimator=None,
     ridge=0.01,
     output=("hour_of_day", "day_of_week", "energy", "predicted_energy", "tempo", "danceability"),
     predicted_as="predicted_energy",
@@ -88,7 +79,6 @@ MOOD_FOREST = ModelSpec(
     kind="RandomForestClassifier",
     target="mood_label",
     features=("hour_of_day", "day_of_week", "tempo", "danceability", "acousticness", "instrumentalness"),
-    estimator=lambda target: _forest(RandomForestClassifier, target),
     output=("hour_of_day", "day_of_week", "mood_label", "predicted_mood_label"),
     predicted_as="predicted_mood_label",
     classifier=True,
@@ -99,7 +89,7 @@ MODELS = (VALENCE_FOREST, ENERGY_LINEAR, MOOD_FOREST)
 @dataclass(frozen=True)
 class ModelRun:
     spec: ModelSpec
-    model: PipelineModel | ridge.LinearModel
+    model: forest.Forest | ridge.LinearModel
     scored: DataFrame
     cv_metric: float
     train: DataFrame
@@ -130,43 +120,19 @@ def fold_of(key: str, folds: int = FOLDS) -> str:
     return pick(digest(key, "fold"), range(folds))
 
 
-def evaluator(spec: ModelSpec):
-    if spec.classifier:
-        return MulticlassClassificationEvaluator(
-            labelCol=spec.target, predictionCol="prediction", metricName="accuracy"
-        )
-    return RegressionEvaluator(labelCol=spec.target, predictionCol="prediction", metricName="rmse")
-
-
 def cross_validate(
     spec: ModelSpec, train: DataFrame, key: str, folds: int = FOLDS, partitions: int | None = None
-) -> tuple[float, PipelineModel | ridge.LinearModel]:
-    """Mean metric over the folds, and the model fitted on all training rows.
+) -> tuple[float, forest.Forest | ridge.LinearModel]:
+    """Mean metric over the folds (accuracy or RMSE), and the model fitted on all training rows.
 
-    ``partitions`` spreads the rows anew; use it when the input has fewer splits than the cluster has cores. A
-    linear model needs one aggregate over the rows, wherever they are.
+    ``partitions`` spreads the binned rows of a forest; use it when the input has fewer splits than the cluster has
+    cores. A linear model needs one aggregate over the rows, wherever they are.
     """
-    rows = model_frame(train, spec, [f"{fold_of(key, folds)} AS _fold"])
+    fold = f"{fold_of(key, folds)} AS _fold"
     if spec.ridge is not None:
-        return ridge.cross_validate(rows, spec.features, spec.target, "_fold", spec.ridge)
-    if partitions:
-        rows = rows.repartition(partitions)
-    pipeline = Pipeline(stages=[*prepare_stages(spec.features), spec.estimator(spec.target)])
-    search = CrossValidator(
-        estimator=pipeline,
-        estimatorParamMaps=ParamGridBuilder().build(),
-        evaluator=evaluator(spec),
-        numFolds=folds,
-        seed=SEED,
-        foldCol="_fold",
-        parallelism=folds,
-    )
-    rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        fitted = search.fit(rows)
-    finally:
-        rows.unpersist()
-    return float(fitted.avgMetrics[0]), fitted.bestModel
+        return ridge.cross_validate(model_frame(train, spec, [fold]), spec.features, spec.target, "_fold", spec.ridge)
+    rows = model_frame(train, spec, [fold, f"{key} AS _key"])
+    return forest.cross_validate(rows, spec.features, spec.target, "_fold", folds, FOREST, spec.classifier, partitions)
 
 
 def train_and_score(
@@ -237,8 +203,7 @@ def wide_metrics(long: DataFrame, approach: str = "Kaggle_to_User_with_CrossVal"
 
 def feature_importance(run: ModelRun) -> DataFrame:
     """Importance and rank of each feature of a forest; no rows for other models."""
-    trees = [s for s in getattr(run.model, "stages", []) if hasattr(s, "featureImportances")]
-    weights = trees[0].featureImportances.toArray() if trees else []
+    weights = getattr(run.model, "importances", ())
     rows = [(f, float(w)) for f, w in zip(run.spec.features, weights)]
     ranked = sorted(rows, key=lambda r: (-r[1], r[0]))
     spark = run.scored.sparkSession
