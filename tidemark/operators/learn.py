@@ -256,8 +256,9 @@ def in_few_tasks(points: DataFrame, size: int) -> DataFrame:
     of every fit would start that many tasks twice. This is also a plan of its own over the stored points: the fit
     keeps its own vectors, instead of decoding the stored rows again on each pass.
     """
-    cores = points.sparkSession.sparkContext.defaultParallelism
-    return points.coalesce(max(2 * cores, -(-size // POINTS_PER_TASK)))
+    tasks = max(2 * points.sparkSession.sparkContext.defaultParallelism, -(-size // POINTS_PER_TASK))
+    # Merging deals parts to tasks anew even where there are few, and the seeding of the centres follows the parts.
+    return points.coalesce(tasks) if points.rdd.getNumPartitions() > tasks else points.select("*")
 
 
 def fit_kmeans(points: DataFrame, k: int, seed: int = SEED):
