@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tracemalloc
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -369,6 +372,31 @@ def test_toxicity(docs, empty, labels):
     assert toxicity.keep_clean(docs, labels.where("false")).count() == len(ROWS)
 
 
+def test_toxicity_fit_is_small():
+    rng = np.random.default_rng(3)
+    targets = np.column_stack([np.arange(400) % 4 == 1, np.arange(400) % 4 == 3, np.arange(400) % 2 == 1])
+    rows = [np.concatenate([rng.integers(100, toxicity.BUCKETS, 200), [7 * t[2], 9 * t[0]]]).astype(np.int32) for t in targets]
+    order = toxicity._in_order(targets[:, 2], targets[:, 0], rows)
+    assert order == sorted(range(400), key=lambda i: (targets[i, 2], targets[i, 0], rows[i].tobytes()))
+    tracemalloc.start()
+    chain = toxicity.fit_chain(rows, targets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {7} <= set(chain[2].features.tolist()) and peak < 4 * 4 * toxicity.BUCKETS
+
+
+def test_jaccard_steps_without_rows_end(spark, monkeypatch):
+    def text(i, words=40):
+        return " ".join(f"w{i}x{j}" for j in range(words))
+
+    rows = [(i, text(i)) for i in range(20)] + [(20, text(3) + " end"), (21, text(4))]
+    docs, plans, store = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), [], jaccard_join.stored
+    monkeypatch.setattr(jaccard_join, "stored", lambda df: plans.append(df) or store(df))
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.groups(docs, 3, 90).collect()}
+    assert found == brute.jaccard_groups(rows, 3, 90)
+    assert len(plans) <= 14
+
+
 def test_token_counts(docs, empty):
     found = pairs(tokens.count_documents(docs), "doc_id", "n_tokens")
     expected = sorted(((d, len(ids)) for (d, _), ids in zip(ROWS, brute.token_ids([t for _, t in ROWS]))), key=repr)

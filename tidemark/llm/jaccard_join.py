@@ -24,7 +24,8 @@ Groups are joined up as they are found, so a group of near copies is never expan
 
 After each step the links that hold are contracted by star contraction (a smaller neighbour at a time, rounds
 in proportion to the logarithm of the longest path). Every stage is written as Parquet and read back, so neither lineage
-nor the planner's size estimates pile up. Up to step 3, rows are in proportion to sets (and groups per n-gram); in
+nor the planner's size estimates pile up, and no plan holds the work of two stages: Spark keeps the text of every plan
+in the driver. Rows are counted while they are written; what has none left ends there. Up to step 3, rows are in proportion to sets (and groups per n-gram); in
 step 3 an n-gram of m sets outside its largest group, of g sets, takes m (m + 2 g) / ``BLOCK_SETS`` rows.
 
 Defined results: null and empty texts have 0 n-grams and stand alone; a text with fewer words than n is one
@@ -449,6 +450,12 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """The rows as ``stored``, and their number, which is taken while they are written."""
+    seen = Observation(f"rows-{uuid.uuid4().hex}")
+    return stored(df.observe(seen, F.count("*").alias("n"))), seen.get["n"]
+
+
 def stored_edges(edges: DataFrame) -> tuple[DataFrame, tuple]:
     """Edges (low, high) as ``stored``, with their number and a checksum that are taken while they are written."""
     seen = Observation(f"edges-{uuid.uuid4().hex}")
@@ -472,8 +479,10 @@ class Groups:
         joined = rows.join(named, F.col(v) == F.col("_v"), "left")
         return joined.withColumn(root, F.coalesce("_root", v)).drop("_v", "_root")
 
-    def joined(self, links: DataFrame) -> Groups:
-        """The groups after joining up those that the links (a, b) connect."""
+    def joined(self, links: DataFrame | None) -> Groups:
+        """The groups after joining up those that the links (a, b) connect; the same object if there is nothing to join."""
+        if links is None:
+            return self
         star = stars(self.of(self.of(links, "a", "a"), "b", "b"))
         if star is None:
             return self
@@ -529,7 +538,7 @@ def join_up(docs: DataFrame, firsts: DataFrame, n: int, percent: int) -> Groups:
     # sets of neighbouring sizes can link: each goes to its own band and to the one below
     own = F.floor(F.log("size") / (math.log(100 / percent) * 1.001))
     banded = frequent.withColumn("own", own).select("*", F.explode(F.array("own", F.col("own") - 1)).alias("band"))
-    banded = stored(banded.select("key", "band", (F.col("own") == F.col("band")).alias("lower"), "v", "size", "gone", "prior", "tail"))
+    banded, n_banded = counted(banded.select("key", "band", (F.col("own") == F.col("band")).alias("lower"), "v", "size", "gone", "prior", "tail"))
     groups = Groups.single(docs.sparkSession)
 
     partners = stored(one_each(_rare(rare.withColumn("root", F.col("v")), percent, True)))
@@ -537,34 +546,52 @@ def join_up(docs: DataFrame, firsts: DataFrame, n: int, percent: int) -> Groups:
     whole = stored(whole_sets(docs, firsts.join(involved, "v").select("v", "owner", "h", "digest"), n))
 
     # 1. one partner for each set
-    start = banded.where(F.shiftright("prior", CLASS_BITS) <= RARE)
-    near = partners.unionAll(_blocks(start.withColumn("root", F.col("v")), whole, percent).select("a", "b"))
+    near = partners
+    if n_banded:
+        start = banded.where(F.shiftright("prior", CLASS_BITS) <= RARE)
+        near = near.unionAll(_blocks(start.withColumn("root", F.col("v")), whole, percent).select("a", "b"))
     groups = groups.joined(_verified(one_each(near), whole, percent))
+    if n_banded:
+        groups = _join_frequent(groups, banded, whole, percent)
+
+    between = _rare(_several(groups.of(rare), ["key"]), percent, False).distinct()
+    return groups.joined(_verified(between, whole, percent))
+
+
+def _join_frequent(groups: Groups, banded: DataFrame, whole: DataFrame, percent: int) -> Groups:
+    """Steps 2 and 3: the groups after joining up those that share a frequent n-gram."""
+    told, n_told = counted(_several(groups.of(banded), ["key", "band"]))
 
     # 2. one set for each group and n-gram
     for chosen in (F.min, F.max):
-        told = _several(groups.of(banded), ["key", "band"])
+        if not n_told:
+            return groups
         member = told.groupBy("key", "band", "root", "lower").agg(chosen(F.struct("v", "size", "gone", "prior", "tail")).alias("m"))
         likely = _blocks(member.select("key", "band", "lower", "m.*", "root"), whole, percent)
-        groups = groups.joined(_verified(one_each(likely.select("a", "b")), whole, percent))
+        before, groups = groups, groups.joined(_verified(one_each(likely.select("a", "b")), whole, percent))
+        if groups is not before:  # a place whose sets are of one group stays so
+            told, n_told = counted(_several(groups.of(told.drop("root")), ["key", "band"]))
 
     # 3. all pairs between groups that are left
-    spread = stored(_spread(_several(groups.of(banded), ["key", "band"])))
-    likely = stored(_likely(spread, whole, percent))
+    if not n_told:
+        return groups
+    spread = stored(_spread(told))
+    likely, n_likely = counted(_likely(spread, whole, percent))
+    if not n_likely:
+        return groups
     pairs = likely.select(F.least("v", "w").alias("a"), F.greatest("v", "w").alias("b")).distinct()
     groups = groups.joined(_verified(pairs, whole, percent))
     # a block joins up what may link; where such a forest still holds several groups, its sets are walked again
     members = groups.of(likely.select(*PLACE, "forest", F.explode(F.array("v", "w", "forest")).alias("v")).distinct())
     forests = members.groupBy(*PLACE, "forest").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     # the other sets of a group in the forest were joined to it before the walk
-    met = members.join(forests.drop("low", "high"), [*PLACE, "forest"]).select(*PLACE, "forest", "root").distinct()
+    met, n_met = counted(members.join(forests.drop("low", "high"), [*PLACE, "forest"]).select(*PLACE, "forest", "root").distinct())
+    if not n_met:
+        return groups
     again = groups.of(spread.drop("root")).join(met, [*PLACE, "root"])
     again = again.join(whole.select("v", "grams"), "v").select(*PLACE, "forest", *MEMBER, "root", "grams")
     exact = again.repartition(*PLACE, "forest").sortWithinPartitions(*PLACE, "forest").mapInArrow(_exact_joins(percent), EDGES)
-    groups = groups.joined(exact)
-
-    between = _rare(_several(groups.of(rare), ["key"]), percent, False).distinct()
-    return groups.joined(_verified(between, whole, percent))
+    return groups.joined(exact)
 
 
 MEMBER = ["v", "salt", "lower", "size", "gone", "prior", "tail"]
@@ -616,13 +643,15 @@ def _spread(rows: DataFrame) -> DataFrame:
     return met.select(*place, *MEMBER, "root")
 
 
-def _verified(pairs: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
-    """The pairs that link: by their sketches at first, and what is left by the whole sets."""
+def _verified(pairs: DataFrame, whole: DataFrame, percent: int) -> DataFrame | None:
+    """The pairs that link: by their sketches at first, and what is left by the whole sets. None if none is left."""
     x = whole.select(F.col("v").alias("a"), F.size("grams").alias("m"), F.col("sketch").alias("p"))
     y = whole.select(F.col("v").alias("b"), F.size("grams").alias("n"), F.col("sketch").alias("q"))
     sketched = pairs.join(x, "a").join(y, "b").select("a", "b", "m", "n", "p", "q")
     # few by now: stored, they are broadcast to the whole sets instead of sorting those twice
-    likely = stored(sketched.mapInArrow(_close_pairs(percent), EDGES))
+    likely, n_likely = counted(sketched.mapInArrow(_close_pairs(percent), EDGES))
+    if not n_likely:
+        return None
     one, other = whole.select(F.col("v").alias("a"), F.col("grams").alias("x")), whole.select(F.col("v").alias("b"), F.col("grams").alias("y"))
     met = likely.join(one, "a").join(other, "b").withColumn("i", F.size(F.array_intersect("x", "y")))
     return met.where(f"100 * i >= {percent} * (size(x) + size(y) - i)").select("a", "b")

@@ -19,6 +19,7 @@ through by ``keep_clean``.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,7 @@ FOLDS = 4
 PENALTY = 0.2
 STEPS = 300
 THRESHOLD = 0.5
+HEAD = 16
 INSULTS = """
 idiot idiots idiotic stupid moron moronic loser losers scum trash worthless pathetic clown dumb dumbass fool
 jerk creep filth garbage disgusting imbecile pig swine bastard bitch
@@ -98,8 +100,7 @@ def _sigmoid(values):
 
 
 def _fit_linear(design: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """L2 logistic regression by accelerated gradient steps; the last weight is the bias, not penalised."""
-    design = np.hstack([design, np.ones((len(design), 1), dtype=design.dtype)])
+    """L2 logistic regression by accelerated gradient steps; the last column of ``design`` is ones, whose weight (the bias) is not penalised."""
     weights = np.zeros(design.shape[1], dtype=design.dtype)
     penalty = np.full(len(weights), PENALTY, dtype=design.dtype)
     penalty[-1] = 0
@@ -119,8 +120,9 @@ def _fit_linear(design: np.ndarray, target: np.ndarray) -> np.ndarray:
     return weights
 
 
-def _matrix(rows: list[np.ndarray], features: np.ndarray) -> np.ndarray:
-    found = np.zeros((len(rows), len(features)), dtype=np.float32)
+def _matrix(rows: list[np.ndarray], features: np.ndarray, more: int = 0) -> np.ndarray:
+    """A row of 0 and 1 for each document, with room for ``more`` columns."""
+    found = np.zeros((len(rows), len(features) + more), dtype=np.float32)
     if len(features):
         for number, buckets in enumerate(rows):
             place = np.minimum(np.searchsorted(features, buckets), len(features) - 1)
@@ -130,16 +132,17 @@ def _matrix(rows: list[np.ndarray], features: np.ndarray) -> np.ndarray:
 
 def _select(rows: list[np.ndarray], target: np.ndarray) -> np.ndarray:
     """The features with the largest chi-square against the target."""
-    positive, negative = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    positive, negative = np.zeros(BUCKETS, dtype=np.int32), np.zeros(BUCKETS, dtype=np.int32)
     for buckets, is_one in zip(rows, target):
         (positive if is_one else negative)[np.unique(buckets)] += 1
     ones, zeros = max(target.sum(), 1), max((~target).sum(), 1)
-    total = positive + negative
-    mean = total / (ones + zeros)
+    known = np.flatnonzero(positive + negative >= LEAST_DOCS)  # the others have no score
+    positive, negative = positive[known].astype(np.float64), negative[known].astype(np.float64)
+    mean = (positive + negative) / (ones + zeros)
     spread = mean * (1 - mean) * (1 / ones + 1 / zeros)
-    score = np.where((total >= LEAST_DOCS) & (spread > 0), (positive / ones - negative / zeros) ** 2 / np.maximum(spread, 1e-12), 0)
+    score = np.where(spread > 0, (positive / ones - negative / zeros) ** 2 / np.maximum(spread, 1e-12), 0)
     best = np.argsort(-score, kind="stable")[:FEATURES]
-    return np.sort(best[score[best] > 10.8])  # p < 0.001
+    return np.sort(known[best[score[best] > 10.8]])  # p < 0.001
 
 
 def _fit_link(rows, earlier, target) -> Link:
@@ -147,8 +150,12 @@ def _fit_link(rows, earlier, target) -> Link:
     if not len(features):
         rate = (target.sum() + 0.5) / (len(target) + 1)
         return Link(features, np.zeros(0, np.float32), np.zeros(earlier.shape[1], np.float32), float(np.log(rate / (1 - rate))))
-    weights = _fit_linear(np.hstack([_matrix(rows, features), earlier]).astype(np.float32), target.astype(np.float32))
+    # filled where it stands: the driver holds one such matrix at a time
     count = len(features)
+    design = _matrix(rows, features, earlier.shape[1] + 1)
+    design[:, count:-1] = earlier
+    design[:, -1] = 1
+    weights = _fit_linear(design, target.astype(np.float32))
     return Link(features, weights[:count], weights[count:-1], float(weights[-1]))
 
 
@@ -176,6 +183,28 @@ def fit_chain(rows: list[np.ndarray], targets: np.ndarray) -> list[Link]:
     return chain
 
 
+def _views(lists: pa.ChunkedArray) -> list[np.ndarray]:
+    """The rows of a column of lists of numbers, where they lie in Arrow's memory."""
+    rows = []
+    for chunk in lists.chunks:
+        values, edges = chunk.values.to_numpy(), chunk.offsets.to_numpy()
+        rows.extend(values[low:high] for low, high in zip(edges[:-1].tolist(), edges[1:].tolist()))
+    return rows
+
+
+def _in_order(toxic: np.ndarray, insult: np.ndarray, rows: list[np.ndarray]) -> list[int]:
+    """The places of the rows by (toxic, insult, bytes of the buckets); whole rows are copied only where their beginnings are equal."""
+
+    def begin(i):
+        return toxic[i], insult[i], rows[i][:HEAD].tobytes()
+
+    order = []
+    for _, alike in groupby(sorted(range(len(rows)), key=begin), key=begin):
+        alike = list(alike)
+        order.extend(sorted(alike, key=lambda i: rows[i].tobytes()) if len(alike) > 1 else alike)
+    return order
+
+
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> list[Link]:
     marks = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
     order = F.xxhash64("doc_id")
@@ -185,10 +214,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
     table = known.mapInArrow(_training_rows, "toxic boolean, insult boolean, buckets array<int>").toArrow()
     if not table.num_rows:
         return [Link(np.zeros(0, np.int64), np.zeros(0, np.float32), np.zeros(n, np.float32), -35.0) for n in range(len(CATEGORIES))]
-    rows = [np.asarray(x, dtype=np.int64) for x in table.column("buckets").combine_chunks().to_numpy(zero_copy_only=False)]
+    rows = _views(table.column("buckets"))
     # the order of arrival differs between runs: sort, so that folds do not
     toxic, insult = table.column("toxic").to_numpy().astype(bool), table.column("insult").to_numpy().astype(bool)
-    order = sorted(range(len(rows)), key=lambda i: (toxic[i], insult[i], rows[i].tobytes()))
+    order = _in_order(toxic, insult, rows)
     rows, toxic, insult = [rows[i] for i in order], toxic[order], insult[order]
     return fit_chain(rows, np.column_stack([toxic & insult, toxic & ~insult, toxic]))
 
