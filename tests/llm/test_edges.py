@@ -397,6 +397,44 @@ def test_jaccard_steps_without_rows_end(spark, monkeypatch):
     assert len(plans) <= 14
 
 
+def test_jaccard_signatures_are_shared_by_all_that_link():
+    rng = np.random.default_rng(8)
+
+    def linked(one, other, percent):
+        return jaccard_join._linked(np.sort(one), np.sort(other), percent)
+
+    for percent in (60, 80, 90, 97):
+        met = 0
+        for _ in range(400):
+            size = int(rng.integers(1, 400))
+            one = np.unique(rng.integers(0, 1 << 64, size, dtype=np.uint64))
+            kept = one[rng.random(len(one)) < 1 - rng.random() * (100 - percent) / 100]
+            other = np.unique(np.concatenate([kept, rng.integers(0, 1 << 64, int(rng.integers(0, 1 + len(one) // 10)), dtype=np.uint64)]))
+            if min(len(one), len(other)) >= jaccard_join.least_size(percent) and linked(one, other, percent):
+                met += 1
+                assert np.intersect1d(jaccard_join.signatures(one, percent), jaccard_join.signatures(other, percent)).size
+        assert met > 40
+    hundred = np.unique(rng.integers(0, 1 << 64, 100, dtype=np.uint64))
+    half = np.unique(np.concatenate([hundred[::2], rng.integers(0, 1 << 64, 50, dtype=np.uint64)]))
+    assert not np.intersect1d(jaccard_join.signatures(hundred, 97), jaccard_join.signatures(hundred[:5], 97)).size
+    assert jaccard_join.signatures(half, 100).size == 0
+
+
+def test_jaccard_compares_no_texts_that_share_single_ngrams(spark, monkeypatch):
+    """Texts of few words share many n-grams by chance; only near copies come to the tries."""
+    import random
+
+    rng = random.Random(6)
+    texts = [[f"w{rng.randrange(12)}" for _ in range(150)] for _ in range(60)]
+    near = [*texts[7][:-1], "end"]
+    rows = [(i, " ".join(words)) for i, words in enumerate([*texts, near, texts[9]])]
+    docs, kept, store = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), [], jaccard_join.stored
+    monkeypatch.setattr(jaccard_join, "stored", lambda df: kept.append(store(df)) or kept[-1])
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.groups(docs, 3, 90).collect()}
+    assert found == brute.jaccard_groups(rows, 3, 90)
+    assert [df.count() for df in kept if "keys" in df.columns] == [2]
+
+
 def test_token_counts(docs, empty):
     found = pairs(tokens.count_documents(docs), "doc_id", "n_tokens")
     expected = sorted(((d, len(ids)) for (d, _), ids in zip(ROWS, brute.token_ids([t for _, t in ROWS]))), key=repr)

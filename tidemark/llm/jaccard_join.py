@@ -1,10 +1,15 @@
 """N-gram Jaccard join by prefix trees, and the groups that its links form.
 
 A document's set is its distinct word n-grams; two documents link when 100 x intersection >= percent x union.
-Equal sets are one vertex, so copies are never expanded into pairs. The global n-gram order puts n-grams of a
-fixed slice of the hash space first, by rising document frequency over the whole corpus (an n-gram that occurs
-once can link nothing), and the others after it; any total order is right for prefix filtering, this one makes
-prefixes rare. A set that has enough unique n-grams to fill its prefix links to nothing and is done; most are.
+Equal sets are one vertex, so copies are never expanded into pairs. Two sets that link differ in at most k n-grams,
+k from their sizes, so of more than k parts of the hash space some hold the same n-grams in both. A set signs its parts,
+the fullest k + 1 of somewhat more in the order of all; sets that share a signature are a family, and only sets of one
+family are compared. Signatures travel packed, 8 bytes each, dealt by their last bits. A part holds several n-grams, so
+unlike single n-grams, signatures do not come to be shared by chance as a corpus grows; most sets share none and are done. Their texts are left out by a mask of hashes before the others are shuffled.
+
+Within a family the n-gram order puts n-grams of a fixed slice of the hash space first, by rising document frequency
+in the family (an n-gram that occurs once there can link nothing), and the others after it; any total order is right
+for prefix filtering, this one makes prefixes rare. A set that has enough unique n-grams to fill its prefix links to nothing.
 
 The prefixes of the rest are dealt by n-gram; two sets whose prefixes share the n-gram before have met at that
 one and are not compared again. An n-gram of at most ``RARE`` sets goes to a task that builds a
@@ -38,6 +43,8 @@ from __future__ import annotations
 import hashlib
 import math
 import uuid
+from bisect import bisect_right
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +52,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .texts import Words, byte_chunks, mix, ngrams
+from .texts import Words, byte_chunks, mix, mix_int, ngrams
 
 RARE = 64
 BLOCK_SETS = 2000
@@ -53,6 +60,11 @@ CLASS_BITS = 47
 OTHERS = 65535
 TAIL = 32
 TAIL_BITS = 24
+BAND_GROWTH = 7, 5
+BUCKETS = 4096
+ROW_BITS = 28
+FLUSH = 1 << 20
+MASK_BITS = 27
 
 
 def prefix_size(size, percent):
@@ -66,8 +78,8 @@ def least_size(percent: int) -> int:
 
 
 def slice_bound(percent: int) -> int:
-    """Upper end of the hash slice whose document frequencies are counted: a little more than a prefix needs."""
-    return int(min(1.0, 1.1 * (1 - percent / 100)) * (1 << 64)) - 1
+    """Upper end of the hash slice whose document frequencies are counted: twice what a prefix needs."""
+    return int(min(1.0, 2 * (1 - percent / 100)) * (1 << 64)) - 1
 
 
 def _sets(data: np.ndarray, offsets: np.ndarray, n: int):
@@ -88,49 +100,162 @@ def _digest(found: np.ndarray) -> bytes:
     return hashlib.blake2b(found.tobytes(), digest_size=16).digest()
 
 
+# --- signatures ----------------------------------------------------------------------------------
+
+
+@lru_cache(maxsize=None)
+def band_edges(percent: int) -> list[int]:
+    """The smallest size of each band of set sizes, wide enough that a set links to its own band and the two beside it only."""
+    edges, (up, down) = [least_size(percent)], BAND_GROWTH
+    while edges[-1] < 1 << 40:
+        edges.append(max(edges[-1] + 1, -(-edges[-1] * up // down), -(-edges[-1] * 100 // percent)))
+    return edges
+
+
+@lru_cache(maxsize=256)
+def band_parts(band: int, percent: int) -> tuple[int, int, np.ndarray, np.ndarray]:
+    """(largest size that links into the band, how many parts are signed, inner bounds of the parts, a salt for each)."""
+    most = band_edges(percent)[band + 1] - 1
+    last = most * 100 // percent
+    signed = (most + last) * (100 - percent) // (100 + percent) + 1  # one more than two sets that link may differ in
+    parts = signed + signed // 4
+    bounds = np.array([(part << 64) // parts for part in range(1, parts)], dtype=np.uint64)
+    return last, signed, bounds, mix(np.arange(parts, dtype=np.uint64) + np.uint64((band + 1) << 40))
+
+
+def signatures(found: np.ndarray, percent: int) -> np.ndarray:
+    """What two sets that link share at least one of: hashes of parts of a set, those with most n-grams first, from each of its bands.
+
+    Two sets that differ in at most k n-grams differ in at most k parts. So of each one's first k + 1 parts, in one order
+    of all parts that there are, some part is in both.
+    """
+    own = bisect_right(band_edges(percent), len(found)) - 1
+    if own < 0:
+        return np.zeros(0, dtype=np.uint64)
+    total = np.zeros(len(found) + 1, dtype=np.uint64)
+    np.cumsum(found, out=total[1:])
+    made = []
+    for band in range(max(own - 1, 0), own + 1):
+        last, signed, bounds, salts = band_parts(band, percent)
+        if len(found) <= last:
+            ends = np.concatenate(([0], np.searchsorted(found, bounds), [len(found)]))
+            signs = mix(np.diff(total[ends]) + salts)
+            made.append(signs[np.lexsort((signs, -np.diff(ends)))[:signed]])
+    return np.concatenate(made)
+
+
+SIGNED = [("bucket", pa.int32()), ("base", pa.int64()), ("entries", pa.binary())]
+DESCRIBED = [("row", pa.int64()), ("doc_id", pa.int64()), ("h", pa.int64()), ("size", pa.int64()), ("digest", pa.binary())]
+
+
+def _packed(base: int, rows: list[int], signs: list[np.ndarray]) -> pa.RecordBatch:
+    """Signatures by bucket: in 8 bytes each, 36 bits of it above the place of its row after ``base``."""
+    places = np.repeat(np.array(rows, dtype=np.uint64) - np.uint64(base), [len(one) for one in signs])
+    signs = np.concatenate(signs)
+    buckets = (signs % np.uint64(BUCKETS)).astype(np.int32)
+    order = np.argsort(buckets, kind="stable")
+    entries = (signs >> np.uint64(ROW_BITS) << np.uint64(ROW_BITS) | places)[order]
+    used, starts = np.unique(buckets[order], return_index=True)
+    edges = 8 * np.append(starts, len(entries)).astype(np.int32)
+    packed = pa.Array.from_buffers(pa.binary(), len(used), [None, pa.py_buffer(edges), pa.py_buffer(entries)])
+    return _described(bucket=pa.array(used, pa.int32()), base=pa.array(np.full(len(used), base), pa.int64()), entries=packed)
+
+
+def _described(**columns) -> pa.RecordBatch:
+    rows = len(next(iter(columns.values())))
+    fields = [*DESCRIBED, *SIGNED]
+    return pa.RecordBatch.from_arrays([columns.get(name, pa.nulls(rows, kind)) for name, kind in fields], [name for name, _ in fields])
+
+
 def describe_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, h, size, digest, low, rest) of every row: ``h`` is a hash of its text, ``low`` is the counted slice, ``rest`` fills a prefix it is too small for."""
-    bound = np.uint64(slice_bound(percent))
-    schema = "doc_id bigint, h bigint, size bigint, digest binary, low array<bigint>, rest array<bigint>"
+    """(row, doc_id, h, size, digest) of every row, ``h`` is a hash of its text; and other rows (bucket, base, entries) with the signatures."""
 
     def describe(batches):
+        rows, signs, held = [], [], 0
         for batch in batches:
             for first, data, offsets in byte_chunks(batch.column(1)):
-                sizes, digests, lows, rests = [], [], [], []
-                for found in _sets(data, offsets, n):
-                    cut = int(np.searchsorted(found, bound, "right"))
-                    missing = max(0, prefix_size(len(found), percent) - cut)
+                sizes, digests = [], []
+                numbers = batch.column(3).slice(first, len(offsets) - 1)
+                for row, found in zip(numbers.to_pylist(), _sets(data, offsets, n)):
                     sizes.append(len(found))
                     digests.append(_digest(found))
-                    lows.append(found[:cut].view(np.int64))
-                    rests.append(found[cut : cut + missing].view(np.int64))
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "doc_id": batch.column(0).slice(first, len(sizes)),
-                        "h": batch.column(2).slice(first, len(sizes)),
-                        "size": pa.array(sizes, pa.int64()),
-                        "digest": pa.array(digests, pa.binary()),
-                        "low": pa.array(lows, pa.list_(pa.int64())),
-                        "rest": pa.array(rests, pa.list_(pa.int64())),
-                    }
+                    signed = signatures(found, percent)
+                    if not len(signed):
+                        continue
+                    if rows and (held >= FLUSH or row - rows[0] >= 1 << ROW_BITS):
+                        yield _packed(rows[0], rows, signs)
+                        rows, signs, held = [], [], 0
+                    rows.append(row)
+                    signs.append(signed)
+                    held += len(signed)
+                yield _described(
+                    row=numbers,
+                    doc_id=batch.column(0).slice(first, len(sizes)),
+                    h=batch.column(2).slice(first, len(sizes)),
+                    size=pa.array(sizes, pa.int64()),
+                    digest=pa.array(digests, pa.binary()),
                 )
-
-    return docs.select(F.col("doc_id").cast("bigint"), "text", text_hash()).mapInArrow(describe, schema)
+        if rows:
+            yield _packed(rows[0], rows, signs)
+
+    schema = "row bigint, doc_id bigint, h bigint, size bigint, digest binary, bucket int, base bigint, entries binary"
+    return docs.select(F.col("doc_id").cast("bigint"), "text", text_hash(), F.monotonically_increasing_id().alias("row")).mapInArrow(describe, schema)
+
+
+def _meetings(batches):
+    """Rows that share a signature, each with the first of that signature."""
+    for table in whole_groups(batches):
+        blobs = table.column(2).cast(pa.large_binary()).combine_chunks()
+        _, offsets, data = blobs.buffers()
+        edges = np.frombuffer(offsets, dtype=np.int64)[blobs.offset : blobs.offset + len(blobs) + 1]
+        entries = np.frombuffer(data, dtype=np.uint8)[edges[0] : edges[-1]].view(np.uint64)
+        counts = np.diff(edges) // 8
+        # the bits of the bucket take the place of those of the row
+        signs = (entries >> np.uint64(ROW_BITS)) * np.uint64(BUCKETS) + np.repeat(table.column(0).to_numpy().astype(np.uint64), counts)
+        order = np.argsort(signs)
+        signs = signs[order]
+        first = np.concatenate(([True], signs[1:] != signs[:-1]))
+        shared = ~first
+        shared[:-1] |= ~first[1:]
+        kept = np.flatnonzero(shared)  # most signatures are of one row
+        if not len(kept):
+            continue
+        starts = np.flatnonzero(first[kept])
+        order = order[kept]
+        rows = np.repeat(table.column(1).to_numpy(), counts)[order] + (entries[order] & np.uint64((1 << ROW_BITS) - 1)).astype(np.int64)
+        least = np.repeat(np.minimum.reduceat(rows, starts), np.diff(np.append(starts, len(rows))))
+        by = np.lexsort((rows, least))
+        rows, least = rows[by], least[by]
+        new = rows != least
+        new[1:] &= (rows[1:] != rows[:-1]) | (least[1:] != least[:-1])
+        yield _pair_batch(least[new], rows[new])
+
+
+def families(described: DataFrame, sets: DataFrame) -> tuple[DataFrame, int] | None:
+    """(v, owner, h, digest, size, family) of the sets that share signatures, in families of two sets or more, and their number. None if there is none."""
+    dealt = described.where("bucket IS NOT NULL").select("bucket", "base", "entries").repartition("bucket").sortWithinPartitions("bucket")
+    met = stars(dealt.mapInArrow(_meetings, EDGES))
+    if met is None:
+        return None
+    members = met.unionAll(met.select(F.col("root").alias("v"), "root").distinct())
+    known = members.withColumnRenamed("v", "row").join(sets, "row")
+    least = known.groupBy("digest").agg(F.min(F.struct("row", "doc_id", "h", "size", "root")).alias("s"))
+    vertices, n_vertices = counted(
+        _several(least.select(F.col("s.row").alias("v"), F.col("s.doc_id").alias("owner"), "s.h", "digest", "s.size", "s.root"), ["root"], "v")
+    )
+    return (vertices.withColumnRenamed("root", "family"), n_vertices) if n_vertices else None
 
 
 def text_hash():
     return F.xxhash64("text").alias("h")
 
 
-def prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(v, owner, h, digest, size, gone, keys) of the sets whose prefix can meet another's.
+def prefixes(firsts: DataFrame, percent: int) -> DataFrame:
+    """(v, size, gone, keys) of the sets (v, size, low, rest) whose prefix can meet another's.
 
     ``keys`` are the shared prefix n-grams as ordered numbers (frequency class above hash bits); ``gone``
     counts the unique ones before them.
     """
-    large = sets.where(F.col("size") >= least_size(percent))
-    first = large.groupBy("digest").agg(F.min("row").alias("row"))
-    firsts = large.join(first.select("row"), "row", "left_semi").withColumnRenamed("row", "v").withColumnRenamed("doc_id", "owner")
     grams = firsts.select("v", F.explode("low").alias("t"))
     shared = grams.groupBy("t").agg(F.count("*").alias("df")).where("df > 1")
     key = f"shiftleft(least(df, {OTHERS - 1}L), {CLASS_BITS}) | shiftrightunsigned(t, {64 - CLASS_BITS})"
@@ -138,14 +263,14 @@ def prefixes(sets: DataFrame, percent: int) -> DataFrame:
     need = f"(size - CAST(ceil(size * {percent} / 100) AS BIGINT) + 1)"
     others = f"transform(rest, t -> shiftleft({OTHERS}L, {CLASS_BITS}) | shiftrightunsigned(t, {64 - CLASS_BITS}))"
     return (
-        firsts.select("v", "owner", "h", "digest", "size", "rest", F.size("low").alias("n_low"))
+        firsts.select("v", "size", "rest", F.size("low").alias("n_low"))
         .join(hits, "v", "left")
         .withColumn("met", F.expr("coalesce(met, CAST(array() AS ARRAY<BIGINT>))"))
         .withColumn("gone", F.expr("CAST(n_low - size(met) AS BIGINT)"))
         .where(f"gone < {need}")
         .withColumn("keys", F.expr(f"slice(concat(met, {others}), 1, CAST({need} - gone AS INT))"))
         .where("size(keys) > 0")
-        .select("v", "owner", "h", "digest", "size", "gone", "keys")
+        .select("v", "size", "gone", "keys")
     )
 
 
@@ -523,8 +648,8 @@ def one_each(candidates: DataFrame) -> DataFrame:
     return partner.select(F.least("v", "w").alias("a"), F.greatest("v", "w").alias("b")).distinct()
 
 
-def join_up(docs: DataFrame, firsts: DataFrame, n: int, percent: int) -> Groups:
-    """The groups of all vertices; ``firsts`` is the stored result of ``prefixes``."""
+def join_up(firsts: DataFrame, whole: DataFrame, percent: int) -> Groups:
+    """The groups of all vertices; ``firsts`` is the stored result of ``prefixes``, ``whole`` has their whole sets."""
     rows = firsts.select("v", "size", "gone", "keys", F.posexplode("keys").alias("pos", "key"))
     is_rare = F.shiftright("key", CLASS_BITS) <= RARE
     gone, prior = (F.col("gone") + F.col("pos")).alias("gone"), F.expr("if(pos > 0, keys[pos - 1], -1L)").alias("prior")
@@ -539,11 +664,9 @@ def join_up(docs: DataFrame, firsts: DataFrame, n: int, percent: int) -> Groups:
     own = F.floor(F.log("size") / (math.log(100 / percent) * 1.001))
     banded = frequent.withColumn("own", own).select("*", F.explode(F.array("own", F.col("own") - 1)).alias("band"))
     banded, n_banded = counted(banded.select("key", "band", (F.col("own") == F.col("band")).alias("lower"), "v", "size", "gone", "prior", "tail"))
-    groups = Groups.single(docs.sparkSession)
+    groups = Groups.single(firsts.sparkSession)
 
-    partners = stored(one_each(_rare(rare.withColumn("root", F.col("v")), percent, True)))
-    involved = partners.select(F.explode(F.array("a", "b")).alias("v")).unionAll(banded.select("v")).distinct()
-    whole = stored(whole_sets(docs, firsts.join(involved, "v").select("v", "owner", "h", "digest"), n))
+    partners = _rare(rare.withColumn("root", F.col("v")), percent, True)
 
     # 1. one partner for each set
     near = partners
@@ -602,9 +725,9 @@ def _rare(rooted: DataFrame, percent: int, partners: bool) -> DataFrame:
     return dealt.mapInArrow(_rare_pairs(percent, partners), EDGES)
 
 
-def _several(rooted: DataFrame, place: list[str]) -> DataFrame:
+def _several(rooted: DataFrame, place: list[str], root: str = "root") -> DataFrame:
     """The rows of places that hold sets of several groups."""
-    groups = rooted.groupBy(*place).agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most")
+    groups = rooted.groupBy(*place).agg(F.min(root).alias("least"), F.max(root).alias("most")).where("least < most")
     return rooted.join(groups.drop("least", "most"), place, "left_semi")
 
 
@@ -671,39 +794,87 @@ def _close_pairs(percent: int):
     return close
 
 
-def whole_sets(docs: DataFrame, vertices: DataFrame, n: int) -> DataFrame:
-    """(v, grams, sketch): the whole sets of some vertices, made again from their owners' texts."""
-    wanted = vertices.select("v", F.col("owner").alias("_owner"), F.col("h").alias("_h"), "digest")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("_doc"), "text", text_hash())
+def may_own(texts: DataFrame, vertices: DataFrame, count: int) -> DataFrame:
+    """The rows (.., .., h) of ``texts`` without most of those whose hash no vertex has, so that few texts are shuffled.
+
+    The driver sees a mask of 16 to 32 bits for each vertex, and of at most 2 ** MASK_BITS.
+    """
+    bits = min(MASK_BITS, max(6, (16 * count).bit_length()))
+    place = F.shiftrightunsigned("h", 64 - bits)
+    words = vertices.select(F.shiftright(place, 6).alias("word"), F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(h, {64 - bits}) & 63 AS INT))").alias("bit"))
+    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    mask = np.zeros(1 << bits - 6, dtype=np.uint64)
+    mask[found.column(0).to_numpy()] = found.column(1).to_numpy().view(np.uint64)
+    shared = texts.sparkSession.sparkContext.broadcast(mask)
+
+    def keep(batches):
+        for batch in batches:
+            at = batch.column(2).to_numpy().view(np.uint64) >> np.uint64(64 - bits)
+            yield batch.filter(pa.array((shared.value[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)))
+
+    return texts.mapInArrow(keep, texts.schema)
+
+
+def whole_sets(docs: DataFrame, vertices: DataFrame, count: int, n: int, percent: int) -> DataFrame:
+    """(v, grams, sketch, low, rest): the whole sets of some vertices, made again from their owners' texts.
+
+    ``low`` is the counted slice, ``rest`` fills a prefix it is too small for; both are salted by family, so that families
+    share nothing, and in the order that the salt gives.
+    """
+    wanted = vertices.select("v", F.col("owner").alias("_owner"), F.col("h").alias("_h"), "digest", "family")
+    texts = may_own(docs.select(F.col("doc_id").cast("bigint").alias("_doc"), "text", text_hash()), vertices, count)
     rows = texts.join(wanted, F.col("_doc").eqNullSafe(F.col("_owner")) & (F.col("h") == F.col("_h")))
+    bound = np.uint64(slice_bound(percent))
+
+    def first_grams(found, family):
+        salt = np.uint64(mix_int(family + 1))
+        cut = int(np.searchsorted(found, bound, "right"))
+        missing = max(0, prefix_size(len(found), percent) - cut)
+        return (found[:cut] ^ salt).view(np.int64), np.sort(found[cut:] ^ salt)[:missing].view(np.int64)
 
     def build(batches):
         for batch in batches:
-            for low, data, offsets in byte_chunks(batch.column(2)):
+            for low, data, offsets in byte_chunks(batch.column(3)):
                 found = list(_sets(data, offsets, n))
-                right = [_digest(x) == d for x, d in zip(found, batch.column(1).slice(low, len(found)).to_pylist())]
+                v, digests, of = (batch.column(i).slice(low, len(found)) for i in range(3))
+                right = [_digest(x) == d for x, d in zip(found, digests.to_pylist())]
+                sets = [x for x, ok in zip(found, right) if ok]
+                parts = [first_grams(x, family) for x, family, ok in zip(found, of.to_pylist(), right) if ok]
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "v": batch.column(0).slice(low, len(found)).filter(pa.array(right)),
-                        "grams": pa.array([x.view(np.int64) for x, ok in zip(found, right) if ok], pa.list_(pa.int64())),
-                        "sketch": pa.array([sketch(x) for x, ok in zip(found, right) if ok], pa.binary()),
+                        "v": v.filter(pa.array(right)),
+                        "grams": pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64())),
+                        "sketch": pa.array([sketch(x) for x in sets], pa.binary()),
+                        "low": pa.array([part[0] for part in parts], pa.list_(pa.int64())),
+                        "rest": pa.array([part[1] for part in parts], pa.list_(pa.int64())),
                     }
                 )
 
-    made = rows.select("v", "digest", "text").mapInArrow(build, "v bigint, grams array<bigint>, sketch binary")
-    return made.groupBy("v").agg(F.first("grams").alias("grams"), F.first("sketch").alias("sketch"))  # rows that repeat id and text
+    schema = "v bigint, grams array<bigint>, sketch binary, low array<bigint>, rest array<bigint>"
+    made = rows.select("v", "digest", "family", "text").mapInArrow(build, schema)
+    names = ("grams", "sketch", "low", "rest")
+    return made.groupBy("v").agg(*(F.first(name).alias(name) for name in names))  # rows that repeat id and text
 
 
 def components(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Stored (row, doc_id, h, size, digest) of every row, and (digest, group) of the sets that are not alone."""
-    sets = stored(describe_sets(docs, n, percent).withColumn("row", F.monotonically_increasing_id()))
-    firsts = stored(prefixes(sets, percent))
-    labels = join_up(docs, firsts, n, percent).labels
-    members = labels.unionAll(labels.select(F.col("root").alias("v"), "root").distinct())
-    linked = members.join(firsts.select("v", "digest"), "v").select("digest", F.col("root").alias("group"))
+    described = stored(describe_sets(docs, n, percent))
+    sets = described.where("bucket IS NULL").select("row", "doc_id", "h", "size", "digest")
     copied = sets.where("size > 0").groupBy("digest").agg(F.min("row").alias("group"), F.count("*").alias("copies")).where("copies > 1")
-    alone = copied.join(linked, "digest", "left_anti").select("digest", "group")
-    return sets.select("row", "doc_id", "h", "size", "digest"), stored(linked.unionAll(alone))
+    related = families(described, sets)
+    if related is not None:
+        linked = _linked_sets(docs, *related, n, percent)
+        copied = copied.join(linked, "digest", "left_anti").select("digest", "group").unionAll(linked)
+    return sets, stored(copied.select("digest", "group"))
+
+
+def _linked_sets(docs: DataFrame, vertices: DataFrame, count: int, n: int, percent: int) -> DataFrame:
+    """(digest, group) of the sets that link; ``vertices`` are those in families."""
+    whole = stored(whole_sets(docs, vertices, count, n, percent))
+    firsts = stored(prefixes(vertices.select("v", "size").join(whole.select("v", "low", "rest"), "v"), percent))
+    labels = join_up(firsts, whole, percent).labels
+    members = labels.unionAll(labels.select(F.col("root").alias("v"), "root").distinct())
+    return members.join(vertices.select("v", "digest"), "v").select("digest", F.col("root").alias("group"))
 
 
 def groups(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
