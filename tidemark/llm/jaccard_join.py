@@ -64,7 +64,7 @@ BAND_GROWTH = 7, 5
 BUCKETS = 4096
 ROW_BITS = 28
 FLUSH = 1 << 20
-MASK_BITS = 27
+MASK_BITS = 25
 
 
 def prefix_size(size, percent):
@@ -631,7 +631,7 @@ def stars(edges: DataFrame, rounds: list | None = None) -> DataFrame | None:
         if rounds is not None:
             rounds.append(state[0])
         least = now.groupBy(F.col("high").alias("u")).agg(F.min("low").alias("m"))
-        large = now.join(least, F.col("low") == F.col("u"), "left").select(F.coalesce("m", "low").alias("low"), "high").distinct()
+        large = now.join(least, F.col("low") == F.col("u"), "left").select(F.coalesce("m", "low").alias("low"), "high")
         least = large.groupBy(F.col("high").alias("u")).agg(F.min("low").alias("m"))
         small = large.join(least, F.col("high") == F.col("u"))
         both = small.select(F.col("m").alias("low"), F.explode(F.array("low", "high")).alias("high"))
@@ -795,24 +795,15 @@ def _close_pairs(percent: int):
 
 
 def may_own(texts: DataFrame, vertices: DataFrame, count: int) -> DataFrame:
-    """The rows (.., .., h) of ``texts`` without most of those whose hash no vertex has, so that few texts are shuffled.
+    """The rows (.., h) of ``texts`` without most of those whose hash no vertex has, so that few texts are shuffled.
 
-    The driver sees a mask of 16 to 32 bits for each vertex, and of at most 2 ** MASK_BITS.
+    What is broadcast is a mask in words of 64 bits: 16 to 32 bits for each vertex, at most 2 ** ``MASK_BITS`` in all.
     """
     bits = min(MASK_BITS, max(6, (16 * count).bit_length()))
-    place = F.shiftrightunsigned("h", 64 - bits)
-    words = vertices.select(F.shiftright(place, 6).alias("word"), F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(h, {64 - bits}) & 63 AS INT))").alias("bit"))
-    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    mask = np.zeros(1 << bits - 6, dtype=np.uint64)
-    mask[found.column(0).to_numpy()] = found.column(1).to_numpy().view(np.uint64)
-    shared = texts.sparkSession.sparkContext.broadcast(mask)
-
-    def keep(batches):
-        for batch in batches:
-            at = batch.column(2).to_numpy().view(np.uint64) >> np.uint64(64 - bits)
-            yield batch.filter(pa.array((shared.value[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)))
-
-    return texts.mapInArrow(keep, texts.schema)
+    word = F.shiftright(F.shiftrightunsigned("h", 64 - bits), 6)
+    place = f"CAST(shiftrightunsigned(h, {64 - bits}) & 63 AS INT)"
+    mask = vertices.select(word.alias("word"), F.expr(f"shiftleft(1L, {place})").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    return texts.join(F.broadcast(mask), (word == F.col("word")) & F.expr(f"shiftrightunsigned(bits, {place}) & 1L = 1L"), "left_semi")
 
 
 def whole_sets(docs: DataFrame, vertices: DataFrame, count: int, n: int, percent: int) -> DataFrame:
